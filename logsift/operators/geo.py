@@ -47,7 +47,10 @@ def geo_enrich(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address", bro
     ``broadcast=None`` checks the range table's size (one small job).
     """
     base_cols = [c for c in df.columns if c not in GEO_COLUMNS]
-    left = df.select(*base_cols).withColumn("_ip", ipv4_to_long(ip_col))
+    # Keys are made non-nullable (-1 is in no range and no bucket): a nullable
+    # key lets the optimizer infer IS NOT NULL filters on them and push those
+    # below the parsing projection, where the parse would run twice per row.
+    left = df.select(*base_cols).withColumn("_ip", F.coalesce(ipv4_to_long(ip_col), F.lit(-1).cast("long")))
     left = left.withColumn("_bucket", F.shiftright("_ip", BUCKET_BITS))
     right = _exploded(ranges)
     if broadcast is None:

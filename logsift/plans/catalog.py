@@ -19,11 +19,15 @@ from logsift.functions.clean import clean_logs
 from logsift.functions.parse import parse_lenient, parse_strict
 from logsift.functions.timecols import utc_wallclock
 from logsift.operators import analytics as A
+from logsift.operators import detect_ml as D
 from logsift.operators import detect_rules as R
 from logsift.operators import detect_stats as S
 from logsift.operators.metrics import traffic_metrics
 from logsift.sources import fixtures
+from logsift.session import shared_dir
+from logsift.sources.files import read_cleaned
 from logsift.sources.metrics_json import metrics_to_json, parse_metric_json
+from logsift.streaming.ingest import ingest, text_log_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +65,17 @@ def metrics(spark: SparkSession, sf_dir: str, keys=("ip_address", "endpoint"), b
     return traffic_metrics(cleaned(spark, sf_dir), keys=keys, bucket=bucket)
 
 
+def stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as text files, ingested by a streaming query (availableNow)
+    into Parquet partitioned by year/month, and read back."""
+    base = shared_dir(spark, "stream-roundtrip")
+    lines(spark, sf_dir).write.text(f"{base}/lines")
+    query = ingest(text_log_lines(spark, f"{base}/lines"), fixtures.geo_ranges(spark, sf_dir), f"{base}/cleaned",
+                   f"{base}/checkpoint", partition_by=("year", "month"), trigger="availableNow")
+    query.awaitTermination()
+    return read_cleaned(spark, f"{base}/cleaned")
+
+
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return export(fn(spark, sf_dir))
@@ -117,6 +132,12 @@ def _registry() -> dict[str, Query]:
                                                         countries=BLOCKED),
         "anomaly_totals": lambda s, d: R.anomaly_totals(
             R.anomaly_report(c(s, d, geo=True), limit=HIGH_RATE_LIMIT, countries=BLOCKED)),
+        # model-based detectors (no SQL oracle)
+        "kmeans_clusters": lambda s, d: D.kmeans_clusters(metrics(s, d), k=KMEANS_K).drop(
+            "features", "scaled_features"),
+        "isolation_forest": lambda s, d: D.isolation_forest(metrics(s, d)),
+        # streaming ingest
+        "stream_roundtrip": stream_roundtrip,
     }
     return {k: _q(v) for k, v in q.items()}
 

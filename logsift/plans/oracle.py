@@ -246,6 +246,7 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
   {_iso()} AS "timestamp" FROM cleaned WHERE status_code IN {_STATUSES}"""
     q["blocked_countries"] = wg + f"""SELECT 'Blocked Country' AS type, ip_address, country, endpoint,
   {_iso()} AS "timestamp" FROM cleaned_geo WHERE country IN {_BLOCKED}"""
+    q["stream_roundtrip"] = wg + "SELECT * FROM cleaned_geo"
     q["anomaly_report"] = wg + _report_sql()
     q["anomaly_totals"] = _with(_GEO, "report AS (" + _report_sql() + ")") + """SELECT
   count_if(category = 'ip') AS ip_anomalies, count_if(category = 'performance') AS performance_anomalies,

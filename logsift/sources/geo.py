@@ -16,7 +16,7 @@ def ranges_from_cidr(df: DataFrame, network_col: str = "network") -> DataFrame:
     net = F.col(network_col)
     base = ipv4_to_long(F.split(net, "/").getItem(0))
     plen = F.split(net, "/").getItem(1).try_cast("int")
-    size = F.shiftleft(F.lit(1).cast("long"), F.lit(32) - plen)
+    size = F.pow(F.lit(2.0), F.lit(32) - plen).cast("long")
     start = base - F.pmod(base, size)
     out = df.select(
         start.alias("start_ip"),
