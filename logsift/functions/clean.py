@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsift.functions.parse import lenient_fields
+from logsift.functions.parse import parse_lenient
 from logsift.functions.timecols import utc_wallclock
 
 # Fixed value: the timestamp layout of the combined log format.
@@ -92,7 +92,7 @@ def clean_logs(lines: DataFrame, ranges: DataFrame | None = None, line_col: str
     columns country/city/region are added; without it they are left out.
     Lazy: no action runs unless ``geo_enrich`` must size the range table.
     """
-    parsed = lines.select(*[F.col(k) for k in keep], *lenient_fields(line_col))
+    parsed = parse_lenient(lines, line_col, keep=keep)
     typed = typed_columns(parsed, keep=keep)
     if ranges is None:
         return typed

@@ -25,6 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition ``df`` on ``keys`` when its scan yields fewer partitions
+    than the cluster has cores, so CPU-heavy parsing uses all of them.
+
+    Large inputs already scan as many partitions and pass through untouched
+    (no shuffle); a small file stored as one row group would otherwise be
+    parsed by a single task. Hashing on a key keeps the placement
+    deterministic if a task is retried.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
+
+
 def _clf_time(ts) -> F.Column:
     """``dd/MMM/yyyy:HH:mm:ss`` of a TIMESTAMP_NTZ, without the session zone."""
     months = F.array(*[F.lit(m) for m in MONTHS])
@@ -65,7 +80,7 @@ def event_log_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
-    return event_log_lines(table(spark, sf_dir, "events"), keep_id=keep_id)
+    return event_log_lines(spread(table(spark, sf_dir, "events"), "event_id"), keep_id=keep_id)
 
 
 def nation_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:

@@ -99,3 +99,50 @@ def test_timestamps_independent_of_session(spark, conf, zone, policy):
     hours = clean_logs(lines_df(spark, [line(ts="10/Mar/2024:02:30:00 +0000")])).select(
         F.hour(utc_wallclock("timestamp"))).collect()
     assert hours[0][0] == 2
+
+
+TRICKY = [
+    line(agent="A\u0001B"),  # separator inside a field -> per-field fallback
+    line(agent="x\ny"),  # line terminator inside a quoted field: no match across it
+    line() + "\r\n",
+    line(ip="1.1.1.1") + " " + line(ip="2.2.2.2"),  # two candidate matches: the leftmost wins
+    'a - - [x] "" 123 - "" "" - tail',
+    "",
+    None,
+    line(request='GET /"quoted" HTTP/1.0'),
+    line(status="2000"),
+]
+
+
+def test_single_pass_equals_per_field_search(spark):
+    from logsift.functions.parse import lenient_fields_by_search
+
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(TRICKY)], "id int, log_line string")
+    one = sorted(parse_lenient(df, keep=("id",)).collect())
+    each = sorted(df.select("id", *lenient_fields_by_search("log_line")).collect())
+    assert one == each
+    assert one[3].ip_address == "1.1.1.1"
+
+
+def test_single_pass_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from logsift.functions.parse import lenient_fields_by_search
+
+    alphabet = st.sampled_from(list(' -[]"/:0123456789abcGET\t\u0001\n') + ["HTTP/1.0", "- - ["])
+    texts = st.lists(alphabet, max_size=40).map("".join)
+    parts = st.lists(st.one_of(texts, st.sampled_from([line(), line(size="-"), "] \"", '" 200 ', '" "'])),
+                     min_size=1, max_size=6).map("".join)
+    seen = []
+
+    @settings(max_examples=200, deadline=None)
+    @given(parts)
+    def collect(s):
+        seen.append(s)
+
+    collect()
+    df = spark.createDataFrame(list(enumerate(seen)), "id int, log_line string")
+    one = sorted(parse_lenient(df, keep=("id",)).collect())
+    each = sorted(df.select("id", *lenient_fields_by_search("log_line")).collect())
+    assert one == each
