@@ -214,18 +214,18 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
   SELECT *, avg(request_count) OVER w AS rolling_mean, stddev_samp(request_count) OVER w AS rolling_std
   FROM metrics WINDOW w AS (PARTITION BY {rk} ORDER BY "timestamp", request_count, response_time
                             ROWS BETWEEN {C.ROLLING_WINDOW} PRECEDING AND CURRENT ROW)) a"""
-    q["outliers_zscore"] = w + """SELECT c.*, CASE WHEN abs((response_time - s.m) / nullif(s.sd, 0)) > 3
+    q["outliers_zscore"] = wg + """SELECT c.*, CASE WHEN abs((response_time - s.m) / nullif(s.sd, 0)) > 3
   THEN 1 ELSE 0 END AS response_time_outlier
-  FROM cleaned c, (SELECT avg(response_time) AS m, stddev_samp(response_time) AS sd FROM cleaned) s"""
-    q["outliers_iqr"] = w + """SELECT c.* EXCLUDE (q1t, q3t, q1s, q3s) FROM (
+  FROM cleaned_geo c, (SELECT avg(response_time) AS m, stddev_samp(response_time) AS sd FROM cleaned_geo) s"""
+    q["outliers_iqr"] = wg + """SELECT c.* EXCLUDE (q1t, q3t, q1s, q3s) FROM (
   SELECT c.*, s.*,
     CASE WHEN response_time < q1t - 1.5 * (q3t - q1t) OR response_time > q3t + 1.5 * (q3t - q1t)
          THEN 1 ELSE 0 END AS response_time_outlier,
     CASE WHEN response_size < q1s - 1.5 * (q3s - q1s) OR response_size > q3s + 1.5 * (q3s - q1s)
          THEN 1 ELSE 0 END AS response_size_outlier
-  FROM cleaned c, (SELECT quantile_disc(response_time, 0.25) AS q1t, quantile_disc(response_time, 0.75) AS q3t,
+  FROM cleaned_geo c, (SELECT quantile_disc(response_time, 0.25) AS q1t, quantile_disc(response_time, 0.75) AS q3t,
                           quantile_disc(response_size, 0.25) AS q1s, quantile_disc(response_size, 0.75) AS q3s
-                   FROM cleaned) s) c"""
+                   FROM cleaned_geo) s) c"""
     q["metric_outliers"] = _with(_metrics_cte("metrics", m)) + """SELECT c.*,
   CASE WHEN abs((request_count - s.m1) / nullif(s.sd1, 0)) > 3 THEN 1 ELSE 0 END AS request_count_outlier,
   CASE WHEN abs((response_time - s.m2) / nullif(s.sd2, 0)) > 3 THEN 1 ELSE 0 END AS response_time_outlier
@@ -247,6 +247,7 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
     q["blocked_countries"] = wg + f"""SELECT 'Blocked Country' AS type, ip_address, country, endpoint,
   {_iso()} AS "timestamp" FROM cleaned_geo WHERE country IN {_BLOCKED}"""
     q["stream_roundtrip"] = wg + "SELECT * FROM cleaned_geo"
+    q["ingest_batch"] = wg + "SELECT * FROM cleaned_geo"
     q["anomaly_report"] = wg + _report_sql()
     q["anomaly_totals"] = _with(_GEO, "report AS (" + _report_sql() + ")") + """SELECT
   count_if(category = 'ip') AS ip_anomalies, count_if(category = 'performance') AS performance_anomalies,

@@ -15,6 +15,15 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "log_line")
 
 
+def write_cleaned(df: DataFrame, path: str, partition_by=("year", "month"), mode: str = "errorifexists") -> None:
+    """Write the cleaned table as Parquet partitioned by calendar fields (the
+    batch counterpart of the streaming sink)."""
+    writer = df.write.mode(mode).format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
+
+
 def read_cleaned(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """Cleaned logs written by the ingest job, read with the declared schema.
 

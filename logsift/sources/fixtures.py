@@ -25,19 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Hash-partition ``df`` on ``keys`` when its scan yields fewer partitions
     than the cluster has cores, so CPU-heavy parsing uses all of them.
 
     Large inputs already scan as many partitions and pass through untouched
     (no shuffle); a small file stored as one row group would otherwise be
-    parsed by a single task. Hashing on a key keeps the placement
-    deterministic if a task is retried.
+    parsed by a single task. Rows are spread by their row id, which is
+    stable when a scan task is retried; because Spark treats the id as
+    non-deterministic, filters on parsed fields are not pushed back into the
+    single scan task and the parsing runs after the spread.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *keys)
+    return df.repartition(target, F.monotonically_increasing_id())
 
 
 def _clf_time(ts) -> F.Column:
@@ -80,7 +82,7 @@ def event_log_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
-    return event_log_lines(spread(table(spark, sf_dir, "events"), "event_id"), keep_id=keep_id)
+    return event_log_lines(spread(table(spark, sf_dir, "events")), keep_id=keep_id)
 
 
 def nation_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
