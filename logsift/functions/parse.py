@@ -104,32 +104,41 @@ def strict_timestamp(raw) -> Column:
     return F.when(ok, F.try_to_timestamp(text, F.lit("dd/MMM/yyyy:HH:mm:ss Z")).cast("timestamp"))
 
 
+# Strict grammar in one pass, anchored at the line start. A failed match
+# takes the second branch and yields empty groups; a successful one always
+# has a non-empty first group (the address), which tells the two apart.
+_STRICT_ONE_PASS = "^(?:" + STRICT_PATTERN + "(?s:.*)|(?s:.*))$"
+
+
 def parse_strict(df: DataFrame, line_col: str = "log_line", keep: tuple[str, ...] = ()) -> DataFrame:
     """Strict grammar, typed record per matching line; other lines are dropped.
 
     Output: ip_address, timestamp, method, endpoint, protocol, status_code,
     response_size, referrer, user_agent, response_time (+ ``keep``).
+
+    Lines are kept or dropped by expanding a zero- or one-element array (a
+    flat-map) rather than by a filter: a filter on parsed fields would be
+    pushed below the parsing projection and re-run the parse inside it.
     """
     line = F.col(line_col)
     anchored = "^" + STRICT_PATTERN
-    matched = df.filter(line.rlike(anchored))
-    g = {name: F.regexp_extract(line, anchored, i + 1) for i, name in enumerate(PARSED_FIELDS)}
-    step = matched.select(
+    step = df.select(
         *[F.col(k) for k in keep],
-        g["ip_address"].alias("ip_address"),
-        g["timestamp_raw"].alias("timestamp_raw"),
-        g["request"].alias("request"),
-        g["status_code"].alias("status_code"),
-        g["response_size"].alias("response_size"),
-        g["referrer"].alias("referrer"),
-        g["user_agent"].alias("user_agent"),
-        g["response_time"].alias("response_time"),
+        line.alias("_line"),
+        F.split(F.regexp_replace(line, _STRICT_ONE_PASS, _ONE_PASS_GROUPS), _SEP, -1).alias("_groups"),
     )
+    clean_split = F.instr(F.col("_line"), _SEP) == 0
+    matched = F.when(clean_split, F.length(F.col("_groups").getItem(0)) > 0).otherwise(
+        F.col("_line").rlike(anchored))
+    g = [
+        F.when(clean_split, F.col("_groups").getItem(i)).otherwise(F.regexp_extract(F.col("_line"), anchored, i + 1))
+        .alias(name)
+        for i, name in enumerate(PARSED_FIELDS)
+    ]
+    step = step.select(*[F.col(k) for k in keep], matched.alias("_matched"), *g)
     tokens = F.split(F.trim(F.col("request")), r"\s+", -1)
     has_request = F.length("request") > 0
-    step = step.filter(~has_request | (F.size(tokens) == 3))
-    return step.select(
-        *[F.col(k) for k in keep],
+    record = F.struct(
         F.col("ip_address"),
         strict_timestamp("timestamp_raw").alias("timestamp"),
         F.when(has_request, tokens.getItem(0)).alias("method"),
@@ -141,3 +150,5 @@ def parse_strict(df: DataFrame, line_col: str = "log_line", keep: tuple[str, ...
         F.col("user_agent"),
         F.col("response_time").try_cast("int").alias("response_time"),
     )
+    kept = F.col("_matched") & (~has_request | (F.size(tokens) == 3))
+    return step.select(*[F.col(k) for k in keep], F.inline(F.when(kept, F.array(record))))

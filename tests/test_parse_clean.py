@@ -146,3 +146,18 @@ def test_single_pass_property(spark):
     one = sorted(parse_lenient(df, keep=("id",)).collect())
     each = sorted(df.select("id", *lenient_fields_by_search("log_line")).collect())
     assert one == each
+
+
+def test_strict_single_pass_equals_anchored_search(spark):
+    from logsift.functions.parse import STRICT_PATTERN
+
+    items = TRICKY + [line(), line(ident="a b"), "x" + line(), line(agent="A\u0001B", ident="u v")]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(items)], "id int, log_line string")
+    got = sorted(r.id for r in parse_strict(df, keep=("id",)).collect())
+    pat = "^" + STRICT_PATTERN
+    want = sorted(r.id for r in df.filter(F.col("log_line").rlike(pat)).select(
+        "id", F.regexp_extract("log_line", pat, 3).alias("req")).collect()
+        if r.req == "" or len(r.req.split()) == 3)
+    assert got == want
+    u = [r for r in parse_strict(df, keep=("id",)).collect() if r.id == len(items) - 1][0]
+    assert u.user_agent == "A\u0001B"
