@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsift.session import ensure_checkpoint_dir
+from logsift.session import ensure_checkpoint_dir, spread
 
 
 def _stable(df: DataFrame, checkpoint: bool) -> DataFrame:
@@ -30,7 +30,7 @@ def _stable(df: DataFrame, checkpoint: bool) -> DataFrame:
     if not checkpoint:
         return df
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return spread(df).checkpoint(eager=True)
 
 # ---------------------------------------------------------------- k-means
 
@@ -234,7 +234,12 @@ def isolation_forest(df: DataFrame, feature_cols=("request_count", "response_tim
                          lambda t: unit(F.lit(seed), t, F.col("_rowhash")) < F.lit(rate))
         sampled = feats.select("*", F.explode(trees).alias("tree")).withColumn(
             "_h", unit(F.lit(seed + 1), F.col("tree"), F.col("_rowhash")))
-    nodes = (sampled.groupBy("tree")
+    # One group per tree (about oversample x psi rows each). The explicit
+    # partition count keeps trees built in parallel: the input is too small
+    # for adaptive execution to keep more than one partition otherwise.
+    parallel = max(1, min(n_trees, df.sparkSession.sparkContext.defaultParallelism))
+    nodes = (sampled.repartition(parallel, "tree")
+             .groupBy("tree")
              .applyInPandas(_tree_builder(nf, psi, seed), NODE_SCHEMA)
              .toPandas())
     forest = _forest_arrays(nodes, n_trees)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -31,3 +32,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition ``df`` when it has fewer partitions than the cluster has
+    cores, so CPU-heavy work after it (parsing, scoring) uses all of them.
+
+    Large inputs already scan as many partitions and pass through untouched
+    (no shuffle); a small file stored as one row group would otherwise be
+    processed by a single task. Rows are spread by their row id, which is
+    stable when a task is retried; because Spark treats the id as
+    non-deterministic, filters on derived columns are not pushed back into
+    the single task before the spread.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, F.monotonically_increasing_id())

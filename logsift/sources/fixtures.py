@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsift.session import spread
+
 # English month abbreviations used in log timestamps.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 # Status codes cycled by event id.
@@ -25,23 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` when its scan yields fewer partitions
-    than the cluster has cores, so CPU-heavy parsing uses all of them.
-
-    Large inputs already scan as many partitions and pass through untouched
-    (no shuffle); a small file stored as one row group would otherwise be
-    parsed by a single task. Rows are spread by their row id, which is
-    stable when a scan task is retried; because Spark treats the id as
-    non-deterministic, filters on parsed fields are not pushed back into the
-    single scan task and the parsing runs after the spread.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, F.monotonically_increasing_id())
-
-
 def _clf_time(ts) -> F.Column:
     """``dd/MMM/yyyy:HH:mm:ss`` of a TIMESTAMP_NTZ, without the session zone."""
     months = F.array(*[F.lit(m) for m in MONTHS])
