@@ -29,8 +29,11 @@ def utc_wallclock(ts) -> Column:
 
 
 def utc_instant(ntz) -> Column:
-    """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP instant."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _col(ntz)))
+    """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP instant (epoch arithmetic, no zone)."""
+    n = _col(ntz)
+    whole = F.unix_date(F.to_date(n)).cast("long") * 86400 + F.hour(n) * 3600 + F.minute(n) * 60
+    micros = whole * 1_000_000 + (F.date_part(F.lit("SECOND"), n) * 1_000_000).cast("long")
+    return F.timestamp_micros(micros)
 
 
 def trunc_utc(ts, unit: str) -> Column:
@@ -48,11 +51,31 @@ def trunc_utc(ts, unit: str) -> Column:
     return F.make_date(F.year(u), F.month(u), F.lit(1)).cast("timestamp_ntz")
 
 
+_STEP_MICROS = {"minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
 def bucket_start(ts, unit: str) -> Column:
-    """Start instant (TIMESTAMP) of the UTC calendar bucket holding ``ts``."""
-    return utc_instant(trunc_utc(ts, unit))
+    """Start instant (TIMESTAMP) of the UTC calendar bucket holding ``ts``.
+
+    Fixed-width units are exact integer arithmetic on epoch microseconds;
+    months go through the UTC calendar date. No session zone is involved.
+    """
+    if unit not in UNITS:
+        raise ValueError(f"Invalid interval: choose one of {', '.join(UNITS)}")
+    if unit in _STEP_MICROS:
+        us = F.unix_micros(_col(ts))
+        return F.timestamp_micros(us - F.pmod(us, F.lit(_STEP_MICROS[unit])))
+    u = utc_wallclock(ts)
+    first = F.make_date(F.year(u), F.month(u), F.lit(1))
+    return F.timestamp_seconds(F.unix_date(first).cast("long") * 86400)
 
 
 def iso_utc(ts) -> Column:
-    """ISO-8601 text of an instant in UTC with a ``+00:00`` offset."""
-    return F.date_format(utc_wallclock(ts), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    """ISO-8601 text of an instant in UTC with a ``+00:00`` offset.
+
+    Built from the UTC calendar fields: formatting goes through no session
+    zone, so wall-clock times that a zone skips (DST gaps) stay intact.
+    """
+    u = utc_wallclock(ts)
+    return F.format_string("%04d-%02d-%02dT%02d:%02d:%02d+00:00", F.year(u), F.month(u), F.dayofmonth(u),
+                           F.hour(u), F.minute(u), F.second(u))

@@ -39,8 +39,12 @@ def read_cleaned(spark: SparkSession, path: str, start=None, end=None) -> DataFr
         raise
     ym = F.col("year") * 12 + F.col("month")
     utc = utc_wallclock("timestamp")
+
+    def wall(d):  # text -> TIMESTAMP_NTZ goes through no time zone
+        return F.lit(d.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
     if start is not None:
-        df = df.filter((ym >= start.year * 12 + start.month) & (utc >= F.lit(start).cast("timestamp_ntz")))
+        df = df.filter((ym >= start.year * 12 + start.month) & (utc >= wall(start)))
     if end is not None:
-        df = df.filter((ym <= end.year * 12 + end.month) & (utc < F.lit(end).cast("timestamp_ntz")))
+        df = df.filter((ym <= end.year * 12 + end.month) & (utc < wall(end)))
     return df

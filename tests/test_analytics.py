@@ -61,3 +61,51 @@ def test_export_is_zone_independent(spark, conf):
         conf("spark.sql.session.timeZone", zone)
         out.append(sorted(export(df_of(spark)).select("timestamp").collect(), key=str))
     assert out[0] == out[1]
+
+
+def test_iso_text_in_dst_gap(spark, conf):
+    from logsift.functions.timecols import iso_utc
+
+    conf("spark.sql.session.timeZone", "America/New_York")
+    df = clean_logs(lines_df(spark, [line(ts="10/Mar/2024:02:30:00 +0000")]))
+    assert df.select(iso_utc("timestamp")).collect()[0][0] == "2024-03-10T02:30:00+00:00"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Australia/Lord_Howe"])
+def test_buckets_in_dst_gap(spark, conf, zone):
+    from logsift.operators.metrics import traffic_metrics
+
+    conf("spark.sql.session.timeZone", zone)
+    df = clean_logs(lines_df(spark, [line(ts="10/Mar/2024:02:30:00 +0000"), line(ts="06/Oct/2024:02:10:00 +0000")]))
+    got = sorted(r.timestamp for r in export(traffic_metrics(df, keys=("endpoint",))).collect())
+    assert got == [dt.datetime(2024, 3, 10, 2, 0), dt.datetime(2024, 10, 6, 2, 0)]
+    hours = sorted(r.hour for r in A.time_based_analysis(df, "hour").collect())
+    assert hours == [dt.datetime(2024, 3, 10, 2, 0), dt.datetime(2024, 10, 6, 2, 0)]
+
+
+def test_read_cleaned_time_range(spark):
+    from logsift.session import shared_dir
+    from logsift.sources.files import read_cleaned, write_cleaned
+
+    path = shared_dir(spark, "test-range")
+    items = [line(ts="31/Jan/2024:23:59:59 +0000"), line(ts="01/Feb/2024:00:00:00 +0000"),
+             line(ts="15/Mar/2024:10:00:00 +0000")]
+    write_cleaned(clean_logs(lines_df(spark, items), keep=("id",)), path)
+    df = read_cleaned(spark, path, start=dt.datetime(2024, 2, 1), end=dt.datetime(2024, 3, 1))
+    assert df.count() == 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan or "partitionfilters" in plan.lower()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_utc_instant_round_trip(spark, conf, zone):
+    from pyspark.sql import functions as F
+
+    from logsift.functions.timecols import bucket_start, utc_instant, utc_wallclock
+
+    conf("spark.sql.session.timeZone", zone)
+    df = clean_logs(lines_df(spark, [line(ts="10/Mar/2024:02:30:07 +0000"), line(ts="31/Jan/2024:23:59:59 -0300")]))
+    rows = df.select(F.unix_micros("timestamp").alias("a"), F.unix_micros(utc_instant(utc_wallclock("timestamp"))).alias("b"),
+                     F.unix_micros(bucket_start("timestamp", "month")).alias("m")).collect()
+    assert all(r.a == r.b for r in rows)
+    assert sorted(r.m for r in rows) == [1706745600000000, 1709251200000000]
