@@ -71,3 +71,19 @@ def test_kafka_source_is_pluggable(spark):
         assert df.columns == ["log_line"]
     except Exception as e:  # connector jar absent in this environment
         assert "kafka" in str(e).lower()
+
+
+def test_json_metric_stream_to_memory(spark):
+    from logsift.plans.catalog import metrics
+    from logsift.sources.metrics_json import metrics_to_json
+
+    base = shared_dir(spark, "test-json-stream")
+    batch = metrics(spark, SF_SMALL)
+    metrics_to_json(batch).write.text(f"{base}/in")
+    raw = spark.readStream.format("text").load(f"{base}/in").withColumnRenamed("value", "json")
+    q = memory_sink(parse_metric_json(raw), "logsift_metric_stream")
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("logsift_metric_stream")
+    assert got.count() == batch.count()
+    assert got.agg(F.sum("request_count")).collect()[0][0] == batch.agg(F.sum("request_count")).collect()[0][0]
