@@ -18,6 +18,7 @@ CLF_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 # The leading day/time/offset of a raw timestamp; trailing text is ignored
 # and one-digit days are padded, as the lenient legacy parser did.
 _CLF_HEAD = r"^(\d{1,2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4})"
+_CLF_CANONICAL = r"^\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4}\z"
 
 
 def _col(c) -> Column:
@@ -30,9 +31,14 @@ def clf_timestamp(raw) -> Column:
     Independent of the session's parser policy and time zone.
     """
     raw = _col(raw)
+    fmt = F.lit(CLF_TIME_FORMAT)
     head = F.regexp_extract(raw, _CLF_HEAD, 1)
     padded = F.when(head.rlike(r"^\d/"), F.concat(F.lit("0"), head)).otherwise(head)
-    return F.when(F.length(head) > 0, F.try_to_timestamp(padded, F.lit(CLF_TIME_FORMAT)).cast("timestamp"))
+    normalised = F.when(F.length(head) > 0, F.try_to_timestamp(padded, fmt))
+    # Fast path: a text already in canonical form is handed to the parser as
+    # is (the normalisation would not change it), skipping the extraction.
+    return (F.when(raw.rlike(_CLF_CANONICAL), F.try_to_timestamp(raw, fmt))
+            .otherwise(normalised).cast("timestamp"))
 
 
 def status_code(raw) -> Column:
@@ -50,10 +56,14 @@ def request_parts(request) -> tuple[Column, Column, Column]:
     """method, endpoint, protocol of a request text; NULL when the request is empty."""
     request = _col(request)
     present = F.length(request) > 0
+    # The last token, (\S+)$, is taken as the first token of the reversed
+    # text: an anchored match instead of a search from every position. Same
+    # result for any text without line terminators, which a parsed request
+    # never contains.
     return (
         F.when(present, F.regexp_extract(request, r"^(\S+)", 1)),
         F.when(present, F.regexp_extract(request, r"^\S+\s(\S+)", 1)),
-        F.when(present, F.regexp_extract(request, r"(\S+)$", 1)),
+        F.when(present, F.reverse(F.regexp_extract(F.reverse(request), r"^(\S+)", 1))),
     )
 
 

@@ -79,6 +79,8 @@ TIME_CASES = [
     ("27/Dec/2037:12:00:00 +0200", dt.datetime(2037, 12, 27, 10, 0, 0)),
     ("7/Dec/2037:12:00:00 +0000", dt.datetime(2037, 12, 7, 12, 0, 0)),
     ("27/Dec/2037:12:00:00 +0000 tail", dt.datetime(2037, 12, 27, 12, 0, 0)),
+    ("7/Dec/2037:12:00:00 +0000x", dt.datetime(2037, 12, 7, 12, 0, 0)),  # 26 chars, not canonical
+    ("27/Dec/12345:12:00:00 +000", None),
     ("31/Feb/2037:12:00:00 +0000", None),
     ("27/Dec/2037:25:00:00 +0000", None),
     ("27/Dec/2037:12:00:00", None),
@@ -161,3 +163,15 @@ def test_strict_single_pass_equals_anchored_search(spark):
     assert got == want
     u = [r for r in parse_strict(df, keep=("id",)).collect() if r.id == len(items) - 1][0]
     assert u.user_agent == "A\u0001B"
+
+
+@pytest.mark.parametrize("policy", ["CORRECTED", "LEGACY", "EXCEPTION"])
+def test_clf_timestamp_on_raw_text(spark, conf, policy):
+    from logsift.functions.clean import clf_timestamp
+
+    conf("spark.sql.legacy.timeParserPolicy", policy)
+    texts = ["27/Dec/2037:12:00:00 +0000\n", "27/Dec/2037:12:00:00 +0000", "7/Dec/2037:12:00:00 +0000x", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, raw string")
+    got = [r[0] for r in df.orderBy("id").select(utc_wallclock(clf_timestamp("raw"))).collect()]
+    assert got == [dt.datetime(2037, 12, 27, 12), dt.datetime(2037, 12, 27, 12), dt.datetime(2037, 12, 7, 12),
+                   None, None]
