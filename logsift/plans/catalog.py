@@ -58,8 +58,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
-    ranges = fixtures.geo_ranges(spark, sf_dir) if geo else None
-    return clean_logs(lines(spark, sf_dir), ranges)
+    if not geo:
+        return clean_logs(lines(spark, sf_dir))
+    return clean_logs(lines(spark, sf_dir), fixtures.geo_ranges(spark, sf_dir),
+                      broadcast=fixtures.geo_ranges_broadcastable(spark, sf_dir))
 
 
 # Cleaned tables written by this session, per input folder.
@@ -99,7 +101,8 @@ def stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream-roundtrip")
     lines(spark, sf_dir).write.text(f"{base}/lines")
     query = ingest(text_log_lines(spark, f"{base}/lines"), fixtures.geo_ranges(spark, sf_dir), f"{base}/cleaned",
-                   f"{base}/checkpoint", partition_by=("year", "month"), trigger="availableNow")
+                   f"{base}/checkpoint", partition_by=("year", "month"), trigger="availableNow",
+                   broadcast=fixtures.geo_ranges_broadcastable(spark, sf_dir))
     query.awaitTermination()
     return read_cleaned(spark, f"{base}/cleaned")
 

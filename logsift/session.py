@@ -34,7 +34,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
-def spread(df: DataFrame) -> DataFrame:
+def needs_spread(df: DataFrame) -> bool:
+    """True when ``df`` scans fewer partitions than the cluster has cores."""
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, needed: bool | None = None) -> DataFrame:
     """Repartition ``df`` when it has fewer partitions than the cluster has
     cores, so CPU-heavy work after it (parsing, scoring) uses all of them.
 
@@ -45,7 +50,8 @@ def spread(df: DataFrame) -> DataFrame:
     non-deterministic, filters on derived columns are not pushed back into
     the single task before the spread.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if needed is None:
+        needed = needs_spread(df)
+    if not needed:
         return df
-    return df.repartition(target, F.monotonically_increasing_id())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.monotonically_increasing_id())

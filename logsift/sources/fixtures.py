@@ -11,7 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsift.session import spread
+from logsift.operators.geo import should_broadcast
+from logsift.session import needs_spread, spread
+
+# Decisions about static inputs, taken once per session and input folder.
+_DECIDED: dict[tuple, bool] = {}
+
+
+def _decide(spark: SparkSession, what: str, sf_dir: str, check) -> bool:
+    key = (spark.sparkContext.applicationId, what, sf_dir.rstrip("/"))
+    if key not in _DECIDED:
+        _DECIDED[key] = bool(check())
+    return _DECIDED[key]
 
 # English month abbreviations used in log timestamps.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
@@ -23,8 +34,20 @@ RANGE_BASE = 167772160
 RANGE_NATIONS = 20
 
 
+# Declared schemas of the input tables used here: reading with a schema skips
+# the footer-inference job that a schema-less read runs first.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _clf_time(ts) -> F.Column:
@@ -67,7 +90,9 @@ def event_log_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
-    return event_log_lines(spread(table(spark, sf_dir, "events")), keep_id=keep_id)
+    events = table(spark, sf_dir, "events")
+    needed = _decide(spark, "spread-events", sf_dir, lambda: needs_spread(events))
+    return event_log_lines(spread(events, needed), keep_id=keep_id)
 
 
 def nation_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -88,3 +113,9 @@ def nation_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation_ranges(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
+
+
+def geo_ranges_broadcastable(spark: SparkSession, sf_dir: str, broadcast_max_rows: int = 1_000_000) -> bool:
+    """Size check of the range table (see ``geo_enrich``), done once per session."""
+    return _decide(spark, f"broadcast-ranges-{broadcast_max_rows}", sf_dir,
+                   lambda: should_broadcast(geo_ranges(spark, sf_dir), broadcast_max_rows))

@@ -72,3 +72,25 @@ def test_shuffle_plan_uses_salted_keys(spark):
     out = geo_enrich(clean_logs(df), ranges(spark), broadcast=False)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan and "NestedLoopJoin" not in plan
+
+
+def test_bucketed_join_equals_brute_force(spark):
+    """Random non-overlapping ranges of all widths (some spanning many /16
+    buckets) and random addresses: the bucketed join must equal a plain
+    between-join, on both the broadcast and the salted shuffle path."""
+    import random
+
+    rnd = random.Random(11)
+    cuts = sorted(rnd.sample(range(0, 2**32), 60))
+    ranges = [(cuts[i], cuts[i + 1] - 1, f"C{i}", "x", "y") for i in range(0, len(cuts) - 1, 2)]
+    rdf = spark.createDataFrame(ranges, "start_ip long, end_ip long, country string, city string, region string")
+    ips = [rnd.randrange(0, 2**32) for _ in range(400)] + [r[0] for r in ranges] + [r[1] for r in ranges]
+    texts = [f"{i >> 24}.{(i >> 16) & 255}.{(i >> 8) & 255}.{i & 255}" for i in ips]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, ip_address string")
+    want = {}
+    for k, ip in enumerate(ips):
+        hit = [r[2] for r in ranges if r[0] <= ip <= r[1]]
+        want[k] = hit[0] if hit else "Unknown"
+    for b in (True, False):
+        got = {r.id: r.country for r in geo_enrich(df, rdf, broadcast=b).collect()}
+        assert got == want
