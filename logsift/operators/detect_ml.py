@@ -254,6 +254,6 @@ def isolation_forest(df: DataFrame, feature_cols=("request_count", "response_tim
 
     s_col = F.when(valid, score(*[F.col(c).cast("double") for c in cols]))
     scored = df.withColumn("anomaly_score", s_col)
-    cut = scored.select(F.percentile_approx("anomaly_score", 1.0 - contamination, 1_000_000)).scalar()
+    cut = scored.select(F.percentile_approx("anomaly_score", 1.0 - contamination)).scalar()
     return scored.withColumn("isolation_forest_anomaly",
                              F.when(F.col("anomaly_score") > cut, 1).otherwise(0))

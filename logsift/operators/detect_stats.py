@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsift.operators.analytics import DEFAULT_ACCURACY
+from logsift.operators.analytics import discrete_quantiles
 
 
 def _zscore(x, mean, std):
@@ -89,13 +89,12 @@ def outliers_zscore(df: DataFrame, columns=("request_count", "response_time"), t
     return out
 
 
-def outliers_iqr(df: DataFrame, columns=("request_count", "response_time"),
-                 accuracy: int = DEFAULT_ACCURACY, factor: float = 1.5) -> DataFrame:
-    """Adds ``{col}_outlier`` = 1 outside [q1 - 1.5 iqr, q3 + 1.5 iqr] (global quartiles)."""
+def outliers_iqr(df: DataFrame, columns=("request_count", "response_time"), factor: float = 1.5) -> DataFrame:
+    """Adds ``{col}_outlier`` = 1 outside [q1 - 1.5 iqr, q3 + 1.5 iqr] (global quartiles,
+    exact for integral columns, see ``discrete_quantiles``)."""
     out = df
     for c in columns:
-        q1 = df.select(F.percentile_approx(c, 0.25, accuracy)).scalar()
-        q3 = df.select(F.percentile_approx(c, 0.75, accuracy)).scalar()
+        q1, q3 = discrete_quantiles(df, c, (0.25, 0.75))
         iqr = q3 - q1
         x = F.col(c)
         out = out.withColumn(

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsift.config import DEFAULT_CONFIG
 from logsift.functions.clean import clean_logs
 from logsift.functions.parse import parse_lenient, parse_strict
 from logsift.functions.timecols import utc_wallclock
@@ -180,4 +179,3 @@ def _registry() -> dict[str, Query]:
 QUERIES: dict[str, Query] = _registry()
 
 FLAGSHIP = "overview"
-DEFAULT_CONFIG = DEFAULT_CONFIG

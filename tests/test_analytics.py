@@ -109,3 +109,30 @@ def test_utc_instant_round_trip(spark, conf, zone):
                      F.unix_micros(bucket_start("timestamp", "month")).alias("m")).collect()
     assert all(r.a == r.b for r in rows)
     assert sorted(r.m for r in rows) == [1706745600000000, 1709251200000000]
+
+
+def test_discrete_quantiles_brute_force(spark):
+    import math
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(5)
+    for n in (1, 2, 7, 30, 101):
+        vals = [rnd.randrange(-20, 50) for _ in range(n)] + [None, None]
+        df = spark.createDataFrame([(v,) for v in vals], "x int")
+        probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0)
+        qs = A.discrete_quantiles(df, "x", probs)
+        got = df.limit(1).select(*[q.alias(f"q{i}") for i, q in enumerate(qs)]).collect()[0]
+        data = sorted(v for v in vals if v is not None)
+        for i, p in enumerate(probs):
+            k = max(1, math.ceil(round(p * len(data), 9)))
+            assert got[i] == data[k - 1], (n, p)
+        approx = df.select(F.percentile_approx("x", list(probs), 2_000_000_000)).collect()[0][0]
+        assert list(approx) == [data[max(1, math.ceil(round(p * len(data), 9))) - 1] for p in probs]
+
+
+def test_distribution_plan_has_no_sketch_aggregate(spark):
+    df = df_of(spark)
+    plan = A.response_time_distribution(df)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile_approx" not in plan
