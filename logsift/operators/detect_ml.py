@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logsift.operators.analytics import discrete_quantiles
 from logsift.session import ensure_checkpoint_dir, spread
 
 
@@ -79,6 +80,7 @@ def kmeans_clusters(df: DataFrame, feature_cols=("request_count", "response_time
 # ------------------------------------------------------- isolation forest
 
 _EULER = 0.5772156649015329
+SCORE_GRID = 1_000_000
 
 
 def _c(n):
@@ -194,7 +196,7 @@ def isolation_forest(df: DataFrame, feature_cols=("request_count", "response_tim
 
     Adds ``anomaly_score`` in (0, 1] (higher = easier to isolate) and
     ``isolation_forest_anomaly`` = 1 for scores above the (1 - contamination)
-    quantile. Rows with a NULL feature get NULL score and flag 0.
+    quantile (taken on a 1e-6 grid). Rows with a NULL feature get NULL score and flag 0.
 
     Sampling: each row's membership in tree t is decided by a hash of
     (seed, t, row), so the sample does not depend on partitioning and is
@@ -253,7 +255,12 @@ def isolation_forest(df: DataFrame, feature_cols=("request_count", "response_tim
         return pd.Series(np.power(2.0, -h / cpsi))
 
     s_col = F.when(valid, score(*[F.col(c).cast("double") for c in cols]))
-    scored = df.withColumn("anomaly_score", s_col)
-    cut = scored.select(F.percentile_approx("anomaly_score", 1.0 - contamination)).scalar()
-    return scored.withColumn("isolation_forest_anomaly",
-                             F.when(F.col("anomaly_score") > cut, 1).otherwise(0))
+    # Scored once: the cut-off and the output both read the written scores
+    # (scoring 100 trees per row costs more than writing the row).
+    scored = _stable(df.withColumn("anomaly_score", s_col), checkpoint)
+    # Scores lie in (0, 1]: on a 1e-6 grid they have at most 10^6 distinct
+    # values, so the cut-off is an exact histogram quantile whose last step
+    # is bounded by the grid, not by the rows.
+    grid = F.floor(F.col("anomaly_score") * SCORE_GRID).cast("long")
+    (cut,) = discrete_quantiles(scored.select(grid.alias("_g")), "_g", (1.0 - contamination,))
+    return scored.withColumn("isolation_forest_anomaly", F.when(grid > cut, 1).otherwise(0))
