@@ -101,7 +101,11 @@ def strict_timestamp(raw) -> Column:
         F.lit(" "),
         offset,
     )
-    return F.when(ok, F.try_to_timestamp(text, F.lit("dd/MMM/yyyy:HH:mm:ss Z")).cast("timestamp"))
+    fmt = F.lit("dd/MMM/yyyy:HH:mm:ss Z")
+    # Canonical texts need no rewriting (the parser ignores the month's case).
+    canonical = raw.rlike(r"^\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4}\z")
+    return (F.when(canonical, F.try_to_timestamp(raw, fmt))
+            .when(ok, F.try_to_timestamp(text, fmt)).cast("timestamp"))
 
 
 # Strict grammar in one pass, anchored at the line start. A failed match

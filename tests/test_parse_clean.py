@@ -175,3 +175,16 @@ def test_clf_timestamp_on_raw_text(spark, conf, policy):
     got = [r[0] for r in df.orderBy("id").select(utc_wallclock(clf_timestamp("raw"))).collect()]
     assert got == [dt.datetime(2037, 12, 27, 12), dt.datetime(2037, 12, 27, 12), dt.datetime(2037, 12, 7, 12),
                    None, None]
+
+
+@pytest.mark.parametrize("policy", ["CORRECTED", "LEGACY", "EXCEPTION"])
+def test_strict_timestamps(spark, conf, policy):
+    from logsift.functions.parse import strict_timestamp
+
+    conf("spark.sql.legacy.timeParserPolicy", policy)
+    texts = ["27/Dec/2037:12:00:00 +0200", "27/dec/2037:12:00:00 +0000", "7/Dec/2037:1:2:3 +00:00",
+             "27/Dec/2037:12:00:00 Z", "31/Feb/2037:12:00:00 +0000", "27/Dec/2037:12:00:00 +0000 x", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, raw string")
+    got = [r[0] for r in df.orderBy("id").select(utc_wallclock(strict_timestamp("raw"))).collect()]
+    assert got == [dt.datetime(2037, 12, 27, 10), dt.datetime(2037, 12, 27, 12), dt.datetime(2037, 12, 7, 1, 2, 3),
+                   dt.datetime(2037, 12, 27, 12), None, None, None, None]
