@@ -54,7 +54,7 @@ def z_score(metrics: DataFrame, keys: tuple[str, ...] = ("ip_address", "endpoint
 
 def rolling_anomaly(metrics: DataFrame, keys: tuple[str, ...] = ("ip_address",), window_size: int = 2,
                     threshold: float = 3.0, include_current: bool = True,
-                    order_by: tuple[str, ...] | None = None) -> DataFrame:
+                    order_by: tuple[str, ...] | None = None, block_seconds: int | None = None) -> DataFrame:
     """Rolling mean/stddev of request_count over the previous ``window_size`` rows per key.
 
     Rows are ordered by timestamp, then by the remaining columns as a
@@ -63,14 +63,22 @@ def rolling_anomaly(metrics: DataFrame, keys: tuple[str, ...] = ("ip_address",),
     original); a flag then needs window_size >= 10 at threshold 3, because
     max |x-mean|/std over n rows is (n-1)/sqrt(n). ``include_current=False``
     compares each row with the rows before it only.
+
+    ``block_seconds`` splits every key's rows into time blocks so that one
+    hot key is spread over many tasks (see ``_rolling_blocked``); the result
+    is identical to the plain window.
     """
     if order_by is None:
         rest = sorted(c for c in metrics.columns if c not in keys and c != "timestamp")
         order_by = ("timestamp", *rest)
     end = 0 if include_current else -1
-    w = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(-window_size, end)
     rc = F.col("request_count")
-    out = metrics.select("*", F.avg(rc).over(w).alias("rolling_mean"), F.stddev(rc).over(w).alias("rolling_std"))
+    if block_seconds is None:
+        w = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(-window_size, end)
+        out = metrics.select("*", F.avg(rc).over(w).alias("rolling_mean"),
+                             F.stddev(rc).over(w).alias("rolling_std"))
+    else:
+        out = _rolling_blocked(metrics, keys, order_by, window_size, end, block_seconds)
     std = F.col("rolling_std")
     ratio = F.try_divide(F.abs(rc - F.col("rolling_mean")), std)
     return out.withColumn(
@@ -78,6 +86,42 @@ def rolling_anomaly(metrics: DataFrame, keys: tuple[str, ...] = ("ip_address",),
     )
 
 
+def _rolling_blocked(metrics: DataFrame, keys, order_by, k: int, end: int, block_seconds: int) -> DataFrame:
+    """Rolling frame [-k, end] per key, computed per (key, time block).
+
+    Each block needs the last k rows of its key before the block. Those are
+    always among the "tails" (the last k rows of every block): a block with
+    fewer than k rows contributes all of them. So the k tail rows preceding
+    a block's first tail row, in key order, are its context. The tails table
+    holds at most blocks x k rows per key, and the context at most k rows per
+    block; no pairs within a group are formed. Context rows join their block,
+    the window runs per (key, block), and the context rows are dropped.
+    """
+    if order_by[0] != "timestamp":
+        raise ValueError("block splitting needs rows ordered by timestamp first")
+    rc = "request_count"
+    base = metrics.withColumn("_blk", F.floor(F.unix_seconds("timestamp") / F.lit(block_seconds)))
+    last_first = Window.partitionBy(*keys, "_blk").orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
+    tails = base.withColumn("_r", F.row_number().over(last_first)).filter(F.col("_r") <= k)
+    in_key = Window.partitionBy(*keys).orderBy(*order_by)
+    carried = [c for c in dict.fromkeys((*order_by, rc))]
+    ctx = (
+        tails.select(
+            *keys, "_blk",
+            (F.lag("_blk", 1).over(in_key).eqNullSafe(F.col("_blk"))).alias("_same"),
+            F.collect_list(F.struct(*carried)).over(in_key.rowsBetween(-k, -1)).alias("_prev"),
+        )
+        .filter(~F.col("_same"))
+        .select(*keys, "_blk", F.explode("_prev").alias("_c"))
+        .select(*keys, "_blk", *[F.col(f"_c.{c}").alias(c) for c in carried])
+    )
+    rows = base.withColumn("_ctx", F.lit(False)).unionByName(
+        ctx.withColumn("_ctx", F.lit(True)), allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "_blk").orderBy(*order_by).rowsBetween(-k, end)
+    out = rows.select("*", F.avg(rc).over(w).alias("rolling_mean"), F.stddev(rc).over(w).alias("rolling_std"))
+    return out.filter(~F.col("_ctx")).drop("_blk", "_ctx")
+
+
 def outliers_zscore(df: DataFrame, columns=("request_count", "response_time"), threshold: float = 3.0) -> DataFrame:
     """Adds ``{col}_outlier`` = 1 where |x - mean| / stddev > threshold (global stats)."""
     out = df

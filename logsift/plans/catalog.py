@@ -152,6 +152,10 @@ def _registry() -> dict[str, Query]:
         "rolling_anomaly": lambda s, d: S.rolling_anomaly(
             metrics(s, d, keys=ROLLING_KEYS), keys=ROLLING_KEYS, window_size=ROLLING_WINDOW,
             threshold=ROLLING_THRESHOLD),
+        # the original's partitioning (per IP over (IP, endpoint) metrics), split by day
+        "rolling_anomaly_ip": lambda s, d: S.rolling_anomaly(
+            metrics(s, d), keys=("ip_address",), window_size=ROLLING_WINDOW, threshold=ROLLING_THRESHOLD,
+            block_seconds=86400),
         "outliers_zscore": lambda s, d: S.outliers_zscore(c(s, d), columns=("response_time",)),
         "outliers_iqr": lambda s, d: S.outliers_iqr(c(s, d), columns=("response_time", "response_size")),
         "metric_outliers": lambda s, d: S.outliers_zscore(metrics(s, d)),

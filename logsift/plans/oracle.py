@@ -214,6 +214,13 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
   SELECT *, avg(request_count) OVER w AS rolling_mean, stddev_samp(request_count) OVER w AS rolling_std
   FROM metrics WINDOW w AS (PARTITION BY {rk} ORDER BY "timestamp", request_count, response_time
                             ROWS BETWEEN {C.ROLLING_WINDOW} PRECEDING AND CURRENT ROW)) a"""
+    q["rolling_anomaly_ip"] = _with(_metrics_cte("metrics", m)) + f"""SELECT *,
+  CASE WHEN rolling_std > 0 AND abs(request_count - rolling_mean) / rolling_std > {C.ROLLING_THRESHOLD}
+       THEN 1 ELSE 0 END AS time_series_anomaly FROM (
+  SELECT *, avg(request_count) OVER w AS rolling_mean, stddev_samp(request_count) OVER w AS rolling_std
+  FROM metrics WINDOW w AS (PARTITION BY ip_address
+    ORDER BY "timestamp" NULLS FIRST, endpoint NULLS FIRST, request_count NULLS FIRST, response_time NULLS FIRST
+    ROWS BETWEEN {C.ROLLING_WINDOW} PRECEDING AND CURRENT ROW)) a"""
     q["outliers_zscore"] = wg + """SELECT c.*, CASE WHEN abs((response_time - s.m) / nullif(s.sd, 0)) > 3
   THEN 1 ELSE 0 END AS response_time_outlier
   FROM cleaned_geo c, (SELECT avg(response_time) AS m, stddev_samp(response_time) AS sd FROM cleaned_geo) s"""

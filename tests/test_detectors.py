@@ -127,3 +127,21 @@ def test_report_and_totals(spark):
     t = R.anomaly_totals(rep).collect()[0]
     assert (t.ip_anomalies, t.performance_anomalies, t.security_anomalies) == (2, 1, 1)
     assert t.total_anomalies == 4
+
+
+@pytest.mark.parametrize("k,include_current", [(1, True), (3, True), (5, False), (11, True)])
+def test_rolling_blocked_equals_plain(spark, k, include_current):
+    import random
+
+    rnd = random.Random(k)
+    rows = []
+    for key, n in (("hot", 400), ("b", 30), ("c", 3)):
+        hours = sorted(rnd.sample(range(0, 24 * 40), n))
+        rows += [(h, key, rnd.randrange(1, 50)) for h in hours]
+    m = metric_df(spark, rows)
+    cols = ["ip_address", "timestamp", "rolling_mean", "rolling_std", "time_series_anomaly"]
+    plain = S.rolling_anomaly(m, window_size=k, threshold=1.5, include_current=include_current).select(*cols)
+    blocked = S.rolling_anomaly(m, window_size=k, threshold=1.5, include_current=include_current,
+                                block_seconds=86400).select(*cols)
+    assert sorted(plain.collect()) == sorted(blocked.collect())
+    assert blocked.count() == len(rows)
