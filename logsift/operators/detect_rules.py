@@ -127,7 +127,11 @@ def _report_rows(category: str, df: DataFrame, **cols) -> DataFrame:
 
 def anomaly_report(df: DataFrame, config: DetectorConfig = DEFAULT_CONFIG, categories=CATEGORIES,
                    limit: int | None = None, max_ms: int | None = None, countries=None) -> DataFrame:
-    """All selected detectors as one table with a common schema (see ``schemas.REPORT``)."""
+    """All selected detectors as one table with a common schema (see ``schemas.REPORT``).
+
+    The blocked-country rule needs location columns; on a table without them
+    it is left out.
+    """
     parts = []
     if "ip" in categories:
         lim = config.max_requests_per_ip if limit is None else limit
@@ -149,7 +153,7 @@ def anomaly_report(df: DataFrame, config: DetectorConfig = DEFAULT_CONFIG, categ
         parts.append(_report_rows("status", suspicious_status(df, config), ip_address=F.col("ip_address"),
                                   subject=F.col("status_code"), endpoint=F.col("endpoint"),
                                   event_time=F.col("timestamp"), count=F.lit(1)))
-    if "geo" in categories:
+    if "geo" in categories and "country" in df.columns:
         parts.append(_report_rows("geo", blocked_countries(df, config, countries), ip_address=F.col("ip_address"),
                                   subject=F.col("country"), endpoint=F.col("endpoint"),
                                   event_time=F.col("timestamp"), count=F.lit(1)))

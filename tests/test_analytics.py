@@ -136,3 +136,20 @@ def test_distribution_plan_has_no_sketch_aggregate(spark):
     df = df_of(spark)
     plan = A.response_time_distribution(df)._jdf.queryExecution().executedPlan().toString()
     assert "percentile_approx" not in plan
+
+
+def test_empty_input_gives_zeros_and_nulls(spark):
+    from logsift.operators import detect_rules as R
+    from logsift.operators import detect_stats as S
+    from logsift.operators.metrics import traffic_metrics
+
+    df = clean_logs(lines_df(spark, [line()])).limit(0)
+    o = A.overview(df).collect()[0]
+    assert o.total_requests == 0 and o.avg_response_time is None and o.unique_visitors == 0
+    d = A.response_time_distribution(df).collect()[0]
+    assert d.median_response_time is None and list(d.iqr_response_time) == [None, None]
+    assert A.descriptive_stats(df).collect()[0].total_requests == 0
+    assert R.slow_requests(df).count() == 0 and R.high_rate_ips(df).count() == 0
+    assert R.anomaly_totals(R.anomaly_report(df)).collect()[0].total_anomalies == 0
+    assert S.outliers_iqr(df, ["response_time"]).count() == 0
+    assert S.z_score(traffic_metrics(df)).count() == 0
