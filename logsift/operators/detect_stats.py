@@ -3,7 +3,7 @@
 All divisions are NULL-safe (``try_divide``): a one-row group has stddev NULL,
 a constant group stddev 0; both give z NULL and flag 0, under ANSI or not.
 Global statistics are scalar subqueries (one aggregate job, its values
-inlined), never a cross join and never an unpartitioned window.
+inlined), never a cross join and never an unpartitioned window over the data.
 """
 
 from __future__ import annotations
