@@ -50,43 +50,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _clf_time(ts) -> F.Column:
-    """``dd/MMM/yyyy:HH:mm:ss`` of a TIMESTAMP_NTZ, without the session zone."""
-    months = F.array(*[F.lit(m) for m in MONTHS])
-
-    def two(c):
-        return F.lpad(c.cast("string"), 2, "0")
-
-    return F.concat(
-        two(F.dayofmonth(ts)), F.lit("/"), F.element_at(months, F.month(ts)), F.lit("/"),
-        F.year(ts).cast("string"), F.lit(":"), two(F.hour(ts)), F.lit(":"),
-        two(F.minute(ts)), F.lit(":"), two(F.second(ts)),
-    )
+def _sql_array(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+# The adapter as one SQL expression (one plan-building call instead of dozens).
+# The time text is built from calendar fields of the TIMESTAMP_NTZ, so it does
+# not depend on the session time zone.
+_LOG_LINE_SQL = f"""
+CASE WHEN event_id % 101 = 0 THEN concat('garbage ', CAST(event_id AS STRING))
+ELSE concat(
+  '10.0.', CAST(user_id % 25 AS STRING), '.', CAST(user_id % 250 AS STRING), ' - - [',
+  lpad(CAST(day(ts) AS STRING), 2, '0'), '/', element_at({_sql_array(MONTHS)}, month(ts)), '/',
+  CAST(year(ts) AS STRING), ':', lpad(CAST(hour(ts) AS STRING), 2, '0'), ':',
+  lpad(CAST(minute(ts) AS STRING), 2, '0'), ':', lpad(CAST(second(ts) AS STRING), 2, '0'), ' +0000] "',
+  CASE event_type WHEN 'signup' THEN 'POST' WHEN 'purchase' THEN 'PUT' WHEN 'error' THEN 'DELETE' ELSE 'GET' END,
+  ' /usr/', event_type, ' HTTP/1.0" ',
+  element_at({_sql_array(STATUSES)}, CAST(event_id % 7 AS INT) + 1), ' ',
+  CASE WHEN event_id % 103 = 0 THEN '-' ELSE CAST(CAST(floor(value * 10) AS BIGINT) AS STRING) END,
+  ' "-" "',
+  CASE WHEN event_id % 97 = 0 THEN 'sqlmap/1.7' WHEN event_id % 89 = 0 THEN 'Nikto/2.5' ELSE 'Mozilla/5.0' END,
+  '" ', CAST(CAST(floor(value * 15) AS BIGINT) AS STRING))
+END"""
 
 
 def event_log_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
     """events -> one ``log_line`` per event."""
-    eid, uid, etype, value = F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("value")
-    method = (
-        F.when(etype == "signup", "POST").when(etype == "purchase", "PUT")
-        .when(etype == "error", "DELETE").otherwise("GET")
-    )
-    statuses = F.array(*[F.lit(s) for s in STATUSES])
-    size = F.when(eid % 103 == 0, F.lit("-")).otherwise(F.floor(value * 10).cast("bigint").cast("string"))
-    agent = (
-        F.when(eid % 97 == 0, F.lit("sqlmap/1.7")).when(eid % 89 == 0, F.lit("Nikto/2.5"))
-        .otherwise(F.lit("Mozilla/5.0"))
-    )
-    line = F.concat(
-        F.lit("10.0."), (uid % 25).cast("string"), F.lit("."), (uid % 250).cast("string"),
-        F.lit(" - - ["), _clf_time(F.col("ts")), F.lit(' +0000] "'), method,
-        F.lit(" /usr/"), etype, F.lit(' HTTP/1.0" '),
-        F.element_at(statuses, (eid % 7).cast("int") + 1), F.lit(" "), size,
-        F.lit(' "-" "'), agent, F.lit('" '), F.floor(value * 15).cast("bigint").cast("string"),
-    )
-    out = F.when(eid % 101 == 0, F.concat(F.lit("garbage "), eid.cast("string"))).otherwise(line)
-    cols = [eid] if keep_id else []
-    return events.select(*cols, out.alias("log_line"))
+    cols = [F.col("event_id")] if keep_id else []
+    return events.select(*cols, F.expr(_LOG_LINE_SQL).alias("log_line"))
 
 
 def log_lines(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:

@@ -153,3 +153,14 @@ def test_empty_input_gives_zeros_and_nulls(spark):
     assert R.anomaly_totals(R.anomaly_report(df)).collect()[0].total_anomalies == 0
     assert S.outliers_iqr(df, ["response_time"]).count() == 0
     assert S.z_score(traffic_metrics(df)).count() == 0
+
+
+def test_fixture_lines_independent_of_zone(spark, conf):
+    from conftest import SF_SMALL
+    from logsift.sources import fixtures
+
+    out = []
+    for zone in ("UTC", "America/New_York"):
+        conf("spark.sql.session.timeZone", zone)
+        out.append(sorted(r.log_line for r in fixtures.log_lines(spark, SF_SMALL).collect()))
+    assert out[0] == out[1] and len(out[0]) == 1000
