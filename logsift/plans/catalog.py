@@ -23,8 +23,8 @@ from logsift.operators import detect_ml as D
 from logsift.operators import detect_rules as R
 from logsift.operators import detect_stats as S
 from logsift.operators.metrics import traffic_metrics
-from logsift.sources import fixtures
 from logsift.session import shared_dir
+from logsift.sources import fixtures
 from logsift.sources.files import read_cleaned, write_cleaned
 from logsift.sources.metrics_json import metrics_to_json, parse_metric_json
 from logsift.streaming.ingest import ingest, text_log_lines
@@ -116,10 +116,8 @@ def _q(fn) -> Query:
 
 
 def _registry() -> dict[str, Query]:
-    def c(spark, sf_dir, geo=False):
-        return stored(spark, sf_dir)
-
-    raw = cleaned
+    c = stored  # analytics and detectors: the stored, located table
+    raw = cleaned  # parse and ingest: raw lines
     q: dict[str, Query] = {
         # parse / clean / enrich
         "parse_logs": lambda s, d: parse_lenient(lines(s, d)),
@@ -165,11 +163,11 @@ def _registry() -> dict[str, Query]:
         "slow_requests": lambda s, d: R.slow_requests(c(s, d)),
         "suspicious_user_agents": lambda s, d: R.suspicious_user_agents(c(s, d)),
         "suspicious_status": lambda s, d: R.suspicious_status(c(s, d)),
-        "blocked_countries": lambda s, d: R.blocked_countries(c(s, d, geo=True), countries=BLOCKED),
-        "anomaly_report": lambda s, d: R.anomaly_report(c(s, d, geo=True), limit=HIGH_RATE_LIMIT,
+        "blocked_countries": lambda s, d: R.blocked_countries(c(s, d), countries=BLOCKED),
+        "anomaly_report": lambda s, d: R.anomaly_report(c(s, d), limit=HIGH_RATE_LIMIT,
                                                         countries=BLOCKED),
         "anomaly_totals": lambda s, d: R.anomaly_totals(
-            R.anomaly_report(c(s, d, geo=True), limit=HIGH_RATE_LIMIT, countries=BLOCKED)),
+            R.anomaly_report(c(s, d), limit=HIGH_RATE_LIMIT, countries=BLOCKED)),
         # model-based detectors (no SQL oracle)
         "kmeans_clusters": lambda s, d: D.kmeans_clusters(metrics(s, d), k=KMEANS_K).drop(
             "features", "scaled_features"),
