@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
-
-    The setting is read from the session. Only when it is unset (local tests)
-    a temporary folder is created and registered as the checkpoint dir.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of
+    the session, else the context's checkpoint folder, else the session's
+    warehouse folder. No setting is changed and no local folder is made up."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="logsift-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/logsift/{name}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_logsift"
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared folder."""
+    return f"{shared_base(spark)}/logsift/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable; returns the shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="logsift-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = shared_base(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base
