@@ -121,9 +121,26 @@ def lookup(values: pa.Array, known: pa.Array) -> np.ndarray:
     return np.asarray(pc.fill_null(found, -1)).astype(np.int64)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``fn(batch) -> dict of columns``, applied to bounded chunks of ``df``'s text column."""
-    return df.mapInArrow(fn, schema)
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, limit: int = 64 << 20) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by ``key``, of some ``limit`` bytes at least."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        if size + batch.nbytes > limit:
+            # Cut before the last group of what there is.
+            change = np.flatnonzero(keys[1:] != keys[:-1])
+            cut = int(change[-1]) + 1 if len(change) else 0
+            if cut or (held and held[-1].column(key)[-1].as_py() != keys[0]):
+                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+                held, size = [], 0
+                batch = batch.slice(cut)
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def persist(df: DataFrame, name: str) -> DataFrame:

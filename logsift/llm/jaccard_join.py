@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Words, chunks, join_classes, mix64, persist, text_bytes
+from logsift.llm.common import Words, chunks, join_classes, mix64, persist, text_bytes, whole_groups
 from logsift.llm.components import connected_components, local_roots
 
 SHINGLE = 5
@@ -139,28 +139,6 @@ def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
     return np.frombuffer(flat, dtype).reshape(-1, width)
 
 
-def groups(batches: Iterator[pa.RecordBatch], key: str, limit: int = 64 << 20) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches sorted by ``key``, of some ``limit`` bytes at least."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).to_numpy()
-        if size + batch.nbytes > limit:
-            # Cut before the last group of what there is.
-            change = np.flatnonzero(keys[1:] != keys[:-1])
-            cut = int(change[-1]) + 1 if len(change) else 0
-            if cut or (held and held[-1].column(key)[-1].as_py() != keys[0]):
-                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-                held, size = [], 0
-                batch = batch.slice(cut)
-        held.append(batch)
-        size += batch.nbytes
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _pairs(sizes: np.ndarray, limit: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows inside groups of the given sizes (rows stand group by group), some at a time."""
     first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
@@ -349,7 +327,7 @@ def candidates(classes: DataFrame, n_classes: int, recall: float) -> DataFrame:
     cells = _paths(classes, runs, hot, blocks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, "cell", 16 << 20):
+        for table in whole_groups(batches, "cell", 16 << 20):
             node, root = bucket_links(table)
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], names=["u", "v"])
 
@@ -392,7 +370,7 @@ def verified(docs: DataFrame, members: DataFrame, similarity: Fraction, id_col:
                     names=["cell", "side", "node", "k1", "w", "set"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, "cell", 16 << 20):
+        for table in whole_groups(batches, "cell", 16 << 20):
             cell, side = table.column("cell").to_numpy(), table.column("side").to_numpy()
             node, k1, w = (table.column(c).to_numpy() for c in ("node", "k1", "w"))
             sets = table.column("set")
