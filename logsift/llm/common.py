@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from logsift.session import shared_dir
 
 # Text bytes handled at once inside a task; one longer document is handled alone.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
