@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,6 +144,25 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, limit: int = 64 <<
         yield pa.Table.from_batches(held)
 
 
+class Sent:
+    """A broadcast of any object of this package, pickled by value so that
+    executors need no copy of the package."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self._value = None
+
+    @property
+    def value(self):
+        if self._value is None:
+            self._value = cloudpickle.loads(self._bytes.value)
+        return self._value
+
+    def drop(self) -> None:
+        """Free the task's copy; it is loaded again when needed."""
+        self._value = None
+
+
 def persist(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the cluster's shared folder and read back: cuts
     the lineage, survives lost executors and is computed once."""

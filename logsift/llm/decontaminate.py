@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Words, chunks, lookup, text_bytes
+from logsift.llm.common import Sent, Words, chunks, lookup, text_bytes
 
 WINDOW = 13
 # Contaminated: at least one hit word in this many.
@@ -223,6 +223,8 @@ def scan(batch: pa.RecordBatch, id_col: str, text_col: str, blocks: list, clean:
                 for doc, w in zip(*map(np.ndarray.tolist, np.divmod(pairs, len(patterns.codes)))):
                     doc_items.setdefault(doc, set()).update(
                         patterns.items[patterns.item_start[w]:patterns.item_start[w + 1]].tolist())
+        if len(blocks) > 1:
+            block.drop()
     hit = np.cumsum(edge[:-1]) > 0
     n_hit = np.bincount(words.doc[hit], minlength=n_docs).astype(np.int64)
     begin = words.first()
@@ -262,7 +264,7 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window:
         found = part.collect()  # about block_bytes of benchmark text
         patterns = compile_windows([r["item"] for r in found], [r["text"] for r in found], window)
         if patterns:
-            blocks.append(spark.sparkContext.broadcast(patterns))
+            blocks.append(Sent(spark, patterns))
     return blocks
 
 

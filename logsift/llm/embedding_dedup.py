@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import join_classes, mix64, persist, whole_groups
+from logsift.llm.common import Sent, join_classes, mix64, persist, whole_groups
 from logsift.llm.components import connected_components, local_roots
 
 SIMILARITY = 0.9
@@ -111,7 +111,7 @@ def _by_length(column: pa.Array, packed: np.dtype) -> Iterator[tuple[np.ndarray,
 def _cells(classes: DataFrame, packed: np.dtype, bits: int, tables: int, wide: dict, with_vectors: bool) -> DataFrame:
     """(cell, side, t, k1, node, w, sig, vec) of every class in every table, or
     the cells alone. ``wide``: blocks of the buckets with too many classes."""
-    sent = classes.sparkSession.sparkContext.broadcast(wide)
+    sent = Sent(classes.sparkSession, wide)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wide = sent.value

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Words, chunks, join_classes, mix64, persist, text_bytes, whole_groups
+from logsift.llm.common import Sent, Words, chunks, join_classes, mix64, persist, text_bytes, whole_groups
 from logsift.llm.components import connected_components, local_roots
 
 SHINGLE = 5
@@ -263,7 +263,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _paths(classes: DataFrame, runs: int, hot: list, blocks: dict) -> DataFrame:
     """(cell, side, depth, node, sketch) of every set on every path."""
-    sent = classes.sparkSession.sparkContext.broadcast((hot, blocks))
+    sent = Sent(classes.sparkSession, (hot, blocks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, blocks = sent.value
@@ -297,7 +297,7 @@ def _paths(classes: DataFrame, runs: int, hot: list, blocks: dict) -> DataFrame:
 
 def _path_counts(classes: DataFrame, runs: int, hot: list, depth: int) -> DataFrame:
     """(cell, count) of the paths of one depth, combined before the shuffle."""
-    sent = classes.sparkSession.sparkContext.broadcast(hot)
+    sent = Sent(classes.sparkSession, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from logsift.llm.common import Words, chunks, lookup, text_bytes
+from logsift.llm.common import Sent, Words, chunks, lookup, text_bytes
 
 # Fixed values of the contract: phrase -> label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -198,7 +198,7 @@ class Scanner:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
     """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels,
     score (share of the words inside a match), n_templates."""
-    scanner = docs.sparkSession.sparkContext.broadcast(Scanner(templates))
+    scanner = Sent(docs.sparkSession, Scanner(templates))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

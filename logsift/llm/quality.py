@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Words, chunks, held_in_fold, mix64, nonspace_words, text_bytes
+from logsift.llm.common import Sent, Words, chunks, held_in_fold, mix64, nonspace_words, text_bytes
 
 THRESHOLD = 0.3
 HELD_OUT_FOLD = 0
@@ -258,7 +258,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              max_rows: int = MAX_ROWS) -> DataFrame:
     """id, held_out, score, predicted for every row of ``docs``."""
     kind = docs.schema[id_col].dataType.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, max_rows=max_rows))
+    sent = Sent(docs.sparkSession, train(docs, labels, id_col, text_col, max_rows=max_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, text_col, CHUNK):
@@ -272,7 +272,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows predicted 0; columns and other rows unchanged."""
-    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col))
+    sent = Sent(docs.sparkSession, train(docs, labels, id_col, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, text_col, CHUNK):

@@ -9,11 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logsift.llm.common import read_table
 from logsift.llm.decontaminate import decontaminate
+from logsift.llm.embedding_dedup import embedding_dedup
 from logsift.llm.jaccard_join import jaccard_join
+from logsift.llm.licenses import scan_licenses
 from logsift.llm.quality import classify
 from logsift.llm.sentencepiece_codec import round_trip
+from logsift.llm.sharding import shard_by_bytes
+from logsift.llm.suffix_tree_lm import lm_scores
+from logsift.llm.token_counts import count_tokens
+from logsift.llm.token_files import token_files_digest
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,12 +36,38 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), PIECES)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(read_table(spark, sf_dir, "embeddings"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files_digest(read_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_bytes(read_table(spark, sf_dir, "documents"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_jaccard_join, op3_sentencepiece, op7_quality)
+    f.__name__: f for f in (
+        op1_decontaminate, op2_jaccard_join, op3_sentencepiece, op4_embedding_dedup, op5_token_counts, op6_token_files,
+        op7_quality, op8_sharding, op9_licenses, op10_suffix_tree_lm)
 }
 
 # Words of a text: A-Z lower-cased, runs of digits, a-z and non-ASCII characters.
@@ -78,5 +112,19 @@ degree AS (SELECT a AS doc_id, count(*) AS n_links FROM link GROUP BY a),
 class AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY w) END AS class_id FROM d)
 SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, component_id, component_id = doc_id AS kept
 FROM class JOIN comp USING (doc_id) LEFT JOIN degree USING (doc_id)
+""",
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+usable AS MATERIALIZED (
+  SELECT * FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(x, lambda c: c <> 0)) > 0),
+link AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM comp LEFT JOIN degree USING (vec_id)
 """,
 }

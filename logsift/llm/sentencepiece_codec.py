@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from logsift.llm.common import chunks, distinct, mix64, text_bytes
+from logsift.llm.common import Sent, chunks, distinct, mix64, text_bytes
 
 SPACE = "▁"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -334,7 +334,7 @@ def decode(model: PieceModel, ids: np.ndarray, offsets: np.ndarray) -> list[str]
 
 def load(spark: SparkSession, path: str):
     """The model's tables as a broadcast (as large as its vocabulary)."""
-    return spark.sparkContext.broadcast(PieceModel(path))
+    return Sent(spark, PieceModel(path))
 
 
 def encode_docs(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

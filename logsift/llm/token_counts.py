@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import chunks, lookup, nonspace_words, text_bytes
+from logsift.llm.common import Sent, chunks, lookup, nonspace_words, text_bytes
 
 LIMIT = 2048
 
@@ -175,7 +175,7 @@ class Counter:
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """id, n_bytes, n_tokens, over_limit of every whole text."""
-    model = docs.sparkSession.sparkContext.broadcast(WordBpe(path))
+    model = Sent(docs.sparkSession, WordBpe(path))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import chunks, distinct, text_bytes
+from logsift.llm.common import Sent, chunks, distinct, text_bytes
 from logsift.session import shared_dir
 
 END_ID = 2
@@ -76,7 +76,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, id_col: s
                       end_id: int = END_ID) -> None:
     """ORC files of (id, part, start_in_part, n_tokens, ids), ascending by id over the files."""
     with open(tokenizer_file, encoding="utf-8") as f:
-        spec = docs.sparkSession.sparkContext.broadcast(f.read())
+        spec = Sent(docs.sparkSession, f.read())
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
