@@ -7,6 +7,7 @@ runs per word. A null text counts as the empty text everywhere.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from logsift.session import shared_dir
 
 # Text bytes handled at once inside a task; one longer document is handled alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -52,6 +53,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that idle Python workers stay small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches' rows in slices of at most ``limit`` text bytes (a longer document alone)."""
     for batch in batches:
@@ -65,6 +74,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
             to = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+            release()
 
 
 class Words:
