@@ -439,5 +439,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kept = persist(found.filter("kept").select(id_col).distinct(), "jaccard-kept")
     # The ids are spread over the texts' shuffle; a repeated id keeps its first row by text.
     first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    stay = docs.join(kept, id_col, "left_semi").withColumn("_first", first).filter("_first = 1").drop("_first")
+    mark = "_first"
+    while mark in docs.columns:
+        mark += "_"
+    stay = docs.join(kept, id_col, "left_semi").withColumn(mark, first).filter(F.col(mark) == 1)
     return stay.select(docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
