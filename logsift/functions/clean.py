@@ -15,6 +15,7 @@ from logsift.functions.timecols import utc_wallclock
 # Fixed value: the timestamp layout of the combined log format.
 CLF_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
+# The layouts that the cleaning accepts.
 # The leading day/time/offset of a raw timestamp; trailing text is ignored
 # and one-digit days are padded, as the lenient legacy parser did.
 _CLF_HEAD = r"^(\d{1,2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4})"
@@ -98,9 +99,9 @@ def clean_logs(lines: DataFrame, ranges: DataFrame | None = None, line_col: str
                keep: tuple[str, ...] = (), **geo_options) -> DataFrame:
     """Raw lines -> the cleaned fact table.
 
-    With ``ranges`` (an IPv4 range table, see ``geo_enrich``) the location
-    columns country/city/region are added; without it they are left out.
-    Lazy: no action runs unless ``geo_enrich`` must size the range table.
+    With ``ranges`` (a range table, see ``geo_enrich``) the location columns
+    country/city/region are added; without it they are left out. Lazy, but
+    ``geo_enrich`` reads the range table at once.
     """
     parsed = parse_lenient(lines, line_col, keep=keep)
     typed = typed_columns(parsed, keep=keep)

@@ -8,7 +8,6 @@ results do not depend on the session time zone.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,7 @@ from logsift.operators import detect_ml as D
 from logsift.operators import detect_rules as R
 from logsift.operators import detect_stats as S
 from logsift.operators.metrics import traffic_metrics
-from logsift.session import shared_dir
+from logsift.session import input_state, shared_dir
 from logsift.sources import fixtures
 from logsift.sources.files import read_cleaned, write_cleaned
 from logsift.sources.metrics_json import metrics_to_json, parse_metric_json
@@ -57,29 +56,26 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
-    if not geo:
-        return clean_logs(lines(spark, sf_dir))
-    return clean_logs(lines(spark, sf_dir), fixtures.geo_ranges(spark, sf_dir),
-                      broadcast=fixtures.geo_ranges_broadcastable(spark, sf_dir))
+    return clean_logs(lines(spark, sf_dir), fixtures.geo_ranges(spark, sf_dir) if geo else None)
 
 
-# Cleaned tables written by this session, per input folder.
-_STORED: dict[tuple[str, str], str] = {}
+# Cleaned tables written by this session: input folder -> (state of the input files, path).
+_STORED: dict[tuple[str, str], tuple[tuple, str]] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned, located log table as the analytics read it: derived from
-    the input tables by Spark once per session (parse, clean, locate), written
-    as Parquet partitioned by year/month to the shared checkpoint folder, and
-    read back with its declared schema. Column pruning and filters then reach
-    the Parquet scan, and no query re-parses raw text."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _STORED.get(key)
-    if path is None:
+    the input tables by Spark (parse, clean, locate), written as Parquet
+    partitioned by year/month to the shared folder, and read back with its
+    declared schema. Runs a job; later calls of the session read the same
+    table as long as the input files are the same (names, sizes, times)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    state = input_state(spark, *[f"{key[1]}/{t}.parquet" for t in fixtures.TABLE_SCHEMAS])
+    if key not in _STORED or _STORED[key][0] != state:
         path = shared_dir(spark, "cleaned")
         write_cleaned(cleaned(spark, sf_dir, geo=True), path)
-        _STORED[key] = path
-    return read_cleaned(spark, path)
+        _STORED[key] = (state, path)
+    return read_cleaned(spark, _STORED[key][1])
 
 
 def ingest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,8 +96,7 @@ def stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream-roundtrip")
     lines(spark, sf_dir).write.text(f"{base}/lines")
     query = ingest(text_log_lines(spark, f"{base}/lines"), fixtures.geo_ranges(spark, sf_dir), f"{base}/cleaned",
-                   f"{base}/checkpoint", partition_by=("year", "month"), trigger="availableNow",
-                   broadcast=fixtures.geo_ranges_broadcastable(spark, sf_dir))
+                   f"{base}/checkpoint", partition_by=("year", "month"), trigger="availableNow")
     query.awaitTermination()
     return read_cleaned(spark, f"{base}/cleaned")
 

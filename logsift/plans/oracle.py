@@ -9,32 +9,40 @@ from __future__ import annotations
 
 from logsift.functions.parse import LENIENT_PATTERN, STRICT_PATTERN
 from logsift.plans import catalog as C
+from logsift.sources.fixtures import RANGE_BASE, RANGE_GAP, RANGE_UNIT, USER_STEP
 
 _P1 = LENIENT_PATTERN
 _P2 = "^" + STRICT_PATTERN
 
-_LINES = """lines AS (
+_ADDRESS = f"((({RANGE_BASE} + user_id * {USER_STEP}) % 4294967296))"
+_LINES = f"""lines AS MATERIALIZED (
   SELECT CASE WHEN event_id % 101 = 0 THEN 'garbage ' || CAST(event_id AS VARCHAR)
-  ELSE '10.0.' || CAST(user_id % 25 AS VARCHAR) || '.' || CAST(user_id % 250 AS VARCHAR)
-    || ' - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] "'
-    || CASE event_type WHEN 'signup' THEN 'POST' WHEN 'purchase' THEN 'PUT'
-                       WHEN 'error' THEN 'DELETE' ELSE 'GET' END
-    || ' /usr/' || event_type || ' HTTP/1.0" '
+  ELSE CASE WHEN event_id % 43 = 10 THEN 'proxy: ' ELSE '' END
+    || CASE WHEN event_id % 53 = 11
+         THEN '2001:db8:' || printf('%x', user_id % 40) || '::' || printf('%x', user_id // 65536) || ':' || printf('%x', user_id % 65536)
+         ELSE concat_ws('.', {_ADDRESS} // 16777216, {_ADDRESS} // 65536 % 256, {_ADDRESS} // 256 % 256, {_ADDRESS} % 256) END
+    || CASE WHEN event_id % 37 = 8 THEN ' - bob [' ELSE ' - - [' END
+    || CASE WHEN event_id % 19 = 4 THEN CAST(day(ts) AS VARCHAR) ELSE strftime(ts, '%d') END
+    || strftime(ts, '/%b/%Y:%H:%M:%S') || CASE WHEN event_id % 17 = 3 THEN ' +0530] "' ELSE ' +0000] "' END
+    || CASE WHEN event_id % 29 = 6 THEN '' WHEN event_id % 23 = 5 THEN 'GET' ELSE
+         CASE event_type WHEN 'signup' THEN 'POST' WHEN 'purchase' THEN 'PUT' WHEN 'error' THEN 'DELETE' ELSE 'GET' END
+         || ' /usr/' || event_type || ' HTTP/1.0' END || '" '
     || (['200','303','304','403','404','500','502'])[CAST(event_id % 7 AS INTEGER) + 1] || ' '
-    || CASE WHEN event_id % 103 = 0 THEN '-' ELSE CAST(CAST(floor(value * 10) AS BIGINT) AS VARCHAR) END
+    || CASE WHEN event_id % 103 = 0 THEN '-' WHEN event_id % 31 = 7 THEN '99999999999'
+            ELSE CAST(CAST(floor(value * 10) AS BIGINT) AS VARCHAR) END
     || ' "-" "' || CASE WHEN event_id % 97 = 0 THEN 'sqlmap/1.7' WHEN event_id % 89 = 0 THEN 'Nikto/2.5'
-                        ELSE 'Mozilla/5.0' END
+                        WHEN event_id % 41 = 9 THEN 'Mozilla "5.0" x' ELSE 'Mozilla/5.0' END
     || '" ' || CAST(CAST(floor(value * 15) AS BIGINT) AS VARCHAR) END AS log_line
   FROM events)"""
 
 _FIELDS = ("ip_address", "timestamp_raw", "request", "status_code", "response_size", "referrer", "user_agent",
            "response_time")
 
-_PARSED = "parsed AS (\n  SELECT " + ",\n    ".join(
+_PARSED = "parsed AS MATERIALIZED (\n  SELECT " + ",\n    ".join(
     f"regexp_extract(log_line, '{_P1}', {i + 1}) AS {n}" for i, n in enumerate(_FIELDS)
 ) + "\n  FROM lines)"
 
-_CLEANED = r"""cleaned AS (
+_CLEANED = r"""cleaned AS MATERIALIZED (
   SELECT ip_address, ts AS "timestamp", status_code, response_size, referrer, user_agent, response_time,
     method, endpoint, protocol,
     CAST(year(ts) AS INTEGER) AS "year", CAST(month(ts) AS INTEGER) AS "month",
@@ -54,33 +62,33 @@ _CLEANED = r"""cleaned AS (
       CASE WHEN length(request) > 0 THEN regexp_extract(request, '(\S+)$', 1) END AS protocol
     FROM parsed) t)"""
 
-_GEO = r"""ranges AS (
-  SELECT CAST(167772160 + n_nationkey * 256 AS BIGINT) AS start_ip,
-         CAST(167772160 + n_nationkey * 256 + 255 AS BIGINT) AS end_ip,
+_GEO = rf"""ranges AS MATERIALIZED (
+  SELECT n_nationkey AS k, CAST({RANGE_BASE} + n_nationkey * (n_nationkey + 1) // 2 * {RANGE_UNIT} AS BIGINT) AS start_ip,
+         CAST({RANGE_BASE} + n_nationkey * (n_nationkey + 1) // 2 * {RANGE_UNIT} + (n_nationkey + 1) * {RANGE_UNIT}
+              - {RANGE_GAP} - 1 AS BIGINT) AS end_ip,
          n_name AS country, 'Unknown' AS city, r_name AS region
-  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey < 20),
-ipnum AS (
-  SELECT *, CASE WHEN regexp_matches(ip_address,
-      '^(0|[1-9][0-9]{0,2})\.(0|[1-9][0-9]{0,2})\.(0|[1-9][0-9]{0,2})\.(0|[1-9][0-9]{0,2})$')
-    AND CAST(split_part(ip_address, '.', 1) AS BIGINT) <= 255
-    AND CAST(split_part(ip_address, '.', 2) AS BIGINT) <= 255
-    AND CAST(split_part(ip_address, '.', 3) AS BIGINT) <= 255
-    AND CAST(split_part(ip_address, '.', 4) AS BIGINT) <= 255
+  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey),
+ipnum AS MATERIALIZED (
+  SELECT *, CASE WHEN regexp_matches(ip_address, '^\d+\.\d+\.\d+\.\d+$')
     THEN CAST(split_part(ip_address, '.', 1) AS BIGINT) * 16777216
        + CAST(split_part(ip_address, '.', 2) AS BIGINT) * 65536
        + CAST(split_part(ip_address, '.', 3) AS BIGINT) * 256
-       + CAST(split_part(ip_address, '.', 4) AS BIGINT) END AS ip_num
+       + CAST(split_part(ip_address, '.', 4) AS BIGINT) END AS ip_num,
+    CASE WHEN starts_with(ip_address, '2001:db8:') THEN split_part(ip_address, ':', 3) END AS net
   FROM cleaned),
-cleaned_geo AS (
-  SELECT c.* EXCLUDE (ip_num), coalesce(r.country, 'Unknown') AS country,
+located AS MATERIALIZED (
+  SELECT ip_address, any_value(r.country) AS country, any_value(r.city) AS city, any_value(r.region) AS region
+  FROM (SELECT DISTINCT ip_address, ip_num, net FROM ipnum) a
+  JOIN ranges r ON a.ip_num BETWEEN r.start_ip AND r.end_ip OR a.net = printf('%x', r.k) GROUP BY ip_address),
+cleaned_geo AS MATERIALIZED (
+  SELECT c.*, coalesce(r.country, 'Unknown') AS country,
          coalesce(r.city, 'Unknown') AS city, coalesce(r.region, 'Unknown') AS region
-  FROM ipnum c LEFT JOIN ranges r ON c.ip_num BETWEEN r.start_ip AND r.end_ip)"""
+  FROM cleaned c LEFT JOIN located r USING (ip_address))"""
 
 
 def _metrics_cte(name: str, keys: tuple[str, ...], count_type: str = "BIGINT") -> str:
     k = ", ".join(keys)
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT date_trunc('hour', "timestamp") AS "timestamp", {k},
          CAST(count(*) AS {count_type}) AS request_count, avg(response_time) AS response_time
   FROM cleaned WHERE "timestamp" IS NOT NULL

@@ -1,8 +1,10 @@
 """Derive access-log inputs from the shared test tables.
 
-``events`` rows become combined-format log lines (with periodic malformed
-lines, '-' sizes and hostile user agents); ``nation`` x ``region`` becomes an
-IPv4 range table. Everything is derived by Spark, so work grows with the
+``events`` rows become combined-format log lines, one address a user, with
+periodic edge lines (malformed ones, offsets, one-digit days, odd requests,
+overflowing sizes, users with names, inner quotes, text before the address,
+IPv6 addresses, '-' sizes, hostile user agents); ``nation`` x ``region`` becomes
+an address range table. Everything is derived by Spark, so work grows with the
 tables.
 """
 
@@ -11,27 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsift.operators.geo import should_broadcast
-from logsift.session import needs_spread, spread
-
-# Decisions about static inputs, taken once per session and input folder.
-_DECIDED: dict[tuple, bool] = {}
-
-
-def _decide(spark: SparkSession, what: str, sf_dir: str, check) -> bool:
-    key = (spark.sparkContext.applicationId, what, sf_dir.rstrip("/"))
-    if key not in _DECIDED:
-        _DECIDED[key] = bool(check())
-    return _DECIDED[key]
-
 # English month abbreviations used in log timestamps.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 # Status codes cycled by event id.
 STATUSES = ("200", "303", "304", "403", "404", "500", "502")
 
-# First address of the fixture ranges (10.0.0.0) and the nations that get one.
+# First address of the ranges and of the users (10.0.0.0), the odd step between two
+# users' addresses (a bijection modulo 2^32, so every user has an own address), the
+# width of nation 0's range (nation k has k + 1 times as much) and the gap behind each.
 RANGE_BASE = 167772160
-RANGE_NATIONS = 20
+USER_STEP = 99991
+RANGE_UNIT = 100000
+RANGE_GAP = 30000
 
 
 # Declared schemas of the input tables used here: reading with a schema skips
@@ -57,19 +50,30 @@ def _sql_array(values) -> str:
 # The adapter as one SQL expression (one plan-building call instead of dozens).
 # The time text is built from calendar fields of the TIMESTAMP_NTZ, so it does
 # not depend on the session time zone.
+_ADDRESS = f"({RANGE_BASE} + user_id * {USER_STEP}) % 4294967296"
 _LOG_LINE_SQL = f"""
 CASE WHEN event_id % 101 = 0 THEN concat('garbage ', CAST(event_id AS STRING))
 ELSE concat(
-  '10.0.', CAST(user_id % 25 AS STRING), '.', CAST(user_id % 250 AS STRING), ' - - [',
-  lpad(CAST(day(ts) AS STRING), 2, '0'), '/', element_at({_sql_array(MONTHS)}, month(ts)), '/',
+  CASE WHEN event_id % 43 = 10 THEN 'proxy: ' ELSE '' END,
+  CASE WHEN event_id % 53 = 11
+    THEN concat('2001:db8:', lower(hex(user_id % 40)), '::', lower(hex(user_id div 65536)), ':', lower(hex(user_id % 65536)))
+    ELSE concat(CAST({_ADDRESS} div 16777216 AS STRING), '.', CAST({_ADDRESS} div 65536 % 256 AS STRING), '.',
+                CAST({_ADDRESS} div 256 % 256 AS STRING), '.', CAST({_ADDRESS} % 256 AS STRING)) END,
+  CASE WHEN event_id % 37 = 8 THEN ' - bob [' ELSE ' - - [' END,
+  CASE WHEN event_id % 19 = 4 THEN CAST(day(ts) AS STRING) ELSE lpad(CAST(day(ts) AS STRING), 2, '0') END,
+  '/', element_at({_sql_array(MONTHS)}, month(ts)), '/',
   CAST(year(ts) AS STRING), ':', lpad(CAST(hour(ts) AS STRING), 2, '0'), ':',
-  lpad(CAST(minute(ts) AS STRING), 2, '0'), ':', lpad(CAST(second(ts) AS STRING), 2, '0'), ' +0000] "',
-  CASE event_type WHEN 'signup' THEN 'POST' WHEN 'purchase' THEN 'PUT' WHEN 'error' THEN 'DELETE' ELSE 'GET' END,
-  ' /usr/', event_type, ' HTTP/1.0" ',
+  lpad(CAST(minute(ts) AS STRING), 2, '0'), ':', lpad(CAST(second(ts) AS STRING), 2, '0'),
+  CASE WHEN event_id % 17 = 3 THEN ' +0530] "' ELSE ' +0000] "' END,
+  CASE WHEN event_id % 29 = 6 THEN '' WHEN event_id % 23 = 5 THEN 'GET' ELSE concat(
+    CASE event_type WHEN 'signup' THEN 'POST' WHEN 'purchase' THEN 'PUT' WHEN 'error' THEN 'DELETE' ELSE 'GET' END,
+    ' /usr/', event_type, ' HTTP/1.0') END, '" ',
   element_at({_sql_array(STATUSES)}, CAST(event_id % 7 AS INT) + 1), ' ',
-  CASE WHEN event_id % 103 = 0 THEN '-' ELSE CAST(CAST(floor(value * 10) AS BIGINT) AS STRING) END,
+  CASE WHEN event_id % 103 = 0 THEN '-' WHEN event_id % 31 = 7 THEN '99999999999'
+       ELSE CAST(CAST(floor(value * 10) AS BIGINT) AS STRING) END,
   ' "-" "',
-  CASE WHEN event_id % 97 = 0 THEN 'sqlmap/1.7' WHEN event_id % 89 = 0 THEN 'Nikto/2.5' ELSE 'Mozilla/5.0' END,
+  CASE WHEN event_id % 97 = 0 THEN 'sqlmap/1.7' WHEN event_id % 89 = 0 THEN 'Nikto/2.5'
+       WHEN event_id % 41 = 9 THEN 'Mozilla "5.0" x' ELSE 'Mozilla/5.0' END,
   '" ', CAST(CAST(floor(value * 15) AS BIGINT) AS STRING))
 END"""
 
@@ -81,32 +85,25 @@ def event_log_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    needed = _decide(spark, "spread-events", sf_dir, lambda: needs_spread(events))
-    return event_log_lines(spread(events, needed), keep_id=keep_id)
+    return event_log_lines(table(spark, sf_dir, "events"), keep_id=keep_id)
 
 
 def nation_ranges(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """nation x region -> one /24 range per nation (10.0.<nationkey>.0/24)."""
-    start = F.lit(RANGE_BASE).cast("long") + F.col("n_nationkey").cast("long") * 256
-    return (
-        nation.filter(F.col("n_nationkey") < RANGE_NATIONS)
-        .join(region, nation.n_regionkey == region.r_regionkey, "left")
-        .select(
-            start.alias("start_ip"),
-            (start + 255).alias("end_ip"),
-            F.col("n_name").alias("country"),
-            F.lit("Unknown").alias("city"),
-            F.col("r_name").alias("region"),
-        )
-    )
+    """nation x region -> for each nation an IPv4 range, most of them wider than a
+    /16, with gaps between them, and the IPv6 range 2001:db8:<nation>::/48."""
+    k = F.col("n_nationkey").cast("long")
+    named = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
+        k.alias("k"), F.col("n_name").alias("country"), F.lit("Unknown").alias("city"), F.col("r_name").alias("region"))
+    start = F.lit(RANGE_BASE).cast("long") + F.expr("k * (k + 1) div 2") * RANGE_UNIT
+    names = ["country", "city", "region"]
+    none, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    head = F.concat(F.lit("20010db8"), F.lpad(F.lower(F.hex("k")), 4, "0"))
+    return named.select(
+        start.alias("start_ip"), (start + (F.col("k") + 1) * RANGE_UNIT - RANGE_GAP - 1).alias("end_ip"),
+        text.alias("start_v6"), text.alias("end_v6"), *names,
+    ).unionByName(named.select(
+        none.alias("start_ip"), none.alias("end_ip"), F.rpad(head, 32, "0").alias("start_v6"), F.rpad(head, 32, "f").alias("end_v6"), *names))
 
 
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation_ranges(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
-
-
-def geo_ranges_broadcastable(spark: SparkSession, sf_dir: str, broadcast_max_rows: int = 1_000_000) -> bool:
-    """Size check of the range table (see ``geo_enrich``), done once per session."""
-    return _decide(spark, f"broadcast-ranges-{broadcast_max_rows}", sf_dir,
-                   lambda: should_broadcast(geo_ranges(spark, sf_dir), broadcast_max_rows))
