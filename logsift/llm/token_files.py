@@ -8,7 +8,7 @@ ids inside a file is stored with each document; the ids before a file are the
 sum of the files before it (one number for each file).
 
 Distinct pieces of a chunk (cut only where pre-tokens end, such as before white
-space) are encoded once by the tokenizer library and put together
+space) are encoded once a task by the tokenizer library and put together
 by array indexing, which gives the same ids as encoding whole texts.
 
 Defined cases: a null text is empty and gives the end id alone; null ids come
@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Sent, chunks, distinct, text_bytes
+from logsift.llm.common import Sent, chunks, distinct, lookup, text_bytes
 from logsift.session import shared_dir
 
 END_ID = 2
@@ -54,22 +54,70 @@ def pieces(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def encode_chunk(tokenizer, buf: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, each with the end id behind it; offsets of each text's ids)."""
-    n = len(offsets) - 1
-    starts = pieces(buf, offsets)
-    code, values = distinct(buf, np.append(starts, len(buf))) if len(starts) else (np.zeros(0, np.int64), [])
-    found = [e.ids for e in tokenizer.encode_batch([v.decode("utf-8") for v in values.to_pylist()], add_special_tokens=False)] \
-        if len(starts) else []
-    size = np.array([len(x) for x in found], np.int64)
-    first = np.concatenate([[0], np.cumsum(size)])
-    flat = np.fromiter((i for x in found for i in x), np.int32, int(first[-1]))
-    many = size[code] if len(starts) else np.zeros(0, np.int64)
-    ends = np.concatenate([[0], np.cumsum(many)])
-    ids = flat[np.repeat(first[code] - ends[:-1], many) + np.arange(int(ends[-1]))] if len(starts) else np.zeros(0, np.int32)
-    at = ends[np.searchsorted(starts, offsets)]
-    ids = np.insert(ids, at[1:], end_id)
-    return ids.astype(np.int32), at + np.arange(n + 1)
+class PieceEncoder:
+    """Ids of texts by way of their distinct pieces. Pieces stay known from chunk
+    to chunk of a task; past ``limit`` of them it starts anew."""
+
+    # Pieces sent to the library at once, with a special token between them: it
+    # splits texts there and encodes what is between as if it stood alone.
+    TOGETHER = 500
+
+    def __init__(self, tokenizer, limit: int = 1_000_000):
+        self.tokenizer = tokenizer
+        self.limit = limit
+        added = tokenizer.get_added_tokens_decoder()
+        self.specials = [t.content for _, t in sorted(added.items()) if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        self.separator = self.specials[0] if self.specials else None
+        self.separator_id = tokenizer.token_to_id(self.separator) if self.separator else -1
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known = pa.array([], pa.large_binary())
+        self.first = np.zeros(1, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, values: pa.Array) -> None:
+        """Encode pieces that are not known yet."""
+        texts = [v.decode("utf-8") for v in values.to_pylist()]
+        out: list = [None] * len(texts)
+        # Pieces with a special token in them, or a part of one at an edge, are encoded alone.
+        plain = [k for k, t in enumerate(texts) if self.separator and t and "<|" not in t and "|>" not in t]
+        for lo in range(0, len(plain), self.TOGETHER):
+            rows = plain[lo:lo + self.TOGETHER]
+            ids = self._encode([self.separator.join(texts[k] for k in rows)])[0]
+            for k, part in zip(rows, np.split(ids, np.flatnonzero(ids == self.separator_id))):
+                out[k] = part[1:] if k != rows[0] else part
+        alone = [k for k, x in enumerate(out) if x is None]
+        for k, ids in zip(alone, self._encode([texts[k] for k in alone])):
+            out[k] = ids
+        self.known = pa.concat_arrays([self.known, values])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in out])])
+        self.flat = np.concatenate([self.flat, *out])
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id behind it; offsets of each text's ids)."""
+        n = len(offsets) - 1
+        starts = pieces(buf, offsets)
+        ids, ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        if len(starts):
+            code, values = distinct(buf, np.append(starts, len(buf)))
+            if len(self.known) + len(values) > self.limit:
+                self._clear()
+            at = lookup(values, self.known)
+            fresh = np.flatnonzero(at < 0)
+            if len(fresh):
+                at[fresh] = len(self.known) + np.arange(len(fresh))
+                self._learn(values.take(pa.array(fresh)))
+            code = at[code]
+            many = np.diff(self.first)[code]
+            ends = np.concatenate([[0], np.cumsum(many)])
+            ids = self.flat[np.repeat(self.first[code] - ends[:-1], many) + np.arange(int(ends[-1]))]
+        at = ends[np.searchsorted(starts, offsets)]
+        ids = np.insert(ids, at[1:], end_id)
+        return ids.astype(np.int32), at + np.arange(n + 1)
 
 
 def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -85,9 +133,10 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, id_col: s
         tokenizer = Tokenizer.from_str(spec.value)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        encoder = PieceEncoder(tokenizer)
         number, before = TaskContext.get().partitionId(), 0
         for part in chunks(batches, text_col):
-            ids, at = encode_chunk(tokenizer, *text_bytes(part.column(text_col)), end_id)
+            ids, at = encoder.encode(*text_bytes(part.column(text_col)), end_id)
             yield pa.RecordBatch.from_arrays(
                 [part.column(id_col), pa.array(np.full(part.num_rows, number, np.int32)), pa.array(before + at[:-1]),
                  pa.array(np.diff(at)), pa.ListArray.from_arrays(at.astype(np.int32), pa.array(ids))],

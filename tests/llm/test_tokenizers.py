@@ -117,9 +117,12 @@ def test_proven_strings_are_one_token():
 def test_chunk_ids_equal_the_library():
     texts = hard_texts()
     library = Tokenizer.from_file(BYTE)
-    ids, at = T.encode_chunk(library, *text_bytes(pa.array(texts, pa.large_string())), 2)
     want = [e.ids + [2] for e in library.encode_batch(texts, add_special_tokens=False)]
-    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+    for limit in (1_000_000, 100):
+        encoder = T.PieceEncoder(library, limit)
+        for lo in range(0, len(texts), 300):
+            ids, at = encoder.encode(*text_bytes(pa.array(texts[lo:lo + 300], pa.large_string())), 2)
+            assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want[lo:lo + 300]
 
 
 def test_token_files_round_trip(spark):
