@@ -34,7 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Sent, Words, chunks, held_in_fold, lookup, mix64, nonspace_words, persist, text_bytes
+from logsift.llm.common import Sent, Words, chunks, held_in_fold, lookup, mix64, nonspace_words, text_bytes
+from logsift.session import persist
 
 HELD_OUT_FOLD = 1
 # Symbols of context; the packed context and next symbol fit 8 bytes up to 7.
@@ -47,7 +48,7 @@ DIVERGENCE, EVIDENCE = 0.002, 2.0
 FREQUENT, FREQUENT_BYTES = 1e-6, 64
 BUCKETS = 256
 CHUNK = 4 << 20
-_CACHE_BITS = 21
+_CACHE_BITS = 22
 
 EDGE, SPACE = 10, 32
 
@@ -224,23 +225,86 @@ class SuffixTree:
         return out
 
 
+class Table:
+    """Open-addressing hash table of distinct packed keys: key -> its number."""
+
+    _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, int(2 * max(1, len(keys)) - 1).bit_length())
+        self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
+        self._key = np.full(1 << bits, self._FREE, np.uint64)
+        self._number = np.zeros(1 << bits, np.int32)
+        rest, at = np.arange(len(keys)), self._home(keys)
+        while len(rest):
+            free = self._key[at] == self._FREE
+            self._key[at[free]] = keys[rest[free]]
+            placed = self._key[at] == keys[rest]
+            self._number[at[placed]] = rest[placed]
+            rest, at = rest[~placed], (at[~placed] + 1) & self._mask
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (mix64(keys) >> self._shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key, or -1."""
+        at = self._home(keys)
+        there = self._key[at]
+        out = np.where(there == keys, self._number[at], -1)
+        rest = np.flatnonzero((there != keys) & (there != self._FREE))
+        while len(rest):
+            at[rest] = (at[rest] + 1) & self._mask
+            there = self._key[at[rest]]
+            hit = there == keys[rest]
+            out[rest[hit]] = self._number[at[rest[hit]]]
+            rest = rest[~hit & (there != self._FREE)]
+        return out
+
+
 class Scorer:
-    """Scores symbols by the tree; remembers packed contexts already looked up."""
+    """Scores symbols by the tree, the longest retained context first; remembers
+    packed contexts already looked up. Packed keys of different lengths differ,
+    since no symbol is zero, so one table serves all levels."""
 
     def __init__(self, tree: SuffixTree):
         self.tree = tree
+        self._contexts = Table(np.concatenate([c for c, _, _, _ in tree.levels]))
+        self._off = np.concatenate([o for _, o, _, _ in tree.levels])
+        self._known = Table(np.concatenate([k for _, _, k, _ in tree.levels]))
+        self._known_score = np.concatenate([v for _, _, _, v in tree.levels])
         self._key = np.full(1 << _CACHE_BITS, np.iinfo(np.uint64).max, np.uint64)
         self._score = np.zeros(1 << _CACHE_BITS)
 
+    def look_up(self, key: np.ndarray) -> np.ndarray:
+        """log10 probability of each packed symbol behind its context."""
+        depth = self.tree.depth
+        out = np.zeros(len(key))
+        rest = np.arange(len(key))
+        symbol = key & np.uint64(255)
+        for k in range(depth, 0, -1):
+            context = key[rest] >> np.uint64(8 * (depth - k + 1))
+            number = self._contexts(context)
+            held = np.flatnonzero(number >= 0)
+            at = self._known(context[held] << np.uint64(8) | symbol[rest[held]])
+            found = at >= 0
+            out[rest[held[found]]] += self._known_score[at[found]]
+            out[rest[held[~found]]] += self._off[number[held[~found]]]
+            done = np.zeros(len(rest), bool)
+            done[held[found]] = True
+            rest = rest[~done]
+        out[rest] += self.tree.root[symbol[rest].astype(np.int64)]
+        return out
+
     def __call__(self, key: np.ndarray) -> np.ndarray:
         slot = (mix64(key) >> np.uint64(64 - _CACHE_BITS)).astype(np.int64)
         out = self._score[slot]
         miss = np.flatnonzero(self._key[slot] != key)
         if len(miss):
-            fresh = np.unique(key[miss])
-            score = self.tree.level_score(fresh, self.tree.depth)
-            out[miss] = score[np.searchsorted(fresh, key[miss])]
-            self._key[slot[miss]], self._score[slot[miss]] = key[miss], out[miss]
+            out[miss] = self.look_up(key[miss])
+            # Of keys that share a place the last one stays, with its own score.
+            self._key[slot[miss]] = key[miss]
+            kept = miss[self._key[slot[miss]] == key[miss]]
+            self._score[slot[kept]] = out[kept]
         return out
 
 
@@ -292,8 +356,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             at = lookup(words.values, known)[words.code] if len(words.code) else np.zeros(0, np.int64)
             frequent = at >= 0
             doc = words.doc
-            base = np.bincount(doc[frequent], np.log10((often[at[frequent]] + 0.5) / below), minlength=n) if n else np.zeros(0)
-            base += np.log10((ends + 0.5) / below)
+            base = np.full(n, np.log10((ends + 0.5) / below))
+            base += np.bincount(doc[frequent], np.log10((often[at[frequent]] + 0.5) / below), minlength=n)
             seen = np.bincount(doc[frequent], minlength=n) + (1 if ends else 0)
             # The other tokens of each text, distinct with their number.
             width = max(1, len(words.values))
