@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import join_classes, persist, whole_groups
+from logsift.llm.common import join_classes, whole_groups
+from logsift.session import persist
 
 SHARDS = 16
-# Groups differenced together in one task, and rows of a block of slots.
-CELL_GROUPS, BLOCK_ROWS = 50_000, 100_000
+# Groups differenced together in one task, fewest cells (so that their subsets are small
+# against a shard), and rows of a block of slots.
+CELL_GROUPS, LEAST_CELLS, BLOCK_ROWS = 200_000, 64, 100_000
 
 
 def differencing(sizes: list[int], shards: int = SHARDS) -> list[int]:
@@ -88,7 +90,7 @@ def assign(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(key, weight, shard) of every group of ``rows`` (key, size)."""
     groups = persist(rows.groupBy("key").agg(F.count("*").alias("weight"), F.sum("size").alias("bytes")), "shard-groups")
     n_groups, n_rows, n_bytes = groups.agg(F.count("*"), F.sum("weight"), F.sum("bytes")).first()
-    cells = max(1, -(-n_groups // CELL_GROUPS))
+    cells = max(LEAST_CELLS, -(-n_groups // CELL_GROUPS))
     huge = (F.col("weight") * 1000 > (n_rows or 0)) | (F.col("bytes") * 1000 > (n_bytes or 0))
     big = groups.filter(huge).orderBy("key").collect() if n_groups else []  # under 2000 by the shares
     usual = groups.filter(~huge).withColumn("cell", F.pmod(F.xxhash64("key"), F.lit(cells)).cast("long"))

@@ -60,7 +60,7 @@ def test_groups_stay_whole_and_bytes_balance(spark, monkeypatch):
         monkeypatch.setattr(S, "BLOCK_ROWS", block)
         by_text, total = check(S.shard_by_bytes(odd_docs(spark, rows, 6)).collect(), rows)
         assert all(len(s) == 1 for s in by_text.values())
-        hot = sum(len(texts[0]) + 1 for t in rows if t[1] == texts[0])
+        hot = (len(texts[0].encode()) + 1) * 301
         even = sum(total.values()) / 16
         assert max(total.values()) <= max(even, hot) * 1.02
     # The same rows in other partitions give the same shards.
