@@ -17,7 +17,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsift.session import shared_dir
 
 # Text bytes handled at once inside a task; one longer document is handled alone.
 CHUNK_BYTES = 4 << 20
@@ -173,24 +172,6 @@ class Sent:
         self._value = None
 
 
-def persist(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the cluster's shared folder and read back: cuts
-    the lineage, survives lost executors and is computed once."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Delete the folder behind a frame made by ``persist`` once nothing reads it."""
-    spark = df.sparkSession
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def held_in_fold(doc_id, fold: int):
     """crc32(doc_id as text) mod 5 == fold; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == fold

@@ -12,7 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import forget, persist
+from logsift.session import forget, persist
+
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -28,8 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Sent, join_classes, mix64, persist, whole_groups
+from logsift.llm.common import Sent, join_classes, mix64, whole_groups
 from logsift.llm.components import connected_components, local_roots
+from logsift.session import persist
 
 SIMILARITY = 0.9
 RECALL = 0.9999

@@ -37,8 +37,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Sent, Words, chunks, join_classes, mix64, persist, text_bytes, whole_groups
+from logsift.llm.common import Sent, Words, chunks, join_classes, mix64, text_bytes, whole_groups
 from logsift.llm.components import connected_components, local_roots
+from logsift.session import persist
 
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)

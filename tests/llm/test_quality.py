@@ -17,7 +17,7 @@ def test_measures_by_hand():
     assert np.isclose(x[0, at["log_words"]], np.log1p(len(w)))
     assert np.isclose(x[0, at["distinct_words"]], len(set(w)) / len(w))
     assert np.isclose(x[0, at["repeats_previous"]], sum(a == b for a, b in zip(w, w[1:])) / len(w))
-    assert np.isclose(x[0, at["upper"]], 4 / 14)
+    assert np.isclose(x[0, at["upper"]], 4 / 13)
     assert np.isclose(x[2, at["top_word"]], 3 / 4) and np.isclose(x[2, at["repeats_pair"]], 1 - 2 / 3)
     assert np.isclose(x[0, at["bangs"]], 2 / len(texts[0]))
 
