@@ -54,8 +54,8 @@ def ipv6_to_hex(ip) -> Column:
     def parts(half: Column) -> Column:
         return F.when(F.length(half) > 0, F.split(half, ":", -1)).otherwise(F.array().cast("array<string>"))
 
-    left = parts(halves.getItem(0))
-    right = F.when(F.size(halves) == 2, parts(halves.getItem(1))).otherwise(F.array().cast("array<string>"))
+    left = parts(F.get(halves, F.lit(0)))
+    right = F.when(F.size(halves) == 2, parts(F.get(halves, F.lit(1)))).otherwise(F.array().cast("array<string>"))
     missing = F.lit(8) - F.size(left) - F.size(right)
     whole = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right)
     good = text.rlike(_IPV6) & text.contains(":") & F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9a-f]{1,4}$")) & (

@@ -1,9 +1,8 @@
 """Model-based detectors: k-means clustering and an isolation forest.
 
-Both run distributed: MLlib fits k-means over all partitions; the forest
-samples rows per tree by hash (a bounded, deterministic subsample), builds
-the trees in parallel with one ``applyInPandas`` group per tree, and scores
-every row with an Arrow-batched pandas UDF.
+Neither depends on how rows are partitioned: sums that steer the fit are exact
+integers, and rows are sampled by a hash of their features and their number.
+Both run jobs while they are built.
 """
 
 from __future__ import annotations
@@ -12,75 +11,103 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsift.operators.analytics import discrete_quantiles
-from logsift.session import ensure_checkpoint_dir, spread
+from logsift.session import persist
 
+# ---------------------------------------------------------------- k-means
 
-def _stable(df: DataFrame, checkpoint: bool) -> DataFrame:
-    """Iterative fits read their input many times: write it once to the
-    shared checkpoint folder so no pass recomputes the upstream lineage and a
-    lost executor does not either."""
-    if not checkpoint:
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return spread(df).checkpoint(eager=True)
+# Scaled features are summed as integers of this many parts of a unit.
+_PARTS = 1_000_000
 
-# ---------------------------------------------------------------- k-means
+
+def _literal(centres: np.ndarray):
+    return F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
 
 
 def kmeans_clusters(df: DataFrame, feature_cols=("request_count", "response_time"), k: int = 2,
-                    seed: int = 42, max_iter: int = 20, tol: float = 1e-4, rare_share: float = 0.05,
-                    distance_sigmas: float = 3.0, checkpoint: bool = True) -> DataFrame:
-    """Scaled k-means over the feature columns.
+                    max_iter: int = 20, tol: float = 1e-4, rare_share: float = 0.05,
+                    distance_sigmas: float = 3.0) -> DataFrame:
+    """Scaled k-means over the feature columns (Lloyd's iterations).
 
     Adds ``features``, ``scaled_features`` (divided by the column stddev, not
-    centred, as StandardScaler's defaults do), ``cluster``, ``distance`` to
-    the cluster centre, ``cluster_size``, and ``cluster_anomaly`` (1 for rows
-    of a cluster holding less than ``rare_share`` of the rows, or farther
-    from their centre than mean + ``distance_sigmas`` stddev of their
-    cluster's distances). Rows with a NULL feature are left out, since they
-    have no position.
+    centred), ``cluster``, ``centre_distances``, ``distance`` to the nearest
+    centre, ``cluster_size``, and ``cluster_anomaly`` (1 for rows of a cluster
+    holding less than ``rare_share`` of the rows, or farther from their centre
+    than mean + ``distance_sigmas`` stddev of their cluster's distances). Rows
+    with a NULL or NaN feature are left out, since they have no position.
+
+    The first centres are the (i + 0.5) / k quantiles of every feature, and a
+    centre is the mean of its rows in integer parts, so equal rows give equal
+    clusters whatever their partitions. Each iteration is one aggregation to k
+    rows; the input is written once and read by all of them.
     """
     cols = list(feature_cols)
-    data = _stable(df.dropna(subset=cols), checkpoint)
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=cols, outputCol="features"),
-        StandardScaler(inputCol="features", outputCol="scaled_features"),
-        KMeans(k=k, featuresCol="scaled_features", predictionCol="cluster", seed=seed, maxIter=max_iter, tol=tol),
-    ])
-    model = pipe.fit(data)
-    out = model.transform(data)
-    # k centres of len(cols) numbers each: a bounded literal.
-    centres = model.stages[-1].clusterCenters()
-    centre_lit = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-    centre = F.element_at(centre_lit, F.col("cluster") + 1)
-    diff2 = F.zip_with(vector_to_array("scaled_features"), centre, lambda a, b: (a - b) * (a - b))
-    out = out.withColumn("distance", F.sqrt(F.aggregate(diff2, F.lit(0.0), lambda acc, x: acc + x)))
-    # One row per cluster (k rows): broadcast is bounded by k.
-    stats = out.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("cluster_size"),
-        F.avg("distance").alias("_dmean"),
-        F.stddev("distance").alias("_dstd"),
-    )
-    total = out.select(F.count(F.lit(1))).scalar()
-    out = out.join(F.broadcast(stats), "cluster", "left")
-    far = F.col("distance") > F.col("_dmean") + distance_sigmas * F.coalesce(F.col("_dstd"), F.lit(0.0))
-    rare = F.col("cluster_size") < F.lit(rare_share) * total
-    return out.withColumn("cluster_anomaly", F.when(rare | far, 1).otherwise(0)).drop("_dmean", "_dstd")
+    data = persist(df.filter(~_missing(cols)), "kmeans-input")
+    stats = data.agg(F.count(F.lit(1)), *[F.stddev(F.col(c).cast("double")) for c in cols]).first()
+    total = stats[0]
+    # Rounded to nine digits: the order of summation shows in the last ones.
+    scale = [float(f"{s:.9g}") if s else 0.0 for s in stats[1:]]
+    starts = discrete_quantiles(data, {c: [(i + 0.5) / k for i in range(k)] for c in cols})
+    first = data.sparkSession.range(1).select(*[v.cast("double") for c in cols for v in starts[c]]).first()
+    features = F.array(*[F.col(c).cast("double") for c in cols])
+    scaled = F.array(*[(F.col(c).cast("double") / s if s else F.lit(0.0)) for c, s in zip(cols, scale)])
+    data = data.withColumn("features", features).withColumn("scaled_features", scaled)
+    centres = np.zeros((k, len(cols)))
+    if total:
+        for j, s in enumerate(scale):
+            centres[:, j] = [(v / s if s else 0.0) for v in first[j * k:(j + 1) * k]]
+    for _ in range(max_iter if total else 0):
+        part = [F.sum(F.round(F.col("scaled_features")[j] * _PARTS).cast("decimal(38,0)")) for j in range(len(cols))]
+        rows = _nearest(data, centres).groupBy("cluster").agg(F.count(F.lit(1)), *part).collect()  # at most k rows
+        moved = centres.copy()
+        for r in rows:
+            moved[r[0]] = [float(x) / r[1] / _PARTS for x in r[2:]]
+        shift = float(np.abs(moved - centres).max())
+        centres = moved
+        if shift <= tol:
+            break
+    out = _nearest(data, centres)
+    spread = out.groupBy("cluster").agg(F.count(F.lit(1)).alias("cluster_size"), F.avg("distance").alias("_mean"),
+                                        F.stddev("distance").alias("_std"))
+    out = out.join(F.broadcast(spread), "cluster", "left")  # k rows
+    far = F.col("distance") > F.col("_mean") + distance_sigmas * F.coalesce(F.col("_std"), F.lit(0.0))
+    rare = F.col("cluster_size") < rare_share * total
+    return out.withColumn("cluster_anomaly", F.when(rare | far, 1).otherwise(0)).drop("_mean", "_std")
+
+
+def _nearest(data: DataFrame, centres: np.ndarray) -> DataFrame:
+    """``cluster``: the nearest centre, the first of equally near ones."""
+    def away(centre):
+        gaps = F.zip_with("scaled_features", centre, lambda a, b: (a - b) * (a - b))
+        return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x))
+
+    step = data.withColumn("centre_distances", F.transform(_literal(centres), away))
+    step = step.withColumn("distance", F.array_min("centre_distances"))
+    return step.withColumn("cluster", (F.array_position("centre_distances", F.col("distance")) - 1).cast("int"))
+
+
+def kmeans_check(clusters: DataFrame) -> DataFrame:
+    """One row: rows, sum of the cluster sizes, rows that do not sit at their nearest centre."""
+    per = clusters.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.max("cluster_size").alias("size"),
+        F.count_if(F.col("distance") > F.array_min("centre_distances")).alias("off"))
+    return per.agg(F.sum("n").alias("n_rows"), F.sum("size").alias("size_sum"), F.sum("off").alias("misplaced"))
+
+
+def _missing(cols):
+    out = F.lit(False)
+    for c in cols:
+        out = out | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    return out
 
 
 # ------------------------------------------------------- isolation forest
 
 _EULER = 0.5772156649015329
-SCORE_GRID = 1_000_000
 
 
 def _c(n):
@@ -132,12 +159,13 @@ NODE_SCHEMA = T.StructType([
 
 def _tree_builder(n_features: int, psi: int, seed: int):
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
+    names = [f"f{i}" for i in range(n_features)]
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        # Keep the psi rows of lowest hash: a uniform sample of fixed size.
-        pdf = pdf.sort_values(["_h", *[f"f{i}" for i in range(n_features)]], kind="mergesort").head(psi)
-        x = pdf[[f"f{i}" for i in range(n_features)]].to_numpy(dtype=float)
+        # Keep the psi draws of lowest hash: a uniform sample of fixed size.
+        pdf = pdf.sort_values(["_h", *names], kind="mergesort").head(psi)
+        x = pdf[names].to_numpy(dtype=float)
         rng = np.random.default_rng([seed, tree])
         feat, thr, left, right, size = _build_tree(x, rng, max_depth)
         return pd.DataFrame({
@@ -191,76 +219,75 @@ def _path_lengths(x: np.ndarray, forest, max_depth: int) -> np.ndarray:
 
 def isolation_forest(df: DataFrame, feature_cols=("request_count", "response_time"), n_trees: int = 100,
                      sample_size: int = 256, contamination: float = 0.1, seed: int = 42,
-                     oversample: float = 1.5, checkpoint: bool = True) -> DataFrame:
+                     oversample: float = 1.5) -> DataFrame:
     """Isolation forest (Liu, Ting & Zhou 2008) over the feature columns.
 
     Adds ``anomaly_score`` in (0, 1] (higher = easier to isolate) and
     ``isolation_forest_anomaly`` = 1 for scores above the (1 - contamination)
-    quantile (taken on a 1e-6 grid). Rows with a NULL feature get NULL score and flag 0.
-
-    Sampling: each row's membership in tree t is decided by a hash of
-    (seed, t, row), so the sample does not depend on partitioning and is
-    recomputed identically after a lost executor. About ``oversample`` x psi
-    rows per tree are shuffled (psi = min(sample_size, rows)); each tree then
-    keeps the psi rows of lowest hash. Only the trees (at most
-    n_trees x (2 psi - 1) nodes, bounded by the parameters) reach the driver.
+    quantile of the scores. Rows with a NULL or NaN feature get NULL score and
+    flag 0.
+
+    Sampling, one rule at every size: rows with equal features are counted (which
+    combines before the shuffle). Of about ``oversample`` x psi x n_trees draws
+    (psi = min(sample_size, rows)) a kind of row gets its share, the fraction
+    rounded up or down by a hash of its features, and a hash of features and
+    draw picks each draw's tree. Every tree keeps its psi draws of lowest hash.
+    So equal rows are drawn as often as others, the draws do not depend on
+    partitions and are the same after a lost executor, and a tree's task gets
+    about oversample x psi rows. Only the trees (at most n_trees x (2 psi - 1)
+    nodes) reach the driver.
     """
     cols = list(feature_cols)
-    nf = len(cols)
-    df = _stable(df, checkpoint)
-    valid = F.lit(True)
-    for c in cols:
-        valid = valid & F.col(c).isNotNull()
-    feats = df.filter(valid).select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(cols)],
-                                    F.xxhash64(*[F.col(c) for c in df.columns]).alias("_rowhash"))
-    n = feats.count()
-    if n == 0:
+    names = [f"f{i}" for i in range(len(cols))]
+    valid = ~_missing(cols)
+    kinds = persist(df.filter(valid).groupBy(*[F.col(c).cast("double").alias(f) for c, f in zip(cols, names)]).agg(
+        F.count(F.lit(1)).alias("_m")), "forest-rows")
+    n = kinds.agg(F.sum("_m")).first()[0] or 0
+    if not n:
         return df.withColumn("anomaly_score", F.lit(None).cast("double")).withColumn(
             "isolation_forest_anomaly", F.lit(0))
     psi = int(min(sample_size, n))
-    rate = min(1.0, oversample * psi / n)
-    two63 = float(2 ** 63)
 
     def unit(*parts):
         # uniform in [0, 1) from a 64-bit hash
-        return (F.xxhash64(*parts).cast("double") + F.lit(two63)) / F.lit(2 * two63)
-
-    if rate * n_trees <= 1.0:
-        # Large input: one draw per row picks at most one tree (disjoint samples).
-        u = unit(F.lit(seed), F.col("_rowhash"))
-        sampled = feats.filter(u < rate * n_trees).select(
-            "*", F.floor(u / F.lit(rate)).cast("int").alias("tree"), u.alias("_h"))
-    else:
-        # Small input: an independent draw per (row, tree).
-        trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                         lambda t: unit(F.lit(seed), t, F.col("_rowhash")) < F.lit(rate))
-        sampled = feats.select("*", F.explode(trees).alias("tree")).withColumn(
-            "_h", unit(F.lit(seed + 1), F.col("tree"), F.col("_rowhash")))
-    # One group per tree (about oversample x psi rows each). The explicit
-    # partition count keeps trees built in parallel: the input is too small
-    # for adaptive execution to keep more than one partition otherwise.
+        return (F.xxhash64(*parts).cast("double") + F.lit(float(2 ** 63))) / F.lit(float(2 ** 64))
+
+    share = F.col("_m") * F.lit(oversample * psi * n_trees / n)
+    draws = F.floor(share + unit(F.lit(seed), *names)).cast("int")
+    sampled = kinds.withColumn("_draws", draws).filter("_draws > 0").select(
+        *names, F.explode(F.sequence(F.lit(1), F.col("_draws"))).alias("_draw"))
+    tree = F.least(F.floor(unit(F.lit(seed + 1), *names, "_draw") * n_trees).cast("int"), F.lit(n_trees - 1))
+    sampled = sampled.select(*names, tree.alias("tree"), unit(F.lit(seed + 2), *names, "_draw").alias("_h"))
+    # The explicit partition count keeps trees built in parallel: the input is
+    # too small for adaptive execution to keep more than one partition otherwise.
     parallel = max(1, min(n_trees, df.sparkSession.sparkContext.defaultParallelism))
     nodes = (sampled.repartition(parallel, "tree")
              .groupBy("tree")
-             .applyInPandas(_tree_builder(nf, psi, seed), NODE_SCHEMA)
+             .applyInPandas(_tree_builder(len(cols), psi, seed), NODE_SCHEMA)
              .toPandas())
-    forest = _forest_arrays(nodes, n_trees)
+    # With few rows some trees may have got no draw.
+    nodes["tree"] = pd.factorize(nodes["tree"])[0]
+    forest = _forest_arrays(nodes, int(nodes["tree"].max()) + 1)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     cpsi = float(_c(np.array([psi]))[0]) or 1.0
 
     @F.pandas_udf(T.DoubleType())
     def score(*series: pd.Series) -> pd.Series:
         x = np.column_stack([s.to_numpy(dtype=float) for s in series])
-        h = _path_lengths(x, forest, max_depth)
-        return pd.Series(np.power(2.0, -h / cpsi))
+        return pd.Series(np.power(2.0, -_path_lengths(x, forest, max_depth) / cpsi))
 
-    s_col = F.when(valid, score(*[F.col(c).cast("double") for c in cols]))
     # Scored once: the cut-off and the output both read the written scores
     # (scoring 100 trees per row costs more than writing the row).
-    scored = _stable(df.withColumn("anomaly_score", s_col), checkpoint)
-    # Scores lie in (0, 1]: on a 1e-6 grid they have at most 10^6 distinct
-    # values, so the cut-off is an exact histogram quantile whose last step
-    # is bounded by the grid, not by the rows.
-    grid = F.floor(F.col("anomaly_score") * SCORE_GRID).cast("long")
-    (cut,) = discrete_quantiles(scored.select(grid.alias("_g")), "_g", (1.0 - contamination,))
-    return scored.withColumn("isolation_forest_anomaly", F.when(grid > cut, 1).otherwise(0))
+    scored = persist(df.withColumn("anomaly_score", F.when(valid, score(*[F.col(c).cast("double") for c in cols]))), "forest-scores")
+    (cut,) = discrete_quantiles(scored, {"anomaly_score": (1.0 - contamination,)})["anomaly_score"]
+    return scored.withColumn("isolation_forest_anomaly", F.when(F.col("anomaly_score") > cut, 1).otherwise(0))
+
+
+def isolation_forest_check(scored: DataFrame, contamination: float = 0.1) -> DataFrame:
+    """One row: rows, rows without a score, scores outside (0, 1], and whether at
+    most the contamination's share is flagged."""
+    s = F.col("anomaly_score")
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(s.isNull()).alias("null_scores"),
+        F.count_if((s <= 0) | (s > 1)).alias("out_of_range"),
+        (F.sum("isolation_forest_anomaly") <= contamination * F.count(s)).alias("flagged_share_kept"))

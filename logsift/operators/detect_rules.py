@@ -110,57 +110,65 @@ def blocked_countries(df: DataFrame, config: DetectorConfig = DEFAULT_CONFIG, co
     )
 
 
-def _report_rows(category: str, df: DataFrame, **cols) -> DataFrame:
-    exprs = []
-    for f in REPORT.fields:
-        if f.name == "category":
-            e = F.lit(category)
-        elif f.name == "anomaly_type":
-            e = F.lit(TYPE_NAME[category])
-        elif f.name == "severity":
-            e = F.lit(SEVERITY[category])
-        else:
-            e = cols.get(f.name, F.lit(None))
-        exprs.append(e.cast(f.dataType).alias(f.name))
-    return df.select(*exprs)
-
-
 def anomaly_report(df: DataFrame, config: DetectorConfig = DEFAULT_CONFIG, categories=CATEGORIES,
                    limit: int | None = None, max_ms: int | None = None, countries=None) -> DataFrame:
     """All selected detectors as one table with a common schema (see ``schemas.REPORT``).
 
-    The blocked-country rule needs location columns; on a table without them
-    it is left out.
+    One scan and one shuffle: every request gives an entry for each rule that it
+    meets, and entries are counted by what the report shows of them before they
+    are shuffled. Requests that show the same are then repeated as often as they
+    were counted. The blocked-country rule needs location columns; on a table
+    without them it is left out.
     """
-    parts = []
-    if "ip" in categories:
-        lim = config.max_requests_per_ip if limit is None else limit
-        parts.append(_report_rows("ip", high_rate_ips(df, config, limit), ip_address=F.col("ip_address"),
-                                  subject=F.col("ip_address"), count=F.col("request_count"), threshold=F.lit(lim)))
-    if "performance" in categories:
-        ms = config.max_response_time_ms if max_ms is None else max_ms
-        parts.append(_report_rows("performance", slow_requests(df, config, max_ms), subject=F.lit("response_time"),
-                                  count=F.col("count"), metric=F.col("avg_response_time"),
-                                  peak=F.col("max_response_time"), threshold=F.lit(ms)))
-    if "security" in categories:
-        parts.append(_report_rows("security", suspicious_user_agents(df, config), subject=F.col("user_agent"),
-                                  count=F.col("count")))
-    if "method" in categories:
-        parts.append(_report_rows("method", suspicious_methods(df, config), ip_address=F.col("ip_address"),
-                                  subject=F.col("method"), endpoint=F.col("endpoint"),
-                                  event_time=F.col("timestamp"), count=F.lit(1)))
-    if "status" in categories:
-        parts.append(_report_rows("status", suspicious_status(df, config), ip_address=F.col("ip_address"),
-                                  subject=F.col("status_code"), endpoint=F.col("endpoint"),
-                                  event_time=F.col("timestamp"), count=F.lit(1)))
-    if "geo" in categories and "country" in df.columns:
-        parts.append(_report_rows("geo", blocked_countries(df, config, countries), ip_address=F.col("ip_address"),
-                                  subject=F.col("country"), endpoint=F.col("endpoint"),
-                                  event_time=F.col("timestamp"), count=F.lit(1)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    limit = config.max_requests_per_ip if limit is None else limit
+    max_ms = config.max_response_time_ms if max_ms is None else max_ms
+    countries = list(config.geoblocking_countries if countries is None else countries)
+    text = F.lit(None).cast("string")
+    rt = F.col("response_time").cast("double")
+
+    def entry(category: str, subject=text, ip=text, endpoint=text, time=text, value=None):
+        value = F.lit(None).cast("double") if value is None else value
+        return F.struct(F.lit(category).alias("category"), ip.alias("ip_address"), subject.cast("string").alias("subject"),
+                        endpoint.alias("endpoint"), time.alias("event_time"), value.alias("value"))
+
+    request = {"ip": F.col("ip_address"), "endpoint": F.col("endpoint"), "time": _event_time()}
+    rules = {
+        "ip": (F.col("ip_address").isNotNull(), entry("ip", F.col("ip_address"), F.col("ip_address"))),
+        "performance": (F.col("response_time") > max_ms, entry("performance", F.lit("response_time"), value=rt)),
+        "security": (F.col("user_agent").rlike(agent_pattern(config.unusual_user_agents)), entry("security", F.col("user_agent"))),
+        "method": (F.col("method").isin(list(config.suspicious_http_methods)), entry("method", F.col("method"), **request)),
+        "status": (F.col("status_code").isin(list(config.suspicious_status_codes)), entry("status", F.col("status_code"), **request)),
+    }
+    if "country" in df.columns and countries:
+        rules["geo"] = (F.col("country").isin(countries), entry("geo", F.col("country"), **request))
+    chosen = [F.when(F.coalesce(cond, F.lit(False)), e) for c, (cond, e) in rules.items() if c in categories]
+    if not chosen:
+        return df.sparkSession.createDataFrame([], REPORT)
+    entries = df.select(F.inline(F.filter(F.array(*chosen), lambda e: e.isNotNull())))
+    found = entries.groupBy("category", "ip_address", "subject", "endpoint", "event_time").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("metric"), F.max("value").alias("peak"))
+    found = found.filter((F.col("category") != "ip") | (F.col("n") > limit))
+    single = F.col("category").isin("method", "status", "geo")
+    again = F.explode(F.array_repeat(F.lit(0), F.when(single, F.col("n")).otherwise(1).cast("int"))).alias("_again")
+    rows = found.select("*", again).withColumn("count", F.when(single, F.lit(1).cast("long")).otherwise(F.col("n")))
+    cat = F.col("category")
+
+    def by_category(values: dict):
+        return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), cat)
+
+    n = F.col("count").cast("string")
+    description = (
+        F.when(cat == "ip", F.concat(F.lit("address "), F.col("subject"), F.lit(" made "), n, F.lit(f" requests, more than {limit}")))
+        .when(cat == "performance", F.concat(n, F.lit(f" requests took over {max_ms} ms, the longest "),
+                                             F.col("peak").cast("long").cast("string"), F.lit(" ms")))
+        .when(cat == "security", F.concat(n, F.lit(" requests by agent "), F.col("subject")))
+        .when(cat == "method", F.concat(F.lit("method "), F.col("subject"), F.lit(" on "), F.coalesce("endpoint", F.lit("-"))))
+        .when(cat == "status", F.concat(F.lit("answered "), F.col("subject"), F.lit(" on "), F.coalesce("endpoint", F.lit("-"))))
+        .otherwise(F.concat(F.lit("request from "), F.col("subject"))))
+    threshold = F.when(cat == "ip", F.lit(float(limit))).when(cat == "performance", F.lit(float(max_ms)))
+    rows = rows.select("*", by_category(TYPE_NAME).alias("anomaly_type"), by_category(SEVERITY).alias("severity"),
+                       threshold.alias("threshold"), description.alias("description"))
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in REPORT.fields])
 
 
 def anomaly_totals(report: DataFrame, lists=REPORT_LISTS) -> DataFrame:

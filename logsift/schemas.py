@@ -2,9 +2,6 @@
 
 from pyspark.sql import types as T
 
-# Raw input: one line of text per request.
-RAW_LINE = T.StructType([T.StructField("log_line", T.StringType(), True)])
-
 # Parsed (all text) columns, in pattern group order.
 PARSED_FIELDS = (
     "ip_address",
@@ -17,6 +14,7 @@ PARSED_FIELDS = (
     "response_time",
 )
 
+# The columns that stored tables and dashboards share.
 # The cleaned fact table. Validity flags are booleans.
 CLEANED = T.StructType(
     [
@@ -42,7 +40,6 @@ CLEANED = T.StructType(
 
 CLEANED_COLUMNS = tuple(f.name for f in CLEANED.fields)
 GEO_COLUMNS = ("country", "city", "region")
-CLEANED_NO_GEO_COLUMNS = tuple(c for c in CLEANED_COLUMNS if c not in GEO_COLUMNS)
 
 # One traffic metric event (JSON messages and the output of traffic_metrics).
 METRIC = T.StructType(
@@ -55,17 +52,6 @@ METRIC = T.StructType(
     ]
 )
 
-# IPv4 ranges for location lookup; ranges must not overlap.
-GEO_RANGE = T.StructType(
-    [
-        T.StructField("start_ip", T.LongType(), False),
-        T.StructField("end_ip", T.LongType(), False),
-        T.StructField("country", T.StringType(), True),
-        T.StructField("city", T.StringType(), True),
-        T.StructField("region", T.StringType(), True),
-    ]
-)
-
 # Common shape of every row of the anomaly report.
 REPORT = T.StructType(
     [
@@ -80,5 +66,6 @@ REPORT = T.StructType(
         T.StructField("metric", T.DoubleType(), True),
         T.StructField("peak", T.DoubleType(), True),
         T.StructField("threshold", T.DoubleType(), True),
+        T.StructField("description", T.StringType(), True),
     ]
 )

@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -59,32 +58,3 @@ def input_state(spark: SparkSession, *paths: str) -> tuple:
             f = files.next()
             out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
     return tuple(sorted(out))
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable; returns the shared folder."""
-    base = shared_base(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
-
-
-def needs_spread(df: DataFrame) -> bool:
-    """True when ``df`` scans fewer partitions than the cluster has cores."""
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame, needed: bool | None = None) -> DataFrame:
-    """Repartition ``df`` when it has fewer partitions than the cluster has
-    cores, so CPU-heavy work after it (parsing, scoring) uses all of them.
-
-    Large inputs already scan as many partitions and pass through untouched
-    (no shuffle); a small file stored as one row group would otherwise be
-    processed by a single task. Rows are spread by their row id, which is
-    stable when a task is retried; because Spark treats the id as
-    non-deterministic, filters on derived columns are not pushed back into
-    the single task before the spread.
-    """
-    if needed is None:
-        needed = needs_spread(df)
-    if not needed:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.monotonically_increasing_id())

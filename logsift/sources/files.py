@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsift.functions.timecols import utc_wallclock
 from logsift.schemas import CLEANED
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text files (one request per line) -> ``log_line``."""
@@ -17,7 +20,12 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def write_cleaned(df: DataFrame, path: str, partition_by=("year", "month"), mode: str = "errorifexists") -> None:
     """Write the cleaned table as Parquet partitioned by calendar fields (the
-    batch counterpart of the streaming sink)."""
+    batch counterpart of the streaming sink). Rows are rebalanced by those
+    fields first: a folder gets files of the advisory size, not one a task, and
+    a large folder is still written by many tasks. ``partition_by`` may name any
+    columns, such as a day."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -38,13 +46,12 @@ def read_cleaned(spark: SparkSession, path: str, start=None, end=None) -> DataFr
             return spark.createDataFrame([], CLEANED)
         raise
     ym = F.col("year") * 12 + F.col("month")
-    utc = utc_wallclock("timestamp")
 
-    def wall(d):  # text -> TIMESTAMP_NTZ goes through no time zone
-        return F.lit(d.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    def instant(d):  # of a UTC wall clock; a literal, so it reaches the scan
+        return F.timestamp_micros(F.lit((d.replace(tzinfo=timezone.utc) - EPOCH) // timedelta(microseconds=1)))
 
     if start is not None:
-        df = df.filter((ym >= start.year * 12 + start.month) & (utc >= wall(start)))
+        df = df.filter((ym >= start.year * 12 + start.month) & (F.col("timestamp") >= instant(start)))
     if end is not None:
-        df = df.filter((ym <= end.year * 12 + end.month) & (utc < wall(end)))
+        df = df.filter((ym <= end.year * 12 + end.month) & (F.col("timestamp") < instant(end)))
     return df

@@ -15,8 +15,8 @@ def ranges_from_cidr(df: DataFrame, network_col: str = "network") -> DataFrame:
     Missing names become 'Unknown'. Rows with an invalid network are dropped.
     """
     net = F.col(network_col)
-    address = F.split(net, "/").getItem(0)
-    length = F.split(net, "/").getItem(1).try_cast("int")
+    address = F.get(F.split(net, "/"), F.lit(0))
+    length = F.get(F.split(net, "/"), F.lit(1)).try_cast("int")
     four = F.when(length.between(0, 32), ipv4_to_long(address))
     size = F.pow(F.lit(2.0), F.lit(32) - length).cast("long")
     start = four - F.pmod(four, size)

@@ -8,6 +8,7 @@ exactly-once through its checkpoint and ``_spark_metadata`` log.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logsift.functions.clean import clean_logs
@@ -44,12 +45,15 @@ def _trigger(writer, trigger):
 
 
 def write_cleaned_stream(df: DataFrame, output_path: str, checkpoint_path: str, partition_by=None,
-                         trigger: str | None = None) -> StreamingQuery:
+                         trigger: str | None = None, files: int = 8) -> StreamingQuery:
     """Append a streaming frame to Parquet, optionally partitioned (e.g. year, month).
 
     ``trigger``: None (as fast as possible), 'availableNow', 'once' or an
-    interval such as '1 minute' (fewer, larger files).
+    interval such as '1 minute' (fewer, larger files). A batch gives each folder
+    at most ``files`` files: its rows are dealt to so many tasks by their content.
     """
+    if partition_by:
+        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(files)))
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

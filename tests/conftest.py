@@ -18,15 +18,16 @@ def spark():
         SparkSession.builder.master("local[*]")
         .appName("logsift-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    from pyspark import SparkConf
+
+    if not SparkConf().get("spark.checkpoint.dir", None):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="logsift-test-ckpt-"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="logsift-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
 
 

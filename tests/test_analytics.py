@@ -122,7 +122,7 @@ def test_discrete_quantiles_brute_force(spark):
         vals = [rnd.randrange(-20, 50) for _ in range(n)] + [None, None]
         df = spark.createDataFrame([(v,) for v in vals], "x int")
         probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0)
-        qs = A.discrete_quantiles(df, "x", probs)
+        qs = A.discrete_quantiles(df, {"x": probs})["x"]
         got = df.limit(1).select(*[q.alias(f"q{i}") for i, q in enumerate(qs)]).collect()[0]
         data = sorted(v for v in vals if v is not None)
         for i, p in enumerate(probs):

@@ -1,16 +1,14 @@
-from pyspark.sql import functions as F
-
 from conftest import SF_SMALL, line, lines_df
 from logsift.functions.clean import clean_logs
-from logsift.functions.ip import ipv4_to_long, long_to_ipv4
+from logsift.functions.ip import ipv4_to_long, ipv6_to_hex, long_to_ipv4
 from logsift.operators.geo import geo_enrich
 from logsift.sources import fixtures
-from logsift.sources.geo import ranges_from_cidr
+from logsift.sources.geo import ranges_from_cidr, read_cidr_csv
 
 
 def ranges(spark):
     rows = [("10.0.1.0/24", "A", "CityA", "RegA"), ("192.168.0.0/16", "B", None, "RegB"),
-            ("8.0.0.0/7", "C", "CityC", "RegC")]
+            ("8.0.0.0/7", "C", "CityC", "RegC"), ("2001:db9::/32", "D", "CityD", "RegD")]
     return ranges_from_cidr(spark.createDataFrame(rows, "network string, country string, city string, "
                                                         "region string"))
 
@@ -31,24 +29,57 @@ def test_cidr_ranges(spark):
     assert (r["C"].start_ip, r["C"].end_ip) == (8 << 24, (10 << 24) - 1)
 
 
-def _enriched(spark, broadcast):
-    ips = ["10.0.1.9", "192.168.77.1", "9.200.1.1", "172.16.0.1", "", "2001:db8::1", "10.0.2.1"]
+def _enriched(spark, **options):
+    ips = ["10.0.1.9", "192.168.77.1", "9.200.1.1", "172.16.0.1", "", "2001:db8::1", "10.0.2.1", "2001:db9::7", "::ffff:10.0.1.9"]
     df = lines_df(spark, [line(ip=ip) for ip in ips])
-    out = clean_logs(df, ranges(spark), keep=("id",), broadcast=broadcast)
+    out = clean_logs(df, ranges(spark), keep=("id",), **options)
     return {r.id: (r.country, r.city, r.region) for r in out.collect()}
 
 
 def test_geo_enrich_values_and_unknown(spark):
-    got = _enriched(spark, None)
+    got = _enriched(spark)
     assert got[0] == ("A", "CityA", "RegA")
     assert got[1] == ("B", "Unknown", "RegB")
     assert got[2] == ("C", "CityC", "RegC")
     for i in (3, 4, 5, 6):
         assert got[i] == ("Unknown", "Unknown", "Unknown")
+    assert got[7] == ("D", "CityD", "RegD") and got[8] == got[0]
+
+
+def test_join_path_equals_broadcast_path(spark):
+    assert _enriched(spark) == _enriched(spark, max_bytes=0)
+
+
+def test_ipv6_texts(spark):
+    import ipaddress
+
+    texts = ["::", "::1", "1::", "2001:db8::1", "2001:DB8:0:0:0:0:0:1", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8",
+             "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1::2::3", ":::", "1:::2", "g::1", "12345::", "", ":", "1.2.3.4", "::ffff:1.2.3.4",
+             "::1.2.3.256", "64:ff9b::192.0.2.33", "fe80::1%eth0", "1:2:3:4:5:6:7:8::", "::1:2:3:4:5:6:7:8", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "ip string").select(ipv6_to_hex("ip")).collect()]
+    want = []
+    for t in texts:
+        try:
+            want.append(None if t is None or "%" in t else ipaddress.IPv6Address(t).packed.hex())
+        except ValueError:
+            want.append(None)
+    assert got == want
 
 
-def test_shuffle_path_equals_broadcast_path(spark):
-    assert _enriched(spark, True) == _enriched(spark, False)
+def test_ipv6_networks_of_all_lengths(spark):
+    import ipaddress
+
+    nets = [f"2001:db8:85a3:8d3:1319:8a2e:370:7348/{n}" for n in range(129)] + ["2001:db8::/129", "x::/3", "1::"]
+    out = ranges_from_cidr(spark.createDataFrame([(n, "A", "b", "c") for n in nets], "network string, country string, city string, region string"))
+    got = {(r.start_v6, r.end_v6) for r in out.collect()}
+    want = {(n.network_address.packed.hex(), n.broadcast_address.packed.hex()) for n in (ipaddress.ip_network(x, strict=False) for x in nets[:129])}
+    assert got == want
+
+
+def test_cidr_csv(spark, tmp_path):
+    (tmp_path / "geo.csv").write_text("network,country,city,region\n10.0.0.0/8,A,,R\nbad,B,b,b\n2001::/16,C,c,c\n")
+    rows = {r.country: r for r in read_cidr_csv(spark, str(tmp_path / "geo.csv")).collect()}
+    assert set(rows) == {"A", "C"} and rows["A"].city == "Unknown" and rows["C"].start_v6 == "2001" + "0" * 28
 
 
 def test_rows_never_dropped_or_duplicated(spark):
@@ -57,27 +88,25 @@ def test_rows_never_dropped_or_duplicated(spark):
     assert out.count() == lines.count()
 
 
-def test_plan_is_hash_join_without_python(spark):
+def test_fact_side_is_neither_shuffled_nor_joined(spark):
+    """Four million ranges are searched in place; addresses are located right."""
+    many = spark.range(4_000_000).selectExpr("id * 1000 AS start_ip", "id * 1000 + 899 AS end_ip", "concat('C', id % 250) AS country",
+                                             "concat('city', id % 5000) AS city", "'r' AS region")
     lines = fixtures.log_lines(spark, SF_SMALL)
-    out = clean_logs(lines, fixtures.geo_ranges(spark, SF_SMALL)).filter(F.col("country") == "NATION_3")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    assert "NestedLoopJoin" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    # no parse work is duplicated into a pushed-down null check on the join keys
-    assert "isnotnull(shiftright" not in plan
-
-
-def test_shuffle_plan_uses_salted_keys(spark):
-    df = lines_df(spark, [line()])
-    out = geo_enrich(clean_logs(df), ranges(spark), broadcast=False)
+    out = clean_logs(lines, many)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan and "NestedLoopJoin" not in plan
+    for op in ("Exchange", "Join", "BatchEvalPython"):
+        assert op not in plan, op
+    for r in out.filter("ip_address LIKE '%.%'").select("ip_address", "country").limit(200).collect():
+        a, b, c, d = map(int, r.ip_address.split("."))
+        n = (a << 24) + (b << 16) + (c << 8) + d
+        assert r.country == (f"C{n // 1000 % 250}" if n % 1000 < 900 and n // 1000 < 4_000_000 else "Unknown")
 
 
 def test_bucketed_join_equals_brute_force(spark):
     """Random non-overlapping ranges of all widths (some spanning many /16
-    buckets) and random addresses: the bucketed join must equal a plain
-    between-join, on both the broadcast and the salted shuffle path."""
+    buckets) and random addresses: the search and the bucketed join must equal
+    a plain between-join."""
     import random
 
     rnd = random.Random(11)
@@ -91,6 +120,6 @@ def test_bucketed_join_equals_brute_force(spark):
     for k, ip in enumerate(ips):
         hit = [r[2] for r in ranges if r[0] <= ip <= r[1]]
         want[k] = hit[0] if hit else "Unknown"
-    for b in (True, False):
-        got = {r.id: r.country for r in geo_enrich(df, rdf, broadcast=b).collect()}
+    for limit in (1 << 20, 0):
+        got = {r.id: r.country for r in geo_enrich(df, rdf, max_bytes=limit).collect()}
         assert got == want

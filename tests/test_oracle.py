@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from logsift.plans.catalog import QUERIES
+from logsift.plans.oracle import ORACLE_SQL
 
 TABLES = ("events", "nation", "region")
 
@@ -40,18 +42,18 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_model_based(spark):
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"kmeans_clusters", "isolation_forest"}
+    assert set(QUERIES) - set(ORACLE_SQL) == {"kmeans_clusters", "isolation_forest"}
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
-KEYS = sorted(k for k in E.oracle_sql() if k not in ("stream_roundtrip",))
+KEYS = sorted(k for k in ORACLE_SQL if k not in ("stream_roundtrip",))
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     srows, scols = df.collect(), df.columns
-    res = duck.execute(E.oracle_sql()[key])
+    res = duck.execute(ORACLE_SQL[key])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(scols) == sorted(dcols)

@@ -4,18 +4,30 @@ needs it."""
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from logsift.plans.catalog import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
-ARROW_ALLOWED = {"isolation_forest"}
+# The forest scores with it; locations are searched with it.
+ARROW_ALLOWED = {"isolation_forest", "clean_logs", "geo_enrich"}
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_registered_query_plan(spark, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, (key, op)
     if key not in ARROW_ALLOWED:
         assert "ArrowEvalPython" not in plan and "FlatMapGroupsInPandas" not in plan, key
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    return text.split("== Initial Plan ==")[0].count("FileScan") + text.split("== Initial Plan ==")[0].count("BatchScan")
+
+
+@pytest.mark.parametrize("key", ["anomaly_report", "anomaly_totals", "common_patterns"])
+def test_one_scan(spark, key):
+    assert scans(QUERIES[key](spark, SF_SMALL)) == 1

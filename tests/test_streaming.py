@@ -1,5 +1,7 @@
+import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -7,7 +9,8 @@ from logsift.functions.clean import clean_logs
 from logsift.operators.analytics import overview
 from logsift.session import shared_dir
 from logsift.sources import fixtures
-from logsift.sources.files import read_cleaned
+from logsift.functions.timecols import utc_wallclock
+from logsift.sources.files import read_cleaned, read_log_lines, write_cleaned
 from logsift.sources.metrics_json import parse_metric_json
 from logsift.streaming import ingest, memory_sink, text_log_lines
 from logsift.schemas import CLEANED_COLUMNS
@@ -64,13 +67,17 @@ def test_json_metrics_bad_and_wrong_types(spark):
     assert rows[1].ip_address == "1.2.3.4" and rows[1].request_count is None and rows[1].response_time == 2.5
 
 
-def test_kafka_source_is_pluggable(spark):
+def test_kafka_source(spark):
+    """Needs the Kafka connector, which this image lacks: skipped then, never passed."""
     try:
-        from logsift.streaming import kafka_log_lines
-        df = kafka_log_lines(spark, "localhost:1", "t")
-        assert df.columns == ["log_line"]
-    except Exception as e:  # connector jar absent in this environment
-        assert "kafka" in str(e).lower()
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider", False,
+                                           spark._jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    except Exception:
+        pytest.skip("no Kafka connector on the classpath")
+    from logsift.streaming import kafka_log_lines
+
+    df = kafka_log_lines(spark, "localhost:1", "t", maxOffsetsPerTrigger="10")
+    assert df.columns == ["log_line"] and df.isStreaming
 
 
 def test_json_metric_stream_to_memory(spark):
@@ -87,3 +94,36 @@ def test_json_metric_stream_to_memory(spark):
     got = spark.table("logsift_metric_stream")
     assert got.count() == batch.count()
     assert got.agg(F.sum("request_count")).collect()[0][0] == batch.agg(F.sum("request_count")).collect()[0][0]
+
+
+def test_text_lines_in_batch(spark, tmp_path):
+    (tmp_path / "a.log").write_text("one\ntwo\n")
+    assert sorted(r.log_line for r in read_log_lines(spark, str(tmp_path)).collect()) == ["one", "two"]
+
+
+def test_time_range_reaches_the_scan(spark, conf):
+    conf("spark.sql.session.timeZone", "America/New_York")
+    path = shared_dir(spark, "test-range")
+    whole = clean_logs(fixtures.log_lines(spark, SF_SMALL), fixtures.geo_ranges(spark, SF_SMALL))
+    write_cleaned(whole, path)
+    start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11)
+    df = read_cleaned(spark, path, start, end)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(timestamp" in pushed and "LessThan(timestamp" in pushed
+    want = [r for r in read_cleaned(spark, path).select(utc_wallclock("timestamp").alias("t")).collect() if r.t and start <= r.t < end]
+    assert df.count() == len(want) > 0
+
+
+def test_files_are_bounded_by_folders(spark, tmp_path):
+    whole = clean_logs(fixtures.log_lines(spark, SF_SMALL), fixtures.geo_ranges(spark, SF_SMALL)).repartition(40)
+    write_cleaned(whole, str(tmp_path / "batch"))
+    folders = [d for d, _, _ in os.walk(tmp_path / "batch") if "month=" in d]
+    files = [f for d in folders for f in os.listdir(d) if f.endswith(".parquet")]
+    assert len(files) == len(folders)
+    write_cleaned(whole.withColumn("day", F.to_date(utc_wallclock("timestamp"))), str(tmp_path / "day"), ("year", "month", "day"))
+    assert spark.read.parquet(str(tmp_path / "day")).count() == 1000
+    fixtures.log_lines(spark, SF_SMALL).repartition(30).write.text(str(tmp_path / "in"))
+    ingest(text_log_lines(spark, str(tmp_path / "in")), None, str(tmp_path / "out"), str(tmp_path / "ck"), trigger="availableNow").awaitTermination()
+    for d, _, names in os.walk(tmp_path / "out"):
+        assert sum(n.endswith(".parquet") for n in names) <= 8
