@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Sent, chunks, distinct, lookup, text_bytes
+from logsift.llm.common import CHUNK_BYTES, Sent, chunks, distinct, lookup, text_bytes
 from logsift.session import shared_dir
 
 END_ID = 2
@@ -76,26 +76,34 @@ class PieceEncoder:
         self.first = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, values: pa.Array) -> None:
-        """Encode pieces that are not known yet."""
-        texts = [v.decode("utf-8") for v in values.to_pylist()]
-        out: list = [None] * len(texts)
-        # Pieces with a special token in them, or a part of one at an edge, are encoded alone.
-        plain = [k for k, t in enumerate(texts) if self.separator and t and "<|" not in t and "|>" not in t]
-        for lo in range(0, len(plain), self.TOGETHER):
-            rows = plain[lo:lo + self.TOGETHER]
-            ids = self._encode([self.separator.join(texts[k] for k in rows)])[0]
-            for k, part in zip(rows, np.split(ids, np.flatnonzero(ids == self.separator_id))):
-                out[k] = part[1:] if k != rows[0] else part
-        alone = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(alone, self._encode([texts[k] for k in alone])):
-            out[k] = ids
-        self.known = pa.concat_arrays([self.known, values])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in out])])
-        self.flat = np.concatenate([self.flat, *out])
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, values: pa.Array) -> np.ndarray:
+        """Encode pieces that are not known yet; their numbers."""
+        # Pieces with a part of a special token in them are encoded alone.
+        plain = np.full(len(values), self.separator is not None)
+        for mark in {x for t in self.specials for x in (t[:2], t[-2:])}:
+            plain &= ~np.asarray(pc.match_substring(values, mark))
+        together, alone = np.flatnonzero(plain), np.flatnonzero(~plain)
+        order = np.concatenate([together, alone])
+        raw = values.take(pa.array(order)).to_pylist()
+        flat, many = [self.flat], []
+        between = self.separator.encode() if self.separator else b""
+        for lo in range(0, len(together), self.TOGETHER):
+            ids = np.array(self._ids([between.join(raw[lo:min(lo + self.TOGETHER, len(together))]).decode("utf-8")])[0], np.int32)
+            cut = np.flatnonzero(ids == self.separator_id)
+            many.append(np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
+            flat.append(np.delete(ids, cut))
+        for ids in self._ids([r.decode("utf-8") for r in raw[len(together):]]):
+            many.append([len(ids)])
+            flat.append(np.array(ids, np.int32))
+        numbers = np.empty(len(values), np.int64)
+        numbers[order] = len(self.known) + np.arange(len(values))
+        self.known = pa.concat_arrays([self.known, values.take(pa.array(order))])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(many))])
+        self.flat = np.concatenate(flat)
+        return numbers
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id behind it; offsets of each text's ids)."""
@@ -109,8 +117,7 @@ class PieceEncoder:
             at = lookup(values, self.known)
             fresh = np.flatnonzero(at < 0)
             if len(fresh):
-                at[fresh] = len(self.known) + np.arange(len(fresh))
-                self._learn(values.take(pa.array(fresh)))
+                at[fresh] = self._learn(values.take(pa.array(fresh)))
             code = at[code]
             many = np.diff(self.first)[code]
             ends = np.concatenate([[0], np.cumsum(many)])
@@ -135,7 +142,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, id_col: s
         tokenizer.no_padding()
         encoder = PieceEncoder(tokenizer)
         number, before = TaskContext.get().partitionId(), 0
-        for part in chunks(batches, text_col):
+        for part in chunks(batches, text_col, 2 * CHUNK_BYTES):
             ids, at = encoder.encode(*text_bytes(part.column(text_col)), end_id)
             yield pa.RecordBatch.from_arrays(
                 [part.column(id_col), pa.array(np.full(part.num_rows, number, np.int32)), pa.array(before + at[:-1]),
