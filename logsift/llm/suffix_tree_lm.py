@@ -47,7 +47,8 @@ DIVERGENCE, EVIDENCE = 0.002, 2.0
 # A token is broadcast from this share of the training tokens on, if not longer than so many bytes.
 FREQUENT, FREQUENT_BYTES = 1e-6, 64
 BUCKETS = 256
-CHUNK = 4 << 20
+# Text bytes handled at once; the packed symbols take some forty times as much.
+CHUNK = 2 << 20
 _CACHE_BITS = 22
 
 EDGE, SPACE = 10, 32
