@@ -8,6 +8,7 @@ runs per word. A null text counts as the empty text everywhere.
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,6 +154,15 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, limit: int = 64 <<
         yield pa.Table.from_batches(held)
 
 
+def kept(name: str, key: str, make):
+    """An object that a Python worker keeps from task to task, one for each name;
+    made anew for another key. A lost worker only makes it again."""
+    cache = vars(sys).setdefault("_logsift_kept", {})
+    if name not in cache or cache[name][0] != key:
+        cache[name] = (key, make())
+    return cache[name][1]
+
+
 class Sent:
     """A broadcast of any object of this package, pickled by value so that
     executors need no copy of the package."""

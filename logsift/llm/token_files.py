@@ -8,8 +8,8 @@ ids inside a file is stored with each document; the ids before a file are the
 sum of the files before it (one number for each file).
 
 Distinct pieces of a chunk (cut only where pre-tokens end, such as before white
-space) are encoded once a task by the tokenizer library and put together
-by array indexing, which gives the same ids as encoding whole texts.
+space) are encoded once by the tokenizer library, remembered up to a bound, and
+put together by array indexing, which gives the same ids as encoding whole texts.
 
 Defined cases: a null text is empty and gives the end id alone; null ids come
 first; rows that repeat an id are ordered by their text's hash; an empty table
@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import CHUNK_BYTES, Sent, chunks, distinct, lookup, text_bytes
+from logsift.llm.common import CHUNK_BYTES, Sent, chunks, distinct, kept, lookup, text_bytes
 from logsift.session import shared_dir
 
 END_ID = 2
@@ -44,22 +44,35 @@ _MARK = np.zeros(256, bool)
 _MARK[33:48] = _MARK[58:65] = _MARK[91:97] = _MARK[[123, 125, 126]] = True
 
 
+def wide_blank(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a non-ASCII white-space character (or another of U+2000 to U+203F)
+    ends at each place."""
+    a, b, c = buf[np.maximum(at - 2, 0)], buf[np.maximum(at - 1, 0)], buf[at]
+    return (((b == 0xC2) & ((c == 0x85) | (c == 0xA0))) | ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE2) & (b == 0x80))
+            | ((a == 0xE2) & (b == 0x81) & (c == 0x9F)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80)))
+
+
 def pieces(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where each piece begins: at a text's start, at each run of ASCII white
-    space and at a mark behind a letter."""
+    space and at a mark behind a letter. A run that goes on from other white
+    space is not cut off from it."""
     blank = _BLANK[buf]
     cut = np.zeros(len(buf), bool)
     cut[1:] = (blank[1:] & ~blank[:-1]) | (_MARK[buf[1:]] & _LETTER[buf[:-1]])
+    behind = np.flatnonzero(cut[1:] & (buf[:-1] >= 0x80))
+    cut[behind[wide_blank(buf, behind)] + 1] = False
     cut[offsets[:-1][np.diff(offsets) > 0]] = True
     return np.flatnonzero(cut)
 
 
 class PieceEncoder:
     """Ids of texts by way of their distinct pieces. Pieces stay known from chunk
-    to chunk of a task; past ``limit`` of them it starts anew."""
+    to chunk and task to task; past ``limit`` of them it starts anew."""
 
-    # Pieces sent to the library at once, with a special token between them: it
-    # splits texts there and encodes what is between as if it stood alone.
+    # Pieces sent to the library at once. Those that begin with white space and end
+    # without are put in a row: pre-tokens end between them, and the ids are dealt out
+    # again by their numbers of bytes. Others get a special token between them: the
+    # library splits there and encodes what is between as if it stood alone.
     TOGETHER = 500
 
     def __init__(self, tokenizer, limit: int = 1_000_000):
@@ -69,6 +82,10 @@ class PieceEncoder:
         self.specials = [t.content for _, t in sorted(added.items()) if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
         self.separator = self.specials[0] if self.specials else None
         self.separator_id = tokenizer.token_to_id(self.separator) if self.separator else -1
+        vocab = tokenizer.get_vocab()
+        # In byte-level vocabularies a token has as many letters as it has bytes.
+        self.width = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.width[list(vocab.values())] = [len(t) for t in vocab]
         self._clear()
 
     def _clear(self) -> None:
@@ -79,25 +96,42 @@ class PieceEncoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode(self, raw: list[bytes], size: np.ndarray, in_a_row: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, how many each has)."""
+        if in_a_row:
+            ids = np.array(self._ids([b"".join(raw).decode("utf-8")])[0], np.int32)
+            reached = np.cumsum(self.width[ids])
+            last = np.searchsorted(reached, np.cumsum(size))
+            if len(ids) and last[-1] == len(ids) - 1 and np.array_equal(reached[last], np.cumsum(size)):
+                return ids, np.diff(last, prepend=-1)
+        if len(raw) == 1:
+            ids = np.array(self._ids([raw[0].decode("utf-8")])[0], np.int32)
+            return ids, np.array([len(ids)])
+        ids = np.array(self._ids([self.separator.encode().join(raw).decode("utf-8")])[0], np.int32)
+        cut = np.flatnonzero(ids == self.separator_id)
+        return np.delete(ids, cut), np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1
+
     def _learn(self, values: pa.Array) -> np.ndarray:
         """Encode pieces that are not known yet; their numbers."""
         # Pieces with a part of a special token in them are encoded alone.
         plain = np.full(len(values), self.separator is not None)
         for mark in {x for t in self.specials for x in (t[:2], t[-2:])}:
             plain &= ~np.asarray(pc.match_substring(values, mark))
-        together, alone = np.flatnonzero(plain), np.flatnonzero(~plain)
-        order = np.concatenate([together, alone])
-        raw = values.take(pa.array(order)).to_pylist()
+        raw = values.to_pylist()
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        ends = np.cumsum(size)
+        row = plain & _BLANK[data[ends - size]] & ~_BLANK[data[ends - 1]] & ~wide_blank(data, ends - 1)
+        parts = [np.flatnonzero(row), np.flatnonzero(plain & ~row), np.flatnonzero(~plain)]
         flat, many = [self.flat], []
-        between = self.separator.encode() if self.separator else b""
-        for lo in range(0, len(together), self.TOGETHER):
-            ids = np.array(self._ids([between.join(raw[lo:min(lo + self.TOGETHER, len(together))]).decode("utf-8")])[0], np.int32)
-            cut = np.flatnonzero(ids == self.separator_id)
-            many.append(np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
-            flat.append(np.delete(ids, cut))
-        for ids in self._ids([r.decode("utf-8") for r in raw[len(together):]]):
-            many.append([len(ids)])
-            flat.append(np.array(ids, np.int32))
+        for kind, rows in enumerate(parts):
+            step = 1 if kind == 2 else self.TOGETHER
+            for lo in range(0, len(rows), step):
+                own = rows[lo:lo + step]
+                ids, count = self._encode([raw[k] for k in own.tolist()], size[own], kind == 0)
+                flat.append(ids)
+                many.append(count)
+        order = np.concatenate(parts)
         numbers = np.empty(len(values), np.int64)
         numbers[order] = len(self.known) + np.arange(len(values))
         self.known = pa.concat_arrays([self.known, values.take(pa.array(order))])
@@ -135,12 +169,15 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, id_col: s
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
+        def make() -> PieceEncoder:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_str(spec.value)
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+            return PieceEncoder(tokenizer)
 
-        tokenizer = Tokenizer.from_str(spec.value)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        encoder = PieceEncoder(tokenizer)
+        encoder = kept("piece-encoder", spec.value, make)
         number, before = TaskContext.get().partitionId(), 0
         for part in chunks(batches, text_col, 2 * CHUNK_BYTES):
             ids, at = encoder.encode(*text_bytes(part.column(text_col)), end_id)

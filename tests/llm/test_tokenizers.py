@@ -115,7 +115,9 @@ def test_proven_strings_are_one_token():
 
 
 def test_chunk_ids_equal_the_library():
-    texts = hard_texts()
+    rng = random.Random(11)
+    blanks = " \n\t\u00a0\u3000\u2003\u0085 "
+    texts = hard_texts() + ["".join(rng.choice(blanks + "ab.,'\u201d") for _ in range(rng.randint(1, 30))) for _ in range(3000)]
     library = Tokenizer.from_file(BYTE)
     want = [e.ids + [2] for e in library.encode_batch(texts, add_special_tokens=False)]
     for limit in (1_000_000, 100):
