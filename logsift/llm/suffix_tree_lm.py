@@ -49,7 +49,7 @@ FREQUENT, FREQUENT_BYTES = 1e-6, 64
 BUCKETS = 256
 # Text bytes handled at once; the packed symbols take some forty times as much.
 CHUNK = 2 << 20
-_CACHE_BITS = 22
+_CACHE_BITS = 21
 
 EDGE, SPACE = 10, 32
 
@@ -232,7 +232,7 @@ class Table:
     _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, int(2 * max(1, len(keys)) - 1).bit_length())
+        bits = max(4, int(1.5 * max(1, len(keys))).bit_length())
         self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
         self._key = np.full(1 << bits, self._FREE, np.uint64)
         self._number = np.zeros(1 << bits, np.int32)
@@ -268,7 +268,7 @@ class Scorer:
     since no symbol is zero, so one table serves all levels."""
 
     def __init__(self, tree: SuffixTree):
-        self.tree = tree
+        self.depth, self.root = tree.depth, tree.root
         self._contexts = Table(np.concatenate([c for c, _, _, _ in tree.levels]))
         self._off = np.concatenate([o for _, o, _, _ in tree.levels])
         self._known = Table(np.concatenate([k for _, _, k, _ in tree.levels]))
@@ -278,7 +278,7 @@ class Scorer:
 
     def look_up(self, key: np.ndarray) -> np.ndarray:
         """log10 probability of each packed symbol behind its context."""
-        depth = self.tree.depth
+        depth = self.depth
         out = np.zeros(len(key))
         rest = np.arange(len(key))
         symbol = key & np.uint64(255)
@@ -293,7 +293,7 @@ class Scorer:
             done = np.zeros(len(rest), bool)
             done[held[found]] = True
             rest = rest[~done]
-        out[rest] += self.tree.root[symbol[rest].astype(np.int64)]
+        out[rest] += self.root[symbol[rest].astype(np.int64)]
         return out
 
     def __call__(self, key: np.ndarray) -> np.ndarray:
@@ -345,14 +345,16 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, known, often = sent.value
         score = Scorer(tree)
+        sent.drop()
+        del tree
         row = TaskContext.get().partitionId() << 33
         for part in chunks(batches, text_col, CHUNK):
             n = part.num_rows
             buf, offsets = text_bytes(part.column(text_col))
             words = nonspace_words(buf, offsets)
-            symbols, begin = stream(buf, words, n, tree.depth)
-            value = score(grams(symbols, tree.depth))
-            value[~predicted(len(symbols), begin, tree.depth)] = 0
+            symbols, begin = stream(buf, words, n, score.depth)
+            value = score(grams(symbols, score.depth))
+            value[~predicted(len(symbols), begin, score.depth)] = 0
             model = np.add.reduceat(value, begin) if n else np.zeros(0)
             at = lookup(words.values, known)[words.code] if len(words.code) else np.zeros(0, np.int64)
             frequent = at >= 0
