@@ -54,17 +54,13 @@ def count_or_zero(raw) -> Column:
 
 
 def request_parts(request) -> tuple[Column, Column, Column]:
-    """method, endpoint, protocol of a request text; NULL when the request is empty."""
+    """method, endpoint, protocol (what follows the last space) of a request text; NULL when the request is empty."""
     request = _col(request)
     present = F.length(request) > 0
-    # The last token, (\S+)$, is taken as the first token of the reversed
-    # text: an anchored match instead of a search from every position. Same
-    # result for any text without line terminators, which a parsed request
-    # never contains.
     return (
         F.when(present, F.regexp_extract(request, r"^(\S+)", 1)),
         F.when(present, F.regexp_extract(request, r"^\S+\s(\S+)", 1)),
-        F.when(present, F.reverse(F.regexp_extract(F.reverse(request), r"^(\S+)", 1))),
+        F.when(present, F.element_at(F.split(request, r"\s", -1), -1)),
     )
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import ipaddress
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OCTET = r"(0|[1-9][0-9]{0,2})"
 _IPV4 = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
-# Groups of up to four hexadecimal digits, with at most one empty stretch (checked apart).
-_IPV6 = r"^(?:[0-9a-f]{1,4}|::|:)+$"
-_MAPPED = "00000000000000000000ffff"
 
 
 def _col(c) -> Column:
@@ -40,36 +40,22 @@ def long_to_ipv4(value) -> Column:
     )
 
 
+def ipv6_digits(text: str | None) -> str | None:
+    """IPv6 text -> its 32 hexadecimal digits (whose order is the addresses'); None
+    for anything else. A dotted IPv4 tail is accepted, a zone is not."""
+    try:
+        return None if text is None or "%" in text else ipaddress.IPv6Address(text).packed.hex()
+    except ValueError:
+        return None
+
+
 def ipv6_to_hex(ip) -> Column:
-    """IPv6 text -> its 32 hexadecimal digits (whose order is the addresses');
-    NULL for anything else. A dotted IPv4 tail is accepted, a zone is not."""
-    text = F.lower(_col(ip))
-    tail = F.regexp_extract(text, r":(\d+\.\d+\.\d+\.\d+)$", 1)
-    low = ipv4_to_long(tail)
-    groups = F.concat(F.lower(F.hex(F.shiftright(low, 16))), F.lit(":"), F.lower(F.hex(F.pmod(low, F.lit(65536)))))
-    text = F.when(F.length(tail) == 0, text).otherwise(
-        F.concat(text.substr(F.lit(1), F.length(text) - F.length(tail)), groups))
-    halves = F.split(text, "::", -1)
-
-    def parts(half: Column) -> Column:
-        return F.when(F.length(half) > 0, F.split(half, ":", -1)).otherwise(F.array().cast("array<string>"))
-
-    left = parts(F.get(halves, F.lit(0)))
-    right = F.when(F.size(halves) == 2, parts(F.get(halves, F.lit(1)))).otherwise(F.array().cast("array<string>"))
-    missing = F.lit(8) - F.size(left) - F.size(right)
-    whole = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right)
-    good = text.rlike(_IPV6) & text.contains(":") & F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9a-f]{1,4}$")) & (
-        ((F.size(halves) == 2) & (missing >= 1)) | ((F.size(halves) == 1) & (missing == 0)))
-    return F.when(good, F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), ""))
-
-
-def address_key(ip) -> Column:
-    """The 32 digits of an IPv6 text; those of the mapped address for an IPv4
-    text; NULL for anything else. So ``::ffff:1.2.3.4`` equals ``1.2.3.4``."""
-    four = ipv4_to_long(ip)
-    return F.when(four.isNotNull(), four_to_key(four)).otherwise(ipv6_to_hex(ip))
-
-
-def four_to_key(four) -> Column:
-    """A 32-bit IPv4 value as the digits of its mapped IPv6 address."""
-    return F.concat(F.lit(_MAPPED), F.lpad(F.lower(F.hex(_col(four))), 8, "0"))
+    """``ipv6_digits`` of a column, in Arrow batches, once for each distinct text of a batch."""
+
+    @F.arrow_udf("string")
+    def digits(texts: pa.Array) -> pa.Array:
+        coded = texts.dictionary_encode()
+        known = pa.array([ipv6_digits(t) for t in coded.dictionary.to_pylist()], pa.string())
+        return known.take(coded.indices)
+
+    return digits(_col(ip))

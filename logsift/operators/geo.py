@@ -16,11 +16,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.functions.ip import ipv4_to_long, ipv6_to_hex
+from logsift.functions.ip import ipv4_to_long, ipv6_digits, ipv6_to_hex
 from logsift.schemas import GEO_COLUMNS
 
 UNKNOWN = "Unknown"
 BUCKET_BITS = 16
+# Leading digits of IPv4 addresses written as IPv6.
+MAPPED = "00000000000000000000ffff"
 MAX_BYTES = 256 << 20
 # Bytes of a packed range besides its names: two bounds and a code.
 _FOUR_BYTES, _SIX_BYTES = 20, 68
@@ -72,32 +74,43 @@ def _search(part: tuple, address: np.ndarray) -> np.ndarray:
 
 
 def _locator(sent):
-    """An Arrow function (IPv4 value, IPv6 digits) -> location of each row."""
+    """An Arrow function (IPv4 value, other text) -> location of each row."""
 
     @F.arrow_udf("struct<" + ", ".join(f"{c}: string" for c in GEO_COLUMNS) + ">")
-    def locate(four: pa.Array, six: pa.Array) -> pa.Array:
+    def locate(four: pa.Array, text: pa.Array) -> pa.Array:
         part4, part6, places = sent.value
         code = np.full(len(four), -1, np.int32)
         at4 = np.flatnonzero(np.asarray(four.is_valid()))
         if len(at4):
             code[at4] = _search(part4, np.asarray(four.take(pa.array(at4)), dtype=np.int64))
-        at6 = np.flatnonzero(np.asarray(six.is_valid()))
+        at6 = np.flatnonzero(np.asarray(text.is_valid()))
         if len(at6):
-            code[at6] = _search(part6, np.array(six.take(pa.array(at6)).to_pylist(), dtype="S32"))
+            coded = text.take(pa.array(at6)).dictionary_encode()
+            digits = [ipv6_digits(t) for t in coded.dictionary.to_pylist()]
+            found = np.full(len(digits), -1, np.int32)
+            # A mapped address (::ffff:1.2.3.4) is looked up as IPv4.
+            own = [k for k, d in enumerate(digits) if d is not None and not d.startswith(MAPPED)]
+            mapped = [k for k, d in enumerate(digits) if d is not None and d.startswith(MAPPED)]
+            found[own] = _search(part6, np.array([digits[k] for k in own], dtype="S32"))
+            found[mapped] = _search(part4, np.array([int(digits[k][len(MAPPED):], 16) for k in mapped], np.int64))
+            code[at6] = found[np.asarray(coded.indices)]
         take = pa.array(code, mask=code < 0)
         return pa.StructArray.from_arrays([p.take(take) for p in places], names=list(GEO_COLUMNS))
 
     return locate
 
 
+def _other_text(ip_col: str):
+    """The text where it may be an IPv6 address."""
+    return F.when(F.contains(F.col(ip_col), F.lit(":")), F.col(ip_col))
+
+
 def _addresses(df: DataFrame, ip_col: str) -> DataFrame:
-    # A mapped address (::ffff:1.2.3.4) is looked up as IPv4.
-    four = ipv4_to_long(ip_col)
-    six = F.when(four.isNull() & F.contains(F.col(ip_col), F.lit(":")), ipv6_to_hex(ip_col))
-    step = df.withColumn("_four", four).withColumn("_six", six)
-    mapped = F.col("_six").startswith("00000000000000000000ffff")
+    """``df`` with ``_four`` (IPv4 value, also of mapped addresses) and ``_six`` (IPv6 digits)."""
+    step = df.withColumn("_six", ipv6_to_hex(_other_text(ip_col)))
+    mapped = F.col("_six").startswith(MAPPED)
     return step.withColumn("_four", F.when(mapped, F.conv(F.substring("_six", 25, 8), 16, 10).cast("long")).otherwise(
-        F.col("_four"))).withColumn("_six", F.when(~mapped, F.col("_six")))
+        ipv4_to_long(ip_col))).withColumn("_six", F.when(~mapped, F.col("_six")))
 
 
 def _bucket_join(df: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -136,7 +149,7 @@ def geo_enrich(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address", max
     rows = df.select(*base)
     if packed_bytes(ranges) <= max_bytes:
         sent = df.sparkSession.sparkContext.broadcast(pack(ranges))
-        found = _addresses(rows, ip_col).withColumn("_place", _locator(sent)("_four", "_six"))
+        found = rows.withColumn("_place", _locator(sent)(ipv4_to_long(ip_col), _other_text(ip_col)))
         place = {c: F.col(f"_place.{c}") for c in GEO_COLUMNS}
     elif df.isStreaming:
         found = _bucket_join(_addresses(rows, ip_col), ranges)

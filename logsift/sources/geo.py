@@ -20,7 +20,7 @@ def ranges_from_cidr(df: DataFrame, network_col: str = "network") -> DataFrame:
     four = F.when(length.between(0, 32), ipv4_to_long(address))
     size = F.pow(F.lit(2.0), F.lit(32) - length).cast("long")
     start = four - F.pmod(four, size)
-    six = F.when(length.between(0, 128), ipv6_to_hex(address))
+    six = F.col("_six")
     # Whole digits of the prefix, then the digit that it ends in, then zeros or fs.
     whole = F.floor(length / 4).cast("int")
     digit = F.conv(F.substring(F.concat(six, F.lit("0")), whole + 1, F.lit(1)), 16, 10).cast("int")
@@ -31,7 +31,8 @@ def ranges_from_cidr(df: DataFrame, network_col: str = "network") -> DataFrame:
     def bound(last, fill):
         return F.when(six.isNotNull(), F.rpad(F.when(whole < 32, F.concat(head, F.lower(F.hex(last)))).otherwise(head), 32, fill))
 
-    out = df.select(
+    digits = ipv6_to_hex(F.when(length.between(0, 128) & F.contains(address, F.lit(":")), address))
+    out = df.withColumn("_six", digits).select(
         start.alias("start_ip"), (start + size - 1).alias("end_ip"),
         bound(low, "0").alias("start_v6"), bound(low + step - 1, "f").alias("end_v6"),
         *[F.coalesce(F.col(c), F.lit("Unknown")).alias(c) for c in ("country", "city", "region")],
