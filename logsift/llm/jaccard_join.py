@@ -212,7 +212,7 @@ def bucket_links(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def exact_links(sets: list[np.ndarray], side: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of sets (sorted distinct shingles) with at least this Jaccard
-    similarity; across sides only if there are two."""
+    similarity; only across sides unless the sides are -1."""
     m = len(sets)
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(m), size)
@@ -239,7 +239,7 @@ def exact_links(sets: list[np.ndarray], side: np.ndarray, similarity: Fraction)
     shared = common.astype(np.int64)
     p, q = similarity.numerator, similarity.denominator
     linked = shared * (p + q) >= p * (size[:, None] + size[None, :])
-    if (side != side[0]).any():
+    if side[0] >= 0:
         linked &= side[:, None] != side[None, :]
     return np.nonzero(np.triu(linked, 1))
 
@@ -360,12 +360,14 @@ def verified(docs: DataFrame, members: DataFrame, similarity: Fraction, id_col:
             other = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
             low, high = np.minimum(block[row], other), np.maximum(block[row], other)
             cell = mix64(component[row] * _ODD[0] + (low * (1 << 20) + high).astype(np.uint64) * _ODD[2])
+            # The cell of a block with itself has no sides; a cell of two blocks keeps them even if one is empty.
+            side = np.where(low == high, -1, block[row])
             taken = part.take(pa.array(row))
             # A row for every cell holds its set: written in slices so that no batch grows large.
             for lo in range(0, len(row), 256):
                 hi = min(lo + 256, len(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell[lo:hi].view(np.int64)), pa.array(block[row][lo:hi].astype(np.int32)),
+                    [pa.array(cell[lo:hi].view(np.int64)), pa.array(side[lo:hi].astype(np.int32)),
                      *[taken.column(c).slice(lo, hi - lo) for c in ("_node", "k1", "w")],
                      pa.array([sets[k] for k in row[lo:hi].tolist()], pa.binary())],
                     names=["cell", "side", "node", "k1", "w", "set"])
@@ -381,7 +383,7 @@ def verified(docs: DataFrame, members: DataFrame, similarity: Fraction, id_col:
                 # Repeated rows of one id bring a class's set more than once.
                 _, one = np.unique(k1[lo:hi], return_index=True)
                 one = np.sort(one) + lo
-                if len(one) < 2:
+                if len(one) < 2 or side[lo] >= 0 and (side[one] == side[lo]).all():
                     continue
                 a, b = exact_links([np.frombuffer(sets[k].as_py(), np.uint64) for k in one.tolist()], side[one], similarity)
                 if not len(a):

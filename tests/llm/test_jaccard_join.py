@@ -76,6 +76,15 @@ def test_large_buckets_are_split_the_same(spark, monkeypatch):
     check(spark, corpus())
 
 
+def test_empty_blocks_count_nothing(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_SHINGLES", 20)
+    rows, at = [], 0
+    for n in (2, 3, 4, 5):
+        rows += list(enumerate(near_copies(n, 120, 1, 20 + n), at))
+        at += n
+    check(spark, rows)
+
+
 def test_odd_rows(spark):
     got = J.jaccard_join(odd_docs(spark)).collect()
     assert len(got) == len(ODD_ROWS)
