@@ -18,10 +18,14 @@ different near copies is therefore g * g / 2 comparisons, as exact link counts
 need, but neither rows nor memory of a task grow with it.
 
 Equal word sequences are one class from the start; copies are never expanded.
+A class is known by the key of its words, never by an id: rows that repeat an id
+with other words are other documents.
 
 Defined cases: fewer than five words, but not none, are one shingle; null and
 wordless texts link with nothing; rows with a null id link with nothing; rows
-that repeat an id are all reported; the smallest id of a group is kept.
+that repeat an id are all reported; the smallest id of a group is kept (the
+stage keeps one document of a group, of those with its smallest id the one with
+the smallest key).
 """
 
 from __future__ import annotations
@@ -34,8 +38,9 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from logsift.llm.common import Sent, Words, chunks, join_classes, mix64, text_bytes, whole_groups
 from logsift.llm.components import connected_components, local_roots
@@ -73,11 +78,22 @@ def runs_for(recall: float = RECALL) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - survives))
 
 
-def shingles(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(hashed shingles of all texts, where each text's begin, 16-byte key of each word sequence)."""
+def word_keys(buf: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
+    """(words, their hashes, two longs that are the key of each text's word
+    sequence; a wordless text's key is that of its bytes)."""
     words = Words(buf, offsets)
     hashed = np.fromiter(map(xxhash.xxh64_intdigest, words.values.to_pylist()), np.uint64, len(words.values))
     seq = mix64(hashed)[words.code] if len(words.code) else np.zeros(0, np.uint64)
+    first, raw = words.first(), seq.tobytes()
+    keys = [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() if a < b
+            else hashlib.blake2b(buf[lo:hi].tobytes(), digest_size=16, person=b"wordless").digest()
+            for a, b, lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), offsets[:-1].tolist(), offsets[1:].tolist())]
+    return words, seq, np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+
+
+def shingles(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashed shingles of all texts, where each text's begin, key of each word sequence)."""
+    words, seq, keys = word_keys(buf, offsets)
     first, count = words.first(), words.count
     many = np.where(count >= SHINGLE, count - SHINGLE + 1, (count > 0).astype(np.int64))
     start = np.concatenate([[0], np.cumsum(many)])
@@ -89,9 +105,6 @@ def shingles(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for k in range(SHINGLE):
         total += np.where(k < left, padded[at + k] * _ODD[2 * TOKENS + k], np.uint64(0))
     total += np.minimum(left, SHINGLE).astype(np.uint64)
-    raw = seq.tobytes()
-    keys = [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest()
-            for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
     return mix64(total), start, keys
 
 
@@ -245,16 +258,14 @@ def exact_links(sets: list[np.ndarray], side: np.ndarray, similarity: Fraction)
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, k1, k2: key of the word sequence, n shingles, sketch); no key without words."""
+    """(id, k1, k2: key of the word sequence, n shingles, sketch); no shingles without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, text_col):
-            values, start, keys = shingles(*text_bytes(part.column(text_col)))
+            values, start, key = shingles(*text_bytes(part.column(text_col)))
             tokens = embed(values, start)
-            none = np.diff(start) == 0
-            key = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [part.column(id_col), pa.array(key[:, 0], mask=none), pa.array(key[:, 1], mask=none),
+                [part.column(id_col), pa.array(key[:, 0]), pa.array(key[:, 1]),
                  pa.array(np.diff(start)), pa.array([t.tobytes() for t in tokens], pa.binary())],
                 names=["id", "k1", "k2", "n", "sketch"])
 
@@ -263,7 +274,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _paths(classes: DataFrame, runs: int, hot: list, blocks: dict) -> DataFrame:
-    """(cell, side, depth, node, sketch) of every set on every path."""
+    """(cell, side, depth, node, sketch) of every set on every path; the node is the class's first key."""
     sent = Sent(classes.sparkSession, (hot, blocks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +283,7 @@ def _paths(classes: DataFrame, runs: int, hot: list, blocks: dict) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            node = batch.column("node").to_numpy()
+            node = batch.column("k1").to_numpy()
             row, path, depth = walk(_matrix(batch.column("sketch"), np.uint16, TOKENS), runs, hot)
             side = np.zeros(len(row), np.int32)
             plain = ~np.isin(path, wide)
@@ -293,7 +304,7 @@ def _paths(classes: DataFrame, runs: int, hot: list, blocks: dict) -> DataFrame:
                  pa.array(np.concatenate(depths), pa.int32()), pa.array(node[row]),
                  batch.column("sketch").take(pa.array(row))], names=["cell", "side", "depth", "node", "sketch"])
 
-    return classes.select("node", "sketch").mapInArrow(run, "cell long, side int, depth int, node long, sketch binary")
+    return classes.select("k1", "sketch").mapInArrow(run, "cell long, side int, depth int, node long, sketch binary")
 
 
 def _path_counts(classes: DataFrame, runs: int, hot: list, depth: int) -> DataFrame:
@@ -336,24 +347,35 @@ def candidates(classes: DataFrame, n_classes: int, recall: float) -> DataFrame:
 
 
 def verified(docs: DataFrame, members: DataFrame, similarity: Fraction, id_col: str, text_col: str) -> DataFrame:
-    """Exact links inside candidate components: (k1, node, root, links) rows to be
-    summed by k1. ``members``: node, k1, w, blocks of its component, component."""
+    """Exact links inside candidate components: (k1, root, links) rows to be summed
+    by k1. ``members``: k1, low (the class's smallest id), w, blocks of its component, component."""
     n = members.count()
-    rep = members.select(F.col("node").alias("_node"), "k1", "w", "component", "blocks")
+    rep = members.select("k1", F.col("low").alias("_id"), "w", "component", "blocks")
     if n * 48 <= BROADCAST_BYTES:
         rep = F.broadcast(rep)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = texts.join(rep, F.col("_id") == F.col("_node")).select("_node", "k1", "w", "component", "blocks", "_text")
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "_text"):
+            _, _, key = word_keys(*text_bytes(part.column("_text")))
+            yield part.append_column("k1", pa.array(key[:, 0]))
+
+    # One text of a class is enough: by id and key, so that an id with many texts meets each class once.
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).filter(F.col("_id").isNotNull())
+    rows = texts.mapInArrow(keyed, "_id long, _text string, k1 long").join(rep, ["_id", "k1"]).select(
+        "k1", "w", "component", "blocks", "_text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for part in chunks(batches, "_text"):
-            values, start, keys = shingles(*text_bytes(part.column("_text")))
-            own = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)[:, 0]
-            # Another text under the same id is not the class's.
-            good = np.flatnonzero(own == part.column("k1").to_numpy())
-            sets = [np.unique(values[start[k]:start[k + 1]]).tobytes() for k in good.tolist()]
-            part = part.select(["_node", "k1", "w", "component", "blocks"]).take(pa.array(good))
-            node, blocks = part.column("_node").to_numpy(), part.column("blocks").to_numpy()
+            # Repeated rows bring a class's text more than once.
+            fresh = [k for k, key in enumerate(part.column("k1").to_pylist()) if key not in sent and not sent.add(key)]
+            part = part.take(pa.array(fresh, pa.int64()))
+            if not part.num_rows:
+                continue
+            values, start, _ = shingles(*text_bytes(part.column("_text")))
+            sets = [np.unique(values[a:b]).tobytes() for a, b in zip(start[:-1].tolist(), start[1:].tolist())]
+            part = part.select(["k1", "w", "component", "blocks"])
+            node, blocks = part.column("k1").to_numpy(), part.column("blocks").to_numpy()
             component = part.column("component").to_numpy().view(np.uint64)
             block = (mix64(node.view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
             row = np.repeat(np.arange(len(node)), blocks)
@@ -368,19 +390,19 @@ def verified(docs: DataFrame, members: DataFrame, similarity: Fraction, id_col:
                 hi = min(lo + 256, len(row))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cell[lo:hi].view(np.int64)), pa.array(side[lo:hi].astype(np.int32)),
-                     *[taken.column(c).slice(lo, hi - lo) for c in ("_node", "k1", "w")],
+                     *[taken.column(c).slice(lo, hi - lo) for c in ("k1", "w")],
                      pa.array([sets[k] for k in row[lo:hi].tolist()], pa.binary())],
-                    names=["cell", "side", "node", "k1", "w", "set"])
+                    names=["cell", "side", "k1", "w", "set"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell", 16 << 20):
             cell, side = table.column("cell").to_numpy(), table.column("side").to_numpy()
-            node, k1, w = (table.column(c).to_numpy() for c in ("node", "k1", "w"))
+            k1, w = (table.column(c).to_numpy() for c in ("k1", "w"))
             sets = table.column("set")
             edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], []]
             for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(cell)]):
-                # Repeated rows of one id bring a class's set more than once.
+                # Repeated rows in several tasks bring a class's set more than once.
                 _, one = np.unique(k1[lo:hi], return_index=True)
                 one = np.sort(one) + lo
                 if len(one) < 2 or side[lo] >= 0 and (side[one] == side[lo]).all():
@@ -391,59 +413,87 @@ def verified(docs: DataFrame, members: DataFrame, similarity: Fraction, id_col:
                 links = np.bincount(a, w[one][b], len(one)) + np.bincount(b, w[one][a], len(one))
                 root = local_roots(len(one), a, b)
                 on = np.flatnonzero(links)
-                for column, x in zip(out, (k1[one][on], node[one][on], node[one][root[on]], links[on].astype(np.int64))):
+                for column, x in zip(out, (k1[one][on], k1[one][root[on]], links[on].astype(np.int64))):
                     column.append(x)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in out], names=["k1", "node", "root", "links"])
+                [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in out], names=["k1", "root", "links"])
 
-    spread = rows.mapInArrow(cut, "cell long, side int, node long, k1 long, w long, set binary")
+    spread = rows.mapInArrow(cut, "cell long, side int, k1 long, w long, set binary")
     return spread.repartition(F.col("cell")).sortWithinPartitions("cell").mapInArrow(
-        check, "k1 long, node long, root long, links long")
+        check, "k1 long, root long, links long")
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY,
-                 recall: float = RECALL) -> DataFrame:
-    """Per row of ``docs``: id, class_id (smallest id with the same words),
-    n_links (other rows linked directly, copies included), component_id
-    (smallest id reachable by links), kept."""
-    if similarity != SIMILARITY:
-        raise ValueError("the embedding's parameters are set for a similarity of 0.8")
+def _judged(docs: DataFrame, id_col: str, text_col: str, recall: float) -> DataFrame:
+    """(id, k1, k2, class_id, n_links, component_id, lead) of every row; the lead
+    class of a component is the one of its smallest id (of several, the smallest key)."""
     rows = persist(sketches(docs, id_col, text_col), "jaccard-sketches")
-    worded = rows.filter(F.col("k1").isNotNull() & F.col("id").isNotNull())
+    worded = rows.filter((F.col("n") > 0) & F.col("id").isNotNull())
     classes = persist(worded.groupBy("k1", "k2").agg(
-        F.min(F.col("id").cast("long")).alias("node"), F.count("*").alias("w"), F.first("n").alias("n"),
+        F.min(F.col("id").cast("long")).alias("low"), F.count("*").alias("w"), F.first("n").alias("n"),
         F.first("sketch").alias("sketch")), "jaccard-classes")
     n_rows, n_classes = rows.count(), classes.count()
     near = persist(connected_components(candidates(classes, n_classes, recall)), "jaccard-near")
     # Blocks of each candidate component, by its shingles and sets.
-    inside = persist(classes.drop("sketch").join(near, "node"), "jaccard-inside")
+    inside = persist(classes.drop("sketch").join(near.withColumnRenamed("node", "k1"), "k1"), "jaccard-inside")
     size = inside.groupBy("component").agg(F.sum("n").alias("_n"), F.count("*").alias("_sets")).select(
         "component", "_sets", F.greatest(F.ceil(F.col("_n") / BLOCK_SHINGLES), F.ceil(F.col("_sets") / BLOCK_SETS)).alias("blocks"))
     members = persist(join_classes(inside, persist(size, "jaccard-sizes"), "component", "_sets", inside.count()), "jaccard-members")
-    links = persist(verified(docs, members, similarity, id_col, text_col), "jaccard-links")
-    part_of = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    links = persist(verified(docs, members, SIMILARITY, id_col, text_col), "jaccard-links")
+    part_of = connected_components(links.select(F.col("k1").alias("u"), F.col("root").alias("v")))
+    # Components are named by a key; their smallest id is looked up by it.
+    joined = persist(classes.select("k1", "low").join(part_of.withColumnRenamed("node", "k1"), "k1"), "jaccard-joined")
+    heads = joined.groupBy("component").agg(F.min(F.struct("low", "k1")).alias("head"), F.count("*").alias("_sets")).select(
+        "component", "_sets", F.col("head.low").alias("component_id"), F.col("head.k1").alias("lead_key"))
+    named = join_classes(joined, persist(heads, "jaccard-heads"), "component", "_sets", joined.count()).select("k1", "component_id", "lead_key")
     linked = links.groupBy("k1").agg(F.sum("links").alias("links"))
     result = persist(
-        classes.select("k1", "node", "w").join(linked, "k1", "left").join(part_of, "node", "left")
-        .select("k1", "w", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"),
-                (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links")), "jaccard-result")
-    joined = join_classes(worded.select("id", "k1"), result, "k1", "w", n_rows)
-    alone = rows.filter(F.col("k1").isNull() | F.col("id").isNull()).select("id", "k1")
-    return joined.select(F.col("id").alias(id_col), "class_id", "n_links", "component_id",
-                         (F.col("id") == F.col("component_id")).alias("kept")).unionByName(
-        alone.select(F.col("id").alias(id_col), F.col("id").cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-                     F.col("id").cast("long").alias("component_id"), F.lit(True).alias("kept")))
+        classes.select("k1", "low", "w").join(linked, "k1", "left").join(named, "k1", "left")
+        .select("k1", "w", F.col("low").alias("class_id"), F.coalesce("component_id", "low").alias("component_id"),
+                (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"),
+                (F.coalesce("lead_key", "k1") == F.col("k1")).alias("lead")), "jaccard-result")
+    found = join_classes(worded.select("id", "k1", "k2"), result, "k1", "w", n_rows).select(
+        "id", "k1", "k2", "class_id", "n_links", "component_id", "lead")
+    alone = rows.filter((F.col("n") == 0) | F.col("id").isNull())
+    own = F.col("id").cast("long")
+    return found.unionByName(alone.select("id", "k1", "k2", own.alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+                                          own.alias("component_id"), F.lit(True).alias("lead")))
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY,
+                 recall: float = RECALL) -> DataFrame:
+    """Per row of ``docs``: id, class_id (smallest id with the same words),
+    n_links (other rows linked directly, copies included), component_id
+    (smallest id reachable by links), kept."""
+    if similarity != SIMILARITY:
+        raise ValueError("the embedding's parameters are set for a similarity of 0.8")
+    return _judged(docs, id_col, text_col, recall).select(
+        F.col("id").alias(id_col), "class_id", "n_links", "component_id",
+        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _free(name: str, columns: list[str]) -> str:
+    while name in columns:
+        name += "_"
+    return name
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of linked documents: the smallest
-    id (of repeated rows with that id and text, one). Rows without an id stay."""
-    found = jaccard_join(docs, id_col, text_col)
-    kept = persist(found.filter("kept").select(id_col).distinct(), "jaccard-kept")
-    # The ids are spread over the texts' shuffle; a repeated id keeps its first row by text.
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    mark = "_first"
-    while mark in docs.columns:
-        mark += "_"
-    stay = docs.join(kept, id_col, "left_semi").withColumn(mark, first).filter(F.col(mark) == 1)
+    id (of repeated rows with that id and those words, the smallest text). Rows without an id stay."""
+    k1, k2 = (_free(k, docs.columns) for k in ("_key1", "_key2"))
+    own = F.col("id").cast("long") == F.col("component_id")
+    kept = persist(_judged(docs, id_col, text_col, RECALL).filter(F.col("lead") & own).select(
+        F.col("id").alias(id_col), F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct(), "jaccard-kept")
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, text_col):
+            _, _, key = word_keys(*text_bytes(part.column(text_col)))
+            yield part.append_column(k1, pa.array(key[:, 0])).append_column(k2, pa.array(key[:, 1]))
+
+    schema = StructType([*docs.schema.fields, StructField(k1, LongType()), StructField(k2, LongType())])
+    texts = docs.filter(F.col(id_col).isNotNull()).mapInArrow(keyed, schema)
+    # Repeated rows of an id and its words are combined before the shuffle, so neither a hot id nor a hot text meets in one task.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = texts.groupBy(id_col, k1, k2).agg(F.min_by(row, F.coalesce(F.col(text_col), F.lit(""))).alias("_row"))
+    stay = one.join(kept, [id_col, k1, k2], "left_semi").select("_row.*")
     return stay.select(docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

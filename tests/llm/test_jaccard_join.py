@@ -109,6 +109,17 @@ def test_stage_keeps_one_of_each_group(spark):
     assert kept.filter("doc_id IS NULL").count() == 1
 
 
+def test_an_id_with_unrelated_texts(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, b + " end"), (8, c), (8, c.upper()), (8, c + " end"), (9, ""), (9, "!"), (9, "!")]
+    got = J.jaccard_join(odd_docs(spark, rows))
+    assert {(r.doc_id, r.class_id, r.n_links, r.component_id, r.kept) for r in got.collect()} == {
+        (3, 3, 1, 3, True), (5, 3, 1, 3, False), (5, 5, 1, 5, True), (7, 7, 1, 5, False), (8, 8, 2, 8, True), (9, 9, 0, 9, True)}
+    kept = [(r.doc_id, r.text) for r in J.keep_one_of_each(odd_docs(spark, rows)).collect()]
+    assert sorted(k for k in kept if k[0] != 8) == [(3, a), (5, b), (9, ""), (9, "!")]
+    assert [k[1] in (c.upper(), c + " end") for k in kept if k[0] == 8] == [True]
+
+
 def test_recall_of_runs_at_the_similarity():
     rng = np.random.default_rng(0)
     met = 0
