@@ -28,14 +28,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Sent, join_classes, mix64, whole_groups
+from logsift.llm.common import join_classes, mix64, whole_groups
 from logsift.llm.components import connected_components, local_roots
 from logsift.session import persist
 
 SIMILARITY = 0.9
 RECALL = 0.9999
-# Unrelated vectors expected in a bucket, and vectors of a block in a bucket that holds more.
-BUCKET, BLOCK = 64, 2000
+# Unrelated vectors expected in a bucket, vectors of a block in a bucket that holds more (whatever
+# the size of the input), and rows of a cell compared at once.
+BUCKET, BLOCK, STRIP = 64, 2000, 1024
 
 
 def tables_for(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int]:
@@ -109,14 +110,12 @@ def _by_length(column: pa.Array, packed: np.dtype) -> Iterator[tuple[np.ndarray,
         yield rows, unpack([raw[k] for k in rows.tolist()], packed)
 
 
-def _cells(classes: DataFrame, packed: np.dtype, bits: int, tables: int, wide: dict, with_vectors: bool) -> DataFrame:
+def _cells(classes: DataFrame, packed: np.dtype, bits: int, tables: int, with_vectors: bool) -> DataFrame:
     """(cell, side, t, k1, node, w, sig, vec) of every class in every table, or
-    the cells alone. ``wide``: blocks of the buckets with too many classes."""
-    sent = Sent(classes.sparkSession, wide)
+    (k1, t, cell) alone. ``wide`` of a class: (t, blocks) of its buckets with too
+    many classes. The side is the row's block in a cell of two blocks, else -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = sent.value
-        large = np.array(sorted(wide), np.int64)
         for batch in batches:
             for rows, x in _by_length(batch.column("vec"), packed) if batch.num_rows else ():
                 sig = signatures(unit_rows(x), bits, tables)
@@ -124,21 +123,30 @@ def _cells(classes: DataFrame, packed: np.dtype, bits: int, tables: int, wide: d
                 cell = mix64(base[None, :] + sig.astype(np.uint64)).view(np.int64).ravel()
                 row = np.repeat(np.arange(len(rows)), tables)
                 table = np.tile(np.arange(tables), len(rows))
-                if not with_vectors:
-                    yield pa.RecordBatch.from_arrays([pa.array(cell)], names=["cell"])
-                    continue
                 part = batch.take(pa.array(rows))
                 k1 = part.column("k1").to_numpy()
-                side = np.zeros(len(row), np.int32)
-                plain = ~np.isin(cell, large)
+                if not with_vectors:
+                    for lo in range(0, len(row), 65536):
+                        own = slice(lo, lo + 65536)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(k1[row[own]]), pa.array(table[own].astype(np.int32)), pa.array(cell[own])], names=["k1", "t", "cell"])
+                    continue
+                side = np.full(len(row), -1, np.int32)
+                blocks = np.ones((len(rows), tables), np.int64)
+                for k, found in enumerate(part.column("wide").to_pylist()):
+                    for w in found or ():
+                        blocks[k, w["t"]] = w["blocks"]
+                blocks = blocks.ravel()
+                plain = blocks == 1
                 out = [(row[plain], table[plain], cell[plain], side[plain])]
                 for c in np.unique(cell[~plain]).tolist():
                     here = np.flatnonzero(cell == c)
-                    block = (mix64(k1[row[here]].view(np.uint64)) % np.uint64(wide[c])).astype(np.int32)
-                    for other in range(wide[c]):
+                    count = int(blocks[here[0]])
+                    block = (mix64(k1[row[here]].view(np.uint64)) % np.uint64(count)).astype(np.int32)
+                    for other in range(count):
                         low, high = np.minimum(block, other), np.maximum(block, other)
                         own = mix64(np.int64(c).view(np.uint64) ^ mix64((low.astype(np.uint64) << np.uint64(32)) + high.astype(np.uint64) + np.uint64(1)))
-                        out.append((row[here], table[here], own.view(np.int64), block))
+                        out.append((row[here], table[here], own.view(np.int64), np.where(low == high, np.int32(-1), block)))
                 row, table, cell, side = (np.concatenate(c) for c in zip(*out))
                 raw_sig = [s.tobytes() for s in sig.astype(signature_type(bits))]
                 for lo in range(0, len(row), 8192):
@@ -151,36 +159,38 @@ def _cells(classes: DataFrame, packed: np.dtype, bits: int, tables: int, wide: d
                         names=["cell", "side", "t", "k1", "node", "w", "sig", "vec"])
 
     if not with_vectors:
-        return classes.select("vec").mapInArrow(run, "cell long")
-    return classes.select("k1", "node", "w", "vec").mapInArrow(
+        return classes.select("k1", "vec").mapInArrow(run, "k1 long, t int, cell long")
+    return classes.select("k1", "node", "w", "vec", "wide").mapInArrow(
         run, "cell long, side int, t int, k1 long, node long, w long, sig binary, vec binary")
 
 
-def cell_links(x: np.ndarray, sig: np.ndarray, table: int, side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows with cosine >= ``similarity`` that share no earlier table."""
-    unit = unit_rows(x)
-    mixed = bool((side != side[0]).any())
-    found = [(np.zeros(0, np.int64),) * 2]
-    for lo in range(0, len(x), 1024):
-        close = unit[lo:lo + 1024] @ unit.T >= similarity - 1e-9
-        a, b = np.nonzero(close)
-        a = a + lo
-        on = a < b
-        if mixed:
-            on &= side[a] != side[b]
-        found.append((a[on], b[on]))
-    a, b = (np.concatenate(c) for c in zip(*found))
-    if len(a):
+def cell_links(x: np.ndarray, sig: np.ndarray, table: int, side: np.ndarray, weight: np.ndarray,
+               similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(links, root) of each row by the pairs with cosine >= ``similarity`` that
+    share no earlier table; of two sides only pairs across. Pairs are summed
+    strip by strip and never held for the whole cell."""
+    n = len(x)
+    unit, norm = unit_rows(x), np.sqrt((x * x).sum(axis=1))
+    many, root, every = np.zeros(n), np.arange(n), np.arange(n)
+    for lo in range(0, n, STRIP):
+        close = unit[lo:lo + STRIP] @ unit[lo:].T >= similarity - 1e-9
+        if side[0] >= 0:
+            close &= side[lo:lo + STRIP, None] != side[None, lo:]
+        a, b = np.nonzero(np.triu(close, 1))
         # Exact check, as dot(a, b) / (|a| |b|).
-        norm = np.sqrt((x * x).sum(axis=1))
-        on = np.zeros(len(a), bool)
-        for lo in range(0, len(a), 100_000):
-            i, j = a[lo:lo + 100_000], b[lo:lo + 100_000]
+        for at in range(0, len(a), 100_000):
+            i, j = a[at:at + 100_000] + lo, b[at:at + 100_000] + lo
             exact = (x[i] * x[j]).sum(axis=1) / (norm[i] * norm[j])
             exact = np.where(np.isfinite(exact), exact, (unit[i] * unit[j]).sum(axis=1))
-            on[lo:lo + 100_000] = (exact >= similarity) & ~(sig[i, :table] == sig[j, :table]).any(axis=1)
-        a, b = a[on], b[on]
-    return a, b
+            on = (exact >= similarity) & ~(sig[i, :table] == sig[j, :table]).any(axis=1)
+            i, j = i[on], j[on]
+            if len(i):
+                many += np.bincount(i, weight[j], n) + np.bincount(j, weight[i], n)
+                # Pairs that the forest joins already add nothing to it.
+                new = root[i] != root[j]
+                if new.any():
+                    root = local_roots(n, np.concatenate([every, i[new]]), np.concatenate([root, j[new]]))
+    return many, root
 
 
 def signature_type(bits: int) -> np.dtype:
@@ -189,12 +199,16 @@ def signature_type(bits: int) -> np.dtype:
 
 def links(classes: DataFrame, packed: np.dtype, bits: int, tables: int, similarity: float) -> DataFrame:
     """(k1, node, root, links) rows: link counts to be summed by k1, and a forest."""
-    large = _cells(classes, packed, bits, tables, {}, False).groupBy("cell").count()
-    # Few: each holds over BLOCK classes, or a share of them that bounds their number.
-    n = classes.count()
-    bound = max(BLOCK, n * tables // 100_000)
-    wide = {r["cell"]: -(-r["count"] // bound) for r in large.filter(F.col("count") > bound).collect()}
-    cells = _cells(classes, packed, bits, tables, wide, True)
+    light = _cells(classes, packed, bits, tables, False)
+    wide = persist(light.groupBy("cell").count().filter(F.col("count") > BLOCK), "vector-wide")
+    if wide.isEmpty():
+        known = classes.withColumn("wide", F.lit(None).cast("array<struct<t:int,blocks:long>>"))
+    else:
+        # Each class learns the blocks of its wide buckets, however many of those there are.
+        own = join_classes(light, wide, "cell", "count", classes.count() * tables).groupBy("k1").agg(
+            F.collect_list(F.struct("t", F.ceil(F.col("count") / BLOCK).alias("blocks"))).alias("wide"))
+        known = classes.join(own, "k1", "left")
+    cells = _cells(known, packed, bits, tables, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell"):
@@ -208,12 +222,7 @@ def links(classes: DataFrame, packed: np.dtype, bits: int, tables: int, similari
                 if hi - lo < 2:
                     continue
                 x = unpack(raw[lo:hi], packed)
-                a, b = cell_links(x, sig[lo:hi], int(t[lo]), side[lo:hi], similarity)
-                if not len(a):
-                    continue
-                weight = w[lo:hi]
-                many = np.bincount(a, weight[b], hi - lo) + np.bincount(b, weight[a], hi - lo)
-                root = local_roots(hi - lo, a, b)
+                many, root = cell_links(x, sig[lo:hi], int(t[lo]), side[lo:hi], w[lo:hi], similarity)
                 on = np.flatnonzero(many)
                 for column, v in zip(out, (k1[lo:hi][on], node[lo:hi][on], node[lo:hi][root[on]], many[on].astype(np.int64))):
                     column.append(v)

@@ -69,6 +69,25 @@ def test_large_buckets_in_blocks(spark, monkeypatch):
     check(spark, vectors())
 
 
+def test_block_size_does_not_grow_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(E, "BLOCK", 3)
+    monkeypatch.setattr(E, "STRIP", 4)
+    made, links = [], E.cell_links
+    x = np.random.default_rng(4).standard_normal((30, 8)) * 0.01 + np.arange(1, 9)
+    side, one = np.full(30, -1, np.int32), np.ones(30, np.int64)
+    many, root = links(x, np.zeros((30, 1), np.uint16), 0, side, one, 0.9)
+    assert (many == 29).all() and (root == 0).all()
+    many, root = links(x, np.zeros((30, 1), np.uint16), 0, side + 1, one, 0.9)
+    assert not many.any() and (root == np.arange(30)).all()
+    rows = [(k, [float(c) for c in v]) for k, v in enumerate(np.float32(x))]
+    classes = E._classes(table(spark, rows), "vec_id", "embedding").selectExpr("k1", "id AS node", "1L AS w", "vec")
+    monkeypatch.setattr(E, "_cells", lambda *a, own=E._cells: made.append(a[0]) or own(*a))
+    # So many tables that a share of the rows would exceed the block.
+    E.links(classes, np.dtype(np.float32), 4, 15_000, 0.9)
+    blocks = [w.blocks for r in made[-1].select("wide").collect() for w in r.wide]
+    assert max(blocks) == 10
+
+
 def test_odd_vectors(spark):
     rows = [(0, None), (1, []), (2, [0.0, 0.0]), (3, [None, 1.0]), (4, [NAN, 1.0]), (5, [INF, 1.0]), (6, [1.0, 0.0]), (7, [1.0, -0.0]),
             (8, [5.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [-1.0, 0.0]), (11, [1e-30, 0.0]), (12, [3e38, 1e37]), (13, [None, None])]
