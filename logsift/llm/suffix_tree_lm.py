@@ -5,10 +5,13 @@ a line feed at a text's start and end, so the tree spells unknown tokens too.
 Contexts are the up to DEPTH symbols before a symbol. Counting: every task packs
 each symbol with its context into one integer, counts the distinct ones and
 sends them as sorted arrays by the last two symbols of the context; tasks are
-merged sixty-four at a time, then all. A context is a candidate if it makes up
-at least LEAST_SHARE of all training symbols, so there are at most
-DEPTH / LEAST_SHARE of them whatever the corpus (they go to the driver and back
-by broadcast). It is retained if the next-symbol distribution behind it diverges
+merged sixty-four at a time, then all. A context is a candidate from two training
+symbols on, whatever the size of the corpus, so the model grows with it. All
+contexts with the same last two symbols are in one bucket, so a bucket's part of
+the tree is built and used in one task: the symbols to score are sent to their
+bucket (distinct ones of a chunk, with their places), scored there, and the sums
+by text go back. Only contexts of at most one symbol are held by every task.
+A context is retained if the next-symbol distribution behind it diverges
 from that behind its suffix, by more than chance. A retained distribution is
 smoothed by that of the next shorter retained suffix, which weighs as much as
 there are kinds of symbols behind the context; the root gives every byte a chance.
@@ -40,7 +43,9 @@ from logsift.session import persist
 HELD_OUT_FOLD = 1
 # Symbols of context; the packed context and next symbol fit 8 bytes up to 7.
 DEPTH = 6
-LEAST_SHARE = 2.5e-6
+# A candidate has at least two training symbols behind it, and this share of all: none, so that
+# a larger corpus loses no context.
+LEAST_SHARE = 0.0
 # Retained if the next symbols diverge by so many nats from those behind the suffix, and
 # by so many in sum over the context's places for each kind of next symbol.
 DIVERGENCE, EVIDENCE = 0.002, 2.0
@@ -49,9 +54,9 @@ FREQUENT, FREQUENT_BYTES = 1e-6, 64
 BUCKETS = 256
 # Text bytes handled at once; the packed symbols take some forty times as much.
 CHUNK = 2 << 20
-_CACHE_BITS = 21
 
 EDGE, SPACE = 10, 32
+_ASKED = pa.list_(pa.struct([("bucket", pa.int32()), ("grams", pa.binary()), ("many", pa.binary()), ("at", pa.binary())]))
 
 
 def stream(buf: np.ndarray, words: Words, n_docs: int, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -106,20 +111,38 @@ def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
     return key[start], np.add.reduceat(count, start) if len(start) else count
 
 
-def _blobs(key: np.ndarray, count: np.ndarray, depth: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Sorted counts by bucket; a bucket holds whole contexts of two symbols."""
+def _by_bucket(key: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its keys); a bucket holds whole contexts of two symbols."""
     bucket = (mix64(key >> np.uint64(8 * (depth - 1))) % np.uint64(BUCKETS)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
     for b in range(BUCKETS):
-        own = order[edges[b]:edges[b + 1]]
-        if len(own):
-            yield b, key[own].tobytes(), count[own].tobytes()
+        if edges[b] < edges[b + 1]:
+            yield b, order[edges[b]:edges[b + 1]]
 
 
+def shorter(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts without the farthest symbol of each context."""
+    return merge_counts([((key >> np.uint64(16) << np.uint64(8)) | (key & np.uint64(255)), n)])
 
-def gram_counts(docs: DataFrame, text_col: str, least: int, depth: int = DEPTH) -> DataFrame:
-    """(depth, gram, n) of every context with at least ``least`` training symbols behind it."""
+
+def candidates(key: np.ndarray, n: np.ndarray, least: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(depth, gram, n) of a bucket's contexts of two symbols and more with at least ``least`` symbols behind them."""
+    found = []
+    for d in range(depth, 1, -1):
+        if d < depth:
+            key, n = shorter(key, n)
+        context = key >> np.uint64(8)
+        start = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        total = np.repeat(np.add.reduceat(n, start), np.diff(np.append(start, len(key))))
+        # A context that reaches beyond the text's start has a zero in its farthest place.
+        good = (total >= least) & ((context & np.uint64(255)) != 0)
+        found.append((np.full(int(good.sum()), d), key[good], n[good]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def gram_counts(docs: DataFrame, text_col: str, depth: int = DEPTH) -> DataFrame:
+    """(bucket, grams, counts): sorted distinct symbols with their contexts and their number, some rows a bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
@@ -132,7 +155,8 @@ def gram_counts(docs: DataFrame, text_col: str, least: int, depth: int = DEPTH)
             if len(parts) == 8:
                 parts = [merge_counts(parts)]
         team = TaskContext.get().partitionId() // 64
-        rows = list(_blobs(*merge_counts(parts), depth))
+        key, n = merge_counts(parts)
+        rows = [(b, key[own].tobytes(), n[own].tobytes()) for b, own in _by_bucket(key, depth)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([b for b, _, _ in rows], pa.int32()), pa.array([team] * len(rows), pa.int32()),
              pa.array([k for _, k, _ in rows], pa.binary()), pa.array([n for _, _, n in rows], pa.binary())],
@@ -159,27 +183,85 @@ def gram_counts(docs: DataFrame, text_col: str, least: int, depth: int = DEPTH)
                 [pa.array([at["bucket"]], pa.int32()), pa.array([key.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
                 names=["bucket", "grams", "counts"])
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, key, n in combine(batches, ["bucket"]):
-            for d in range(depth, -1, -1):
-                if d < depth:
-                    # Drop the farthest symbol of the context.
-                    key = (key >> np.uint64(16) << np.uint64(8)) | (key & np.uint64(255))
-                    key, n = merge_counts([(key, n)])
-                context = key >> np.uint64(8)
-                start = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-                total = np.repeat(np.add.reduceat(n, start), np.diff(np.append(start, len(key))))
-                # A context that reaches beyond the text's start has a zero in its farthest place.
-                good = (total >= least) & ((context & np.uint64(255)) != 0) if d > 1 else np.ones(len(key), bool)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(int(good.sum()), d, np.int32)), pa.array(key[good].view(np.int64)), pa.array(n[good])],
-                    names=["depth", "gram", "n"])
-
     parts = docs.select(text_col).mapInArrow(count, "bucket int, team int, grams binary, counts binary")
-    merged = parts.repartition(F.col("bucket"), F.col("team")).sortWithinPartitions("bucket", "team").mapInArrow(
+    return parts.repartition(F.col("bucket"), F.col("team")).sortWithinPartitions("bucket", "team").mapInArrow(
         teams, "bucket int, grams binary, counts binary")
-    return merged.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(
-        contexts, "depth int, gram long, n long").groupBy("depth", "gram").agg(F.sum("n").alias("n"))
+
+
+def low_counts(counts: DataFrame, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(depth, gram, n) of the contexts of one symbol and none: at most 65,792."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for grams_, counts_ in zip(batch.column("grams"), batch.column("counts")):
+                key, n = np.frombuffer(grams_.as_py(), np.uint64), np.frombuffer(counts_.as_py(), np.int64)
+                for d in range(depth - 1, -1, -1):
+                    key, n = shorter(key, n) if d else merge_counts([(key & np.uint64(255), n)])
+                    if d <= 1:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(key), d, np.int32)), pa.array(key.view(np.int64)), pa.array(n)], names=["depth", "gram", "n"])
+
+    found = counts.select("grams", "counts").mapInArrow(run, "depth int, gram long, n long").groupBy("depth", "gram").agg(
+        F.sum("n").alias("n")).toArrow()
+    return found.column("depth").to_numpy(), found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
+
+
+def requests(key: np.ndarray, doc: np.ndarray, n_docs: int, depth: int) -> list[dict]:
+    """The symbols of a chunk's texts by bucket: distinct ones, how many each text has, and which."""
+    out = []
+    for b, own in _by_bucket(key, depth):
+        grams_, at = np.unique(key[own], return_inverse=True)
+        out.append({"bucket": b, "grams": grams_.tobytes(), "many": np.bincount(doc[own], minlength=n_docs).astype(np.int32).tobytes(),
+                    "at": at.astype(np.uint16 if len(grams_) <= 1 << 16 else np.uint32).tobytes()})
+    return out
+
+
+def model_scores(counts: DataFrame, asked: DataFrame, low: tuple, least: int, depth: int = DEPTH) -> DataFrame:
+    """(row, score) from ``counts`` of the training symbols and ``asked`` (first, bucket, grams, many, at)."""
+    sent = Sent(counts.sparkSession, low)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, score = None, [], None
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                if row["bucket"] != at:
+                    at, parts, score = row["bucket"], [], None
+                key = np.frombuffer(row["grams"], np.uint64)
+                if row["kind"] == 0:
+                    parts.append((key, np.frombuffer(row["data"], np.int64)))
+                    if sum(len(k) for k, _ in parts[1:]) > 4_000_000:
+                        parts = [merge_counts(parts)]
+                    continue
+                if score is None:
+                    levels = [sent.value, *([candidates(*merge_counts(parts), least, depth)] if parts else [])]
+                    score = Scorer(SuffixTree(*(np.concatenate(c) for c in zip(*levels)), least, levels=depth))
+                    parts = []
+                many = np.frombuffer(row["many"], np.int32)
+                value = score(key)[np.frombuffer(row["data"], np.uint16 if len(key) <= 1 << 16 else np.uint32)]
+                total = np.bincount(np.repeat(np.arange(len(many)), many), value, len(many))
+                yield pa.RecordBatch.from_arrays([pa.array([row["first"]]), pa.array([total.tobytes()], pa.binary())], names=["first", "sums"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, None
+        for batch in batches:
+            for first, raw in zip(batch.column("first").to_pylist(), batch.column("sums")):
+                own = np.frombuffer(raw.as_py(), np.float64)
+                if first == at:
+                    total = total + own
+                    continue
+                if at is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(at + np.arange(len(total))), pa.array(total)], names=["row", "score"])
+                at, total = first, own
+        if at is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(at + np.arange(len(total))), pa.array(total)], names=["row", "score"])
+
+    both = counts.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("first"), "grams", F.lit(None).cast("binary").alias("many"),
+                         F.col("counts").alias("data")).unionByName(
+        asked.select("bucket", F.lit(1).alias("kind"), "first", "grams", "many", F.col("at").alias("data")))
+    return both.repartition(F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(
+        run, "first long, sums binary").repartition(F.col("first")).sortWithinPartitions("first").mapInArrow(
+        sums, "row long, score double")
 
 
 class SuffixTree:
@@ -263,9 +345,8 @@ class Table:
 
 
 class Scorer:
-    """Scores symbols by the tree, the longest retained context first; remembers
-    packed contexts already looked up. Packed keys of different lengths differ,
-    since no symbol is zero, so one table serves all levels."""
+    """Scores symbols by the tree, the longest retained context first. Packed keys of
+    different lengths differ, since no symbol is zero, so one table serves all levels."""
 
     def __init__(self, tree: SuffixTree):
         self.depth, self.root = tree.depth, tree.root
@@ -273,10 +354,8 @@ class Scorer:
         self._off = np.concatenate([o for _, o, _, _ in tree.levels])
         self._known = Table(np.concatenate([k for _, _, k, _ in tree.levels]))
         self._known_score = np.concatenate([v for _, _, _, v in tree.levels])
-        self._key = np.full(1 << _CACHE_BITS, np.iinfo(np.uint64).max, np.uint64)
-        self._score = np.zeros(1 << _CACHE_BITS)
 
-    def look_up(self, key: np.ndarray) -> np.ndarray:
+    def __call__(self, key: np.ndarray) -> np.ndarray:
         """log10 probability of each packed symbol behind its context."""
         depth = self.depth
         out = np.zeros(len(key))
@@ -296,18 +375,6 @@ class Scorer:
         out[rest] += self.root[symbol[rest].astype(np.int64)]
         return out
 
-    def __call__(self, key: np.ndarray) -> np.ndarray:
-        slot = (mix64(key) >> np.uint64(64 - _CACHE_BITS)).astype(np.int64)
-        out = self._score[slot]
-        miss = np.flatnonzero(self._key[slot] != key)
-        if len(miss):
-            out[miss] = self.look_up(key[miss])
-            # Of keys that share a place the last one stays, with its own score.
-            self._key[slot[miss]] = key[miss]
-            kept = miss[self._key[slot[miss]] == key[miss]]
-            self._score[slot[kept]] = out[kept]
-        return out
-
 
 def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(token, c) over all texts of ``docs``; the end token is not listed."""
@@ -333,29 +400,25 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     below = total + 0.5 * (kinds + (1 if ends else 0) + 1)
     # Every token is followed by a space, every text by its end.
     least = max(2, int(LEAST_SHARE * ((spelled or 0) + ends)))
-    found = gram_counts(training, text_col, least).toArrow()
-    tree = SuffixTree(found.column("depth").to_numpy(), found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy(), least)
+    grams_ = persist(gram_counts(training, text_col), "lm-grams")
+    low = low_counts(grams_)
     usual = (F.col("c") >= FREQUENT * total) & (F.octet_length("token") <= FREQUENT_BYTES)
     often = counts.filter(usual).toArrow()
     known = pa.chunked_array(often.column("token")).combine_chunks().cast(pa.large_string()).cast(pa.large_binary()) \
         if often.num_rows else pa.array([], pa.large_binary())
-    sent = Sent(spark, (tree, known, often.column("c").to_numpy()))
+    sent = Sent(spark, (known, often.column("c").to_numpy()))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, known, often = sent.value
-        score = Scorer(tree)
-        sent.drop()
-        del tree
+        known, often = sent.value
         row = TaskContext.get().partitionId() << 33
         for part in chunks(batches, text_col, CHUNK):
             n = part.num_rows
             buf, offsets = text_bytes(part.column(text_col))
             words = nonspace_words(buf, offsets)
-            symbols, begin = stream(buf, words, n, score.depth)
-            value = score(grams(symbols, score.depth))
-            value[~predicted(len(symbols), begin, score.depth)] = 0
-            model = np.add.reduceat(value, begin) if n else np.zeros(0)
+            symbols, begin = stream(buf, words, n)
+            on = np.flatnonzero(predicted(len(symbols), begin))
+            asked = requests(grams(symbols)[on], np.searchsorted(begin, on, "right") - 1, n, DEPTH)
             at = lookup(words.values, known)[words.code] if len(words.code) else np.zeros(0, np.int64)
             frequent = at >= 0
             doc = words.doc
@@ -371,18 +434,21 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 [tokens, pa.array(many.astype(np.int64))], names=["token", "n"]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row + np.arange(n)), part.column(id_col), pa.array(words.count.astype(np.int64) + 1), pa.array(seen.astype(np.int64)),
-                 pa.array(base), pa.array(model), rare], names=["row", id_col, "n_tokens", "seen", "base", "score", "rare"])
+                 pa.array(base), rare, pa.array([asked] + [None] * (n - 1), _ASKED)],
+                names=["row", id_col, "n_tokens", "seen", "base", "rare", "asked"])
             row += n
 
     scored = persist(docs.select(id_col, text_col).mapInArrow(
-        run, f"row long, `{id_col}` {kind}, n_tokens long, seen long, base double, score double, "
-             "rare array<struct<token:string,n:long>>"), "lm-scored")
+        run, f"row long, `{id_col}` {kind}, n_tokens long, seen long, base double, "
+             "rare array<struct<token:string,n:long>>, asked array<struct<bucket:int,grams:binary,many:binary,at:binary>>"), "lm-scored")
+    asked = scored.filter(F.col("asked").isNotNull()).select(F.col("row").alias("first"), F.explode("asked").alias("a")).select("first", "a.*")
+    model = model_scores(grams_, asked, low, least)
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n")
     c = F.coalesce("c", F.lit(0))
     rest = rare.join(counts.filter(~usual), "token", "left").groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("_seen"),
         F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(float(below)))).alias("_base"))
-    return scored.drop("rare").join(rest, "row", "left").select(
+    return scored.drop("rare", "asked").join(rest, "row", "left").join(model, "row", "left").select(
         id_col, held_in_fold(id_col, HELD_OUT_FOLD).alias("held_out"), "n_tokens",
         (F.col("seen") + F.coalesce("_seen", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("_base", F.lit(0.0))).alias("base_score"), "score")

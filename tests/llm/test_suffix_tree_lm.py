@@ -89,6 +89,18 @@ def test_matches_brute_force(spark, monkeypatch, least_share, frequent):
     check(spark, corpus(), least_share)
 
 
+def test_a_larger_corpus_loses_no_context(spark):
+    # A passage seen often keeps its full contexts, however much other text there is.
+    passage = "zq xj qz vk jx"
+    rng = random.Random(7)
+    rows = [(i, " ".join("".join(rng.choice("abcdef") for _ in range(8)) for _ in range(12_000))) for i in range(30)]
+    rows += [(100 + k, passage) for k in range(4)]
+    assert sum((fold(i) != 1) * len(t) for i, t in rows) > 2 * 800_000
+    score = {r.doc_id: r.score for r in M.lm_scores(odd_docs(spark, rows)).collect()}
+    # Each symbol inside the passage is certain but for the smoothing: under half a digit a symbol.
+    assert score[100] > -0.5 * len(passage)
+
+
 def test_odd_rows(spark):
     check(spark, [(i, t) for i, t in ODD_ROWS if t is None or len(t) < 1000], M.LEAST_SHARE)
     assert M.lm_scores(odd_docs(spark)).count() == len(ODD_ROWS)
