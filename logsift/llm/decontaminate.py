@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logsift.llm.common import Sent, Words, chunks, lookup, text_bytes
+from logsift.session import persist
 
 WINDOW = 13
 # Contaminated: at least one hit word in this many.
@@ -255,7 +256,9 @@ def scan(batch: pa.RecordBatch, id_col: str, text_col: str, blocks: list, clean:
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list:
     """The compiled benchmark as broadcasts of about ``block_bytes`` text each."""
     spark = benchmark.sparkSession
-    rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
+    # Repeated rows have the same windows and items: one of them is enough, so blocks stay bounded.
+    rows = persist(benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
+                   .filter(F.col("text").isNotNull()).distinct(), "benchmark-rows")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-total // block_bytes))
     blocks = []

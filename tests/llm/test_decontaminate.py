@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 import pytest
 
+from logsift.llm import decontaminate as D
 from logsift.llm.decontaminate import FMIndex, compile_windows, decontaminate, drop_contaminated, suffix_array
 from tests.llm.helpers import LONG, ODD_ROWS, odd_docs, words
 
@@ -91,3 +92,11 @@ def test_empty_tables(spark):
     none = decontaminate(docs, items_df(spark, [])).collect()
     assert len(none) == len(ODD_ROWS) and not any(r.n_hit for r in none)
     assert compile_windows([], []) == []
+
+
+def test_repeated_benchmark_rows_are_collected_once(spark, monkeypatch):
+    seen, compile_windows = [], D.compile_windows
+    monkeypatch.setattr(D, "compile_windows", lambda ids, *rest: seen.extend(ids) or compile_windows(ids, *rest))
+    benchmark = spark.createDataFrame([(1, "one two three")] * 200 + [(2, "four five")], "item_id long, text string")
+    D.benchmark_blocks(benchmark, "item_id", "text", 13, 100)
+    assert sorted(seen) == [1, 2]
