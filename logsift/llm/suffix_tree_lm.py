@@ -56,7 +56,6 @@ BUCKETS = 256
 CHUNK = 2 << 20
 
 EDGE, SPACE = 10, 32
-_ASKED = pa.list_(pa.struct([("bucket", pa.int32()), ("grams", pa.binary()), ("many", pa.binary()), ("at", pa.binary())]))
 
 
 def stream(buf: np.ndarray, words: Words, n_docs: int, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -111,6 +110,20 @@ def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
     return key[start], np.add.reduceat(count, start) if len(start) else count
 
 
+def pack(values: np.ndarray, rising: bool = False) -> bytes:
+    """Compressed bytes of an array, first all lowest bytes; a rising one as its differences."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if rising else values
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(raw: bytes, dtype, rising: bool = False) -> np.ndarray:
+    size, width = int.from_bytes(raw[:8], "little"), np.dtype(dtype).itemsize
+    flat = np.frombuffer(pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
+    values = np.ascontiguousarray(flat.reshape(width, size // width).T).reshape(-1).view(dtype)
+    return np.cumsum(values, dtype=dtype) if rising else values
+
+
 def _by_bucket(key: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, places of its keys); a bucket holds whole contexts of two symbols."""
     bucket = (mix64(key >> np.uint64(8 * (depth - 1))) % np.uint64(BUCKETS)).astype(np.int64)
@@ -156,7 +169,7 @@ def gram_counts(docs: DataFrame, text_col: str, depth: int = DEPTH) -> DataFrame
                 parts = [merge_counts(parts)]
         team = TaskContext.get().partitionId() // 64
         key, n = merge_counts(parts)
-        rows = [(b, key[own].tobytes(), n[own].tobytes()) for b, own in _by_bucket(key, depth)]
+        rows = [(b, pack(key[own], True), pack(n[own])) for b, own in _by_bucket(key, depth)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([b for b, _, _ in rows], pa.int32()), pa.array([team] * len(rows), pa.int32()),
              pa.array([k for _, k, _ in rows], pa.binary()), pa.array([n for _, _, n in rows], pa.binary())],
@@ -171,7 +184,7 @@ def gram_counts(docs: DataFrame, text_col: str, depth: int = DEPTH) -> DataFrame
                     if at is not None:
                         yield at, *merge_counts(parts)
                     at, parts = here, []
-                parts.append((np.frombuffer(row["grams"], np.uint64), np.frombuffer(row["counts"], np.int64)))
+                parts.append((unpack(row["grams"], np.uint64, True), unpack(row["counts"], np.int64)))
                 if sum(len(k) for k, _ in parts[1:]) > 4_000_000:
                     parts = [merge_counts(parts)]
         if at is not None:
@@ -180,7 +193,7 @@ def gram_counts(docs: DataFrame, text_col: str, depth: int = DEPTH) -> DataFrame
     def teams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, key, n in combine(batches, ["bucket", "team"]):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([at["bucket"]], pa.int32()), pa.array([key.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
+                [pa.array([at["bucket"]], pa.int32()), pa.array([pack(key, True)], pa.binary()), pa.array([pack(n)], pa.binary())],
                 names=["bucket", "grams", "counts"])
 
     parts = docs.select(text_col).mapInArrow(count, "bucket int, team int, grams binary, counts binary")
@@ -194,7 +207,7 @@ def low_counts(counts: DataFrame, depth: int = DEPTH) -> tuple[np.ndarray, np.nd
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for grams_, counts_ in zip(batch.column("grams"), batch.column("counts")):
-                key, n = np.frombuffer(grams_.as_py(), np.uint64), np.frombuffer(counts_.as_py(), np.int64)
+                key, n = unpack(grams_.as_py(), np.uint64, True), unpack(counts_.as_py(), np.int64)
                 for d in range(depth - 1, -1, -1):
                     key, n = shorter(key, n) if d else merge_counts([(key & np.uint64(255), n)])
                     if d <= 1:
@@ -211,8 +224,8 @@ def requests(key: np.ndarray, doc: np.ndarray, n_docs: int, depth: int) -> list[
     out = []
     for b, own in _by_bucket(key, depth):
         grams_, at = np.unique(key[own], return_inverse=True)
-        out.append({"bucket": b, "grams": grams_.tobytes(), "many": np.bincount(doc[own], minlength=n_docs).astype(np.int32).tobytes(),
-                    "at": at.astype(np.uint16 if len(grams_) <= 1 << 16 else np.uint32).tobytes()})
+        out.append({"bucket": b, "grams": pack(grams_, True), "many": pack(np.bincount(doc[own], minlength=n_docs).astype(np.int32)),
+                    "at": pack(at.astype(np.uint16 if len(grams_) <= 1 << 16 else np.uint32))})
     return out
 
 
@@ -227,9 +240,9 @@ def model_scores(counts: DataFrame, asked: DataFrame, low: tuple, least: int, de
                 row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 if row["bucket"] != at:
                     at, parts, score = row["bucket"], [], None
-                key = np.frombuffer(row["grams"], np.uint64)
+                key = unpack(row["grams"], np.uint64, True)
                 if row["kind"] == 0:
-                    parts.append((key, np.frombuffer(row["data"], np.int64)))
+                    parts.append((key, unpack(row["data"], np.int64)))
                     if sum(len(k) for k, _ in parts[1:]) > 4_000_000:
                         parts = [merge_counts(parts)]
                     continue
@@ -237,16 +250,16 @@ def model_scores(counts: DataFrame, asked: DataFrame, low: tuple, least: int, de
                     levels = [sent.value, *([candidates(*merge_counts(parts), least, depth)] if parts else [])]
                     score = Scorer(SuffixTree(*(np.concatenate(c) for c in zip(*levels)), least, levels=depth))
                     parts = []
-                many = np.frombuffer(row["many"], np.int32)
-                value = score(key)[np.frombuffer(row["data"], np.uint16 if len(key) <= 1 << 16 else np.uint32)]
+                many = unpack(row["many"], np.int32)
+                value = score(key)[unpack(row["data"], np.uint16 if len(key) <= 1 << 16 else np.uint32)]
                 total = np.bincount(np.repeat(np.arange(len(many)), many), value, len(many))
-                yield pa.RecordBatch.from_arrays([pa.array([row["first"]]), pa.array([total.tobytes()], pa.binary())], names=["first", "sums"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["first"]]), pa.array([pack(total)], pa.binary())], names=["first", "sums"])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
         for batch in batches:
             for first, raw in zip(batch.column("first").to_pylist(), batch.column("sums")):
-                own = np.frombuffer(raw.as_py(), np.float64)
+                own = unpack(raw.as_py(), np.float64)
                 if first == at:
                     total = total + own
                     continue
@@ -416,9 +429,6 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             n = part.num_rows
             buf, offsets = text_bytes(part.column(text_col))
             words = nonspace_words(buf, offsets)
-            symbols, begin = stream(buf, words, n)
-            on = np.flatnonzero(predicted(len(symbols), begin))
-            asked = requests(grams(symbols)[on], np.searchsorted(begin, on, "right") - 1, n, DEPTH)
             at = lookup(words.values, known)[words.code] if len(words.code) else np.zeros(0, np.int64)
             frequent = at >= 0
             doc = words.doc
@@ -434,21 +444,36 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 [tokens, pa.array(many.astype(np.int64))], names=["token", "n"]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row + np.arange(n)), part.column(id_col), pa.array(words.count.astype(np.int64) + 1), pa.array(seen.astype(np.int64)),
-                 pa.array(base), rare, pa.array([asked] + [None] * (n - 1), _ASKED)],
-                names=["row", id_col, "n_tokens", "seen", "base", "rare", "asked"])
+                 pa.array(base), rare, part.column(text_col)], names=["row", id_col, "n_tokens", "seen", "base", "rare", "_text"])
             row += n
 
     scored = persist(docs.select(id_col, text_col).mapInArrow(
         run, f"row long, `{id_col}` {kind}, n_tokens long, seen long, base double, "
-             "rare array<struct<token:string,n:long>>, asked array<struct<bucket:int,grams:binary,many:binary,at:binary>>"), "lm-scored")
-    asked = scored.filter(F.col("asked").isNotNull()).select(F.col("row").alias("first"), F.explode("asked").alias("a")).select("first", "a.*")
+             "rare array<struct<token:string,n:long>>, _text string"), "lm-scored")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in chunks(batches, "_text", CHUNK):
+            row = whole.column("row").to_numpy()
+            # Rows of one task stand one behind the other; a chunk may reach into the next task's.
+            edges = [0, *(np.flatnonzero(np.diff(row) != 1) + 1).tolist(), len(row)]
+            for lo, hi in zip(edges, edges[1:]):
+                buf, offsets = text_bytes(whole.column("_text").slice(lo, hi - lo))
+                symbols, begin = stream(buf, nonspace_words(buf, offsets), hi - lo)
+                on = np.flatnonzero(predicted(len(symbols), begin))
+                found = requests(grams(symbols)[on], np.searchsorted(begin, on, "right") - 1, hi - lo, DEPTH)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(row[lo])] * len(found)), pa.array([f["bucket"] for f in found], pa.int32()),
+                     *[pa.array([f[c] for f in found], pa.binary()) for c in ("grams", "many", "at")]],
+                    names=["first", "bucket", "grams", "many", "at"])
+
+    asked = scored.select("row", "_text").mapInArrow(ask, "first long, bucket int, grams binary, many binary, at binary")
     model = model_scores(grams_, asked, low, least)
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n")
     c = F.coalesce("c", F.lit(0))
     rest = rare.join(counts.filter(~usual), "token", "left").groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("_seen"),
         F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(float(below)))).alias("_base"))
-    return scored.drop("rare", "asked").join(rest, "row", "left").join(model, "row", "left").select(
+    return scored.drop("rare", "_text").join(rest, "row", "left").join(model, "row", "left").select(
         id_col, held_in_fold(id_col, HELD_OUT_FOLD).alias("held_out"), "n_tokens",
         (F.col("seen") + F.coalesce("_seen", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("_base", F.lit(0.0))).alias("base_score"), "score")
