@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logsift.llm.common import read_table
 from logsift.llm.decontaminate import decontaminate
 from logsift.llm.embedding_dedup import embedding_dedup
+from logsift.llm.hard_negatives import mine_hard_negatives
 from logsift.llm.jaccard_join import jaccard_join
 from logsift.llm.licenses import scan_licenses
 from logsift.llm.quality import classify
 from logsift.llm.sentencepiece_codec import round_trip
 from logsift.llm.sharding import shard_by_bytes
+from logsift.llm.substring_dedup import remove_repeats
 from logsift.llm.suffix_tree_lm import lm_scores
+from logsift.llm.token_alignment import align_tokens
 from logsift.llm.token_counts import count_tokens
 from logsift.llm.token_files import token_files_digest
 
@@ -64,10 +68,25 @@ def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(read_table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_jaccard_join, op3_sentencepiece, op4_embedding_dedup, op5_token_counts, op6_token_files,
-        op7_quality, op8_sharding, op9_licenses, op10_suffix_tree_lm)
+        op7_quality, op8_sharding, op9_licenses, op10_suffix_tree_lm,
+        op11_hard_negatives, op12_token_alignment, op13_substring_dedup)
 }
 
 # Words of a text: A-Z lower-cased, runs of digits, a-z and non-ASCII characters.
@@ -126,5 +145,32 @@ comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
 degree AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id = vec_id AS kept
 FROM comp LEFT JOIN degree USING (vec_id)
+""",
+    "op13_substring_dedup": """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS MATERIALIZED (SELECT r, i, w[i : i + 34] AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+repeated AS (SELECT r, i FROM win JOIN (SELECT s FROM win GROUP BY s HAVING count(*) > 1) USING (s)),
+gone AS MATERIALIZED (SELECT r, list(DISTINCT k) AS ks FROM (SELECT r, unnest(range(i, i + 35)) AS k FROM repeated) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN ks IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ks, i)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)
+""",
+    "op11_hard_negatives": """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY a.r, a.label = b.label ORDER BY list_inner_product(a.q, b.q) DESC, b.vec_id) AS nth
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)),
+found AS (
+  SELECT p.a, p.anchor_id, p.id AS positive_id, p.nth, p.score AS positive_score, n.id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.nth ORDER BY n.score DESC, n.id) AS rank
+  FROM scored p JOIN scored n ON p.a = n.a AND p.same AND NOT n.same AND p.nth <= 5
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3
 """,
 }
