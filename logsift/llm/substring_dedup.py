@@ -102,7 +102,8 @@ def stretches(seq: np.ndarray, count: np.ndarray, window: int, size: int) -> tup
     anchor = best[start]
     fresh = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])
     at = np.flatnonzero(fresh)
-    return value[anchor[at]], text[at], start[at], np.diff(np.append(at, len(text)))
+    # Anchors have small hashes: mixed again, their bits are even.
+    return mix64(value[anchor[at]] * _ODD[size]), text[at], start[at], np.diff(np.append(at, len(text)))
 
 
 def stretch_keys(seq: np.ndarray, start: np.ndarray, windows: np.ndarray, window: int) -> list[bytes]:
