@@ -55,8 +55,13 @@ BRANCHING = 1.6
 DEPTH = 4
 # A bucket of at most so many sets is compared pair by pair.
 SMALL = 300
-# A path with at least so many sets, or this share of all, is split before the shuffle.
-HOT_SETS, HOT_SHARE = 4000, 1e-5
+# A path with at least so many sets is split before the shuffle. At most 1 / HOT_SHARE paths are
+# (32 MB of them): with more than 16e9 rows of paths the bound rises, and larger cells are split in their tasks.
+HOT_SETS, HOT_SHARE = 4000, 2.5e-7
+# Sets of one block of a bucket that is still hot at full depth (4 MB of tokens).
+CELL_SETS = 32_000
+# Pairs of a bucket looked at together, and of them compared together.
+PAIRS, COMPARED = 400_000, 50_000
 # Embeddings that agree in fewer tokens belong to sets below the similarity
 # (four standard deviations under the expected agreement).
 AGREE = int(TOKENS * (float(SIMILARITY) - 4 * math.sqrt(float(SIMILARITY) * (1 - float(SIMILARITY)) / TOKENS)))
@@ -153,7 +158,7 @@ def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
     return np.frombuffer(flat, dtype).reshape(-1, width)
 
 
-def _pairs(sizes: np.ndarray, limit: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs(sizes: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows inside groups of the given sizes (rows stand group by group), some at a time."""
     first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     member = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
@@ -168,20 +173,57 @@ def _pairs(sizes: np.ndarray, limit: int = 400_000) -> Iterator[tuple[np.ndarray
         at = to
 
 
-def agreeing(tokens: np.ndarray, sizes: np.ndarray, side: np.ndarray, agree: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs inside groups whose embeddings agree in at least ``agree`` tokens.
-    In a group of two sides only pairs across count."""
+def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The forest ``root`` (smallest reachable node of each) with the links (a[i], b[i])."""
+    nodes = np.arange(len(root))
+    return local_roots(len(root), np.concatenate([nodes, a]), np.concatenate([root, b]))
+
+
+def join_agreeing(root: np.ndarray, own: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, side: np.ndarray, agree: int) -> np.ndarray:
+    """The forest with the pairs inside groups whose embeddings agree in at least
+    ``agree`` tokens; ``own`` is the node of each row. In a group of two sides only
+    pairs across count. A slice of pairs is looked at together, and pairs that are
+    joined already are not compared, so memory does not depend on how many agree."""
     group = np.repeat(np.arange(len(sizes)), sizes)
     first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     mixed = np.zeros(len(sizes), bool)
     np.logical_or.at(mixed, group, side != side[first][group])
-    found = [(np.zeros(0, np.int64),) * 2]
-    for a, b in _pairs(sizes):
-        across = ~mixed[group[a]] | (side[a] != side[b])
-        a, b = a[across], b[across]
-        close = (tokens[a] == tokens[b]).sum(axis=1) >= agree
-        found.append((a[close], b[close]))
-    return tuple(np.concatenate(x) for x in zip(*found))
+    for a, b in _pairs(sizes, PAIRS):
+        wanted = (~mixed[group[a]] | (side[a] != side[b])) & (root[own[a]] != root[own[b]])
+        a, b = a[wanted], b[wanted]
+        for lo in range(0, len(a), COMPARED):
+            i, j = a[lo:lo + COMPARED], b[lo:lo + COMPARED]
+            if lo:  # what the slice before has joined
+                apart = root[own[i]] != root[own[j]]
+                i, j = i[apart], j[apart]
+            close = (tokens[i] == tokens[j]).sum(axis=1) >= agree
+            if close.any():
+                root = joined(root, own[i[close]], own[j[close]])
+    return root
+
+
+def join_pivots(root: np.ndarray, own: np.ndarray, tokens: np.ndarray, side: np.ndarray, agree: int) -> np.ndarray:
+    """The same for one large group: row by row, each is compared with the later
+    rows that are not joined to it yet. A group of near copies is joined by its
+    first rows, and no pair is held."""
+    label = root[own]
+    links: list[tuple[np.ndarray, np.ndarray]] = []
+    mixed = bool((side != side[0]).any())
+    for i in range(len(own) - 1):
+        apart = label[i + 1:] != label[i]
+        if not apart.any() and (label == label[0]).all():
+            break
+        if mixed:
+            apart &= side[i + 1:] != side[i]
+        later = i + 1 + np.flatnonzero(apart)
+        for lo in range(0, len(later), COMPARED):
+            part = later[lo:lo + COMPARED]
+            close = part[(tokens[part] == tokens[i]).sum(axis=1) >= agree]
+            if len(close):
+                links.append((np.full(len(close), own[i]), own[close]))
+                met = np.unique(np.append(label[close], label[i]))
+                label[np.isin(label, met)] = met[0]
+    return joined(root, *map(np.concatenate, zip(*links))) if links else root
 
 
 def _split_again(path: np.ndarray, tokens: np.ndarray, rows: np.ndarray, depth: int) -> Iterator[np.ndarray]:
@@ -205,20 +247,22 @@ def bucket_links(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     tokens = _matrix(table.column("sketch"), np.uint16, TOKENS)
     edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
     sizes = np.diff(np.append(edges, len(cell)))
-    rows = [np.repeat((sizes > 1) & ((sizes <= SMALL) | (depth[edges] >= DEPTH)), sizes).nonzero()[0]]
-    counts = [sizes[(sizes > 1) & ((sizes <= SMALL) | (depth[edges] >= DEPTH))]]
-    for lo, size in zip(edges.tolist(), sizes.tolist()):
-        if size > SMALL and depth[lo] < DEPTH:
-            for part in _split_again(cell.view(np.uint64)[lo], tokens, np.arange(lo, lo + size), int(depth[lo])):
-                rows.append(part)
-                counts.append(np.array([len(part)]))
-    order, many = np.concatenate(rows), np.concatenate(counts)
-    if not len(many):
-        return node[:0], node[:0]
-    a, b = agreeing(tokens[order], many, side[order], AGREE)
     # Rows of the same set are one node of the forest.
     ids, own = np.unique(node, return_inverse=True)
-    root = local_roots(len(ids), own[order[a]], own[order[b]])
+    root = np.arange(len(ids))
+    plain = (sizes > 1) & (sizes <= SMALL)
+    rows = np.flatnonzero(np.repeat(plain, sizes))
+    root = join_agreeing(root, own[rows], tokens[rows], sizes[plain], side[rows], AGREE)
+    for lo, size in zip(edges[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+        small = []
+        for part in _split_again(cell.view(np.uint64)[lo], tokens, np.arange(lo, lo + size), int(depth[lo])):
+            if len(part) > SMALL:
+                root = join_pivots(root, own[part], tokens[part], side[part], AGREE)
+            else:
+                small.append(part)
+        if small:
+            rows = np.concatenate(small)
+            root = join_agreeing(root, own[rows], tokens[rows], np.array(list(map(len, small))), side[rows], AGREE)
     moved = np.flatnonzero(root != np.arange(len(ids)))
     return ids[moved], ids[root[moved]]
 
@@ -323,7 +367,6 @@ def _path_counts(classes: DataFrame, runs: int, hot: list, depth: int) -> DataFr
 def candidates(classes: DataFrame, n_classes: int, recall: float) -> DataFrame:
     """Candidate links (u, v) between nodes, a forest for every bucket."""
     runs = runs_for(recall)
-    # At this bound there are at most a few hundred thousand hot paths.
     bound = max(HOT_SETS, int(HOT_SHARE * n_classes * runs * BRANCHING / float(SIMILARITY)))
     hot: list[np.ndarray] = []
     blocks: dict[int, int] = {}
@@ -335,7 +378,7 @@ def candidates(classes: DataFrame, n_classes: int, recall: float) -> DataFrame:
         if depth < DEPTH:
             hot.append(np.sort(paths))
         else:
-            blocks = {p: -(-r["many"] // bound) for p, r in zip(paths.tolist(), found)}
+            blocks = {p: -(-r["many"] // CELL_SETS) for p, r in zip(paths.tolist(), found)}
     cells = _paths(classes, runs, hot, blocks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -482,8 +525,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id (of repeated rows with that id and those words, the smallest text). Rows without an id stay."""
     k1, k2 = (_free(k, docs.columns) for k in ("_key1", "_key2"))
     own = F.col("id").cast("long") == F.col("component_id")
-    kept = persist(_judged(docs, id_col, text_col, RECALL).filter(F.col("lead") & own).select(
-        F.col("id").alias(id_col), F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct(), "jaccard-kept")
+    kept = persist(_judged(docs, id_col, text_col, RECALL).filter(F.col("lead") & own).groupBy(
+        F.col("id").alias(id_col), F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.count("*").alias("_many")), "jaccard-kept")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, text_col):
@@ -492,8 +535,15 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     schema = StructType([*docs.schema.fields, StructField(k1, LongType()), StructField(k2, LongType())])
     texts = docs.filter(F.col(id_col).isNotNull()).mapInArrow(keyed, schema)
-    # Repeated rows of an id and its words are combined before the shuffle, so neither a hot id nor a hot text meets in one task.
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = texts.groupBy(id_col, k1, k2).agg(F.min_by(row, F.coalesce(F.col(text_col), F.lit(""))).alias("_row"))
-    stay = one.join(kept, [id_col, k1, k2], "left_semi").select("_row.*")
-    return stay.select(docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    keys = [id_col, k1, k2]
+    # The kept keys are the hashed side: texts are shuffled once and not sorted.
+    stay = texts.join(kept.filter("_many = 1").select(keys).hint("shuffle_hash"), keys, "left_semi").select(docs.columns)
+    repeated = kept.filter("_many > 1").select(keys)
+    if repeated.count():
+        # Repeated rows of an id and its words are combined before the shuffle, so neither a hot id nor a hot text
+        # meets in one task; of equal texts with other columns the smallest row stays.
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        text = F.coalesce(F.col(text_col), F.lit(""))
+        one = texts.groupBy(keys).agg(F.min_by(row, F.struct(text, F.to_json(row))).alias("_row"))
+        stay = stay.unionByName(one.join(repeated, keys, "left_semi").select("_row.*").select(docs.columns))
+    return stay.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -150,3 +150,28 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for a, b in edges for x in (a, b) if a != b}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_large_groups_are_joined_by_pivots_like_all_pairs():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 16, (6, J.TOKENS))
+    tokens = base[rng.integers(0, 6, 500)].astype(np.uint16)
+    noisy = rng.random(tokens.shape) < rng.random((500, 1)) * 0.6
+    tokens[noisy] = rng.integers(0, 1 << 16, int(noisy.sum()))
+    own = rng.integers(0, 450, 500)
+    tokens = tokens[np.unique(own, return_index=True)[1]][np.unique(own, return_inverse=True)[1]]
+    for side in (np.zeros(500, np.int32), rng.integers(0, 2, 500).astype(np.int32)):
+        a = J.join_agreeing(np.arange(450), own, tokens, np.array([500]), side, J.AGREE)
+        b = J.join_pivots(np.arange(450), own, tokens, side, J.AGREE)
+        assert np.array_equal(a, b) and len(np.unique(a)) < 450
+        pairs = [(i, j) for i in range(500) for j in range(i) if (tokens[i] == tokens[j]).sum() >= J.AGREE and (side[i] != side[j] or not side.any())]
+        want = J.joined(np.arange(450), *(own[np.array(x)] for x in zip(*pairs)))
+        assert np.array_equal(a, want)
+
+
+def test_a_group_of_many_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(J, "CELL_SETS", 500)
+    monkeypatch.setattr(J, "HOT_SETS", 300)
+    monkeypatch.setattr(J, "BLOCK_SETS", 200)
+    rows = list(enumerate(near_copies(900, 60, 1, 9)))
+    check(spark, rows)
