@@ -36,7 +36,7 @@ WINDOW = 13
 # Contaminated: at least one hit word in this many.
 HIT_SHARE = 20
 # Bytes of benchmark text in a broadcast block, and text positions between two samples.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 SAMPLE = 8
 
 _SCHEMA = ("{id} {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
@@ -46,36 +46,45 @@ _SCHEMA = ("{id} {id_type}, n_words long, n_hit long, n_items long, items_sha256
 @dataclass
 class Patterns:
     """Windows of one length: ``alphabet`` (binary array of words), ``codes``
-    (windows x length, 1-based letters), and the items of each window."""
+    (windows x length, 1-based letters), and the items of each window (numbers in ``names``)."""
 
     length: int
     alphabet: pa.Array
     codes: np.ndarray
     item_start: np.ndarray
     items: np.ndarray
+    names: list
 
 
 def compile_windows(item_ids: list, texts: list, window: int = WINDOW) -> list[Patterns]:
     """The distinct windows of the benchmark texts, by length."""
-    buf, offsets = text_bytes(pa.array(texts, pa.large_string()))
-    words = Words(buf, offsets)
-    first = words.first()
-    by_length: dict[int, dict[bytes, set]] = {}
-    for k, item in enumerate(item_ids):
-        own = words.code[first[k]:first[k + 1]].astype(np.int32)
-        if len(own):
-            length = min(window, len(own))
-            found = by_length.setdefault(length, {})
-            for i in range(len(own) - length + 1):
-                found.setdefault(own[i:i + length].tobytes(), set()).add(item)
+    words = Words(*text_bytes(pa.array(texts, pa.large_string())))
+    first, code = words.first(), words.code.astype(np.int64)
+    names = sorted({x for x in item_ids if x is not None})
+    number = {x: k for k, x in enumerate(names)}
+    owner = np.array([number.get(x, -1) for x in item_ids], np.int64)
+    size = np.minimum(words.count, window)
     out = []
-    for length, found in sorted(by_length.items()):
-        codes = np.frombuffer(b"".join(found), np.int32).reshape(-1, length)
-        letters, inverse = np.unique(codes, return_inverse=True)
-        items = [sorted(x for x in s if x is not None) for s in found.values()]
-        out.append(Patterns(length, words.values.take(pa.array(letters)), inverse.reshape(codes.shape) + 1,
-                            np.concatenate([[0], np.cumsum([len(x) for x in items])]).astype(np.int64),
-                            np.array([y for x in items for y in x], dtype=object)))
+    for length in np.unique(size[size > 0]).tolist():
+        rows = np.flatnonzero(size == length)
+        many = words.count[rows] - length + 1
+        at = np.repeat(first[rows] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        # A window's name grows word by word: equal names, equal windows.
+        name = code[at]
+        for k in range(1, length):
+            name = np.unique(name * len(words.values) + code[at + k], return_inverse=True)[1]
+        _, one, name = np.unique(name, return_index=True, return_inverse=True)
+        at = at[one]
+        used = np.zeros(len(words.values), bool)
+        for k in range(length):
+            used[code[at + k]] = True
+        letter = np.cumsum(used).astype(np.int32)
+        codes = np.stack([letter[code[at + k]] for k in range(length)], axis=1)
+        listed = np.unique(name * (len(names) + 1) + np.repeat(owner[rows], many) + 1)
+        named, item = np.divmod(listed, len(names) + 1)
+        named, item = named[item > 0], item[item > 0] - 1
+        out.append(Patterns(length, words.values.take(pa.array(np.flatnonzero(used))), codes,
+                            np.searchsorted(named, np.arange(len(one) + 1)), item.astype(np.int32), names))
     return out
 
 
@@ -223,7 +232,7 @@ def scan(batch: pa.RecordBatch, id_col: str, text_col: str, blocks: list, clean:
                 pairs = np.unique(words.doc[first] * len(patterns.codes) + window)
                 for doc, w in zip(*map(np.ndarray.tolist, np.divmod(pairs, len(patterns.codes)))):
                     doc_items.setdefault(doc, set()).update(
-                        patterns.items[patterns.item_start[w]:patterns.item_start[w + 1]].tolist())
+                        patterns.names[k] for k in patterns.items[patterns.item_start[w]:patterns.item_start[w + 1]].tolist())
         if len(blocks) > 1:
             block.drop()
     hit = np.cumsum(edge[:-1]) > 0
