@@ -12,7 +12,8 @@ The measures use the text alone.
 
 Defined cases: null and empty texts are scored like any text (all measures 0);
 without labelled rows the score is 0.5; labels of one kind only give a score
-near that label; null labels are left out; repeated rows are scored one by one.
+near that label; null labels and ids with contradicting labels are left out;
+repeated rows are scored one by one and learnt from once.
 """
 
 from __future__ import annotations
@@ -228,25 +229,33 @@ def fit(x: np.ndarray, y: np.ndarray, max_bins: int = 32, rounds: int = 120, rat
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_rows: int = MAX_ROWS) -> Model:
-    """Fit on the labelled rows outside the held-out fold, at most about ``max_rows`` of them.
+    """Fit on the labelled texts outside the held-out fold, at most ``max_rows`` of them.
 
-    The sampled ids are few by that bound, so they go to the texts by broadcast
-    and no text is shuffled."""
+    An id has one label: ids with contradicting labels are left out. Sampled ids
+    are few by the bound, so they go to the texts by broadcast and no text is
+    shuffled. An id may have many texts: equal ones count once, and the bound
+    holds for the texts that the driver gets, in the order of their hashes."""
     usable = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).filter(
-        F.col("_y").isin(0, 1) & ~held_in_fold("_id", HELD_OUT_FOLD))
+        F.col("_y").isin(0, 1) & ~held_in_fold("_id", HELD_OUT_FOLD)).groupBy("_id").agg(
+        F.min("_y").alias("_y"), F.max("_y").alias("_other")).filter("_y = _other").select("_id", F.col("_y").cast("double").alias("_y"))
     n = usable.count()
     if n > max_rows:
         usable = usable.filter(F.pmod(F.xxhash64("_id", F.lit("quality")), F.lit(1 << 30)) < int(max_rows / n * (1 << 30)))
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    rows = texts.join(F.broadcast(usable), F.col("_doc") == F.col("_id")).select("_text", F.col("_y").cast("double"))
+    rows = texts.join(F.broadcast(usable), F.col("_doc") == F.col("_id"))
+    n = rows.count()
+    rows = rows.select("_text", "_y", F.xxhash64("_id", "_text").alias("_h"))
+    if n > 2 * max_rows:
+        rows = rows.filter(F.pmod("_h", F.lit(1 << 30)) < int(2 * max_rows / n * (1 << 30)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "_text", CHUNK):
             x = measure(*text_bytes(part.column("_text")))
             values = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([values, part.column("_y")], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays([values, part.column("_y"), part.column("_h")], names=["x", "y", "h"])
 
-    found = rows.mapInArrow(run, "x array<double>, y double").toArrow()
+    found = (rows.mapInArrow(run, "x array<double>, y double, h long").dropDuplicates(["h"])
+             .orderBy(F.pmod("h", F.lit(1 << 30)), "h").limit(max_rows).toArrow())
     y = found.column("y").to_numpy()
     x = np.array(found.column("x").to_pylist(), dtype=float).reshape(len(y), len(FEATURES))
     # The sums of the fit must not depend on the order in which rows arrive.

@@ -70,3 +70,21 @@ def test_additive_tables_and_pairs_learn_an_interaction():
     bins = model.bins(x[:5])
     by_hand = [model.intercept + sum(t[b[j]] for j, t in enumerate(model.tables)) + sum(t[b[i], b[j]] for i, j, t in model.pairs) for b in bins]
     assert np.allclose(model.raw(bins), by_hand)
+
+
+def test_fit_never_reads_more_than_its_bound(spark, monkeypatch):
+    # One id holds a third of the texts (some of them equal) and of the labels.
+    texts = [(k if k % 3 else 3, f"text {k % 700} of some words " + "x " * (k % 50)) for k in range(3000)]
+    labels = spark.createDataFrame([(k if k % 3 else 3, int(k % 2 or k % 3 == 0), 0) for k in range(3000)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = Q.fit
+    monkeypatch.setattr(Q, "fit", lambda x, y: (seen.append(len(y)), fit(x, y))[1])
+    for bound in (50, 400, 50_000):
+        Q.train(odd_docs(spark, texts), labels, max_rows=bound)
+        assert 0 < seen[-1] <= bound
+    # A text counts once for an id, and ids with contradicting labels do not count.
+    once = {(i, t) for i, t in texts if i is not None and fold(i) != 0}
+    assert seen[-1] == len(once)
+    Q.train(odd_docs(spark, [(1, "a b"), (2, "c d"), (3, "e f")]),
+            spark.createDataFrame([(1, 0, 0), (1, 1, 0), (2, 1, 0), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int"))
+    assert seen[-1] == sum(fold(i) != 0 for i in (2, 3))
