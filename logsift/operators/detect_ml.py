@@ -24,10 +24,6 @@ from logsift.session import persist
 _PARTS = 1_000_000
 
 
-def _literal(centres: np.ndarray):
-    return F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-
-
 def kmeans_clusters(df: DataFrame, feature_cols=("request_count", "response_time"), k: int = 2,
                     max_iter: int = 20, tol: float = 1e-4, rare_share: float = 0.05,
                     distance_sigmas: float = 3.0) -> DataFrame:
@@ -42,8 +38,9 @@ def kmeans_clusters(df: DataFrame, feature_cols=("request_count", "response_time
 
     The first centres are the (i + 0.5) / k quantiles of every feature, and a
     centre is the mean of its rows in integer parts, so equal rows give equal
-    clusters whatever their partitions. Each iteration is one aggregation to k
-    rows; the input is written once and read by all of them.
+    clusters whatever their partitions. Equal positions are counted once and
+    written; each iteration is one aggregation of them to k rows, with the
+    distances as plain expressions.
     """
     cols = list(feature_cols)
     data = persist(df.filter(~_missing(cols)), "kmeans-input")
@@ -60,9 +57,13 @@ def kmeans_clusters(df: DataFrame, feature_cols=("request_count", "response_time
     if total:
         for j, s in enumerate(scale):
             centres[:, j] = [(v / s if s else 0.0) for v in first[j * k:(j + 1) * k]]
+    places = [f"_x{j}" for j in range(len(cols))]
+    points = data.select(*[F.col("scaled_features")[j].alias(x) for j, x in enumerate(places)]).groupBy(*places).agg(F.count(F.lit(1)).alias("_n"))
+    points = persist(points, "kmeans-points") if total else points
     for _ in range(max_iter if total else 0):
-        part = [F.sum(F.round(F.col("scaled_features")[j] * _PARTS).cast("decimal(38,0)")) for j in range(len(cols))]
-        rows = _nearest(data, centres).groupBy("cluster").agg(F.count(F.lit(1)), *part).collect()  # at most k rows
+        part = [F.sum(F.round(F.col(x) * _PARTS).cast("decimal(20,0)") * F.col("_n")) for x in places]
+        away = _distances([F.col(x) for x in places], centres)
+        rows = points.groupBy(_first_least(away).alias("cluster")).agg(F.sum("_n"), *part).collect()  # at most k rows
         moved = centres.copy()
         for r in rows:
             moved[r[0]] = [float(x) / r[1] / _PARTS for x in r[2:]]
@@ -79,15 +80,28 @@ def kmeans_clusters(df: DataFrame, feature_cols=("request_count", "response_time
     return out.withColumn("cluster_anomaly", F.when(rare | far, 1).otherwise(0)).drop("_mean", "_std")
 
 
-def _nearest(data: DataFrame, centres: np.ndarray) -> DataFrame:
-    """``cluster``: the nearest centre, the first of equally near ones."""
+def _distances(position: list, centres: np.ndarray) -> list:
+    """Distance of a position from every centre."""
     def away(centre):
-        gaps = F.zip_with("scaled_features", centre, lambda a, b: (a - b) * (a - b))
-        return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x))
+        squares = [(x - float(c)) * (x - float(c)) for x, c in zip(position, centre)]
+        return F.sqrt(sum(squares[1:], squares[0]))
+
+    return [away(c) for c in centres]
 
-    step = data.withColumn("centre_distances", F.transform(_literal(centres), away))
-    step = step.withColumn("distance", F.array_min("centre_distances"))
-    return step.withColumn("cluster", (F.array_position("centre_distances", F.col("distance")) - 1).cast("int"))
+
+def _first_least(distances: list):
+    """Index of the least distance, the first of equal ones."""
+    least = F.least(*distances) if len(distances) > 1 else distances[0]
+    return F.coalesce(*[F.when(d == least, F.lit(i)) for i, d in enumerate(distances)]).cast("int")
+
+
+def _nearest(data: DataFrame, centres: np.ndarray) -> DataFrame:
+    """``centre_distances``, ``distance`` and ``cluster``: the nearest centre, the first of equally near ones."""
+    position = [F.col("scaled_features")[j] for j in range(centres.shape[1])]
+    step = data.withColumn("centre_distances", F.array(*_distances(position, centres)))
+    own = [F.col("centre_distances")[i] for i in range(len(centres))]
+    step = step.withColumn("distance", F.least(*own) if len(own) > 1 else own[0])
+    return step.withColumn("cluster", _first_least(own))
 
 
 def kmeans_check(clusters: DataFrame) -> DataFrame:

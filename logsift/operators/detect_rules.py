@@ -145,10 +145,13 @@ def anomaly_report(df: DataFrame, config: DetectorConfig = DEFAULT_CONFIG, categ
     if not chosen:
         return df.sparkSession.createDataFrame([], REPORT)
     entries = df.select(F.inline(F.filter(F.array(*chosen), lambda e: e.isNotNull())))
-    found = entries.groupBy("category", "ip_address", "subject", "endpoint", "event_time").agg(
+    single = F.col("category").isin("method", "status", "geo")
+    # Equal requests are counted for each input partition: however many there are, none of the rows
+    # that they are repeated from stands for more than a partition holds.
+    entries = entries.withColumn("_part", F.when(single, F.spark_partition_id()).otherwise(-1))
+    found = entries.groupBy("category", "ip_address", "subject", "endpoint", "event_time", "_part").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("metric"), F.max("value").alias("peak"))
     found = found.filter((F.col("category") != "ip") | (F.col("n") > limit))
-    single = F.col("category").isin("method", "status", "geo")
     again = F.explode(F.array_repeat(F.lit(0), F.when(single, F.col("n")).otherwise(1).cast("int"))).alias("_again")
     rows = found.select("*", again).withColumn("count", F.when(single, F.lit(1).cast("long")).otherwise(F.col("n")))
     cat = F.col("category")

@@ -4,8 +4,9 @@ The range table is packed on the driver into sorted start and end arrays with
 coded locations; its size is checked first. The arrays are broadcast once and
 every batch of rows finds its ranges by a vectorised binary search, so the
 fact side is neither shuffled nor compared with more than one range a row. A
-table over ``max_bytes`` is joined with the distinct addresses only, on
-buckets, and the located addresses are joined back.
+table over ``max_bytes`` is merged with the distinct addresses in one order
+(``asof``), and the located addresses are joined back. Only streams over such a
+table are joined on buckets (a stream has no order to merge by).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logsift.functions.ip import ipv4_to_long, ipv6_digits, ipv6_to_hex
+from logsift.operators.asof import address_key, locate
 from logsift.schemas import GEO_COLUMNS
 
 UNKNOWN = "Unknown"
@@ -156,8 +158,10 @@ def geo_enrich(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address", max
         place = {c: F.col(f"_g_{c}") for c in GEO_COLUMNS}
     else:
         # Only the distinct addresses meet the ranges; adaptive execution splits a hot address on the way back.
-        located = _bucket_join(_addresses(rows.select(F.col(ip_col).alias("_ip")).distinct(), "_ip"), ranges)
-        located = located.filter(F.col("_g_country").isNotNull() | F.col("_g_city").isNotNull() | F.col("_g_region").isNotNull())
+        distinct = _addresses(rows.select(F.col(ip_col).alias("_ip")).distinct(), "_ip")
+        located = locate(distinct.select(F.col("_ip").alias("ip"), address_key(F.col("_four"), F.col("_six")).alias("key")), ranges.select(
+            address_key(F.col("start_ip"), F.col("start_v6")).alias("start"), address_key(F.col("end_ip"), F.col("end_v6")).alias("end"), *GEO_COLUMNS))
+        located = located.select(F.col("ip").alias("_ip"), *[F.col(c).alias(f"_g_{c}") for c in GEO_COLUMNS])
         found = rows.join(located, rows[ip_col] == located["_ip"], "left")
         place = {c: F.col(f"_g_{c}") for c in GEO_COLUMNS}
     return found.select(*base, *[F.coalesce(place[c], F.lit(UNKNOWN)).alias(c) for c in GEO_COLUMNS])

@@ -21,12 +21,15 @@ from logsift.operators import analytics as A
 from logsift.operators import detect_ml as D
 from logsift.operators import detect_rules as R
 from logsift.operators import detect_stats as S
+from logsift.operators import moments as M
 from logsift.operators.metrics import traffic_metrics
-from logsift.session import input_state, shared_dir
+from logsift.session import input_state, persist, shared_dir
 from logsift.sources import fixtures
 from logsift.sources.files import read_cleaned, write_cleaned
 from logsift.sources.metrics_json import metrics_to_json, parse_metric_json
+from logsift.streaming.detect import final_moments, stream_z_score
 from logsift.streaming.ingest import ingest, text_log_lines
+from logsift.streaming.table import compact, ingest_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +104,38 @@ def stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_cleaned(spark, f"{base}/cleaned")
 
 
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines ingested by several micro-batches into a table behind a manifest,
+    its files compacted, and read back."""
+    base = shared_dir(spark, "table-roundtrip")
+    lines(spark, sf_dir).repartition(6).write.text(f"{base}/lines")
+    query = ingest_table(text_log_lines(spark, f"{base}/lines", max_files_per_trigger=2), fixtures.geo_ranges(spark, sf_dir),
+                         f"{base}/table", f"{base}/checkpoint", trigger="availableNow")
+    query.awaitTermination()
+    compact(spark, f"{base}/table")
+    return read_table(spark, f"{base}/table")
+
+
+def stored_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baseline per key, merged from the stored moments of its days."""
+    slices = persist(M.traffic_moments(metrics(spark, sf_dir, keys=ZSCORE_KEYS), ZSCORE_KEYS), "moments")
+    return M.baseline(M.merge_moments(slices, ZSCORE_KEYS), ZSCORE_KEYS)
+
+
+def stream_z_score_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON metric messages through the streaming detector; the rows judged again
+    by the baselines that the stream ends with."""
+    base = shared_dir(spark, "stream-z-score")
+    rows = metrics(spark, sf_dir, keys=ZSCORE_KEYS)
+    metrics_to_json(rows).repartition(4).write.text(f"{base}/json")
+    stream = parse_metric_json(spark.readStream.option("maxFilesPerTrigger", 2).text(f"{base}/json"), "value")
+    query = (stream_z_score(stream, ZSCORE_KEYS).writeStream.outputMode("append").format("parquet").trigger(availableNow=True)
+             .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/judged"))
+    query.awaitTermination()
+    known = M.baseline(final_moments(spark.read.parquet(f"{base}/judged"), ZSCORE_KEYS), ZSCORE_KEYS)
+    return M.score_against(rows, known, ZSCORE_KEYS)
+
+
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return export(fn(spark, sf_dir))
@@ -173,6 +208,11 @@ def _registry() -> dict[str, Query]:
         "isolation_forest_check": lambda s, d: D.isolation_forest_check(D.isolation_forest(metrics(s, d))),
         # streaming ingest
         "stream_roundtrip": stream_roundtrip,
+        "table_roundtrip": table_roundtrip,
+        # baselines kept apart from what they judge
+        "stored_baseline": stored_baseline,
+        "z_score_stored": lambda s, d: M.score_against(metrics(s, d, keys=ZSCORE_KEYS), stored_baseline(s, d), ZSCORE_KEYS),
+        "stream_z_score": stream_z_score_replayed,
     }
     return {k: _q(v) for k, v in q.items()}
 

@@ -218,6 +218,11 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
     SELECT *, avg(request_count) OVER w AS avg_request_count, stddev_samp(request_count) OVER w
            AS stddev_request_count, min("timestamp") OVER w AS first_seen, max("timestamp") OVER w AS last_seen
     FROM metrics WINDOW w AS (PARTITION BY {zk})) a) b"""
+    # A stored or streamed baseline over all rows judges them as the batch detector does.
+    q["z_score_stored"] = q["stream_z_score"] = q["z_score"]
+    q["stored_baseline"] = _with(_metrics_cte("metrics", C.ZSCORE_KEYS)) + f"""SELECT {zk},
+  avg(request_count) AS avg_request_count, stddev_samp(request_count) AS stddev_request_count,
+  min("timestamp") AS first_seen, max("timestamp") AS last_seen FROM metrics GROUP BY {zk}"""
     q["z_score_ip"] = q["z_score"].replace(f"PARTITION BY {zk}", "PARTITION BY ip_address, endpoint").replace(
         _metrics_cte("metrics", C.ZSCORE_KEYS), _metrics_cte("metrics", m))
     rk = ", ".join(C.ROLLING_KEYS)
@@ -279,6 +284,7 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
     q["blocked_countries"] = wg + f"""SELECT 'Blocked Country' AS type, ip_address, country, endpoint,
   {_iso()} AS "timestamp" FROM cleaned_geo WHERE country IN {_BLOCKED}"""
     q["stream_roundtrip"] = wg + "SELECT * FROM cleaned_geo"
+    q["table_roundtrip"] = q["stream_roundtrip"]
     q["ingest_batch"] = wg + "SELECT * FROM cleaned_geo"
     q["anomaly_report"] = wg + _report_sql()
     q["anomaly_totals"] = _with(_GEO, "report AS (" + _report_sql() + ")") + """SELECT

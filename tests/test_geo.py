@@ -123,3 +123,37 @@ def test_bucketed_join_equals_brute_force(spark):
     for limit in (1 << 20, 0):
         got = {r.id: r.country for r in geo_enrich(df, rdf, max_bytes=limit).collect()}
         assert got == want
+
+
+def test_merge_equals_the_broadcast_search(spark, conf):
+    """IPv4 and crowded IPv6 ranges (all under 2001::/16), partitions that begin inside and between ranges."""
+    conf("spark.sql.shuffle.partitions", "7")
+    four = spark.range(300_000).selectExpr("id * 1000 AS start_ip", "id * 1000 + 899 AS end_ip", "CAST(NULL AS STRING) AS start_v6",
+                                           "CAST(NULL AS STRING) AS end_v6", "concat('C', id % 250) AS country", "'x' AS city", "'r' AS region")
+    six = spark.range(80_000).selectExpr("CAST(NULL AS BIGINT) AS start_ip", "CAST(NULL AS BIGINT) AS end_ip",
+                                         "concat('2001', lower(lpad(hex(id * 16), 12, '0')), repeat('0', 16)) AS start_v6",
+                                         "concat('2001', lower(lpad(hex(id * 16 + 9), 12, '0')), repeat('f', 16)) AS end_v6",
+                                         "concat('S', id % 90) AS country", "CAST(NULL AS STRING) AS city", "'r' AS region")
+    ranges = four.unionByName(six)
+    v4 = spark.range(4000).selectExpr("concat_ws('.', id % 20, id * 7 % 256, id * 31 % 256, id % 256) AS ip_address")
+    v6 = spark.range(4000).selectExpr("concat('2001:0:', lower(hex(id % 23)), ':', lower(hex(id * 37 % 65536)), '::', lower(hex(id % 9 + 1))) AS ip_address")
+    odd = spark.createDataFrame([(x,) for x in (None, "", "nobody", "::ffff:0.0.3.7", "2000::1", "2002::1", "255.255.255.255", "0.0.0.0", "2001::")],
+                                "ip_address string")
+    rows = v4.unionByName(v6).unionByName(odd).unionByName(spark.range(3000).selectExpr("'0.1.2.3' AS ip_address")).repartition(64)
+    wide, merged = geo_enrich(rows, ranges), geo_enrich(rows, ranges, max_bytes=0)
+    assert merged.count() == rows.count()
+    assert wide.exceptAll(merged).count() == 0 and merged.exceptAll(wide).count() == 0
+    assert merged.filter("country LIKE 'S%'").count() > 1000 and merged.filter("country LIKE 'C%'").count() > 1000
+
+
+def test_merge_carries_a_start_over_empty_partitions(spark, conf):
+    """One wide range whose addresses fill many partitions that hold no start."""
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    ranges = spark.createDataFrame([(0, 2**31, "A", "a", "a"), (2**31 + 10, 2**31 + 20, "B", "b", "b")],
+                                   "start_ip long, end_ip long, country string, city string, region string")
+    rows = spark.range(5000).selectExpr("concat_ws('.', id % 130, id * 3 % 256, id % 256, 5) AS ip_address")
+    got = {r.country: r["count"] for r in geo_enrich(rows, ranges, max_bytes=0).groupBy("country").count().collect()}
+    want = {r.country: r["count"] for r in geo_enrich(rows, ranges).groupBy("country").count().collect()}
+    assert got == want and got["A"] > 4000
+    assert {r.country for r in geo_enrich(rows, ranges.limit(0), max_bytes=-1).select("country").collect()} == {"Unknown"}

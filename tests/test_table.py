@@ -1,0 +1,123 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from logsift.functions.clean import clean_logs
+from logsift.schemas import CLEANED_COLUMNS
+from logsift.session import shared_dir
+from logsift.sources import fixtures
+from logsift.streaming import table as W
+from logsift.streaming import text_log_lines
+
+
+def run(query):
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def same(a, b):
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stream_restart_compaction_and_vacuum(spark):
+    base = shared_dir(spark, "test-table")
+    lines, ranges = fixtures.log_lines(spark, SF_SMALL), fixtures.geo_ranges(spark, SF_SMALL)
+    first = lines.limit(600).cache()
+    first.repartition(4).write.text(f"{base}/in/a")
+
+    def ingest(**geo):
+        run(W.ingest_table(text_log_lines(spark, f"{base}/in/*", max_files_per_trigger=1), ranges, f"{base}/t", f"{base}/c",
+                           trigger="availableNow", **geo))
+
+    assert W.read_table(spark, f"{base}/t").count() == 0
+    ingest()
+    assert W.read_table(spark, f"{base}/t").count() == 600
+    ingest()
+    assert W.read_table(spark, f"{base}/t").count() == 600
+    before = W.live_files(spark, f"{base}/t")
+    old = W.read_table(spark, f"{base}/t")
+    # What one compaction read stays readable until a vacuum; new batches beside it are kept.
+    gone = W.compact(spark, f"{base}/t")
+    after = W.live_files(spark, f"{base}/t")
+    folders = [W._folder(f) for f in before]
+    assert gone == sum(folders.count(f) > 1 for f in folders) and len(after) == len(set(folders)) < len(before)
+    assert old.count() == 600
+    lines.subtract(first).write.text(f"{base}/in/b")
+    ingest(max_bytes=0)  # a range table too large to send
+    want = clean_logs(lines, ranges).select(*CLEANED_COLUMNS)
+    same(W.read_table(spark, f"{base}/t").select(*CLEANED_COLUMNS), want)
+    W.compact(spark, f"{base}/t")
+    assert W.vacuum(spark, f"{base}/t") >= gone
+    assert W.vacuum(spark, f"{base}/t") == 0
+    same(W.read_table(spark, f"{base}/t").select(*CLEANED_COLUMNS), want)
+    ingest()  # batches that were folded into a snapshot are known
+    same(W.read_table(spark, f"{base}/t").select(*CLEANED_COLUMNS), want)
+
+
+def test_a_replayed_batch_adds_nothing_and_a_half_written_one_is_written_anew(spark):
+    base = shared_dir(spark, "test-replay")
+    rows = clean_logs(fixtures.log_lines(spark, SF_SMALL))
+    schema = rows.schema
+    assert W.append_batch(rows, base, 0)
+    assert not W.append_batch(rows, base, 0)
+    # Data of batch 1 without an entry: its writer was lost.
+    rows.limit(5).write.partitionBy("year", "month").parquet(f"{base}/data/set=stream-{1:012d}")
+    assert W.read_table(spark, base, schema).count() == 1000
+    assert W.append_batch(rows, base, 1) and W.read_table(spark, base, schema).count() == 2000
+    W.compact(spark, base, schema=schema)
+    assert not W.append_batch(rows, base, 0) and not W.append_batch(rows, base, 1)
+    assert W.append_batch(rows, base, 0, writer="other") and W.read_table(spark, base, schema).count() == 3000
+    assert W.read_table(spark, base, schema, months=((2024, 2), (2024, 2))).filter("month <> 2").count() == 0
+
+
+def test_one_month_is_written_by_many_tasks_into_bounded_files(spark, conf):
+    """64 partitions of one month: as many tasks as the size asks for, not eight."""
+    base = shared_dir(spark, "test-month")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
+    conf("spark.sql.files.openCostInBytes", "1")
+    conf("spark.sql.files.maxPartitionBytes", "100KB")
+    wide = spark.range(60_000, numPartitions=64).selectExpr("id", "sha2(cast(id AS string), 256) AS text", "2024 AS year", "1 AS month")
+    wide.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(wide.schema).parquet(f"{base}/in")
+    run(W.write_table_stream(stream, f"{base}/t", f"{base}/c", trigger="availableNow"))
+    files = W.live_files(spark, f"{base}/t")
+    assert len(files) > 8 and len({W._folder(f) for f in files}) == 1
+    assert max(f["bytes"] for f in files) < 600_000
+    got = W.read_table(spark, f"{base}/t", wide.schema)
+    same(got.select("id", "text"), wide.select("id", "text"))
+    W.compact(spark, f"{base}/t", schema=wide.schema, target_bytes=2_000_000)
+    packed = W.live_files(spark, f"{base}/t")
+    assert len(packed) < len(files) and max(f["bytes"] for f in packed) < 2_400_000
+    same(W.read_table(spark, f"{base}/t", wide.schema).select("id", "text"), wide.select("id", "text"))
+
+
+def test_rows_without_a_partition_value(spark):
+    base = shared_dir(spark, "test-null")
+    rows = spark.createDataFrame([(1, None, 1), (2, 2024, 1), (3, None, None)], "id long, year int, month int")
+    W.append_batch(rows, base, 0)
+    W.append_batch(rows.selectExpr("id + 10 AS id", "year", "month"), base, 1)
+    W.compact(spark, base, schema=rows.schema)
+    assert len(W.live_files(spark, base)) == 3
+    assert sorted(r.id for r in W.read_table(spark, base, rows.schema).filter("year IS NULL").collect()) == [1, 3, 11, 13]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_bins_hold_every_file_once_and_no_more_than_the_target(seed):
+    rng = random.Random(seed)
+    sizes = [rng.randrange(1, 60) for _ in range(rng.randrange(1, 80))]
+    packed = W.bins(sizes, 100)
+    assert sorted(k for b in packed for k in b) == list(range(len(sizes)))
+    assert all(sum(sizes[k] for k in b) <= 100 for b in packed)
+    # First fit leaves at most one bin under half full.
+    assert sum(sum(sizes[k] for k in b) <= 50 for b in packed) <= 1
+
+
+def test_no_writer_column_is_left(spark):
+    base = shared_dir(spark, "test-columns")
+    rows = spark.range(3).selectExpr("id", "2024 AS year", "1 AS month", "'x' AS other")
+    W.append_batch(rows, base, 0)
+    got = W.read_table(spark, base, rows.schema)
+    assert got.columns == rows.columns and got.agg(F.sum("id")).first()[0] == 3
