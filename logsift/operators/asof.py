@@ -8,7 +8,7 @@ partitions before is one row for each partition. No side is broadcast and no
 address meets more than one range, however the ranges are spread.
 
 Keys are texts: a family digit and 32 hexadecimal digits. Ranges must not
-overlap.
+overlap; ``innermost`` makes nested networks ready for the search.
 """
 
 from __future__ import annotations
@@ -88,3 +88,51 @@ def locate(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
     carried = F.broadcast(addresses.sparkSession.createDataFrame(carry, kind))
     late = merged.filter("role = 'open'").select("ip", "key", "part").join(carried, "part").filter("key <= end")
     return met.unionByName(late.select("ip", *GEO_COLUMNS))
+
+
+def _bits(hexes: Column, digits: int) -> Column:
+    """Hexadecimal digits (a multiple of eight) as a text of bits."""
+    parts = [F.lpad(F.bin(F.conv(F.substring(hexes, k + 1, 8), 16, 10).cast("long")), 32, "0") for k in range(0, digits, 8)]
+    return F.concat(*parts)
+
+
+def _hexes(bits: Column) -> Column:
+    return F.lower(F.concat(*[F.lpad(F.conv(F.substring(bits, k + 1, 32), 2, 16), 8, "0") for k in range(0, 128, 32)]))
+
+
+def innermost(ranges: DataFrame) -> DataFrame:
+    """Nested networks as ranges in which the last start wins, which is how addresses
+    are looked up: a row for every place where the innermost network changes.
+
+    Places are the networks' first addresses and those behind their last ones. The
+    innermost network that holds a place has the longest prefix of its bits, found
+    by joining the place's prefixes of all lengths that occur; a row ends where its
+    network ends. Ranges that are no network (an aligned power of two) are an error.
+    Of equal networks with different locations the first by name is taken.
+    """
+    names = [F.coalesce(F.col(c), F.lit("Unknown")).alias(c) for c in GEO_COLUMNS]
+    four = F.col("start_ip").isNotNull()
+    low = F.when(four, F.concat(F.lit("4"), _bits(F.lpad(F.hex("start_ip"), 8, "0"), 8))).otherwise(F.concat(F.lit("6"), _bits(F.col("start_v6"), 32)))
+    high = F.when(four, F.concat(F.lit("4"), _bits(F.lpad(F.hex("end_ip"), 8, "0"), 8))).otherwise(F.concat(F.lit("6"), _bits(F.col("end_v6"), 32)))
+    bounds = ranges.filter("start_ip IS NOT NULL OR start_v6 IS NOT NULL").select(low.alias("low"), high.alias("high"), *names)
+    # The prefix: what is left when the zeros of the first address and the ones of the last are cut off alike.
+    free = F.least(F.length("low") - F.length(F.rtrim("low", F.lit("0"))), F.length("high") - F.length(F.rtrim("high", F.lit("1"))))
+    nets = bounds.withColumn("length", F.length("low") - free)
+    whole = F.substring("low", F.lit(1), F.col("length")) == F.substring("high", F.lit(1), F.col("length"))
+    prefix = F.when(whole, F.substring("low", F.lit(1), F.col("length"))).otherwise(F.raise_error(F.lit("a range is not a network")))
+    nets = persist(nets.withColumn("prefix", prefix).groupBy("prefix", "length").agg(
+        F.first("low").alias("low"), F.first("high").alias("high"), F.min(F.struct(*GEO_COLUMNS)).alias("place")), "networks")
+    # Behind a network: its prefix plus one, if there is any address left.
+    bits = F.length("low")
+    cut = F.rtrim("prefix", F.lit("1"))
+    behind = F.when(F.length(cut) > 1, F.rpad(F.concat(F.substring(cut, F.lit(1), F.length(cut) - 1), F.lit("1")), bits, "0"))
+    places = nets.select(F.explode(F.array("low", behind)).alias("at")).filter("at IS NOT NULL").distinct()
+    lengths = sorted(r[0] for r in nets.select("length").distinct().collect())  # 162 at most
+    keyed = places.select("at", F.explode(F.array(*[F.lit(k) for k in lengths]) if lengths else F.array().cast("array<int>")).alias("length"))
+    keyed = keyed.filter(F.col("length") <= F.length("at")).withColumn("prefix", F.substring("at", F.lit(1), F.col("length")))
+    found = keyed.join(nets, ["prefix", "length"]).groupBy("at").agg(F.max_by(F.struct("high", "place"), "length").alias("net"))
+    is4, at, end = F.col("at").startswith("4"), F.substring("at", 2, 128), F.substring(F.col("net.high"), 2, 128)
+    return found.select(
+        F.when(is4, F.conv(at, 2, 10).cast("long")).alias("start_ip"), F.when(is4, F.conv(end, 2, 10).cast("long")).alias("end_ip"),
+        F.when(~is4, _hexes(at)).alias("start_v6"), F.when(~is4, _hexes(end)).alias("end_v6"),
+        *[F.col(f"net.place.{c}").alias(c) for c in GEO_COLUMNS])

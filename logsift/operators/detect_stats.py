@@ -69,9 +69,7 @@ def rolling_anomaly(metrics: DataFrame, keys: tuple[str, ...] = ("ip_address",),
     hot key is spread over many tasks (see ``_rolling_blocked``); the result
     is identical to the plain window.
     """
-    if order_by is None:
-        rest = sorted(c for c in metrics.columns if c not in keys and c != "timestamp")
-        order_by = ("timestamp", *rest)
+    order_by = order_by or _default_order(metrics, keys)
     end = 0 if include_current else -1
     rc = F.col("request_count")
     if block_seconds is None:
@@ -87,6 +85,30 @@ def rolling_anomaly(metrics: DataFrame, keys: tuple[str, ...] = ("ip_address",),
     )
 
 
+def rolling_tails(metrics: DataFrame, keys: tuple[str, ...] = ("ip_address",), window_size: int = 2,
+                  order_by: tuple[str, ...] | None = None) -> DataFrame:
+    """The last ``window_size`` rows of every key: all that the next batch's frames
+    reach back to. Store it with a batch; of the union with the next batch it
+    gives the next tails."""
+    order_by = order_by or _default_order(metrics, keys)
+    last_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
+    return metrics.withColumn("_nth", F.row_number().over(last_first)).filter(F.col("_nth") <= window_size).drop("_nth")
+
+
+def rolling_anomaly_next(metrics: DataFrame, tails: DataFrame, keys: tuple[str, ...] = ("ip_address",), window_size: int = 2,
+                         order_by: tuple[str, ...] | None = None, **options) -> DataFrame:
+    """``rolling_anomaly`` of a batch whose rows follow those behind ``tails``: batch
+    after batch the flags are those of one run over everything. A row that sorts
+    before its key's tail (a late one) is judged among the tail's rows."""
+    order_by = order_by or _default_order(metrics, keys)
+    both = metrics.withColumn("_new", F.lit(True)).unionByName(tails.withColumn("_new", F.lit(False)))
+    return rolling_anomaly(both, keys, window_size, order_by=order_by, **options).filter("_new").drop("_new")
+
+
+def _default_order(metrics: DataFrame, keys: tuple[str, ...]) -> tuple[str, ...]:
+    return ("timestamp", *sorted(c for c in metrics.columns if c not in keys and c != "timestamp"))
+
+
 def _rolling_blocked(metrics: DataFrame, keys, order_by, k: int, end: int, block_seconds: int) -> DataFrame:
     """Rolling frame [-k, end] per key, computed per (key, time block).
 

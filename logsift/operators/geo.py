@@ -143,7 +143,8 @@ def geo_enrich(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address", max
 
     ``ranges``: start_ip, end_ip (inclusive, BIGINT) of IPv4 ranges, or start_v6,
     end_v6 (32 lower-case hexadecimal digits) of IPv6 ranges, and country, city,
-    region; ranges must not overlap. Rows are never dropped or duplicated.
+    region. Of ranges that overlap the one with the last start counts, so nested
+    networks have to go through ``asof.innermost`` first. Rows are never dropped or duplicated.
     Reads ``ranges`` at once (one job for its size, one to pack it).
     """
     base = [c for c in df.columns if c not in GEO_COLUMNS]

@@ -1,7 +1,10 @@
+import pytest
+
 from conftest import SF_SMALL, line, lines_df
 from logsift.functions.clean import clean_logs
 from logsift.functions.ip import ipv4_to_long, ipv6_to_hex, long_to_ipv4
 from logsift.operators.geo import geo_enrich
+from logsift.operators.asof import innermost
 from logsift.sources import fixtures
 from logsift.sources.geo import ranges_from_cidr, read_cidr_csv
 
@@ -157,3 +160,34 @@ def test_merge_carries_a_start_over_empty_partitions(spark, conf):
     want = {r.country: r["count"] for r in geo_enrich(rows, ranges).groupBy("country").count().collect()}
     assert got == want and got["A"] > 4000
     assert {r.country for r in geo_enrich(rows, ranges.limit(0), max_bytes=-1).select("country").collect()} == {"Unknown"}
+
+
+def test_nested_networks_longest_prefix_wins(spark):
+    import ipaddress
+    import random
+
+    rnd = random.Random(5)
+    nets = {ipaddress.ip_network("0.0.0.0/0"), ipaddress.ip_network("255.255.255.255/32"), ipaddress.ip_network("::/0"), ipaddress.ip_network("ffff::/16")}
+    for _ in range(150):
+        nets.add(ipaddress.ip_network((rnd.choice((10, 10, 11, 200)) << 24 | rnd.randrange(1 << 8) << 16 | rnd.randrange(1 << 16), rnd.randrange(6, 33)), strict=False))
+        nets.add(ipaddress.ip_network(((0x20010DB8 << 96) | rnd.randrange(1 << 6) << 90 | rnd.randrange(1 << 90), rnd.randrange(20, 129)), strict=False))
+    nets.discard(ipaddress.ip_network("0.0.0.0/0"))
+    places = {n: f"N{k}" for k, n in enumerate(sorted(nets, key=str))}
+    ranges = ranges_from_cidr(spark.createDataFrame([(str(n), p, "c", "r") for n, p in places.items()],
+                                                    "network string, country string, city string, region string"))
+    addresses = {a for n in nets for a in (n[0], n[-1], n[rnd.randrange(n.num_addresses)])}
+    addresses |= {a + d for a in list(addresses) for d in (-1, 1) if 0 <= int(a) + d < 1 << a.max_prefixlen}
+    df = spark.createDataFrame([(str(a),) for a in addresses if a.version == 4 or not a.ipv4_mapped], "ip_address string")
+    want = {}
+    for a in addresses:
+        held = [n for n in nets if n.version == a.version and a in n]
+        want[str(a)] = places[max(held, key=lambda n: n.prefixlen)] if held else "Unknown"
+    flat = innermost(ranges)
+    for limit in (1 << 26, 0):
+        got = {r.ip_address: r.country for r in geo_enrich(df, flat, max_bytes=limit).collect()}
+        assert got == {k: want[k] for k in got} and len(got) > 1000
+    assert innermost(ranges.limit(0)).count() == 0
+    odd = spark.createDataFrame([(3, 9, "A", "a", "a")], "start_ip long, end_ip long, country string, city string, region string")
+    from logsift.operators.geo import complete
+    with pytest.raises(Exception, match="not a network"):
+        innermost(complete(odd)).collect()

@@ -124,3 +124,24 @@ def test_a_row_is_judged_by_the_rows_before_it(spark):
     assert got[0].z_score is None and got[1].z_score is None
     for k in range(2, 6):
         assert math.isclose(got[k].z_score, (counts[k] - statistics.fmean(counts[:k])) / statistics.stdev(counts[:k]))
+
+
+def test_rolling_flags_batch_after_batch_equal_one_run(spark):
+    from logsift.operators.detect_stats import rolling_anomaly, rolling_anomaly_next, rolling_tails
+
+    metrics = spark.createDataFrame(rows(6, 600, keys=5), SCHEMA).cache()
+    keys = ("ip_address", "endpoint")
+    cut = [dt.datetime(2024, 3, d, tzinfo=dt.timezone.utc) for d in (1, 3, 4, 7)] + [dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)]
+    for options in ({}, {"block_seconds": 3600 * 7}, {"include_current": False}):
+        want = rolling_anomaly(metrics, keys, 11, 2.0, **options)
+        got, tails = None, metrics.limit(0)
+        for lo, hi in zip(cut, cut[1:]):
+            batch = metrics.filter((F.col("timestamp") >= F.lit(lo)) & (F.col("timestamp") < F.lit(hi)))
+            out = rolling_anomaly_next(batch, tails, keys, 11, threshold=2.0, **options)
+            got = out if got is None else got.unionByName(out)
+            tails = rolling_tails(tails.unionByName(batch), keys, 11)
+        columns = ["timestamp", "ip_address", "endpoint", "request_count", "response_time", "time_series_anomaly"]
+        shown = lambda df: df.select(*columns, F.round("rolling_mean", 6), F.round("rolling_std", 6))
+        assert shown(got).exceptAll(shown(want)).count() == 0 and shown(want).exceptAll(shown(got)).count() == 0
+        assert want.filter("time_series_anomaly = 1").count() > 0
+    assert tails.groupBy(*keys).count().agg(F.max("count")).first()[0] == 11
