@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -271,6 +272,7 @@ def _found(docs: DataFrame, anchors: KeyFilter, id_col: str, text_col: str, wind
     size = anchor_sizes(window)[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, n = TaskContext.get().partitionId() << 40, 0
         for part in chunks(batches, text_col):
             buf, offsets = text_bytes(part.column(text_col))
             words = nonspace_words(buf, offsets, lower=False)
@@ -280,13 +282,13 @@ def _found(docs: DataFrame, anchors: KeyFilter, id_col: str, text_col: str, wind
             h, text, start, windows = h[likely], text[likely], start[likely], windows[likely]
             keys = stretch_keys(seq, start, windows, window)
             kept = [b" ".join(buf[a:b].tobytes().split()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            n = part.num_rows
+            row, n = row + n, part.num_rows
             cut = np.searchsorted(text, np.arange(n + 1))
-            rows = [part.column(id_col), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in kept], pa.binary()),
+            rows = [part.column(id_col), pa.array(np.arange(row, row + n)), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in kept], pa.binary()),
                     pa.array(words.count, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept]),
-                    pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(start - words.first()[text], pa.int64())),
+                    pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(start - words.first()[text], pa.int32())),
                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(keys, pa.binary()))]
-            names = ["id", "c", "n", "sha", "starts", "keys", "h", "k", "many", "windows", "content"]
+            names = ["id", "row", "c", "n", "sha", "starts", "keys", "h", "k", "many", "windows", "content"]
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(rows + [pa.nulls(n, t) for t in kinds], names=names)
             if len(keys):
@@ -297,19 +299,27 @@ def _found(docs: DataFrame, anchors: KeyFilter, id_col: str, text_col: str, wind
 
     kind = docs.schema[id_col].dataType.simpleString()
     return persist(docs.select(id_col, text_col).mapInArrow(
-        run, f"id {kind}, c binary, n long, sha string, starts array<long>, keys array<binary>, {_PIECE}"), "repeats-found")
+        run, f"id {kind}, row long, c binary, n long, sha string, starts array<int>, keys array<binary>, {_PIECE}"), "repeats-found")
 
 
 def judged_stretches(pieces: DataFrame, window: int, level: int = 0, hot: int = HOT_STRETCHES) -> DataFrame:
     """(k, many, mask of repeated windows) of the stretches that have any.
     ``pieces``: rows of _PIECE, to be summed by their key."""
     sizes = anchor_sizes(window)
-    stretch = persist(pieces.groupBy("k").agg(F.sum("many").alias("many"), F.first("h").alias("h"),
-                                              F.first("windows").alias("windows"), F.first("content").alias("content")), "repeats-stretches")
+    stretch = persist(pieces.groupBy("h", "k").agg(F.sum("many").alias("many"), F.first("windows").alias("windows")), "repeats-stretches")
     result = stretch.filter("many > 1").selectExpr("k", "many", "shiftleft(1L, windows) - 1 AS mask")
+    # Words are shipped for the groups that have to be parsed only.
     groups = persist(stretch.groupBy("h").agg(F.count("*").alias("kinds"), F.min("many").alias("least"))
                      .filter("kinds > 1 AND least = 1"), "repeats-groups")
-    together = join_classes(stretch, groups, "h", "kinds", stretch.count())
+    wanted = KeyFilter(groups.select("h"), "h")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(wanted.may_hold(batch.column("h").to_numpy().view(np.uint64)), pa.bool_()))
+
+    together = pieces.select("h", "k", "many", "content").mapInArrow(likely, "h long, k binary, many long, content binary").groupBy("h", "k").agg(
+        F.sum("many").alias("many"), F.first("content").alias("content"))
+    hot_groups = groups.filter(F.col("kinds") > hot).select("h")
     last = level + 1 >= len(sizes)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,10 +331,12 @@ def judged_stretches(pieces: DataFrame, window: int, level: int = 0, hot: int =
             yield pa.RecordBatch.from_arrays([table.column("k").combine_chunks().take(pa.array(some)), pa.array(many[some]), pa.array(mask[some])],
                                              names=["k", "many", "mask"])
 
-    block = together if last else together.filter(F.col("kinds") <= hot)
-    result = result.unionByName(block.select("h", "k", "many", "content").repartition(F.col("h")).sortWithinPartitions("h")
-                                .mapInArrow(parse, "k binary, many long, mask long"))
-    if last or not groups.filter(F.col("kinds") > hot).count():
+    split = not last and hot_groups.count() > 0
+    if split:
+        together = persist(together, "repeats-together")
+    block = together.join(hot_groups, "h", "left_anti") if split else together
+    result = result.unionByName(block.repartition(F.col("h")).sortWithinPartitions("h").mapInArrow(parse, "k binary, many long, mask long"))
+    if not split:
         return result
 
     def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +353,7 @@ def judged_stretches(pieces: DataFrame, window: int, level: int = 0, hot: int =
                  *_pieces(words, buf, h, start, windows, keys, many, window)],
                 names=["parent", "once", "shift", "h", "k", "many", "windows", "content"])
 
-    parts = persist(together.filter(F.col("kinds") > hot).select("k", "many", "content").mapInArrow(
+    parts = persist(together.join(hot_groups, "h", "left_semi").select("k", "many", "content").mapInArrow(
         longer, f"parent binary, once boolean, shift int, {_PIECE}"), "repeats-longer")
     below = persist(judged_stretches(parts.drop("parent", "once", "shift"), window, level + 1, hot), "repeats-below")
     total = parts.agg(F.sum("many")).first()[0]
@@ -385,13 +397,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pieces = found.filter(F.col("n").isNull()).select("h", "k", "many", "windows", "content")
     outcome = persist(judged_stretches(pieces, window, hot=hot), "repeats-outcome")
     classes = persist(rows.groupBy("c").agg(F.count("*").alias("w")), "repeats-classes")
-    known = persist(join_classes(rows.select("id", "c", "n", "sha", "starts", "keys"), classes, "c", "w", rows.count()), "repeats-known")
+    known = persist(join_classes(rows.select("id", "row", "c", "n", "sha"), classes, "c", "w", rows.count()), "repeats-known")
     # Documents without a copy: the repeated windows of each, put together.
-    places = known.filter("w = 1 AND size(keys) > 0").select("c", "n", F.explode(F.arrays_zip("starts", "keys")).alias("x")).select(
-        "c", "n", F.col("x.starts").alias("start"), F.col("x.keys").alias("k"))
+    places = rows.filter("size(keys) > 0").join(classes.filter("w > 1").select("c"), "c", "left_anti").select(
+        "row", F.explode(F.arrays_zip("starts", "keys")).alias("x")).select("row", F.col("x.starts").alias("start"), F.col("x.keys").alias("k"))
     total = pieces.agg(F.sum("many")).first()[0] or 0
-    marked = join_classes(places, outcome, "k", "many", total).groupBy("c").agg(
-        F.first("n").alias("n"), F.collect_list(F.struct("start", "mask")).alias("marks"))
+    marks = join_classes(places, outcome.select("k", "many", "mask"), "k", "many", total).groupBy("row").agg(
+        F.collect_list(F.struct("start", "mask")).alias("marks"))
+    marked = known.filter("w = 1").select("row", "c", "n").join(marks, "row")
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
