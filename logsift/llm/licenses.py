@@ -7,7 +7,9 @@ automaton over words and then to a table (state x word -> state); words outside
 all templates share one column. A chunk's words are mapped to columns once, and
 all places where a template may begin are advanced together, one table look-up
 a step, until every one is accepted or has died. A place is accepted only if
-its mandatory wording stands there exactly.
+its mandatory wording stands there exactly. Besides short references by name
+there are whole notices: a text that changes a condition or the disclaimer of
+one does not get its label.
 
 The three base phrases are templates without markup, run in the same way.
 
@@ -31,11 +33,59 @@ from logsift.llm.common import Sent, Words, chunks, lookup, text_bytes
 # Fixed values of the contract: phrase -> label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
+_BSD_CONDITIONS = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    "conditions are met <<optional>>1<</optional>> redistributions of source code must retain the above copyright notice this list "
+    "of conditions and the following disclaimer <<optional>>2<</optional>> redistributions in binary form must reproduce the above "
+    "copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided "
+    "with the distribution ")
+_BSD_ENDORSEMENT = (
+    "<<optional>>3<</optional>> neither the name of <<any 4>> nor the names of <<any 1>> contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission ")
+_BSD_DISCLAIMER = (
+    "this software is provided by <<any 5>> as is and any express or implied warranties including but not limited to the implied "
+    "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<any 5>> be liable for any "
+    "direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute "
+    "goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in "
+    "contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if "
+    "advised of the possibility of such damage")
+
+# Whole notices, with the regions that may be replaced or left out.
+NOTICES = (
+    ("mit-notice",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+     "<<optional>>the software<</optional>> to deal in the software without restriction including without limitation the rights to use "
+     "copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is "
+     "furnished to do so subject to the following conditions the above copyright notice and this permission notice "
+     "<<optional>>including the next paragraph<</optional>> shall be included in all copies or substantial portions of the software the "
+     "software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+     "merchantability fitness for a particular purpose and noninfringement in no event shall <<any 6>> be liable for any claim damages "
+     "or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or "
+     "the use or other dealings in the software"),
+    ("bsd-2-clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
+    ("bsd-3-clause", _BSD_CONDITIONS + _BSD_ENDORSEMENT + _BSD_DISCLAIMER),
+    ("apache-2.0-notice",
+     "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license you may "
+     "obtain a copy of the license at <<optional>>http<</optional>> <<optional>>https<</optional>> www apache org licenses license 2.0 "
+     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+     "without warranties or conditions of any kind either express or implied see the license for the specific language governing "
+     "permissions and limitations under the license"),
+    ("gpl-notice",
+     "this <<any 1>> is free software you can redistribute it and or modify it under the terms of the gnu <<optional>>lesser<</optional>> "
+     "general public license as published by the free software foundation either version <<any 2>> of the license or at your option any "
+     "later version this <<any 1>> is distributed in the hope that it will be useful but without any warranty without even the implied "
+     "warranty of merchantability or fitness for a particular purpose see the gnu <<optional>>lesser<</optional>> general public license "
+     "for more details <<optional>>you should have received a copy of the gnu <<optional>>lesser<</optional>> general public license "
+     "along with this <<any 1>> if not see<</optional>>"),
+    ("mpl-2.0-notice",
+     "this source code form is subject to the terms of the mozilla public license <<optional>>v<</optional>> 2.0 if a copy of the mpl was "
+     "not distributed with this file you can obtain one at <<optional>>http<</optional>> <<optional>>https<</optional>> mozilla org mpl 2.0"),
+)
+
+# References by name, and the whole notices.
 TEMPLATES = (
     ("mit", "<<optional>>this <<any 1>> is<</optional>> <<optional>>released<</optional>> <<optional>>licensed<</optional>> "
             "under <<optional>>the<</optional>> <<optional>>terms of the<</optional>> mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-            "documentation files <<optional>>the software<</optional>> to deal in the software without restriction"),
     ("apache-2.0", "licensed under the apache license <<optional>>version<</optional>> 2.0"),
     ("gpl-2.0", "gnu general public license <<optional>>as published by the free software foundation either<</optional>> "
                 "version 2"),
@@ -43,8 +93,6 @@ TEMPLATES = (
                 "version 3"),
     ("lgpl", "gnu lesser general public license <<optional>>as published by the free software foundation either<</optional>> "
              "<<optional>>version <<any 1>><</optional>>"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
-            "the following conditions are met"),
     ("mpl-2.0", "<<optional>>this source code form is<</optional>> subject to the terms of the mozilla public license "
                 "<<optional>>v<</optional>> 2.0"),
     ("cc-by-nc", "<<optional>>licensed under<</optional>> <<optional>>a<</optional>> <<optional>>creative commons<</optional>> "
@@ -52,7 +100,8 @@ TEMPLATES = (
     ("cc-by", "creative commons attribution <<optional>>share alike<</optional>> <<optional>>4.0 international<</optional>> "
               "license"),
     ("spdx", "spdx license identifier <<any 3>>"),
-    ("all-rights-reserved", "copyright <<any 6>> all rights reserved"),
+    ("all-rights-reserved", "copyright <<any 24>> all rights reserved"),
+    *NOTICES,
 )
 
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")

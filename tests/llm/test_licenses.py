@@ -81,6 +81,60 @@ def test_mandatory_wording_must_match_exactly(spark):
             L.parse(bad)
 
 
+def plainest(template):
+    """A wording of a template: optional regions left out, one word where any may stand."""
+    out = []
+    for item in L.parse(template):
+        if not isinstance(item, list):
+            out += ["someone"] if isinstance(item, int) else [item]
+    return out
+
+
+def test_whole_notices_and_no_changed_ones(spark):
+    """Every notice is found; with any mandatory word changed, dropped or doubled it is not."""
+    rows, want = [], {}
+    for label, template in L.NOTICES:
+        w = plainest(template)
+        free = {k for k, x in enumerate(w) if x == "someone"}
+        rows.append((label, 0, "Copyright (c) 2020 A. B. " + " ".join(w).upper() + ". END"))
+        for k in range(len(w)):
+            if k not in free:
+                rows.append((label, 1, " ".join([*w[:k], "altogether", *w[k + 1:]])))
+                rows.append((label, 1, " ".join([*w[:k], *w[k + 1:]])))
+                rows.append((label, 1, " ".join([*w[:k], "not", *w[k:]])) if k else (label, 1, " ".join(w[:-1])))
+    got = {r.doc_id: r.labels.split(",") for r in L.scan_licenses(odd_docs(spark, [(k, t) for k, (_, _, t) in enumerate(rows)])).collect()}
+    for k, (label, changed, text) in enumerate(rows):
+        # A neighbour of a replaceable region may be dropped or doubled only where the region takes it up.
+        assert (label in got[k]) != bool(changed) or (changed and wording(label, text)), (label, text)
+    want = {label for label, _ in L.NOTICES}
+    assert want <= {x for k, (_, changed, _) in enumerate(rows) if not changed for x in got[k]}
+
+
+def wording(label, text):
+    """Whether the changed text is still a wording of the template, by its regular expression."""
+    import re
+
+    def pattern(items):
+        out = ""
+        for item in items:
+            if isinstance(item, list):
+                out += f"(?:{pattern(item)})?"
+            elif isinstance(item, int):
+                out += rf"(?:\S+ ){{0,{item}}}"
+            else:
+                out += re.escape(item) + " "
+        return out
+
+    return re.search(r"(?:^| )" + pattern(L.parse(dict(L.NOTICES)[label])), text + " ") is not None
+
+
+def test_longer_copyright_lines(spark):
+    texts = ["Copyright (c) 2001, 2004 The Regents of the University of California. All rights reserved.",
+             "copyright " + "x " * 24 + "all rights reserved", "copyright " + "x " * 25 + "all rights reserved"]
+    got = {r.doc_id: r.labels for r in L.scan_licenses(odd_docs(spark, list(enumerate(texts)))).collect()}
+    assert [got[k] for k in range(3)] == ["all-rights-reserved", "all-rights-reserved", ""]
+
+
 def test_odd_rows(spark):
     assert L.scan_licenses(odd_docs(spark)).count() == len(ODD_ROWS)
     assert L.scan_licenses(odd_docs(spark, [])).count() == 0
