@@ -6,7 +6,8 @@ equal to one of them counts 1 without merging. A chunk's texts are cut at white
 space, which no pre-token crosses, and the distinct pieces are split into
 pre-tokens once. Proven pre-tokens are matched by one hash-table probe; only the
 rest is merged, all distinct ones of a chunk together: each round finds every
-word's best pair by array lookups and joins all its places.
+word's best pair by array lookups and joins all its places. Very long words
+(unbroken text) are merged alone with a heap, n log n in their length.
 
 The tables are the vocabulary's own (a fixed size) and are sent to the tasks.
 Pieces with letters beyond Latin are normalised and split by the tokenizer
@@ -19,11 +20,13 @@ repeated rows are counted one by one.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 from logsift.llm.common import Sent, chunks, lookup, nonspace_words, text_bytes
 
 LIMIT = 2048
+# Words of more bytes are merged one by one.
+LONG_WORD = 200
 
 # Letters whose normal form is known: ASCII, and Latin letters with their accents composed.
 _PLAIN = regex.compile(r"[\x21-\x7eÀ-ɏ]*")
@@ -71,6 +76,7 @@ class WordBpe:
         self.pair_key = np.append(key[order], np.iinfo(np.int64).max)
         self.pair_rank = np.append(order, 0)
         self.made = np.array([c for _, _, c in pairs], np.int64)
+        self._made: dict | None = None
         self.proven = pa.array([], pa.large_binary())
         self._prove(vocab, end, letters)
 
@@ -84,7 +90,56 @@ class WordBpe:
         self.proven = pa.array(good, pa.large_binary())
 
     def merge(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(number of tokens, first token) of each non-empty word."""
+        """(number of tokens, first token) of each non-empty word. Long words are
+        merged one by one: the rounds of the others' common merging would grow with them."""
+        size = np.asarray(pc.binary_length(words)).astype(np.int64)
+        count, first = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        short = np.flatnonzero(size <= LONG_WORD)
+        count[short], first[short] = self._merge_together(words.take(pa.array(short)))
+        for k in np.flatnonzero(size > LONG_WORD).tolist():
+            count[k], first[k] = self._merge_alone(words[k].as_py())
+        return count, first
+
+    def _merge_alone(self, word: bytes) -> tuple[int, int]:
+        """(number of tokens, first token) of one word: its pairs wait in a heap in the
+        order of rank and place, so the work is n log n in its length."""
+        if self._made is None:
+            self._made = dict(zip(self.pair_key[:-1].tolist(), zip(self.pair_rank[:-1].tolist(), self.made[self.pair_rank[:-1]].tolist())))
+        data = np.frombuffer(word, np.uint8)
+        array = self.inner[data]
+        array[-1] = self.last[data[-1]]
+        key = array[:-1] << 32 | array[1:]
+        at = np.searchsorted(self.pair_key, key)
+        place = np.flatnonzero(self.pair_key[at] == key)
+        heap = list(zip(self.pair_rank[at[place]].tolist(), place.tolist()))
+        heapq.heapify(heap)
+        token, n, made = array.tolist(), len(array), self._made
+        behind, before, count = list(range(1, n + 1)), list(range(-1, n - 1)), n
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = behind[i]
+            if token[i] < 0 or j >= n:
+                continue
+            found = made.get(token[i] << 32 | token[j])
+            if found is None or found[0] != rank:
+                continue  # one of the two was merged meanwhile
+            token[i], token[j] = found[1], -1
+            count -= 1
+            k, h = behind[j], before[i]
+            behind[i] = k
+            if k < n:
+                before[k] = i
+                found = made.get(token[i] << 32 | token[k])
+                if found is not None:
+                    heapq.heappush(heap, (found[0], i))
+            if h >= 0:
+                found = made.get(token[h] << 32 | token[i])
+                if found is not None:
+                    heapq.heappush(heap, (found[0], h))
+        return count, token[0]
+
+    def _merge_together(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for many short words at once: a round merges the best pair of every word."""
         n = len(words)
         if not n:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
