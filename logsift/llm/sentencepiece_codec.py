@@ -3,7 +3,8 @@
 Texts are cut where no piece can cross: before a space that follows another
 character, and around ASCII characters that no piece holds. The distinct
 segments of a chunk are grouped by length; segments of equal length advance
-together, one character at a time. Rolling hashes of their substrings probe the
+together, one character at a time; very long segments are cut into windows that
+advance together and are stitched where that is proven to change nothing. Rolling hashes of their substrings probe the
 sorted hashes of the pieces; for every end position the best last piece is kept
 as a backpointer by array operations, and all segments are traced back at once.
 
@@ -38,6 +39,8 @@ from logsift.llm.common import Sent, chunks, distinct, mix64, text_bytes
 SPACE = "▁"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_BITS = 20
+# Longer segments of BPE models are cut into windows of so many characters that overlap by so many.
+LONG_SEGMENT, OVERLAP = 512, 64
 
 
 class PieceModel:
@@ -71,6 +74,7 @@ class PieceModel:
                 self.bytes.append(" ⁇ ".encode())
             else:
                 self.bytes.append(b"" if sp.is_control(i) else piece.replace(SPACE, " ").encode())
+        self.chars = np.array([len(p) for p in pieces])
         self.spaced = np.array([p.startswith(SPACE) for p in pieces])
         self.control = np.array([sp.is_control(i) for i in range(size)])
         self.score = np.array([sp.get_score(i) for i in range(size)])
@@ -237,6 +241,37 @@ class Encoder:
         keep = np.arange(length)[None, :] >= (length - count)[:, None]
         return out[keep], count
 
+    def stitched(self, points: np.ndarray) -> np.ndarray:
+        """Ids of one long segment of a BPE model. Its windows overlap and advance
+        together; where the paths of two neighbours share a boundary whose two
+        pieces may follow one another, one path goes over into the other. Then every
+        piece of the whole path may follow the one before it, and only the path that
+        merging leaves is like that. Without such a boundary the segment is
+        encoded in one go."""
+        n, stride = len(points), LONG_SEGMENT - OVERLAP
+        starts = np.arange(0, n - OVERLAP, stride)
+        full = starts[starts + LONG_SEGMENT <= n]
+        windows = []
+        for lo in range(0, len(full), 512):
+            ids, many = self.advance(points[full[lo:lo + 512][:, None] + np.arange(LONG_SEGMENT)])
+            windows += np.split(ids, np.cumsum(many)[:-1])
+        for start in starts[len(full):].tolist():
+            windows.append(self.advance(points[None, start:])[0])
+        done, path, reached = [], windows[0], 0
+        for start, ahead in zip(starts[1:].tolist(), windows[1:]):
+            ends = reached + np.cumsum(np.where(path < 0, 1, self.m.chars[path]))
+            others = start + np.concatenate([[0], np.cumsum(np.where(ahead < 0, 1, self.m.chars[ahead]))[:-1]])
+            shared, a, b = np.intersect1d(ends, others, return_indices=True)
+            left, right = path[a], ahead[b]
+            good = (left < 0) | (right < 0)
+            good[~good] = self.follows(left[~good], right[~good])
+            if not good.any():
+                return self.advance(points[None, :])[0]
+            k = int(np.argmax(good))
+            done.append(path[:a[k] + 1])
+            path, reached = ahead[b[k]:], int(shared[k])
+        return np.concatenate([*done, path])
+
     def segments(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all distinct segments, where each one's begin; the total at the end)."""
         texts = [v.decode("utf-8").replace(" ", SPACE) for v in values.to_pylist()]
@@ -245,7 +280,14 @@ class Encoder:
         begin = np.concatenate([[0], np.cumsum(length)])[:-1]
         count = np.zeros(len(texts), np.int64)
         groups = []
+        long = np.zeros(len(texts), bool) if self.m.unigram else length > LONG_SEGMENT
+        for k in np.flatnonzero(long).tolist():
+            ids = self.stitched(flat[begin[k]:begin[k] + length[k]].astype(np.uint64))
+            ids, many = self._bytes(ids, np.array([len(ids)]))
+            count[k] = many[0]
+            groups.append((np.array([k]), ids))
         order = np.argsort(length, kind="stable")
+        order = order[~long[order]]
         edges = np.flatnonzero(np.diff(length[order], prepend=-1))
         for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
             size = int(length[order[lo]])

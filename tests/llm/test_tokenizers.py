@@ -47,6 +47,30 @@ def test_pieces_equal_the_library(model):
     assert S.decode(model, ids.astype(np.int64), at) == [sp.decode(x) for x in want]
 
 
+def test_unbroken_texts_equal_the_library(model):
+    rng = random.Random(8)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    encoder = S.Encoder(model)
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("ab", "abcdefghijklmnopqrstuvwxyz", "theraino", "xé日本🙂", " a")
+             for n in (510, 512, 513, 960, 961, 5000)]
+    texts += [x * n for x in ("a", "ab", "the", "🙂", " ") for n in (600, 3000)] + ["".join(rng.choice(["the", "ing", "er", "x", "▁"]) for _ in range(900))]
+    buf, offsets = text_bytes(pa.array(texts, pa.large_string()))
+    ids, ends = encoder.encode(buf, offsets)
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == library.encode(texts)
+
+
+def test_a_million_letters_advance_in_windows(model, monkeypatch):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    steps = []
+    advance = S.Encoder.advance
+    monkeypatch.setattr(S.Encoder, "advance", lambda self, points: (steps.append(points.shape[1]), advance(self, points))[1])
+    ids, _ = S.Encoder(model).encode(*text_bytes(pa.array([text], pa.large_string())))
+    # A step for every character of a window and 512 windows, not one for every letter.
+    assert max(steps) <= S.LONG_SEGMENT and len(steps) <= 7
+    assert ids.tolist() == sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(text)
+
+
 def test_decoding_any_ids_equals_the_library(model):
     rng = random.Random(3)
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
@@ -107,6 +131,25 @@ def test_counts_equal_the_library(spark):
     assert C.count_tokens(odd_docs(spark, []), WORD).count() == 0
 
 
+def test_unbroken_texts_are_counted_like_the_library():
+    import random
+    import time
+
+    rng = random.Random(3)
+    library = Tokenizer.from_file(WORD)
+    counter = C.Counter(C.WordBpe(WORD))
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("ab", "abcdefghijklmnopqrstuvwxyz", "theraino", "xé日")
+             for n in (199, 200, 201, 500, 20_000)]
+    texts += ["a" * n for n in (200, 201, 4000)] + ["word " + "na" * 300 + " end", "aaab" * 200]
+    buf, offsets = text_bytes(pa.array(texts, pa.large_string()))
+    assert counter.count(buf, offsets).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    # A million letters: the heap takes one push for a letter at the start and two for a merge at most.
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    at = time.perf_counter()
+    got = counter.m.merge(pa.array([long.encode()], pa.large_binary()))[0][0]
+    assert got == len(library.encode(long, add_special_tokens=False).ids) and time.perf_counter() - at < 120
+
+
 def test_proven_strings_are_one_token():
     model = C.WordBpe(WORD)
     library = Tokenizer.from_file(WORD)
