@@ -22,12 +22,15 @@ COLUMNS = {
     "op8_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op9_licenses": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op10_suffix_tree_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13_substring_dedup": "doc_id n_words n_removed kept_sha256",
 }
 
 
 def test_registered():
     names = set(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if re.match(rf"op{n}_", x)]) == 1
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "encoding"]
 
@@ -38,7 +41,10 @@ def test_full_result(spark, name):
     assert set(COLUMNS.get(name, "doc_id").split()) <= set(got.columns)
     table = "embeddings" if name.startswith("op4_") else "documents"
     rows = got.toPandas()
-    assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    if name == "op11_hard_negatives":  # rows are anchors with a positive and a negative
+        assert len(rows) > 0 and (rows.anchor_id % 50 == 0).all() and rows["rank"].between(1, 3).all()
+    else:
+        assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
     sql = Q.ORACLE_SQL.get(name)
     if sql:
         con = duckdb.connect()
