@@ -2,15 +2,18 @@
 
 Symbols are the bytes of the lower-cased tokens, a space behind each token and
 a line feed at a text's start and end, so the tree spells unknown tokens too.
-Contexts are the up to DEPTH symbols before a symbol. Counting: every task packs
-each symbol with its context into one integer, counts the distinct ones and
-sends them as sorted arrays by the last two symbols of the context; tasks are
-merged sixty-four at a time, then all. A context is a candidate from two training
-symbols on, whatever the size of the corpus, so the model grows with it. All
-contexts with the same last two symbols are in one bucket, so a bucket's part of
-the tree is built and used in one task: the symbols to score are sent to their
-bucket (distinct ones of a chunk, with their places), scored there, and the sums
-by text go back. Only contexts of at most one symbol are held by every task.
+Contexts are the up to DEPTH symbols before a symbol, packed with it into one
+integer. Texts are written once, as compressed symbols, in teams of chunks of one
+input partition. A team sends its distinct packed symbols, each with its number in
+training texts, as sorted arrays to buckets by the last two symbols of the
+context (the last three behind pairs that precede a thousandth of all symbols).
+The same rows count and ask: a bucket sums the counts of all teams, builds its
+part of the tree in one task, scores every distinct symbol once and sends each
+team the scores of its own. There each symbol of the team's texts finds its score
+in a hash table. So a symbol is shuffled once a team, not once a place. A context
+is a candidate from two training symbols on, whatever the size of the corpus, so
+the model grows with it. Only contexts of at most one symbol and the thousand hot
+pairs are held by every task.
 A context is retained if the next-symbol distribution behind it diverges
 from that behind its suffix, by more than chance. A retained distribution is
 smoothed by that of the next shorter retained suffix, which weighs as much as
@@ -51,11 +54,17 @@ LEAST_SHARE = 0.0
 DIVERGENCE, EVIDENCE = 0.002, 2.0
 # A token is broadcast from this share of the training tokens on, if not longer than so many bytes.
 FREQUENT, FREQUENT_BYTES = 1e-6, 64
-BUCKETS = 256
-# Text bytes handled at once; the packed symbols take some forty times as much.
-CHUNK = 2 << 20
+# Pairs of symbols before a thousandth of all training symbols are split by the symbol before them.
+HOT_PAIRS = 1000
+# Buckets at least and at most, and training symbols of one in between.
+BUCKETS, MOST_BUCKETS, BUCKET_SYMBOLS = 256, 4096, 16 << 20
+# Text bytes handled at once (the packed symbols take some forty times as much), text bytes whose
+# distinct symbols are asked for together, and distinct symbols scored at once.
+CHUNK, TEAM, SLICE = 2 << 20, 64 << 20, 1 << 20
 
 EDGE, SPACE = 10, 32
+CHUNK_TYPE = pa.struct([("team", pa.int64()), ("first", pa.int64()),
+                        *((c, pa.binary()) for c in ("symbols", "begin", "train", "pairs", "pair_counts"))])
 
 
 def stream(buf: np.ndarray, words: Words, n_docs: int, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -124,12 +133,17 @@ def unpack(raw: bytes, dtype, rising: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=dtype) if rising else values
 
 
-def _by_bucket(key: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, places of its keys); a bucket holds whole contexts of two symbols."""
-    bucket = (mix64(key >> np.uint64(8 * (depth - 1))) % np.uint64(BUCKETS)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
-    for b in range(BUCKETS):
+def _by_bucket(key: np.ndarray, hot: np.ndarray, buckets: int, depth: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its keys). A bucket holds whole contexts of two symbols,
+    of three behind the ``hot`` pairs (sorted)."""
+    pair = key >> np.uint64(8 * (depth - 1))
+    if len(hot):
+        split = hot[np.minimum(np.searchsorted(hot, pair), len(hot) - 1)] == pair
+        pair = np.where(split, key >> np.uint64(8 * (depth - 2)) << np.uint64(1) | np.uint64(1), pair << np.uint64(1))
+    bucket = (mix64(pair) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket.astype(np.uint16), kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in range(buckets):
         if edges[b] < edges[b + 1]:
             yield b, order[edges[b]:edges[b + 1]]
 
@@ -139,142 +153,189 @@ def shorter(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return merge_counts([((key >> np.uint64(16) << np.uint64(8)) | (key & np.uint64(255)), n)])
 
 
-def candidates(key: np.ndarray, n: np.ndarray, least: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(depth, gram, n) of a bucket's contexts of two symbols and more with at least ``least`` symbols behind them."""
+def candidates(key: np.ndarray, n: np.ndarray, least: int, depth: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(depth, gram, n) of a bucket's contexts of two symbols and more with at least ``least``
+    symbols behind them. The ``hot`` pairs themselves are split over buckets, so not among them."""
     found = []
+    key, n = key[n > 0], n[n > 0]
     for d in range(depth, 1, -1):
         if d < depth:
             key, n = shorter(key, n)
         context = key >> np.uint64(8)
-        start = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        total = np.repeat(np.add.reduceat(n, start), np.diff(np.append(start, len(key))))
+        start = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(key) else np.zeros(0, np.int64)
+        total = np.repeat(np.add.reduceat(n, start), np.diff(np.append(start, len(key)))) if len(key) else n
         # A context that reaches beyond the text's start has a zero in its farthest place.
         good = (total >= least) & ((context & np.uint64(255)) != 0)
+        if d == 2:
+            good &= ~np.isin(context, hot)
         found.append((np.full(int(good.sum()), d), key[good], n[good]))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def gram_counts(docs: DataFrame, text_col: str, depth: int = DEPTH) -> DataFrame:
-    """(bucket, grams, counts): sorted distinct symbols with their contexts and their number, some rows a bucket."""
+def pack_chunk(symbols: np.ndarray, begin: np.ndarray, train: np.ndarray, depth: int = DEPTH) -> dict:
+    """A chunk's symbols, where its texts begin, which of them train, and its training
+    symbols by the last two symbols before them."""
+    pair = _behind_two(symbols)[predicted(len(symbols), begin, depth) & _of_texts(train, begin, len(symbols), depth)]
+    many = np.bincount(pair, minlength=1 << 16)
+    own = np.flatnonzero(many)
+    return {"symbols": pack(symbols), "begin": pack(begin, True), "train": pack(train.astype(np.uint8)),
+            "pairs": pack(own.astype(np.uint16), True), "pair_counts": pack(many[own].astype(np.int64))}
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
-        for part in chunks(batches, text_col, CHUNK):
-            buf, offsets = text_bytes(part.column(text_col))
-            words = nonspace_words(buf, offsets)
-            symbols, begin = stream(buf, words, len(offsets) - 1, depth)
-            found = grams(symbols, depth)[predicted(len(symbols), begin, depth)]
-            parts.append(np.unique(found, return_counts=True))
-            if len(parts) == 8:
-                parts = [merge_counts(parts)]
-        team = TaskContext.get().partitionId() // 64
+
+def _behind_two(symbols: np.ndarray) -> np.ndarray:
+    """The two symbols before each symbol, the nearest one highest."""
+    out = np.zeros(len(symbols), np.int64)
+    out[1:] = symbols[:-1].astype(np.int64) << 8
+    out[2:] |= symbols[:-2]
+    return out
+
+
+def _of_texts(values: np.ndarray, begin: np.ndarray, n: int, depth: int) -> np.ndarray:
+    """A value of each text for each of its symbols."""
+    return np.repeat(values, np.diff(np.append(begin - depth - 1, n)))
+
+
+def hot_pairs(packed: DataFrame, n_symbols: int) -> np.ndarray:
+    """Sorted pairs of symbols that precede a thousandth of the training symbols: a thousand at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for pairs, many in zip(batch.column("pairs"), batch.column("pair_counts")):
+                total[unpack(pairs.as_py(), np.uint16, True)] += unpack(many.as_py(), np.int64)
+        own = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["pair", "n"])
+
+    found = packed.select("pairs", "pair_counts").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    rows = found.filter(F.col("n") >= max(1, n_symbols // HOT_PAIRS + 1)).collect()
+    return np.sort(np.array([r["pair"] for r in rows], np.uint64))
+
+
+def gram_counts(packed: DataFrame, hot: np.ndarray, buckets: int, depth: int = DEPTH) -> DataFrame:
+    """(team, bucket, grams, counts): the sorted distinct symbols with their contexts of each team of
+    chunks and how often each of them stands in training texts (0 where only in others)."""
+
+    def flush(team: int, parts: list) -> pa.RecordBatch:
         key, n = merge_counts(parts)
-        rows = [(b, pack(key[own], True), pack(n[own])) for b, own in _by_bucket(key, depth)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([b for b, _, _ in rows], pa.int32()), pa.array([team] * len(rows), pa.int32()),
+        rows = [(b, pack(key[own], True), pack(n[own])) for b, own in _by_bucket(key, hot, buckets, depth)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([team] * len(rows), pa.int64()), pa.array([b for b, _, _ in rows], pa.int32()),
              pa.array([k for _, k, _ in rows], pa.binary()), pa.array([n for _, _, n in rows], pa.binary())],
-            names=["bucket", "team", "grams", "counts"])
+            names=["team", "bucket", "grams", "counts"])
 
-    def combine(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, parts = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                here = {c: row[c] for c in by}
-                if here != at:
-                    if at is not None:
-                        yield at, *merge_counts(parts)
-                    at, parts = here, []
-                parts.append((unpack(row["grams"], np.uint64, True), unpack(row["counts"], np.int64)))
-                if sum(len(k) for k, _ in parts[1:]) > 4_000_000:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                if row["team"] != at:
+                    if parts:
+                        yield flush(at, parts)
+                    at, parts = row["team"], []
+                symbols, begin = unpack(row["symbols"], np.uint8), unpack(row["begin"], np.int64, True)
+                train = _of_texts(unpack(row["train"], np.uint8).astype(bool), begin, len(symbols), depth)
+                on = predicted(len(symbols), begin, depth)
+                key = grams(symbols, depth)
+                parts.append(np.unique(key[on & train], return_counts=True))
+                other = np.unique(key[on & ~train])
+                parts.append((other, np.zeros(len(other), np.int64)))
+                if len(parts) >= 16:
                     parts = [merge_counts(parts)]
-        if at is not None:
-            yield at, *merge_counts(parts)
+        if parts:
+            yield flush(at, parts)
 
-    def teams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for at, key, n in combine(batches, ["bucket", "team"]):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([at["bucket"]], pa.int32()), pa.array([pack(key, True)], pa.binary()), pa.array([pack(n)], pa.binary())],
-                names=["bucket", "grams", "counts"])
-
-    parts = docs.select(text_col).mapInArrow(count, "bucket int, team int, grams binary, counts binary")
-    return parts.repartition(F.col("bucket"), F.col("team")).sortWithinPartitions("bucket", "team").mapInArrow(
-        teams, "bucket int, grams binary, counts binary")
+    return packed.select("team", "symbols", "begin", "train").mapInArrow(run, "team long, bucket int, grams binary, counts binary")
 
 
-def low_counts(counts: DataFrame, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(depth, gram, n) of the contexts of one symbol and none: at most 65,792."""
+def low_counts(counts: DataFrame, hot: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(depth, gram, n) of the contexts of one symbol and none (at most 65,792) and of the hot pairs (at most 256,000)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[list] = [[], [], []]
         for batch in batches:
             for grams_, counts_ in zip(batch.column("grams"), batch.column("counts")):
                 key, n = unpack(grams_.as_py(), np.uint64, True), unpack(counts_.as_py(), np.int64)
-                for d in range(depth - 1, -1, -1):
-                    key, n = shorter(key, n) if d else merge_counts([(key & np.uint64(255), n)])
-                    if d <= 1:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(key), d, np.int32)), pa.array(key.view(np.int64)), pa.array(n)], names=["depth", "gram", "n"])
+                # Straight to two symbols of context; sorted order stays whole contexts together.
+                key, n = merge_counts([(key[n > 0] >> np.uint64(8 * (depth - 1)) << np.uint64(8) | key[n > 0] & np.uint64(255), n[n > 0])])
+                own = np.isin(key >> np.uint64(8), hot)
+                parts[2].append((key[own], n[own]))
+                key, n = shorter(key, n)
+                parts[1].append((key, n))
+                parts[0].append(merge_counts([(key & np.uint64(255), n)]))
+                if len(parts[0]) >= 256:
+                    parts = [[merge_counts(p)] for p in parts]
+        for d, p in enumerate(parts):
+            key, n = merge_counts(p)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(key), d, np.int32)), pa.array(key.view(np.int64)), pa.array(n)], names=["depth", "gram", "n"])
 
     found = counts.select("grams", "counts").mapInArrow(run, "depth int, gram long, n long").groupBy("depth", "gram").agg(
         F.sum("n").alias("n")).toArrow()
     return found.column("depth").to_numpy(), found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
 
 
-def requests(key: np.ndarray, doc: np.ndarray, n_docs: int, depth: int) -> list[dict]:
-    """The symbols of a chunk's texts by bucket: distinct ones, how many each text has, and which."""
-    out = []
-    for b, own in _by_bucket(key, depth):
-        grams_, at = np.unique(key[own], return_inverse=True)
-        out.append({"bucket": b, "grams": pack(grams_, True), "many": pack(np.bincount(doc[own], minlength=n_docs).astype(np.int32)),
-                    "at": pack(at.astype(np.uint16 if len(grams_) <= 1 << 16 else np.uint32))})
-    return out
-
-
-def model_scores(counts: DataFrame, asked: DataFrame, low: tuple, least: int, depth: int = DEPTH) -> DataFrame:
-    """(row, score) from ``counts`` of the training symbols and ``asked`` (first, bucket, grams, many, at)."""
-    sent = Sent(counts.sparkSession, low)
+def gram_scores(counts: DataFrame, low: tuple, hot: np.ndarray, least: int, depth: int = DEPTH) -> DataFrame:
+    """(team, grams, scores): the log10 probabilities of each team's distinct symbols. A bucket's part
+    of the tree is built from the sums of all teams, and each distinct symbol is scored once."""
+    sent = Sent(counts.sparkSession, (low, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, parts, score = None, [], None
+        at, parts, known, value = None, [], None, None
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 if row["bucket"] != at:
-                    at, parts, score = row["bucket"], [], None
+                    at, parts, known = row["bucket"], [], None
                 key = unpack(row["grams"], np.uint64, True)
                 if row["kind"] == 0:
-                    parts.append((key, unpack(row["data"], np.int64)))
+                    parts.append((key, unpack(row["counts"], np.int64)))
                     if sum(len(k) for k, _ in parts[1:]) > 4_000_000:
                         parts = [merge_counts(parts)]
                     continue
-                if score is None:
-                    levels = [sent.value, *([candidates(*merge_counts(parts), least, depth)] if parts else [])]
-                    score = Scorer(SuffixTree(*(np.concatenate(c) for c in zip(*levels)), least, levels=depth))
+                if known is None:
+                    known, n = merge_counts(parts)
+                    low, hot = sent.value
+                    levels = zip(low, candidates(known, n, least, depth, hot))
+                    score = Scorer(SuffixTree(*(np.concatenate(c) for c in levels), least, levels=depth))
+                    value = np.concatenate([score(known[lo:lo + SLICE]) for lo in range(0, len(known), SLICE)])
                     parts = []
-                many = unpack(row["many"], np.int32)
-                value = score(key)[unpack(row["data"], np.uint16 if len(key) <= 1 << 16 else np.uint32)]
-                total = np.bincount(np.repeat(np.arange(len(many)), many), value, len(many))
-                yield pa.RecordBatch.from_arrays([pa.array([row["first"]]), pa.array([pack(total)], pa.binary())], names=["first", "sums"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["team"]], pa.int64()), pa.array([row["grams"]], pa.binary()),
+                     pa.array([pack(value[np.searchsorted(known, key)])], pa.binary())], names=["team", "grams", "scores"])
+
+    both = counts.select("bucket", F.lit(0).alias("kind"), "team", "grams", "counts").unionByName(
+        counts.select("bucket", F.lit(1).alias("kind"), "team", "grams", F.lit(None).cast("binary").alias("counts")))
+    return both.repartition(F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(
+        run, "team long, grams binary, scores binary")
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total = None, None
+
+def text_scores(packed: DataFrame, scores: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(row, score): each team's chunks meet the scores of the team's distinct symbols."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, table, value = None, [], None, None
         for batch in batches:
-            for first, raw in zip(batch.column("first").to_pylist(), batch.column("sums")):
-                own = unpack(raw.as_py(), np.float64)
-                if first == at:
-                    total = total + own
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                if row["team"] != at:
+                    at, parts, table = row["team"], [], None
+                if row["kind"] == 0:
+                    parts.append((unpack(row["a"], np.uint64, True), unpack(row["b"], np.float64)))
                     continue
-                if at is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(at + np.arange(len(total))), pa.array(total)], names=["row", "score"])
-                at, total = first, own
-        if at is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(at + np.arange(len(total))), pa.array(total)], names=["row", "score"])
-
-    both = counts.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("first"), "grams", F.lit(None).cast("binary").alias("many"),
-                         F.col("counts").alias("data")).unionByName(
-        asked.select("bucket", F.lit(1).alias("kind"), "first", "grams", "many", F.col("at").alias("data")))
-    return both.repartition(F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(
-        run, "first long, sums binary").repartition(F.col("first")).sortWithinPartitions("first").mapInArrow(
-        sums, "row long, score double")
+                if table is None:
+                    # A team whose chunks were read by two tasks has some symbols twice.
+                    keys, own = np.unique(np.concatenate([key for key, _ in parts]), return_index=True)
+                    table, value, parts = Table(keys), np.concatenate([v for _, v in parts])[own], []
+                symbols, begin = unpack(row["a"], np.uint8), unpack(row["b"], np.int64, True)
+                on = predicted(len(symbols), begin, depth)
+                doc = _of_texts(np.arange(len(begin)), begin, len(symbols), depth)[on]
+                total = np.bincount(doc, value[table(grams(symbols, depth)[on])], len(begin))
+                yield pa.RecordBatch.from_arrays([pa.array(row["first"] + np.arange(len(total))), pa.array(total)], names=["row", "score"])
+
+    none = F.lit(None).cast("long")
+    both = scores.select("team", F.lit(0).alias("kind"), none.alias("first"), F.col("grams").alias("a"), F.col("scores").alias("b")).unionByName(
+        packed.select("team", F.lit(1).alias("kind"), "first", F.col("symbols").alias("a"), F.col("begin").alias("b")))
+    return both.repartition(F.col("team")).sortWithinPartitions("team", "kind").mapInArrow(run, "row long, score double")
 
 
 class SuffixTree:
@@ -412,9 +473,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     # V and N count the end token; the base's denominator.
     below = total + 0.5 * (kinds + (1 if ends else 0) + 1)
     # Every token is followed by a space, every text by its end.
-    least = max(2, int(LEAST_SHARE * ((spelled or 0) + ends)))
-    grams_ = persist(gram_counts(training, text_col), "lm-grams")
-    low = low_counts(grams_)
+    n_symbols = (spelled or 0) + ends
+    least = max(2, int(LEAST_SHARE * n_symbols))
     usual = (F.col("c") >= FREQUENT * total) & (F.octet_length("token") <= FREQUENT_BYTES)
     often = counts.filter(usual).toArrow()
     known = pa.chunked_array(often.column("token")).combine_chunks().cast(pa.large_string()).cast(pa.large_binary()) \
@@ -425,6 +485,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = sent.value
         row = TaskContext.get().partitionId() << 33
+        team, in_team = row, 0
         for part in chunks(batches, text_col, CHUNK):
             n = part.num_rows
             buf, offsets = text_bytes(part.column(text_col))
@@ -442,38 +503,32 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             tokens = words.values.take(pa.array(pair % width)).cast(pa.large_string()).cast(pa.string())
             rare = pa.ListArray.from_arrays(start.astype(np.int32), pa.StructArray.from_arrays(
                 [tokens, pa.array(many.astype(np.int64))], names=["token", "n"]))
+            # The chunk's symbols stand in its first row.
+            if in_team + len(buf) > TEAM:
+                team, in_team = row, 0
+            in_team += len(buf)
+            chunk = {"team": team, "first": row} | pack_chunk(*stream(buf, words, n), np.asarray(part.column("_train")).astype(bool))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row + np.arange(n)), part.column(id_col), pa.array(words.count.astype(np.int64) + 1), pa.array(seen.astype(np.int64)),
-                 pa.array(base), rare, part.column(text_col)], names=["row", id_col, "n_tokens", "seen", "base", "rare", "_text"])
+                 pa.array(base), rare, pa.array([chunk] + [None] * (n - 1), CHUNK_TYPE)],
+                names=["row", id_col, "n_tokens", "seen", "base", "rare", "chunk"])
             row += n
 
-    scored = persist(docs.select(id_col, text_col).mapInArrow(
-        run, f"row long, `{id_col}` {kind}, n_tokens long, seen long, base double, "
-             "rare array<struct<token:string,n:long>>, _text string"), "lm-scored")
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in chunks(batches, "_text", CHUNK):
-            row = whole.column("row").to_numpy()
-            # Rows of one task stand one behind the other; a chunk may reach into the next task's.
-            edges = [0, *(np.flatnonzero(np.diff(row) != 1) + 1).tolist(), len(row)]
-            for lo, hi in zip(edges, edges[1:]):
-                buf, offsets = text_bytes(whole.column("_text").slice(lo, hi - lo))
-                symbols, begin = stream(buf, nonspace_words(buf, offsets), hi - lo)
-                on = np.flatnonzero(predicted(len(symbols), begin))
-                found = requests(grams(symbols)[on], np.searchsorted(begin, on, "right") - 1, hi - lo, DEPTH)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(row[lo])] * len(found)), pa.array([f["bucket"] for f in found], pa.int32()),
-                     *[pa.array([f[c] for f in found], pa.binary()) for c in ("grams", "many", "at")]],
-                    names=["first", "bucket", "grams", "many", "at"])
-
-    asked = scored.select("row", "_text").mapInArrow(ask, "first long, bucket int, grams binary, many binary, at binary")
-    model = model_scores(grams_, asked, low, least)
+    train = (~held_in_fold(id_col, HELD_OUT_FOLD)).alias("_train")
+    scored = persist(docs.select(id_col, text_col, train).mapInArrow(
+        run, f"row long, `{id_col}` {kind}, n_tokens long, seen long, base double, rare array<struct<token:string,n:long>>, "
+             "chunk struct<team:long,first:long,symbols:binary,begin:binary,train:binary,pairs:binary,pair_counts:binary>"), "lm-scored")
+    packed = scored.filter(F.col("chunk").isNotNull()).select("chunk.*")
+    hot = hot_pairs(packed, n_symbols)
+    buckets = min(MOST_BUCKETS, max(BUCKETS, n_symbols // BUCKET_SYMBOLS))
+    grams_ = persist(gram_counts(packed, hot, buckets), "lm-grams")
+    model = text_scores(packed, gram_scores(grams_, low_counts(grams_, hot), hot, least))
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n")
     c = F.coalesce("c", F.lit(0))
     rest = rare.join(counts.filter(~usual), "token", "left").groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("_seen"),
         F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(float(below)))).alias("_base"))
-    return scored.drop("rare", "_text").join(rest, "row", "left").join(model, "row", "left").select(
+    return scored.drop("rare", "chunk").join(rest, "row", "left").join(model, "row", "left").select(
         id_col, held_in_fold(id_col, HELD_OUT_FOLD).alias("held_out"), "n_tokens",
         (F.col("seen") + F.coalesce("_seen", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("_base", F.lit(0.0))).alias("base_score"), "score")
