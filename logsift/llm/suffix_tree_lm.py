@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Sent, Words, chunks, held_in_fold, lookup, mix64, nonspace_words, text_bytes
+from logsift.llm.common import Sent, Words, chunks, held_in_fold, lookup, mix64, nonspace_words, release, text_bytes
 from logsift.session import persist
 
 HELD_OUT_FOLD = 1
@@ -60,7 +60,9 @@ HOT_PAIRS = 1000
 BUCKETS, MOST_BUCKETS, BUCKET_SYMBOLS = 256, 4096, 16 << 20
 # Text bytes handled at once (the packed symbols take some forty times as much), text bytes whose
 # distinct symbols are asked for together, and distinct symbols scored at once.
-CHUNK, TEAM, SLICE = 2 << 20, 64 << 20, 1 << 20
+CHUNK, TEAM, SLICE = 1 << 20, 64 << 20, 1 << 19
+# Of zstd, for what is stored and shuffled.
+LEVEL = 6
 
 EDGE, SPACE = 10, 32
 CHUNK_TYPE = pa.struct([("team", pa.int64()), ("first", pa.int64()),
@@ -123,7 +125,7 @@ def pack(values: np.ndarray, rising: bool = False) -> bytes:
     """Compressed bytes of an array, first all lowest bytes; a rising one as its differences."""
     values = np.diff(values, prepend=values.dtype.type(0)) if rising else values
     raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=LEVEL).compress(raw, asbytes=True)
 
 
 def unpack(raw: bytes, dtype, rising: bool = False) -> np.ndarray:
@@ -133,6 +135,11 @@ def unpack(raw: bytes, dtype, rising: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=dtype) if rising else values
 
 
+def rounded(values: np.ndarray) -> np.ndarray:
+    """Values with 36 bits of fraction (a part in 10^11): their two lowest bytes are zero and pack to nothing."""
+    return ((values.view(np.uint64) + np.uint64(1 << 15)) >> np.uint64(16) << np.uint64(16)).view(np.float64)
+
+
 def _by_bucket(key: np.ndarray, hot: np.ndarray, buckets: int, depth: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, places of its keys). A bucket holds whole contexts of two symbols,
     of three behind the ``hot`` pairs (sorted)."""
@@ -241,6 +248,8 @@ def gram_counts(packed: DataFrame, hot: np.ndarray, buckets: int, depth: int = D
                 parts.append((other, np.zeros(len(other), np.int64)))
                 if len(parts) >= 16:
                     parts = [merge_counts(parts)]
+                del symbols, begin, train, on, key, other
+                release()
         if parts:
             yield flush(at, parts)
 
@@ -298,10 +307,11 @@ def gram_scores(counts: DataFrame, low: tuple, hot: np.ndarray, least: int, dept
                     levels = zip(low, candidates(known, n, least, depth, hot))
                     score = Scorer(SuffixTree(*(np.concatenate(c) for c in levels), least, levels=depth))
                     value = np.concatenate([score(known[lo:lo + SLICE]) for lo in range(0, len(known), SLICE)])
-                    parts = []
+                    parts, levels, score, n = [], None, None, None
+                    release()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["team"]], pa.int64()), pa.array([row["grams"]], pa.binary()),
-                     pa.array([pack(value[np.searchsorted(known, key)])], pa.binary())], names=["team", "grams", "scores"])
+                     pa.array([pack(rounded(value[np.searchsorted(known, key)]))], pa.binary())], names=["team", "grams", "scores"])
 
     both = counts.select("bucket", F.lit(0).alias("kind"), "team", "grams", "counts").unionByName(
         counts.select("bucket", F.lit(1).alias("kind"), "team", "grams", F.lit(None).cast("binary").alias("counts")))
@@ -329,7 +339,11 @@ def text_scores(packed: DataFrame, scores: DataFrame, depth: int = DEPTH) -> Dat
                 symbols, begin = unpack(row["a"], np.uint8), unpack(row["b"], np.int64, True)
                 on = predicted(len(symbols), begin, depth)
                 doc = _of_texts(np.arange(len(begin)), begin, len(symbols), depth)[on]
-                total = np.bincount(doc, value[table(grams(symbols, depth)[on])], len(begin))
+                key = grams(symbols, depth)[on]
+                score = np.concatenate([value[table(key[lo:lo + SLICE])] for lo in range(0, max(1, len(key)), SLICE)])
+                total = np.bincount(doc, score, len(begin))
+                del symbols, on, doc, key, score
+                release()
                 yield pa.RecordBatch.from_arrays([pa.array(row["first"] + np.arange(len(total))), pa.array(total)], names=["row", "score"])
 
     none = F.lit(None).cast("long")
