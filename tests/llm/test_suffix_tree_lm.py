@@ -118,3 +118,25 @@ def test_better_than_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     row = M.lm_scores(docs).filter("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b").first()
     assert row.s > row.b
+
+
+def test_many_teams_and_few_split_pairs(spark, monkeypatch):
+    # Chunks of a few texts, several teams a partition; only the commonest pairs are split over buckets.
+    monkeypatch.setattr(M, "CHUNK", 700)
+    monkeypatch.setattr(M, "TEAM", 2000)
+    monkeypatch.setattr(M, "HOT_PAIRS", 60)
+    rows = corpus()
+    check(spark, rows + [(1000 + i, t) for i, t in rows[-10:]], M.LEAST_SHARE)
+    packed = M.pack_chunk(*M.stream(*_words("ab ab")), np.array([True]))
+    assert M.unpack(packed["pair_counts"], np.int64).sum() == len(symbols("ab ab")) - 1
+
+
+def _words(text):
+    buf = np.frombuffer(text.encode(), np.uint8)
+    return buf, M.nonspace_words(buf, np.array([0, len(buf)])), 1
+
+
+def test_rounded_scores_differ_by_a_part_in_a_billion_at_most():
+    values = -np.random.default_rng(1).exponential(1, 10_000)
+    assert np.abs(M.rounded(values) / values - 1).max() < 1e-10
+    assert len(M.pack(M.rounded(values))) < 6.2 * len(values)
