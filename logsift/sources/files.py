@@ -7,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logsift.schemas import CLEANED
 
@@ -32,19 +33,24 @@ def write_cleaned(df: DataFrame, path: str, partition_by=("year", "month"), mode
     writer.save(path)
 
 
-def read_cleaned(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+def read_cleaned(spark: SparkSession, path: str, start=None, end=None, string_flags: bool = False) -> DataFrame:
     """Cleaned logs written by the ingest job, read with the declared schema.
 
     A missing path gives an empty table with the schema. ``start``/``end``
     (datetime, UTC) add year/month partition predicates next to the timestamp
     predicate, so partitions outside the range are never listed or read.
+    ``string_flags`` reads older files that hold the validity flags as texts
+    ("true", "false"); other texts become NULL.
     """
+    flags = {f.name for f in CLEANED.fields if f.dataType == T.BooleanType()} if string_flags else set()
+    stored = T.StructType([T.StructField(f.name, T.StringType()) if f.name in flags else f for f in CLEANED.fields])
     try:
-        df = spark.read.schema(CLEANED).parquet(path)
+        df = spark.read.schema(stored).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], CLEANED)
         raise
+    df = df.withColumns({c: F.col(c).try_cast("boolean") for c in sorted(flags)}) if flags else df
     ym = F.col("year") * 12 + F.col("month")
 
     def instant(d):  # of a UTC wall clock; a literal, so it reaches the scan

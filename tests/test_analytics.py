@@ -164,3 +164,22 @@ def test_fixture_lines_independent_of_zone(spark, conf):
         conf("spark.sql.session.timeZone", zone)
         out.append(sorted(r.log_line for r in fixtures.log_lines(spark, SF_SMALL).collect()))
     assert out[0] == out[1] and len(out[0]) == 1000
+
+
+def test_read_cleaned_with_flags_stored_as_texts(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from logsift.schemas import CLEANED
+    from logsift.sources.files import read_cleaned, write_cleaned
+
+    texts = ["true", "false", "no flag at all", None]
+    when = dt.datetime(2024, 2, 3, 4, 5, 6)
+    rows = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "flag string, n int")
+    values = {"timestamp": F.lit(when), "year": F.lit(2024), "month": F.lit(2), "endpoint": F.col("n").cast("string"),
+              "is_valid_timestamp": F.col("flag"), "is_valid_status": F.col("flag")}
+    old = rows.select(*[values[f.name].alias(f.name) if f.name in values else F.lit(None).cast(f.dataType).alias(f.name) for f in CLEANED.fields])
+    write_cleaned(old, f"{tmp_path}/old")
+    got = read_cleaned(spark, f"{tmp_path}/old", start=dt.datetime(2024, 2, 1), string_flags=True)
+    assert {f.name: f.dataType for f in got.schema} == {f.name: f.dataType for f in CLEANED.fields}
+    assert {r.endpoint: (r.is_valid_timestamp, r.is_valid_status) for r in got.collect()} == {
+        "0": (True, True), "1": (False, False), "2": (None, None), "3": (None, None)}
+    assert read_cleaned(spark, f"{tmp_path}/none", string_flags=True).schema == CLEANED
