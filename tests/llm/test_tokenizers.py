@@ -201,3 +201,22 @@ def test_files_prune_by_document_id(spark):
 
     bytes_ = b"".join(open(f, "rb").read() for f in glob.glob(f"{folder}/*.orc"))
     assert bytes_ and orc.ORCFile(sorted(glob.glob(f"{folder}/*.orc"))[0]).nstripes >= 1
+
+
+def test_files_hold_stripes_and_bloom_filters(spark, monkeypatch):
+    n = 20_000
+    monkeypatch.setattr(T, "STRIPE_BYTES", 64 << 10)
+    path = shared_dir(spark, "test-token-stripes")
+    T.write_token_files(odd_docs(spark, [(k * 7919, f"text number {k}") for k in range(n)], 4), BYTE, path)
+    reader = spark._jvm.org.apache.orc.OrcFile
+    conf = spark._jsc.hadoopConfiguration()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stripes = index = rows = 0
+    for f in folder.getFileSystem(conf).listStatus(folder):
+        if f.getPath().getName().endswith(".orc"):
+            for stripe in reader.createReader(f.getPath(), reader.readerOptions(conf)).getStripes():
+                stripes, index, rows = stripes + 1, index + stripe.getIndexLength(), rows + stripe.getNumberOfRows()
+    # A Bloom filter with one false hit in a hundred takes over nine bits an id; bounds alone take a few bytes a row group.
+    assert rows == n and stripes > 1 and index > n
+    assert T.read_token_files(spark, path).filter("doc_id = 7919").count() == 1
+    assert T.read_token_files(spark, path).filter("doc_id = 7920").count() == 0
