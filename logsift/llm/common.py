@@ -191,7 +191,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def join_classes(rows: DataFrame, classes: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+def join_classes(rows: DataFrame, classes: DataFrame, key: str | list[str], weight: str, total: int) -> DataFrame:
     """``rows`` with the columns of their class. Classes that hold over a
     thousandth of the rows number under a thousand: those go by broadcast, so
     no hot key is shuffled; the others by an ordinary join."""
@@ -199,5 +199,5 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, weight: str, tot
     heavy = classes.filter(F.col(weight) >= heavy_from)
     light = classes.filter(F.col(weight) < heavy_from)
     hot = rows.join(F.broadcast(heavy), key)
-    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
+    rest = rows.join(F.broadcast(heavy.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(light, key)
     return hot.unionByName(rest)

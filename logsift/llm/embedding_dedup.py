@@ -4,16 +4,24 @@ Equal vectors are one class from the start. Every class gets a bucket in each of
 several tables: the signs of its products with the table's random hyperplanes.
 Bits per table grow with the logarithm of the number of classes, so a bucket of
 unrelated vectors keeps its size; the number of tables follows from the target
-recall at the similarity. Inside a bucket all cosines are computed in double
-precision and checked exactly. A pair that shares several tables is counted in
-the first of them only. Buckets give link counts and a forest, never pairs;
-distributed connected components join the forests. A bucket of very many vectors
-is cut into blocks, and each pair of blocks is a piece of work of its own.
+recall at the similarity.
+
+Vectors are not sent to every table. First a class sends its number and a short
+sketch (signs of further hyperplanes) to each of its buckets, where sketches at a
+distance that a pair of the similarity exceeds once in a million form a forest of
+candidates. Connected components join the forests. Then each vector in a
+component of up to ``COMPONENT`` classes goes to its component, once, and all
+cosines there are computed in double precision and checked exactly. Vectors in a
+larger component go to their buckets: a pair that shares several tables is
+counted in the first of them only, so the work of a vector stays bounded by its
+buckets however far candidates chain. Both ways give link counts and a forest,
+never pairs. A bucket of very many classes is cut into blocks, and each pair of
+blocks is a piece of work of its own.
 
 Defined cases: null, empty and zero vectors and vectors with null or non-finite
 components link with nothing; vectors of different length are never similar;
-rows without an id link with nothing; rows that repeat an id with the same
-vector count as further vectors.
+rows without an id link with nothing; rows that repeat an id count as further
+vectors, each with the links of its own vector.
 """
 
 from __future__ import annotations
@@ -36,7 +44,10 @@ SIMILARITY = 0.9
 RECALL = 0.9999
 # Unrelated vectors expected in a bucket, vectors of a block in a bucket that holds more (whatever
 # the size of the input), and rows of a cell compared at once.
-BUCKET, BLOCK, STRIP = 64, 2000, 1024
+BUCKET, BLOCK, STRIP = 512, 2000, 1024
+# Words of 64 signs in a sketch, the share of pairs of the similarity that its limit may miss, and
+# the classes of a candidate component that are compared in one cell.
+SKETCH, MISSED, COMPONENT = 3, 1e-6, 2000
 
 
 def tables_for(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int]:
@@ -71,6 +82,47 @@ def signatures(unit: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return (signs << np.arange(bits)).sum(axis=2).astype(np.uint32)
 
 
+def sketches(unit: np.ndarray) -> np.ndarray:
+    """``SKETCH`` words of signs a row, by planes that no table uses."""
+    planes = np.random.default_rng([12, unit.shape[1]]).standard_normal((unit.shape[1], 64 * SKETCH))
+    return np.packbits(unit @ planes > 0, axis=1).view(np.uint64)
+
+
+def sketch_limit(similarity: float = SIMILARITY, missed: float = MISSED) -> int:
+    """The smallest distance of sketches that at most a share ``missed`` of the
+    pairs at the similarity exceeds (each sign differs with angle / pi)."""
+    n, p = 64 * SKETCH, math.acos(similarity) / math.pi
+    over = 1.0
+    for far in range(n + 1):
+        over -= math.comb(n, far) * p ** far * (1 - p) ** (n - far)
+        if over <= missed:
+            return far
+    return n
+
+
+def sketch_forest(words: np.ndarray, side: np.ndarray, limit: int) -> np.ndarray:
+    """The smallest row that each row reaches by sketches within ``limit``; of two
+    sides only by pairs across."""
+    n = len(words)
+    root, every = np.arange(n), np.arange(n)
+    for lo in range(0, n, STRIP):
+        far = np.zeros((min(STRIP, n - lo), n - lo), np.uint16)
+        for w in range(words.shape[1]):
+            far += np.bitwise_count(words[lo:lo + STRIP, None, w] ^ words[None, lo:, w])
+        close = np.triu(far <= limit, 1)
+        if side[0] >= 0:
+            close &= side[lo:lo + STRIP, None] != side[None, lo:]
+        # One link a row first; then only pairs that these have not joined.
+        a = np.flatnonzero(close.any(axis=1))
+        b = close[a].argmax(axis=1)
+        while len(a):
+            root = local_roots(n, np.concatenate([every, a + lo]), np.concatenate([root, b + lo]))
+            close &= root[lo:lo + STRIP, None] != root[None, lo:]
+            a = np.flatnonzero(close.any(axis=1))
+            b = close[a].argmax(axis=1)
+    return root
+
+
 def _classes(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, k1, k2, vec): the key of each usable vector and its packed components; null keys otherwise."""
     packed = component_type(rows, vector_col)
@@ -110,26 +162,29 @@ def _by_length(column: pa.Array, packed: np.dtype) -> Iterator[tuple[np.ndarray,
         yield rows, unpack([raw[k] for k in rows.tolist()], packed)
 
 
-def _cells(classes: DataFrame, packed: np.dtype, bits: int, tables: int, with_vectors: bool) -> DataFrame:
-    """(cell, side, t, k1, node, w, sig, vec) of every class in every table, or
-    (k1, t, cell) alone. ``wide`` of a class: (t, blocks) of its buckets with too
-    many classes. The side is the row's block in a cell of two blocks, else -1."""
+def _cells(classes: DataFrame, packed: np.dtype, bits: int, tables: int, payload: str) -> DataFrame:
+    """(cell, side, t, node) of every class in every table with its sketch words
+    (``payload`` "sketch") or with w, sig, vec ("vector"); (node, t, cell) alone
+    for "count". ``wide`` of a class: (t, blocks) of its buckets with too many
+    classes. The side is the row's block in a cell of two blocks, else -1."""
+    words = [f"s{k}" for k in range(SKETCH)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, x in _by_length(batch.column("vec"), packed) if batch.num_rows else ():
-                sig = signatures(unit_rows(x), bits, tables)
+                unit = unit_rows(x)
+                sig = signatures(unit, bits, tables)
                 base = mix64(np.uint64(x.shape[1]) * np.uint64(1_000_003) + np.arange(tables, dtype=np.uint64) + np.uint64(1))
                 cell = mix64(base[None, :] + sig.astype(np.uint64)).view(np.int64).ravel()
                 row = np.repeat(np.arange(len(rows)), tables)
                 table = np.tile(np.arange(tables), len(rows))
                 part = batch.take(pa.array(rows))
-                k1 = part.column("k1").to_numpy()
-                if not with_vectors:
+                node = part.column("node").to_numpy()
+                if payload == "count":
                     for lo in range(0, len(row), 65536):
                         own = slice(lo, lo + 65536)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(k1[row[own]]), pa.array(table[own].astype(np.int32)), pa.array(cell[own])], names=["k1", "t", "cell"])
+                            [pa.array(node[row[own]]), pa.array(table[own].astype(np.int32)), pa.array(cell[own])], names=["node", "t", "cell"])
                     continue
                 side = np.full(len(row), -1, np.int32)
                 blocks = np.ones((len(rows), tables), np.int64)
@@ -142,26 +197,34 @@ def _cells(classes: DataFrame, packed: np.dtype, bits: int, tables: int, with_ve
                 for c in np.unique(cell[~plain]).tolist():
                     here = np.flatnonzero(cell == c)
                     count = int(blocks[here[0]])
-                    block = (mix64(k1[row[here]].view(np.uint64)) % np.uint64(count)).astype(np.int32)
+                    block = (mix64(node[row[here]].view(np.uint64)) % np.uint64(count)).astype(np.int32)
                     for other in range(count):
                         low, high = np.minimum(block, other), np.maximum(block, other)
                         own = mix64(np.int64(c).view(np.uint64) ^ mix64((low.astype(np.uint64) << np.uint64(32)) + high.astype(np.uint64) + np.uint64(1)))
                         out.append((row[here], table[here], own.view(np.int64), np.where(low == high, np.int32(-1), block)))
                 row, table, cell, side = (np.concatenate(c) for c in zip(*out))
+                if payload == "sketch":
+                    signs = sketches(unit).view(np.int64)
+                    for lo in range(0, len(row), 65536):
+                        own = slice(lo, lo + 65536)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(cell[own]), pa.array(side[own]), pa.array(node[row[own]]), *[pa.array(c) for c in signs[row[own]].T]],
+                            names=["cell", "side", "node", *words])
+                    continue
                 raw_sig = [s.tobytes() for s in sig.astype(signature_type(bits))]
                 for lo in range(0, len(row), 8192):
                     take = pa.array(row[lo:lo + 8192])
                     own = part.take(take)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(cell[lo:lo + 8192]), pa.array(side[lo:lo + 8192]), pa.array(table[lo:lo + 8192].astype(np.int32)),
-                         *[own.column(c) for c in ("k1", "node", "w")],
-                         pa.array([raw_sig[k] for k in take.to_pylist()], pa.binary()), own.column("vec")],
-                        names=["cell", "side", "t", "k1", "node", "w", "sig", "vec"])
+                         own.column("node"), own.column("w"), pa.array([raw_sig[k] for k in take.to_pylist()], pa.binary()), own.column("vec")],
+                        names=["cell", "side", "t", "node", "w", "sig", "vec"])
 
-    if not with_vectors:
-        return classes.select("k1", "vec").mapInArrow(run, "k1 long, t int, cell long")
-    return classes.select("k1", "node", "w", "vec", "wide").mapInArrow(
-        run, "cell long, side int, t int, k1 long, node long, w long, sig binary, vec binary")
+    if payload == "count":
+        return classes.select("node", "vec").mapInArrow(run, "node long, t int, cell long")
+    schema = {"sketch": "cell long, side int, node long, " + ", ".join(f"{w} long" for w in words),
+              "vector": "cell long, side int, t int, node long, w long, sig binary, vec binary"}[payload]
+    return classes.select("node", "w", "vec", "wide").mapInArrow(run, schema)
 
 
 def cell_links(x: np.ndarray, sig: np.ndarray, table: int, side: np.ndarray, weight: np.ndarray,
@@ -197,58 +260,117 @@ def signature_type(bits: int) -> np.dtype:
     return np.dtype(np.uint16 if bits <= 16 else np.uint32)
 
 
-def links(classes: DataFrame, packed: np.dtype, bits: int, tables: int, similarity: float) -> DataFrame:
-    """(k1, node, root, links) rows: link counts to be summed by k1, and a forest."""
-    light = _cells(classes, packed, bits, tables, False)
+def _edges(key: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of the runs of equal keys with two rows or more."""
+    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist()
+    return [(lo, hi) for lo, hi in zip(edges, [*edges[1:], len(key)]) if hi - lo > 1]
+
+
+def bucketed(classes: DataFrame, packed: np.dtype, bits: int, tables: int, payload: str) -> DataFrame:
+    """The rows of ``_cells``, cells together."""
+    light = _cells(classes, packed, bits, tables, "count")
     wide = persist(light.groupBy("cell").count().filter(F.col("count") > BLOCK), "vector-wide")
     if wide.isEmpty():
         known = classes.withColumn("wide", F.lit(None).cast("array<struct<t:int,blocks:long>>"))
     else:
         # Each class learns the blocks of its wide buckets, however many of those there are.
-        own = join_classes(light, wide, "cell", "count", classes.count() * tables).groupBy("k1").agg(
+        own = join_classes(light, wide, "cell", "count", classes.count() * tables).groupBy("node").agg(
             F.collect_list(F.struct("t", F.ceil(F.col("count") / BLOCK).alias("blocks"))).alias("wide"))
-        known = classes.join(own, "k1", "left")
-    cells = _cells(known, packed, bits, tables, True)
+        known = classes.join(own, "node", "left")
+    return _cells(known, packed, bits, tables, payload).repartition(F.col("cell")).sortWithinPartitions("cell")
+
+
+def candidates(classes: DataFrame, packed: np.dtype, bits: int, tables: int, similarity: float) -> DataFrame:
+    """(u, v): a forest over classes whose sketches are near each other in a bucket."""
+    limit, words = sketch_limit(similarity), [f"s{k}" for k in range(SKETCH)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell"):
-            cell, side, t = (table.column(c).to_numpy() for c in ("cell", "side", "t"))
-            k1, node, w = (table.column(c).to_numpy() for c in ("k1", "node", "w"))
+            cell, side, node = (table.column(c).to_numpy() for c in ("cell", "side", "node"))
+            signs = np.stack([table.column(w).to_numpy() for w in words], axis=1).view(np.uint64)
+            root = np.arange(len(cell))
+            for lo, hi in _edges(cell):
+                root[lo:hi] = lo + sketch_forest(signs[lo:hi], side[lo:hi], limit)
+            on = np.flatnonzero(root != np.arange(len(cell)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[on]), pa.array(node[root[on]])], names=["u", "v"])
+
+    return bucketed(classes, packed, bits, tables, "sketch").mapInArrow(run, "u long, v long")
+
+
+def component_links(members: DataFrame, packed: np.dtype, similarity: float) -> DataFrame:
+    """(node, root, links) of the classes in components that fit one cell each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "component"):
+            component, node, w = (table.column(c).to_numpy() for c in ("component", "node", "w"))
+            raw = table.column("vec").to_pylist()
+            out: list[list] = [[], [], []]
+            for lo, hi in _edges(component):
+                n = hi - lo
+                many, root = cell_links(unpack(raw[lo:hi], packed), np.zeros((n, 0), np.uint16), 0, np.full(n, -1), w[lo:hi], similarity)
+                on = np.flatnonzero(many)
+                for column, v in zip(out, (node[lo:hi][on], node[lo:hi][root[on]], many[on].astype(np.int64))):
+                    column.append(v)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in out], names=["node", "root", "links"])
+
+    return (members.repartition(F.col("component")).sortWithinPartitions("component", "node")
+            .mapInArrow(run, "node long, root long, links long"))
+
+
+def links(classes: DataFrame, packed: np.dtype, bits: int, tables: int, similarity: float) -> DataFrame:
+    """(node, root, links) rows, by buckets: link counts to be summed by node, and a forest."""
+    cells = bucketed(classes, packed, bits, tables, "vector")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "cell"):
+            cell, side, t, node, w = (table.column(c).to_numpy() for c in ("cell", "side", "t", "node", "w"))
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), signature_type(bits)).reshape(len(cell), -1)
             raw = table.column("vec").to_pylist()
-            edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-            out: list[list] = [[], [], [], []]
-            for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(cell)]):
-                if hi - lo < 2:
-                    continue
-                x = unpack(raw[lo:hi], packed)
-                many, root = cell_links(x, sig[lo:hi], int(t[lo]), side[lo:hi], w[lo:hi], similarity)
+            out: list[list] = [[], [], []]
+            for lo, hi in _edges(cell):
+                many, root = cell_links(unpack(raw[lo:hi], packed), sig[lo:hi], int(t[lo]), side[lo:hi], w[lo:hi], similarity)
                 on = np.flatnonzero(many)
-                for column, v in zip(out, (k1[lo:hi][on], node[lo:hi][on], node[lo:hi][root[on]], many[on].astype(np.int64))):
+                for column, v in zip(out, (node[lo:hi][on], node[lo:hi][root[on]], many[on].astype(np.int64))):
                     column.append(v)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in out], names=["k1", "node", "root", "links"])
+                [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in out], names=["node", "root", "links"])
 
-    return cells.repartition(F.col("cell")).sortWithinPartitions("cell").mapInArrow(
-        run, "k1 long, node long, root long, links long")
+    return cells.mapInArrow(run, "node long, root long, links long")
 
 
 def embedding_dedup(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """Per row: id, n_links, component_id (smallest id reachable by links), kept."""
+    packed = component_type(rows, vector_col)
     keyed = persist(_classes(rows, id_col, vector_col), "vectors")
     usable = keyed.filter(F.col("k1").isNotNull() & F.col("id").isNotNull())
+    # Classes are known by 128 bits of their vector; the written table numbers them.
     classes = persist(usable.groupBy("k1", "k2").agg(
-        F.min(F.col("id").cast("long")).alias("node"), F.count("*").alias("w"), F.first("vec").alias("vec")), "vector-classes")
-    bits, tables = tables_for(classes.count(), similarity, recall)
-    found = persist(links(classes, component_type(rows, vector_col), bits, tables, similarity), "vector-links")
-    part_of = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    linked = found.groupBy("k1").agg(F.sum("links").alias("links"))
+        F.min(F.col("id").cast("long")).alias("low"), F.count("*").alias("w"), F.first("vec").alias("vec"))
+        .withColumn("node", F.monotonically_increasing_id()), "vector-classes")
+    n = classes.count()
+    bits, tables = tables_for(n, similarity, recall)
+    near = persist(connected_components(persist(candidates(classes, packed, bits, tables, similarity), "vector-candidates")), "vector-components")
+    members = persist(join_classes(near, near.groupBy("component").count(), "component", "count", n), "vector-members")
+    vectors_of = classes.select("node", "w", "vec")
+    inside = vectors_of.join(members.filter(F.col("count") <= COMPONENT).select("node", "component"), "node")
+    found = persist(component_links(inside, packed, similarity), "vector-links")
+    # Such a component holds all links of its classes, so its roots are final.
+    part_of, counted = found.select("node", F.col("root").alias("component")), found.select("node", "links")
+    beyond = members.filter(F.col("count") > COMPONENT).select("node")
+    if not beyond.isEmpty():
+        more = persist(links(vectors_of.join(beyond, "node"), packed, bits, tables, similarity), "vector-links")
+        part_of = part_of.unionByName(connected_components(more.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        counted = counted.unionByName(more.groupBy("node").agg(F.sum("links").alias("links")))
+    linked = persist(classes.select("node", "low").join(part_of, "node").join(counted, "node"), "vector-linked")
+    lows = linked.groupBy("component").agg(F.min("low").alias("component_id"), F.count("*").alias("count"))
+    named = join_classes(linked.select("node", "component", "links"), lows, "component", "count", n).select("node", "component_id", "links")
     result = persist(
-        classes.select("k1", "node", "w").join(linked, "k1", "left").join(part_of, "node", "left")
-        .select("k1", "w", F.coalesce("component", "node").alias("component_id"),
+        classes.select("k1", "k2", "low", "w", "node").join(named, "node", "left")
+        .select("k1", "k2", "w", F.coalesce("component_id", "low").alias("component_id"),
                 (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links")), "vector-result")
-    joined = join_classes(usable.select("id", "k1"), result, "k1", "w", keyed.count())
+    joined = join_classes(usable.select("id", "k1", "k2"), result, ["k1", "k2"], "w", keyed.count())
     alone = keyed.filter(F.col("k1").isNull() | F.col("id").isNull())
     return joined.select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")).unionByName(
         alone.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").cast("long").alias("component_id"),

@@ -69,6 +69,52 @@ def test_large_buckets_in_blocks(spark, monkeypatch):
     check(spark, vectors())
 
 
+def test_chained_candidates_beyond_one_cell(spark, monkeypatch):
+    made, links = [], E.links
+    monkeypatch.setattr(E, "COMPONENT", 20)
+    monkeypatch.setattr(E, "links", lambda *a: made.append(a[0]) or links(*a))
+    rows = vectors()
+    check(spark, rows)
+    # Some vectors went to their buckets, others to their component.
+    assert 20 < made[0].count() < len(rows) - 41
+    monkeypatch.setattr(E, "BLOCK", 25)
+    check(spark, rows)
+
+
+def test_sketches_keep_pairs_of_the_similarity():
+    limit = E.sketch_limit()
+    n, p = 64 * E.SKETCH, math.acos(0.9) / math.pi
+    tail = [sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(far + 1, n + 1)) for far in (limit - 1, limit)]
+    assert tail[1] <= E.MISSED * 1.001 and tail[0] > E.MISSED
+    rng = np.random.default_rng(8)
+    a = E.unit_rows(rng.standard_normal((20_000, 24)))
+    b = rng.standard_normal(a.shape)
+    b = E.unit_rows(b - (a * b).sum(axis=1, keepdims=True) * a)
+    far = np.bitwise_count(E.sketches(a) ^ E.sketches(0.9 * a + math.sqrt(1 - 0.81) * b)).sum(axis=1)
+    assert far.max() <= limit and abs(far.mean() - n * p) < 0.5
+
+
+def test_sketch_forest_joins_what_pairs_join(monkeypatch):
+    monkeypatch.setattr(E, "STRIP", 7)
+    rng = np.random.default_rng(9)
+    words = rng.integers(0, 2 ** 8, (60, 2)).astype(np.uint64)
+    for side in (np.full(60, -1), rng.integers(0, 2, 60)):
+        for limit in (0, 2, 3, 4):
+            root = np.arange(60)
+            for _ in range(60):
+                for i in range(60):
+                    for j in range(60):
+                        if (side[0] < 0 or side[i] != side[j]) and np.bitwise_count(words[i] ^ words[j]).sum() <= limit:
+                            root[i] = root[j] = min(root[i], root[j])
+            assert (E.sketch_forest(words, side, limit) == root).all()
+
+
+def test_ids_that_repeat_with_other_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (4, [-1.0, 0.0])]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in E.embedding_dedup(table(spark, rows)).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]
+
+
 def test_block_size_does_not_grow_with_the_input(spark, monkeypatch):
     monkeypatch.setattr(E, "BLOCK", 3)
     monkeypatch.setattr(E, "STRIP", 4)
