@@ -16,8 +16,8 @@ the model grows with it. Only contexts of at most one symbol and the thousand ho
 pairs are held by every task.
 A context is retained if the next-symbol distribution behind it diverges
 from that behind its suffix, by more than chance. A retained distribution is
-smoothed by that of the next shorter retained suffix, which weighs as much as
-there are kinds of symbols behind the context; the root gives every byte a chance.
+smoothed by that of the next shorter retained suffix, which weighs ``BACKOFF``
+symbols for each kind of symbol behind the context; the root gives every byte a chance.
 A text's score sums the log10 probabilities of its symbols, each from the
 longest retained suffix of what precedes it.
 
@@ -51,7 +51,9 @@ DEPTH = 6
 LEAST_SHARE = 0.0
 # Retained if the next symbols diverge by so many nats from those behind the suffix, and
 # by so many in sum over the context's places for each kind of next symbol.
-DIVERGENCE, EVIDENCE = 0.002, 2.0
+DIVERGENCE, EVIDENCE = 0.002, 1.0
+# Symbols that the next shorter retained suffix counts for, for each kind of symbol behind a context.
+BACKOFF = 4.0
 # A token is broadcast from this share of the training tokens on, if not longer than so many bytes.
 FREQUENT, FREQUENT_BYTES = 1e-6, 64
 # Pairs of symbols before a thousandth of all training symbols are split by the symbol before them.
@@ -377,8 +379,9 @@ class SuffixTree:
             share = many / total[back]
             apart = np.bincount(back, share * (np.log(share) - low * np.log(10)))
             keep = (total >= least) & (apart >= divergence) & (total * apart >= evidence * kinds)
-            score = np.log10((many + kinds[back] * 10 ** low) / (total + kinds)[back])
-            self.levels.append((context[keep], np.log10(kinds[keep] / (total + kinds)[keep]), key[keep[back]], score[keep[back]]))
+            shorter_weight = BACKOFF * kinds
+            score = np.log10((many + shorter_weight[back] * 10 ** low) / (total + shorter_weight)[back])
+            self.levels.append((context[keep], np.log10((shorter_weight / (total + shorter_weight))[keep]), key[keep[back]], score[keep[back]]))
 
     def level_score(self, key: np.ndarray, d: int) -> np.ndarray:
         """log10 probability of the lowest byte behind a context of d packed symbols."""

@@ -35,7 +35,7 @@ def brute_tree(texts, least):
             c = kept.get(context[len(context) - d:])
             if c is not None:
                 total, kinds = sum(c.values()), len(c)
-                p = (c[b] + kinds * p) / (total + kinds)
+                p = (c[b] + M.BACKOFF * kinds * p) / (total + M.BACKOFF * kinds)
         return p
 
     for d in range(1, DEPTH + 1):
@@ -114,8 +114,9 @@ def test_without_training_rows(spark):
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
 
 
-def test_better_than_the_base_on_held_out_texts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_better_than_the_base_on_held_out_texts(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
     row = M.lm_scores(docs).filter("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b").first()
     assert row.s > row.b
 
