@@ -268,7 +268,8 @@ def low_counts(counts: DataFrame, hot: np.ndarray, depth: int = DEPTH) -> tuple[
                 key, n = unpack(grams_.as_py(), np.uint64, True), unpack(counts_.as_py(), np.int64)
                 # Straight to two symbols of context; sorted order stays whole contexts together.
                 key, n = merge_counts([(key[n > 0] >> np.uint64(8 * (depth - 1)) << np.uint64(8) | key[n > 0] & np.uint64(255), n[n > 0])])
-                own = np.isin(key >> np.uint64(8), hot)
+                # A pair that reaches beyond the text's start is no context.
+                own = np.isin(key >> np.uint64(8), hot) & ((key >> np.uint64(8) & np.uint64(255)) != 0)
                 parts[2].append((key[own], n[own]))
                 key, n = shorter(key, n)
                 parts[1].append((key, n))
