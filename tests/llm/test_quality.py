@@ -1,5 +1,8 @@
+import math
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from logsift.llm import quality as Q
 from logsift.llm.common import text_bytes
@@ -88,3 +91,116 @@ def test_fit_never_reads_more_than_its_bound(spark, monkeypatch):
     Q.train(odd_docs(spark, [(1, "a b"), (2, "c d"), (3, "e f")]),
             spark.createDataFrame([(1, 0, 0), (1, 1, 0), (2, 1, 0), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int"))
     assert seen[-1] == sum(fold(i) != 0 for i in (2, 3))
+
+
+def slow_fit(x, y, max_bins, rounds, rate, n_pairs, pair_rounds, l2):
+    """Cyclic boosting row by row, every cut tried: (score of a row, tables, pairs)."""
+    n, m = len(y), len(x[0])
+
+    def quantile(values, q):
+        at = q * (n - 1)
+        low = int(at)
+        return values[low] + (values[min(low + 1, n - 1)] - values[low]) * (at - low)
+
+    cuts = [sorted({quantile(sorted(r[j] for r in x), k / max_bins) for k in range(1, max_bins)}) for j in range(m)]
+
+    def places(row):
+        return [sum(c < v for c in cuts[j]) for j, v in enumerate(row)]
+
+    bins = [places(r) for r in x]
+    prior = (sum(y) + 0.5) / (n + 1)
+    raw = [math.log(prior / (1 - prior))] * n
+    tables = [[0.0] * (len(c) + 1) for c in cuts]
+
+    def slopes():
+        p = [1 / (1 + math.exp(-r)) for r in raw]
+        return [a - b for a, b in zip(y, p)], [max(b * (1 - b), 1e-6) for b in p]
+
+    def leaf(rows, g, h):
+        return sum(g[i] for i in rows) / (sum(h[i] for i in rows) + l2)
+
+    def gain(rows, g, h):
+        return sum(g[i] for i in rows) ** 2 / (sum(h[i] for i in rows) + l2)
+
+    def best_cut(j, lo, hi, g, h):
+        def won(k):
+            left, right = ([i for i in range(n) if a <= bins[i][j] < b] for a, b in ((lo, k), (k, hi)))
+            return gain(left, g, h) + gain(right, g, h) - gain(left + right, g, h)
+        return max(((won(k), -k) for k in range(lo + 1, hi)), default=(0.0, -hi))
+
+    for _ in range(rounds):
+        for j, table in enumerate(tables):
+            g, h = slopes()
+            first = -best_cut(j, 0, len(table), g, h)[1]
+            left, right = best_cut(j, 0, first, g, h), best_cut(j, first, len(table), g, h)
+            edges = sorted({0, first, -(left if left[0] >= right[0] else right)[1], len(table)})
+            for lo, hi in zip(edges, edges[1:]):
+                rows = [i for i in range(n) if lo <= bins[i][j] < hi]
+                value = rate * leaf(rows, g, h)
+                table[lo:hi] = [t + value for t in table[lo:hi]]
+                for i in rows:
+                    raw[i] += value
+
+    def best_quarters(a, b, g, h):
+        found = None
+        for ka in range(1, len(tables[a])):
+            for kb in range(1, len(tables[b])):
+                parts = {(p, q): [i for i in range(n) if (bins[i][a] >= ka) == p and (bins[i][b] >= kb) == q]
+                         for p in (False, True) for q in (False, True)}
+                total = sum(gain(rows, g, h) for rows in parts.values())
+                if found is None or total > found[0]:
+                    found = total, ka, kb, {k: leaf(rows, g, h) for k, rows in parts.items()}
+        return found
+
+    g, h = slopes()
+    order = sorted(((best_quarters(a, b, g, h)[0], a, b) for a in range(m) for b in range(a)), reverse=True)[:n_pairs]
+    pairs = {(a, b): [[0.0] * len(tables[b]) for _ in tables[a]] for _, a, b in order}
+    for _ in range(pair_rounds):
+        for (a, b), table in pairs.items():
+            g, h = slopes()
+            _, ka, kb, values = best_quarters(a, b, g, h)
+            for p, line in enumerate(table):
+                for q in range(len(line)):
+                    line[q] += rate * values[p >= ka, q >= kb]
+            for i in range(n):
+                raw[i] += rate * values[bins[i][a] >= ka, bins[i][b] >= kb]
+
+    def score(row):
+        at = places(row)
+        total = math.log(prior / (1 - prior)) + sum(t[k] for t, k in zip(tables, at))
+        return 1 / (1 + math.exp(-total - sum(t[at[a]][at[b]] for (a, b), t in pairs.items())))
+
+    return score, tables, pairs
+
+
+@pytest.mark.parametrize("seed, max_bins", [(1, 6), (2, 9), (3, 4)])
+def test_fit_and_score_equal_a_slow_reference(seed, max_bins):
+    rng = np.random.default_rng(seed)
+    x = rng.random((90, 4))
+    x[:, 3] = np.round(x[:, 3] * 3)  # few kinds: some quantiles coincide
+    y = ((x[:, 0] > 0.6) ^ (x[:, 1] > 0.4) ^ (rng.random(90) < 0.1)).astype(float)
+    own = dict(max_bins=max_bins, rounds=4, rate=0.3, n_pairs=2, pair_rounds=3, l2=1.5)
+    model = Q.fit(x, y, **own)
+    score, tables, pairs = slow_fit(x.tolist(), y.tolist(), **own)
+    assert all(np.allclose(a, b) for a, b in zip(model.tables, tables)) and len(tables) == 4
+    assert [(a, b) for a, b, _ in model.pairs] == list(pairs)
+    assert all(np.allclose(t, pairs[a, b]) for a, b, t in model.pairs)
+    fresh = rng.random((50, 4)) * 4 - 1
+    assert np.allclose(model.score(fresh), [score(r) for r in fresh.tolist()])
+
+
+def test_classify_equals_the_slow_reference_on_texts(spark):
+    rng = np.random.default_rng(5)
+    good, bad = ["The", "house", "is", "on", "a", "hill"], ["BUY", "!!!", "x|x", "99", "now"]
+    texts = [(i, " ".join(rng.choice(good if i % 3 else bad, rng.integers(1, 25)))) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    own = dict(max_bins=5, rounds=3, rate=0.3, n_pairs=1, pair_rounds=2, l2=4.0)
+    fit, Q.fit = Q.fit, lambda x, y: fit(x, y, **own)
+    try:
+        got = {r.doc_id: r.score for r in Q.classify(odd_docs(spark, texts), labels).collect()}
+    finally:
+        Q.fit = fit
+    x = Q.measure(*text_bytes(pa.array([t for _, t in texts], pa.large_string())))
+    train = sorted(((x[i].tolist(), float(i % 3 > 0)) for i, _ in texts if fold(i) != 0))
+    score, _, _ = slow_fit([r for r, _ in train], [c for _, c in train], **own)
+    assert got == pytest.approx({i: score(x[i].tolist()) for i, _ in texts}, abs=1e-9)
