@@ -8,8 +8,8 @@ it. A replayed batch is found in the manifest and skipped; a half-written one ha
 no entry and is written anew. So every row is there exactly once.
 
 Small files are compacted: the files of a partition are packed into bins of the
-target size (first fit, largest first), each bin is rewritten by one task as one
-file, and one entry replaces all earlier ones. Readers see either the old files
+target size (first fit, largest first), each bin is passed on by one task to one
+file, unsorted and so without being held, and one entry replaces all earlier ones. Readers see either the old files
 or the new. Data that no entry names is removed by ``vacuum``.
 
 The driver holds names and sizes of files, never rows. One stream writes a table
@@ -187,8 +187,14 @@ def compact(spark: SparkSession, table: str, partition_by: tuple[str, ...] = ("y
                                       "_key string, _bin int")
         rows = _frame(spark, table, [f for b in packed for f in b], schema).withColumn("_key", key)
         rows = rows.join(F.broadcast(dealt), "_key").drop("_key")  # one short row for each small file
-        rows = rows.repartition(F.col("_bin")).withColumn("set", F.concat(F.lit(f"{name}-"), F.col("_bin"))).drop("_bin")
-        rows.write.mode("append").partitionBy("set", *partition_by).parquet(f"{table}/data")
+        # A task of its own for each bin: it has one folder and so one open file, and need not sort its rows by folder.
+        rows = rows.repartitionById(len(packed), F.col("_bin")).withColumn("set", F.concat(F.lit(f"{name}-"), F.col("_bin"))).drop("_bin")
+        before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "1")
+        try:
+            rows.write.mode("append").partitionBy("set", *partition_by).parquet(f"{table}/data")
+        finally:
+            spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", before)
     gone = {(f["set"], f["path"]) for b in packed for f in b}
     stay = [f for f in files if (f["set"], f["path"]) not in gone]
     fresh = _written(spark, table, [f"{name}-{k}" for k in range(len(packed))])

@@ -1,4 +1,8 @@
+import json
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +125,49 @@ def test_no_writer_column_is_left(spark):
     W.append_batch(rows, base, 0)
     got = W.read_table(spark, base, rows.schema)
     assert got.columns == rows.columns and got.agg(F.sum("id")).first()[0] == 3
+
+
+# Compacts two batches of one month; the event log tells what its tasks held.
+_COMPACTION = """
+import sys
+from pyspark.sql import SparkSession
+from logsift.streaming import table as W
+base, rows = sys.argv[1], int(sys.argv[2])
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1")
+         .config("spark.checkpoint.dir", f"{base}/ckpt").config("spark.sql.shuffle.partitions", "2").config("spark.local.dir", f"{base}/local")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", f"file://{base}/log").config("spark.eventLog.compress", "false")
+         .config("spark.eventLog.rolling.enabled", "false").getOrCreate())
+wide = spark.range(rows, numPartitions=4).selectExpr("id", "repeat('x', 200) AS text", "2024 AS year", "cast(id % 2 AS int) AS month")
+for batch in range(2):
+    W.append_batch(wide, f"{base}/t", batch)
+before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+spark.sparkContext.setJobDescription("compaction")
+assert W.compact(spark, f"{base}/t", schema=wide.schema) == 4
+assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+spark.sparkContext.setJobDescription(None)
+files = W.live_files(spark, f"{base}/t")
+assert len(files) == 2 and len({f["path"].split("/")[-1].split("-")[1] for f in files}) == 2
+assert W.read_table(spark, f"{base}/t", wide.schema).groupBy("id").count().filter("count = 2").count() == rows
+spark.stop()
+"""
+
+
+def test_a_compaction_holds_no_bin_in_memory(tmp_path):
+    """Each bin is written by a task of its own, whose memory does not grow with the bin."""
+    held = []
+    for rows in (20_000, 200_000):
+        base = tmp_path / str(rows)
+        (base / "log").mkdir(parents=True)
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        subprocess.run([sys.executable, "-c", _COMPACTION, str(base), str(rows)], check=True, timeout=300,
+                       env={**os.environ, "PYTHONPATH": f"{root}:{os.environ.get('PYTHONPATH', '')}"})
+        stages, most = set(), 0
+        for path in (base / "log").iterdir():
+            for event in map(json.loads, path.read_text().splitlines()):
+                if event["Event"] == "SparkListenerJobStart" and event["Properties"].get("spark.job.description") == "compaction":
+                    stages |= set(event["Stage IDs"])
+                elif event["Event"] == "SparkListenerTaskEnd" and event["Stage ID"] in stages and event["Task Metrics"]["Output Metrics"]["Records Written"]:
+                    most = max(most, event["Task Metrics"]["Peak Execution Memory"])
+        assert stages
+        held.append(most)
+    assert held[1] <= held[0] + (1 << 20)
