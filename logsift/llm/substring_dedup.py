@@ -41,13 +41,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import Sent, Words, chunks, join_classes, mix64, nonspace_words, text_bytes, whole_groups
+from logsift.llm.common import Sent, Words, chunks, join_classes, mix64, nonspace_words, release, text_bytes, whole_groups
 from logsift.session import persist
 
 WINDOW = 35
 # An anchor with more different stretches is cut by longer anchors.
 HOT_STRETCHES = 2000
 BLOCK_BYTES = 4 << 20
+# Marks (20 bytes each) that are put together at once.
+MARK_BYTES = 1 << 20
 # Bloom filters: bits a key, bits at most (32 MB), places a key.
 KEY_BITS, MOST_BITS, PLACES = 16, 1 << 28, 4
 _SLICES = 64
@@ -328,6 +330,7 @@ def judged_stretches(pieces: DataFrame, window: int, level: int = 0, hot: int =
             many = table.column("many").to_numpy()
             mask = repeated_windows(words.code, words.count, many == 1, window)
             some = np.flatnonzero(mask)
+            release()
             yield pa.RecordBatch.from_arrays([table.column("k").combine_chunks().take(pa.array(some)), pa.array(many[some]), pa.array(mask[some])],
                                              names=["k", "many", "mask"])
 
@@ -370,19 +373,17 @@ def _contents(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def _covered(n: int, spans: list, window: int) -> np.ndarray:
-    """Which of n words a repeated window covers; ``spans``: (first word, mask) of stretches."""
-    edge = np.zeros(n + 1, np.int64)
-    for start, mask in spans:
-        at = start + np.flatnonzero((mask >> np.arange(62)) & 1)
-        edge[at] += 1
-        edge[at + window] -= 1
-    return np.cumsum(edge[:-1]) > 0
-
-
-def _ranges(gone: np.ndarray) -> list[dict]:
-    turn = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-    return [{"first": a, "last": b - 1} for a, b in zip(np.flatnonzero(turn == 1).tolist(), np.flatnonzero(turn == -1).tolist())]
+def covered_ranges(row: np.ndarray, start: np.ndarray, mask: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, last word) of the ranges that repeated windows cover. Each mark is
+    (row, first word, mask) of a stretch; marks are sorted by row and first word."""
+    bits = np.unpackbits(np.ascontiguousarray(mask, "<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    mark, bit = np.nonzero(bits)
+    # Stretches of a text share no window, so the windows are in order.
+    row, at = row[mark], start[mark].astype(np.int64) + bit
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (at[1:] > at[:-1] + window)
+    head = np.flatnonzero(fresh)
+    return row[head], at[head], at[np.append(head[1:], len(at))[:len(head)] - 1] + window - 1
 
 
 _RANGES = "array<struct<first:long,last:long>>"
@@ -402,21 +403,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     places = rows.filter("size(keys) > 0").join(classes.filter("w > 1").select("c"), "c", "left_anti").select(
         "row", F.explode(F.arrays_zip("starts", "keys")).alias("x")).select("row", F.col("x.starts").alias("start"), F.col("x.keys").alias("k"))
     total = pieces.agg(F.sum("many")).first()[0] or 0
-    marks = join_classes(places, outcome.select("k", "many", "mask"), "k", "many", total).groupBy("row").agg(
-        F.collect_list(F.struct("start", "mask")).alias("marks"))
-    marked = known.filter("w = 1").select("row", "c", "n").join(marks, "row")
+    marks = join_classes(places, outcome.select("k", "many", "mask"), "k", "many", total).select("row", "start", "mask")
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            gone = [_covered(n, [(m["start"], m["mask"]) for m in marks], window)
-                    for n, marks in zip(batch.column("n").to_pylist(), batch.column("marks").to_pylist())]
-            lead = [int.from_bytes(c[:8], "little", signed=True) for c in batch.column("c").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("c"), pa.array(lead, pa.int64()), batch.column("n"), pa.array([int(g.sum()) for g in gone], pa.int64()),
-                 pa.array([_ranges(g) for g in gone], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))],
-                names=["c", "lead", "n", "n_removed", "spans"])
-
-    covered = persist(marked.mapInArrow(cover, f"c binary, lead long, n long, n_removed long, spans {_RANGES}"), "repeats-covered")
+        for table in whole_groups(batches, "row", MARK_BYTES):
+            row, first, last = covered_ranges(*(table.column(c).to_numpy() for c in ("row", "start", "mask")), window)
+            if len(row):
+                cut = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                spans = pa.StructArray.from_arrays([pa.array(first), pa.array(last)], names=["first", "last"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row[cut]), pa.array(np.add.reduceat(last - first + 1, cut)),
+                     pa.ListArray.from_arrays(pa.array(np.append(cut, len(row)), pa.int32()), spans)], names=["row", "n_removed", "spans"])
+            del table
+            release()
+
+    merged = marks.repartition(F.col("row")).sortWithinPartitions("row", "start").mapInArrow(cover, f"row long, n_removed long, spans {_RANGES}")
+    covered = persist(known.filter("w = 1").select("row", "c", "n").join(merged, "row").select(
+        "c", F.conv(F.hex(F.substring("c", 1, 8)), 16, -10).cast("long").alias("lead"), "n", "n_removed", "spans"), "repeats-covered")
     # Only a document that keeps some of its words is read again for their hash.
     partly = covered.filter("n_removed < n")
     wanted = KeyFilter(partly.select("lead"), "lead")
@@ -426,7 +429,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             buf, offsets = text_bytes(part.column(text_col))
             words = [b" ".join(buf[a:b].tobytes().split()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             keys = [hashlib.blake2b(x, digest_size=16).digest() for x in words]
-            likely = np.flatnonzero(wanted.may_hold(np.array([int.from_bytes(k[:8], "little") for k in keys], np.uint64))).tolist()
+            likely = np.flatnonzero(wanted.may_hold(np.array([int.from_bytes(k[:8], "big") for k in keys], np.uint64))).tolist()
             yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in likely], pa.binary()),
                                               pa.array([words[k] for k in likely], pa.binary())], names=["c", "words"])
 

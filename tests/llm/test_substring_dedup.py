@@ -117,3 +117,36 @@ def test_stretches_cover_every_window_once():
         want = np.concatenate([np.arange(first[k], first[k] + max(0, count[k] - 34)) for k in range(len(count))])
         assert covered.tolist() == want.tolist() and (windows <= 35 - size + 1).all()
         assert (text == np.searchsorted(first, start, "right") - 1).all()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ranges_are_the_words_of_all_marked_windows(seed):
+    rng, window = np.random.default_rng(seed), 5
+    marks = sorted((r, 62 * k, int(rng.integers(0, 1 << 62)) & int(rng.integers(0, 1 << 62)) & -int(rng.integers(0, 2)))
+                   for r in range(20) for k in range(6) if rng.random() < 0.7)
+    words = {(r, start + bit + k) for r, start, mask in marks for bit in range(62) if mask >> bit & 1 for k in range(window)}
+    row, first, last = S.covered_ranges(*(np.array(c, np.int64) for c in zip(*marks)), window)
+    ranges = list(zip(row.tolist(), first.tolist(), last.tolist()))
+    assert [(r, w) for r, a, b in ranges for w in range(a, b + 1)] == sorted(words)
+    assert all(a[0] < b[0] or a[2] + 1 < b[1] for a, b in zip(ranges, ranges[1:]))
+    assert [len(c) for c in S.covered_ranges(*(np.zeros(0, np.int64),) * 3, window)] == [0, 0, 0]
+
+
+def test_marks_of_many_rows_are_put_together_in_small_parts(spark, monkeypatch):
+    """However few marks are put together at once, no document is cut, and no part is longer than a document needs."""
+    parts, held, merge = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), S.covered_ranges
+    monkeypatch.setattr(S, "MARK_BYTES", 200)
+
+    def seen(row, start, mask, window):
+        parts.add(1)
+        held.add(int(len(np.unique(row)) > 20))
+        return merge(row, start, mask, window)
+
+    monkeypatch.setattr(S, "covered_ranges", seen)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = corpus(5)
+        assert removed(S.remove_repeats(odd_docs(spark, rows))) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert parts.value > 8 and held.value == 0
